@@ -1,0 +1,86 @@
+"""``run_all`` (L11): the reference's task graph as one plain function.
+
+Order as in the reference: detail layer stored -> turnover for the month ->
+form 101 -> export to CSV -> import into a copy table; min/max postings of a
+day after the detail layer, exported as ``report_min_max_<date>.csv``.  Every
+step logs a BEGIN/END row with the run id taken once at the start.  Marts are
+versioned tables, so a rerun replaces the day range / month (W2, W3) and is
+idempotent.  There is no scheduler: Spark already runs each step's stages in
+parallel; the steps themselves depend on each other.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlake.functions.calendar import py_month_bounds
+from ledgerlake.operators.upsert import replace_where
+from ledgerlake.plans import exchange, f101 as f101_plan, min_max, runlog, turnover
+from ledgerlake.schemas import DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, LOG_INFO
+from ledgerlake.sinks.store import AppendLog, VersionedTable
+
+
+@dataclass
+class DetailLayer:
+    ledger: DataFrame
+    accounts: DataFrame
+    currency: DataFrame
+    balances: DataFrame
+    rates: DataFrame
+    postings: DataFrame
+
+
+@dataclass
+class RunOutput:
+    run_id: int
+    turnover: DataFrame
+    f101: DataFrame
+    f101_copy: DataFrame
+    min_max: DataFrame
+    f101_csv: str
+    min_max_csv: str
+
+
+def run_all(spark: SparkSession, ds: DetailLayer, work: str, on_date: dt.date, min_max_date: dt.date,
+            fanout: str = "faithful", clock=dt.datetime.now) -> RunOutput:
+    work = work.rstrip("/")
+    log_path = f"{work}/logs/log_info"
+    run_id = runlog.next_run_id(AppendLog(spark, log_path, LOG_INFO).read())
+
+    def log(msg: str, event: str, rows: int | None = None) -> None:
+        runlog.write_log(spark, log_path, msg, run_id, event, rows, clock=clock)
+
+    ms, me = py_month_bounds(on_date)
+
+    log(f"[BEGIN] looped_fill_turnover(date_to => {on_date.isoformat()})", "turnover")
+    turn_store = VersionedTable(spark, f"{work}/dm/dm_account_turnover_f", DM_ACCOUNT_TURNOVER_F)
+    new_turn = turnover.account_turnover(ds.postings, ds.accounts, ds.rates, ms, on_date)
+    turn_store.write(replace_where(turn_store.read(), new_turn, F.col("on_date").between(F.lit(ms), F.lit(on_date))))
+    turn = turn_store.read()
+    log("[END] turnover", "turnover")
+
+    log(f"[BEGIN] fill_f101_round_f(i_OnDate => {on_date.isoformat()})", "f101")
+    f_store = VersionedTable(spark, f"{work}/dm/dm_f101_round_f", DM_F101_ROUND_F)
+    new_f = f101_plan.f101(ds.ledger, ds.accounts, ds.currency, ds.balances, ds.rates, turn, on_date, fanout)
+    month = (F.col("from_date") == F.lit(ms)) & (F.col("to_date") == F.lit(me))
+    f_store.write(replace_where(f_store.read(), new_f, month))
+    f = f_store.read()
+    log("[END] f101", "f101")
+
+    csv_dir = f"{work}/export/report_f101_f-run{run_id}.csv"
+    exchange.export_csv(f, csv_dir)
+    log(f"Copy table to csv (file_path = {csv_dir})", "save_f101_f")
+    copy_store = VersionedTable(spark, f"{work}/dm/dm_f101_round_f_v2", DM_F101_ROUND_F)
+    copy_store.write(exchange.import_csv(spark, csv_dir, DM_F101_ROUND_F))
+    log(f"Copy data from csv to table (copy_from_csv = {csv_dir})", "load_f101_f_copy")
+
+    mm = min_max.min_max_posting(ds.postings, ds.accounts, ds.rates, min_max_date)
+    mm_csv = f"{work}/export/report_min_max_{min_max_date.isoformat()}-run{run_id}.csv"
+    exchange.export_csv(mm, mm_csv)
+    log(f"Call min_max_posting and save result (save_to_file = {mm_csv})", "min_max_posting")
+
+    return RunOutput(run_id, turn, f, copy_store.read(), mm, csv_dir, mm_csv)

@@ -9,7 +9,6 @@ local (tests) do we pick a folder ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,8 +55,5 @@ def work_root(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, tag: str) -> str:
-    """A new, unique sub-folder of the work root (never reused, never cleared)."""
-    path = f"{work_root(spark)}/ledgerlake/{tag}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A new, unique path below the work root (never reused, never cleared; writers create it)."""
+    return f"{work_root(spark)}/ledgerlake/{tag}-{uuid.uuid4().hex[:12]}"

@@ -110,10 +110,14 @@ class BankTables:
                 .select(F.lit(BALANCE_DATE).alias("on_date"), "account_rk", "currency_rk",
                         F.col("acctbal").alias("balance_out")))
 
-    def ft_posting_f(self) -> DataFrame:
+    def ft_posting_f(self, order_status: str | None = None) -> DataFrame:
+        """Postings: supplier credit, customer debit, one per line item; ``order_status`` keeps only
+        the lines of orders in that status (a partial first load)."""
         li = self.raw("lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_linenumber",
                                          F.col("l_shipdate").cast("date").alias("oper_date"))
-        o = self.raw("orders").select("o_orderkey", "o_custkey")
+        o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+        if order_status is not None:
+            o = o.filter(F.col("o_orderstatus") == order_status)
         amt = F.col("l_extendedprice").cast("decimal(12,2)")
         return li.join(o, li.l_orderkey == o.o_orderkey).select(
             "oper_date", F.col("l_suppkey").cast("bigint").alias("credit_account_rk"),
