@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", app: str = "ledgerlake", shuffle_parti
     """Local session with the settings the tests and the bench use."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

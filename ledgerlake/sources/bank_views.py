@@ -9,7 +9,8 @@ fixture's; the oracle SQL in ``ledgerlake.oracle`` spells out the same rules.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import functools
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,16 @@ def currency_code_of(rk: Column) -> Column:
             .otherwise((F.lit(100) + rk).cast("string")))
 
 
+def _memo(fn):
+    @functools.wraps(fn)
+    def wrapper(self):
+        key = fn.__name__
+        if key not in self._plans:
+            self._plans[key] = fn(self)
+        return self._plans[key]
+    return wrapper
+
+
 @dataclass
 class BankTables:
     """Lazy bank detail tables over one scale-factor directory."""
@@ -43,11 +54,16 @@ class BankTables:
     spark: SparkSession
     sf_dir: str
     month: dt.date = MONTH_START
+    _plans: dict = field(default_factory=dict, repr=False)
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """The scan of one test table; one DataFrame per table and instance (plans only, no data cached)."""
+        if name not in self._plans:
+            self._plans[name] = read_table(self.spark, self.sf_dir, name)
+        return self._plans[name]
 
     # -- bank_party: suppliers are active ('A') accounts, customers passive ('P') ones
+    @_memo
     def bank_party(self) -> DataFrame:
         s = self.raw("supplier").select(
             F.col("s_suppkey").cast("bigint").alias("account_rk"), F.col("s_nationkey").alias("currency_rk"),
@@ -58,6 +74,7 @@ class BankTables:
             F.col("c_acctbal").cast("decimal(12,2)").alias("acctbal"))
         return s.unionByName(c)
 
+    @_memo
     def md_account_d(self) -> DataFrame:
         """SCD2 account versions: %10=0 opened early, %10=1 split in two, others one version in the month."""
         p = self.bank_party()
@@ -75,12 +92,14 @@ class BankTables:
                      F.lpad(F.col("account_rk").cast("string"), 15, "0")).alias("account_number"),
             "char_type", "currency_rk", currency_code_of(F.col("currency_rk")).alias("currency_code"))
 
+    @_memo
     def md_currency_d(self) -> DataFrame:
         return self.raw("nation").select(
             F.col("n_nationkey").alias("currency_rk"), F.lit(OPEN_DIM[0]).alias("data_actual_date"),
             F.lit(OPEN_DIM[1]).alias("data_actual_end_date"),
             currency_code_of(F.col("n_nationkey")).alias("currency_code"))
 
+    @_memo
     def calendar(self) -> DataFrame:
         """Business days of the month: days with an order or a shipment."""
         lo, hi = self.month, month_end_py(self.month)
@@ -90,6 +109,7 @@ class BankTables:
               .filter(F.col("d").between(lo, hi)))
         return o.union(li).distinct()
 
+    @_memo
     def md_exchange_rate_d(self) -> DataFrame:
         """One rate per currency and business day; currencies 0, 1 (roubles) and 5 have none.
 
@@ -105,6 +125,7 @@ class BankTables:
             F.col("d").alias("data_actual_date"), F.col("d").alias("data_actual_end_date"), "currency_rk",
             rate.cast("decimal(10,4)").alias("reduced_cource"))
 
+    @_memo
     def ft_balance_f(self) -> DataFrame:
         return (self.bank_party().filter(F.col("account_rk") % 7 != 3)
                 .select(F.lit(BALANCE_DATE).alias("on_date"), "account_rk", "currency_rk",
@@ -124,6 +145,7 @@ class BankTables:
             (F.lit(1000000) + F.col("o_custkey")).cast("bigint").alias("debet_account_rk"),
             amt.alias("credit_amount"), (amt + F.col("l_linenumber").cast("decimal(12,2)")).alias("debet_amount"))
 
+    @_memo
     def md_ledger_account_s(self) -> DataFrame:
         r = F.col("account_rk") % 18
         return self.bank_party().select(
