@@ -113,15 +113,18 @@ class BankTables:
     def md_exchange_rate_d(self) -> DataFrame:
         """One rate per currency and business day; currencies 0, 1 (roubles) and 5 have none.
 
-        Both sides belong to one month: the join key is the month, so it is an
-        equi-join of currencies (bounded) with days (at most 31).
+        Every currency gets the days of the month from a generator (no join),
+        and a semi-join on the date keeps the business days -- an equi-join
+        against at most 31 calendar rows, never a cartesian product.
         """
+        lo, hi = self.month, month_end_py(self.month)
         n = (self.raw("nation").select(F.col("n_nationkey").alias("currency_rk"))
-             .filter(~F.col("currency_rk").isin(0, 1, 5)).withColumn("_m", F.lit(self.month)))
-        cal = self.calendar().withColumn("_m", F.trunc("d", "MM"))
+             .filter(~F.col("currency_rk").isin(0, 1, 5))
+             .select("currency_rk", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("d")))
+        days = n.join(self.calendar(), "d", "left_semi")
         rate = (F.col("currency_rk").cast("decimal(6,2)") * F.lit(0.50).cast("decimal(4,2)")
                 + F.dayofmonth("d").cast("decimal(6,2)") * F.lit(0.01).cast("decimal(4,2)") + F.lit(1))
-        return n.join(F.broadcast(cal), "_m").select(
+        return days.select(
             F.col("d").alias("data_actual_date"), F.col("d").alias("data_actual_end_date"), "currency_rk",
             rate.cast("decimal(10,4)").alias("reduced_cource"))
 
