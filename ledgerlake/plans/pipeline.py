@@ -3,9 +3,10 @@
 Order as in the reference: detail layer stored -> turnover for the month ->
 form 101 -> export to CSV -> import into a copy table; min/max postings of a
 day after the detail layer, exported as ``report_min_max_<date>.csv``.  Every
-step logs a BEGIN/END row with the run id taken once at the start.  Marts are
-versioned tables, so a rerun replaces the day range / month (W2, W3) and is
-idempotent.  There is no scheduler: Spark already runs each step's stages in
+step logs a BEGIN/END row with the run id taken once at the start.  The
+turnover mart is partitioned by day and a rerun replaces exactly the days of
+the range (W2); the small form-101 mart is a versioned table whose month is
+replaced (W3).  Both make a rerun idempotent.  There is no scheduler: Spark already runs each step's stages in
 parallel; the steps themselves depend on each other.
 """
 
@@ -21,7 +22,7 @@ from ledgerlake.functions.calendar import py_month_bounds
 from ledgerlake.operators.upsert import replace_where
 from ledgerlake.plans import exchange, f101 as f101_plan, min_max, runlog, turnover
 from ledgerlake.schemas import DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, LOG_INFO
-from ledgerlake.sinks.store import AppendLog, VersionedTable
+from ledgerlake.sinks.store import AppendLog, PartitionedTable, VersionedTable
 
 
 @dataclass
@@ -57,9 +58,8 @@ def run_all(spark: SparkSession, ds: DetailLayer, work: str, on_date: dt.date, m
     ms, me = py_month_bounds(on_date)
 
     log(f"[BEGIN] looped_fill_turnover(date_to => {on_date.isoformat()})", "turnover")
-    turn_store = VersionedTable(spark, f"{work}/dm/dm_account_turnover_f", DM_ACCOUNT_TURNOVER_F)
-    new_turn = turnover.account_turnover(ds.postings, ds.accounts, ds.rates, ms, on_date)
-    turn_store.write(replace_where(turn_store.read(), new_turn, F.col("on_date").between(F.lit(ms), F.lit(on_date))))
+    turn_store = PartitionedTable(spark, f"{work}/dm/dm_account_turnover_f", "on_date", DM_ACCOUNT_TURNOVER_F)
+    turn_store.replace_range(turnover.account_turnover(ds.postings, ds.accounts, ds.rates, ms, on_date), ms, on_date)
     turn = turn_store.read()
     log("[END] turnover", "turnover")
 

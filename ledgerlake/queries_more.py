@@ -20,9 +20,9 @@ from ledgerlake.operators.upsert import duplicate_keys, replace_where, upsert
 from ledgerlake.plans import counts, exchange, f101 as f101_plan, mirror, pipeline, runlog, turnover
 from ledgerlake.plans.loader import load_table
 from ledgerlake.queries import MONTH_START, REPORT_DATE, _f101, _turnover_month, bank, register
-from ledgerlake.schemas import DELTA_LOG, DM_F101_ROUND_F, TABLES
+from ledgerlake.schemas import DELTA_LOG, DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, TABLES
 from ledgerlake.session import fresh_dir
-from ledgerlake.sinks.store import AppendLog, VersionedTable
+from ledgerlake.sinks.store import AppendLog, PartitionedTable, VersionedTable
 from ledgerlake.sources import deltas as D
 from ledgerlake.sources.csv_files import read_delta_csv
 from ledgerlake.streaming import delta_stream
@@ -93,10 +93,10 @@ def replace_day_range(spark, sf_dir):
     replace exactly those days (a day without new rows would end empty)."""
     b = bank(spark, sf_dir)
     acc, rates = b.md_account_d(), b.md_exchange_rate_d()
-    store = VersionedTable(spark, fresh_dir(spark, "turnover"))
-    store.write(turnover.month_turnover(b.ft_posting_f("F"), acc, rates, REPORT_DATE))
-    rerun = turnover.account_turnover(b.ft_posting_f(), acc, rates, D10, D20)
-    store.write(replace_where(store.read(), rerun, F.col("on_date").between(F.lit(D10), F.lit(D20))))
+    store = PartitionedTable(spark, fresh_dir(spark, "turnover"), "on_date", DM_ACCOUNT_TURNOVER_F)
+    store.replace_range(turnover.month_turnover(b.ft_posting_f("F"), acc, rates, REPORT_DATE), MONTH_START,
+                        REPORT_DATE)
+    store.replace_range(turnover.account_turnover(b.ft_posting_f(), acc, rates, D10, D20), D10, D20)
     return store.read()
 
 

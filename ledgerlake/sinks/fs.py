@@ -41,3 +41,9 @@ def single_part_file(spark: SparkSession, folder: str, suffix: str) -> str:
     if len(names) != 1:
         raise RuntimeError(f"expected one {suffix} part file in {folder}, found {names}")
     return f"{folder.rstrip('/')}/{names[0]}"
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove one partition folder of a table the library owns (used for stale partitions only)."""
+    fsys, p = _fs_path(spark, path)
+    return bool(fsys.delete(p, True))

@@ -169,3 +169,15 @@ def test_jdbc_options_take_credentials_from_arguments():
     o = D.jdbc_options("jdbc:postgresql://db:5432/bank", "ds.md_account_d", user="u", password="p",
                        partition_column="account_rk", lower=0, upper=1000, num_partitions=8)
     assert o["dbtable"] == "ds.md_account_d" and o["numPartitions"] == "8" and o["password"] == "p"
+
+
+def test_partitioned_range_replace_removes_stale_days_and_keeps_others(spark, workdir):
+    from ledgerlake.sinks.store import PartitionedTable
+    schema = "on_date date, account_rk long, v int"
+    t = PartitionedTable(spark, f"{workdir}/turn", "on_date")
+    first = spark.createDataFrame([(D8(2018, 1, d), 1, d) for d in (1, 2, 3, 4)], schema)
+    t.replace_range(first, D8(2018, 1, 1), D8(2018, 1, 31))
+    rerun = spark.createDataFrame([(D8(2018, 1, 2), 1, 20)], schema)      # day 3 gets no new rows
+    t.replace_range(rerun, D8(2018, 1, 2), D8(2018, 1, 3))
+    got = sorted((r.on_date.day, r.v) for r in t.read().collect())
+    assert got == [(1, 1), (2, 20), (4, 4)]
