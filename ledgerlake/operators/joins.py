@@ -33,6 +33,18 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if n <= max_rows else df
 
 
+def sized_broadcasts(*dfs: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+    """``sized_broadcast`` for several frames with a single check job (one tagged, limited union)."""
+    if not dfs:
+        return []
+    probe = None
+    for i, df in enumerate(dfs):
+        part = df.limit(max_rows + 1).select(F.lit(i).alias("_i"))
+        probe = part if probe is None else probe.unionAll(part)
+    n = {r["_i"]: r["n"] for r in probe.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if n.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+
+
 def _c(x) -> Column:
     if isinstance(x, Column):
         return x

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.calendar import py_month_bounds, py_prev_month_end
 from ledgerlake.functions.scalars import dec, fm_digits, mart_dec, typed_null
-from ledgerlake.operators.joins import asof_filter, sized_broadcast
+from ledgerlake.operators.joins import asof_filter, sized_broadcasts
 from ledgerlake.schemas import F101_COLUMNS
 
 # Currency codes that count as roubles.
@@ -55,10 +55,11 @@ def _t1(ledger: DataFrame, accounts: DataFrame, currency: DataFrame, balances: D
             .agg(F.count(F.lit(1)).alias("_n"), F.sum("debet_amount_rub").alias("_deb"),
                  F.sum("credit_amount_rub").alias("_cre")))
 
-    base = (acc.join(sized_broadcast(led), F.col("ledger_account") == F.col("_ledger"))
-            .join(sized_broadcast(cur), "currency_rk")
+    led, cur, rate = sized_broadcasts(led, cur, rate)
+    base = (acc.join(led, F.col("ledger_account") == F.col("_ledger"))
+            .join(cur, "currency_rk")
             .join(bal, "account_rk", "left")
-            .join(sized_broadcast(rate), "currency_rk", "left")
+            .join(rate, "currency_rk", "left")
             .join(turn, "account_rk", "left"))
 
     if fanout == "faithful":
