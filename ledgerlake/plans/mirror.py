@@ -36,8 +36,20 @@ SEED_TAG = -1
 
 
 def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode: str = "faithful",
-                 order: list[str] | None = None, delta_col: str = DELTA_COL, keep_tag: bool = False) -> DataFrame:
-    """Mirror after applying every delta in ``delta_rows`` (which carry ``delta_col``)."""
+                 order: list[str] | None = None, delta_col: str = DELTA_COL, keep_tag: bool = False,
+                 positional: bool = False) -> DataFrame:
+    """Mirror after applying every delta in ``delta_rows`` (which carry ``delta_col``).
+
+    Columns are matched by name (new delta columns are NULL in older rows).
+    ``positional=True`` is the reference's ``union``: delta columns take the
+    mirror's names in file order, and the column counts must agree (U3).
+    """
+    if positional:
+        data = [c for c in delta_rows.columns if c != delta_col]
+        target = [c for c in mirror.columns if c != delta_col]
+        if len(data) != len(target):
+            raise ValueError(f"positional union needs {len(target)} delta columns, got {len(data)}")
+        delta_rows = delta_rows.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(data, target)], delta_col)
     if delta_col not in mirror.columns:
         mirror = mirror.withColumn(delta_col, F.lit(SEED_TAG))
     tagged = mirror.unionByName(delta_rows.withColumn(delta_col, F.col(delta_col).cast("int")),
@@ -68,13 +80,15 @@ def pending_ids(log: DataFrame, sessions: DataFrame, table: str) -> DataFrame:
 def delta_loading(spark: SparkSession, table: str, keys: list[str], deltas_base: str, log_path: str,
                   mirror_path: str, seed: DataFrame | None = None, layout: str = "numbered",
                   mode: str = "faithful", order: list[str] | None = None, read_options: dict | None = None,
-                  clock=dt.datetime.now) -> LoadResult:
+                  clock=dt.datetime.now, log_view: str | None = "delta_logs") -> LoadResult:
     store = VersionedTable(spark, mirror_path)
     if not store.exists():
         if seed is None:
             raise FileNotFoundError(f"mirror {mirror_path} has no version and no seed was given")
         store.write(seed)                                   # one-time seed (S10 or any DataFrame)
     log = AppendLog(spark, log_path, DELTA_LOG)
+    if log_view:                                            # W14: the log as a session view
+        log.read().createOrReplaceTempView(log_view)
 
     sessions = D.discover(spark, deltas_base, table, layout)
     if not sessions:
@@ -95,4 +109,6 @@ def delta_loading(spark: SparkSession, table: str, keys: list[str], deltas_base:
     finished = clock()
     entries = spark.createDataFrame([(started, finished, i, table) for i, _ in with_file], DELTA_LOG)
     log.append(entries)
+    if log_view:
+        log.read().createOrReplaceTempView(log_view)
     return LoadResult(store.read(), [i for i, _ in with_file], missing, version)

@@ -52,6 +52,23 @@ def write_log(spark: SparkSession, log_path: str, message: str | None, run_id: i
         log_rows(spark, message, run_id, event_type, rows_affected, info, clock=clock))
 
 
+LOAD_EVENTS_DDL = "load_id bigint, event string, event_time timestamp"
+
+
+def load_event(spark: SparkSession, path: str, load_id: int, event: str, clock=dt.datetime.now) -> None:
+    """W6 without UPDATE: a load's start and finish are two appended events."""
+    row = spark.createDataFrame([(load_id, event, clock())], LOAD_EVENTS_DDL)
+    row.write.mode("append").parquet(path)
+
+
+def load_runs(events: DataFrame) -> DataFrame:
+    """``log_loading`` as read: one row per load, started_at = first 'start', finished_at = last 'finish'."""
+    ev = F.col("event")
+    at = F.col("event_time")
+    return events.groupBy("load_id").agg(F.min(F.when(ev == "start", at)).alias("started_at"),
+                                          F.max(F.when(ev == "finish", at)).alias("finished_at"))
+
+
 def load_report(loads: DataFrame, table_events: DataFrame) -> DataFrame:
     """Every load with its table events (left join on load_id) and the seconds since the load started."""
     j = loads.join(table_events, "load_id", "left")

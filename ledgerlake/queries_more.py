@@ -399,6 +399,22 @@ def log_report(spark, sf_dir):
     return runlog.load_report(loads, events)
 
 
+@register("load_runs", f"""
+WITH ev AS (SELECT o_orderkey AS load_id, 'start' AS event, o_orderdate AS event_time FROM orders
+            UNION ALL SELECT l_orderkey, 'finish', l_shipdate FROM lineitem)
+SELECT load_id, {_ts("min(CASE WHEN event = 'start' THEN event_time END)")} AS started_at,
+       {_ts("max(CASE WHEN event = 'finish' THEN event_time END)")} AS finished_at
+FROM ev GROUP BY load_id""")
+def load_runs(spark, sf_dir):
+    """Loads closed by appended 'finish' events instead of an UPDATE; finished_at is the last one."""
+    b = bank(spark, sf_dir)
+    ev = (b.raw("orders").select(F.col("o_orderkey").alias("load_id"), F.lit("start").alias("event"),
+                                 F.col("o_orderdate").alias("event_time"))
+          .unionByName(b.raw("lineitem").select(F.col("l_orderkey").alias("load_id"), F.lit("finish").alias("event"),
+                                                F.col("l_shipdate").alias("event_time"))))
+    return runlog.load_runs(ev)
+
+
 @register("pk_check", O.with_prelude(body="""
 SELECT CAST(oper_date AS VARCHAR) AS oper_date, credit_account_rk, debet_account_rk, count(*) AS n
 FROM ft_posting_f GROUP BY oper_date, credit_account_rk, debet_account_rk HAVING count(*) > 1"""))

@@ -148,3 +148,13 @@ def test_sized_broadcast_falls_back_beyond_the_limit(spark):
     assert j_small.count() == 10 and j_big.count() == 100
     assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_positional_union_takes_mirror_names_in_file_order(spark):
+    mirror = spark.createDataFrame([(1, "a")], "k int, v string")
+    deltas = spark.createDataFrame([("b", 1, 1000)], "v string, k int, delta_id int")
+    import pytest
+    with pytest.raises(Exception):
+        # by position the string lands in the int key column: the reference's union, misassigned
+        apply_deltas(mirror, deltas, ["k"], positional=True).collect()
+    assert rows(apply_deltas(mirror, deltas, ["k"])) == [(1, "b")]
