@@ -41,6 +41,11 @@ def iso_date(d) -> Column:
     return F.date_format(_c(d), "yyyy-MM-dd")
 
 
+def ntz(ts: dt.datetime) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ): compares with NTZ columns whatever the session zone."""
+    return F.expr(f"TIMESTAMP_NTZ '{ts.isoformat(sep=' ')}'")
+
+
 def py_month_bounds(d: dt.date) -> tuple[dt.date, dt.date]:
     """Month bounds computed once on the driver: they fold to literals in the plan."""
     start = d.replace(day=1)

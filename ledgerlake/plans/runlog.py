@@ -72,6 +72,6 @@ def load_runs(events: DataFrame) -> DataFrame:
 def load_report(loads: DataFrame, table_events: DataFrame) -> DataFrame:
     """Every load with its table events (left join on load_id) and the seconds since the load started."""
     j = loads.join(table_events, "load_id", "left")
-    dur = F.unix_micros(F.col("event_time").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))
+    dur = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("event_time"))   # wall-clock, zone-free
     return j.select("load_id", "started_at", "finished_at", "event_time", "source_table", "event_type",
                     "rows_affected", (dur / F.lit(1_000_000)).alias("load_duration_sec"))

@@ -66,8 +66,8 @@ def upsert_last_wins(spark, sf_dir):
     columns, which keep their old values; inside a batch the last row in file order wins."""
     li = bank(spark, sf_dir).raw("lineitem")
     store = VersionedTable(spark, fresh_dir(spark, "upsert"), li.schema)
-    b1 = li.filter(F.col("l_shipdate") < F.lit(CUT))
-    b2 = li.filter(F.col("l_shipdate") >= F.lit(CUT)).select(*LI_PK, *B2_COLS)
+    b1 = li.filter(F.col("l_shipdate") < cal.ntz(CUT))
+    b2 = li.filter(F.col("l_shipdate") >= cal.ntz(CUT)).select(*LI_PK, *B2_COLS)
     store.write(upsert(store.read(), b1, LI_PK, LI_REST))
     store.write(upsert(store.read(), b2, LI_PK, B2_COLS))
     return store.read()
@@ -145,8 +145,8 @@ EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 def _events_split(spark, sf_dir):
     ev = bank(spark, sf_dir).raw("events")
-    seed = ev.filter(F.col("ts") < F.lit(SEED_END))
-    deltas = ev.filter(F.col("ts") >= F.lit(SEED_END)).withColumn(
+    seed = ev.filter(F.col("ts") < cal.ntz(SEED_END))
+    deltas = ev.filter(F.col("ts") >= cal.ntz(SEED_END)).withColumn(
         "delta_id", (F.lit(1000) + F.dayofmonth("ts") - 1).cast("int"))
     return seed, deltas
 
