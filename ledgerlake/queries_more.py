@@ -24,7 +24,7 @@ from ledgerlake.schemas import DELTA_LOG, DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F
 from ledgerlake.session import fresh_dir
 from ledgerlake.sinks.store import AppendLog, PartitionedTable, VersionedTable
 from ledgerlake.sources import deltas as D
-from ledgerlake.sources.csv_files import read_delta_csv
+from ledgerlake.sources.csv_files import read_delta_csv, read_plain_csv
 from ledgerlake.streaming import delta_stream
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -273,12 +273,21 @@ cnt AS (SELECT upper(substr(event_type, 1, 1)) || substr(event_type, 2) AS "Disc
         FROM events GROUP BY 1)
 SELECT dim.discipline, cnt."count" FROM dim LEFT JOIN cnt ON dim.discipline = lower(cnt."Discipline")""")
 def count_for_dim_left(spark, sf_dir):
-    """Counts of capitalised names attached to a lower-case dimension; unmatched names keep NULL."""
+    """L7 end to end: the dimension saved as one tab-separated CSV (W7); an all-string ';' file of
+    capitalised names read back (S8), counted (A4) and attached to the lower-case dimension (J8);
+    the result saved as one parquet file (W8) and read back.  Unmatched names keep a NULL count."""
     ev = bank(spark, sf_dir).raw("events")
-    c = counts.count_by(ev.select(F.concat(F.upper(F.substring("event_type", 1, 1)),
-                                           F.expr("substring(event_type, 2)")).alias("Discipline")), "Discipline")
+    work = fresh_dir(spark, "counts")
     dim = spark.createDataFrame(EVENT_DIM, "row_id bigint, discipline string, season string")
-    return counts.count_for_dim(dim, "discipline", c, "Discipline")
+    exchange.export_csv(dim, f"{work}/olympic_sports.csv", sep="\t")
+    named = ev.select(F.concat(F.upper(F.substring("event_type", 1, 1)),
+                               F.expr("substring(event_type, 2)")).alias("Discipline"), "user_id")
+    exchange.export_csv(named, f"{work}/athletes.csv", single_file=False)
+    c = counts.count_by(read_plain_csv(spark, f"{work}/athletes.csv"), "Discipline")
+    out = counts.count_for_dim(read_plain_csv(spark, f"{work}/olympic_sports.csv", sep="\t"), "discipline", c,
+                               "Discipline")
+    path = exchange.write_parquet(out, f"{work}/athletes_count_joined.parquet", single_file=True)
+    return spark.read.parquet(path)
 
 
 @register("parquet_roundtrip", """SELECT event_type, count(*) AS "count" FROM events GROUP BY event_type""")
