@@ -25,12 +25,12 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, base: str, schema: T.StructType | None = None):
         self.spark, self.base, self.schema = spark, base.rstrip("/"), schema
 
+    def _folders(self) -> list[int]:
+        return sorted(int(n[2:]) for n in fs.list_names(self.spark, self.base) if n.startswith("v=") and n[2:].isdigit())
+
     def versions(self) -> list[int]:
-        out = []
-        for name in fs.list_names(self.spark, self.base):
-            if name.startswith("v=") and name[2:].isdigit() and fs.exists(self.spark, f"{self.base}/{name}/{MARK}"):
-                out.append(int(name[2:]))
-        return sorted(out)
+        """Committed versions (their ``_SUCCESS`` marker exists)."""
+        return [v for v in self._folders() if fs.exists(self.spark, f"{self.path(v)}/{MARK}")]
 
     def current(self) -> int | None:
         v = self.versions()
@@ -54,8 +54,13 @@ class VersionedTable:
         return r.parquet(self.path(v))
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and return its number."""
-        v = (self.current() or 0) + 1
+        """Write ``df`` as the next version and return its number.
+
+        The number skips every existing folder, committed or not, so a write
+        that died half-way (no ``_SUCCESS``) is simply left behind and ignored.
+        """
+        folders = self._folders()
+        v = (folders[-1] if folders else 0) + 1
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)

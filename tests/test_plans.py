@@ -181,3 +181,12 @@ def test_partitioned_range_replace_removes_stale_days_and_keeps_others(spark, wo
     t.replace_range(rerun, D8(2018, 1, 2), D8(2018, 1, 3))
     got = sorted((r.on_date.day, r.v) for r in t.read().collect())
     assert got == [(1, 1), (2, 20), (4, 4)]
+
+
+def test_versioned_table_skips_a_half_written_version(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t2")
+    t.write(spark.range(2))
+    os.makedirs(_local(t.path(2)))                       # a crashed writer left v=2 without _SUCCESS
+    assert t.versions() == [1] and t.read().count() == 2
+    assert t.write(spark.range(5)) == 3
+    assert t.versions() == [1, 3] and t.read().count() == 5
