@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle on the smallest test tables."""
 
 import collections
+import contextlib
+import io
 import math
 
 import duckdb
@@ -27,9 +29,18 @@ def _bag(rows):
     return collections.Counter(tuple(norm(v) for v in r) for r in rows)
 
 
+def plan_text(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF)
+    plan = plan_text(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     cols = df.columns
     got = [tuple(r) for r in df.collect()]
     cur = duck.execute(E.oracle_sql()[key])
