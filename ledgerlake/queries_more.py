@@ -450,7 +450,7 @@ def scalar_dates(spark, sf_dir):
 
 @register("scalar_strings", O.with_prelude(body="""
 SELECT account_rk, CAST(data_actual_date AS VARCHAR) AS data_actual_date, substr(account_number, 1, 5) AS ledger,
-       substr(account_number, 6) AS tail, length(account_number) AS len,
+       substr(account_number, 6) AS tail, CAST(length(account_number) AS INTEGER) AS len,
        CASE WHEN abs(account_rk) < 10000 THEN CAST(account_rk AS VARCHAR) ELSE '####' END AS fm,
        char_type || '-' || currency_code AS label, lower(char_type) AS kind
 FROM md_account_d"""))
