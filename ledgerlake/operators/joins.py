@@ -64,3 +64,25 @@ def daily_rows(df: DataFrame, start: str, end: str, lo: dt.date, hi: dt.date, da
     clipped = df.filter((s <= F.lit(hi)) & (e >= F.lit(lo)))
     days = F.sequence(F.greatest(s, F.lit(lo)), F.least(e, F.lit(hi)))
     return clipped.withColumn(day, F.explode(days))
+
+
+def asof_join(left: DataFrame, right: DataFrame, key: str, day: str, start: str, end: str, how: str = "left",
+              window: tuple[dt.date, dt.date] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``left`` joined to the ``right`` version valid on ``left[day]`` (J2): ``start <= day <= end``.
+
+    With a known ``window`` of left days the right intervals become one row
+    per (key, day) inside the window and the join is a pure equi-join -- the
+    exploded side is broadcast after a size check.  Without a window the
+    join is an equi-join on ``key`` with the interval as join condition (a
+    sort-merge join at scale; inner and left joins both keep their meaning).
+    ``start``/``end`` of ``right`` are dropped from the result.
+    """
+    rcols = [c for c in right.columns if c not in (key, start, end)]
+    if window is not None:
+        lo, hi = window
+        r = daily_rows(right, start, end, lo, hi, day).select(key, day, *rcols)
+        return left.join(sized_broadcast(r, max_rows), [key, day], how)
+    r = right.select(F.col(key).alias("_asof_key"), F.col(start).alias("_asof_s"), F.col(end).alias("_asof_e"),
+                     *rcols)
+    cond = (left[key] == r["_asof_key"]) & left[day].between(r["_asof_s"], r["_asof_e"])
+    return left.join(r, cond, how).drop("_asof_key", "_asof_s", "_asof_e")

@@ -19,7 +19,7 @@ from ledgerlake.compare import for_compare
 from ledgerlake.functions import calendar as cal
 from ledgerlake.functions.scalars import fm_digits
 from ledgerlake.operators.extremes import extreme_rows
-from ledgerlake.operators.joins import sized_broadcast
+from ledgerlake.operators.joins import asof_join, sized_broadcast
 from ledgerlake.plans import f101 as f101_plan
 from ledgerlake.plans import min_max, turnover
 from ledgerlake.sources.bank_views import MONTH_START, REPORT_DATE, BankTables
@@ -90,11 +90,12 @@ def asof_rate_left(spark, sf_dir):
     b = bank(spark, sf_dir)
     legs = turnover.posting_legs(b.ft_posting_f(), MONTH_START, REPORT_DATE).select("oper_date", "account_rk")
     acc = b.md_account_d().select("account_rk", "currency_rk", "data_actual_date", "data_actual_end_date")
-    j = legs.join(acc, "account_rk").filter(
-        F.col("oper_date").between(F.col("data_actual_date"), F.col("data_actual_end_date")))
-    rates = turnover.daily_rates(b.md_exchange_rate_d(), MONTH_START, REPORT_DATE)
-    j = j.join(sized_broadcast(rates), ["currency_rk", "oper_date"], "left")
-    return j.select("oper_date", "account_rk", "currency_rk", F.col("_rate").cast("double").alias("reduced_cource"))
+    j = asof_join(legs, acc, "account_rk", "oper_date", "data_actual_date", "data_actual_end_date", "inner")
+    rates = b.md_exchange_rate_d().select("currency_rk", "data_actual_date", "data_actual_end_date",
+                                          F.col("reduced_cource").cast("double").alias("reduced_cource"))
+    j = asof_join(j, rates, "currency_rk", "oper_date", "data_actual_date", "data_actual_end_date", "left",
+                  window=(MONTH_START, REPORT_DATE))
+    return j.select("oper_date", "account_rk", "currency_rk", "reduced_cource")
 
 
 @register("account_asof_inner", O.with_prelude(LEGS_SQL, body="""

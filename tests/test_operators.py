@@ -158,3 +158,16 @@ def test_positional_union_takes_mirror_names_in_file_order(spark):
         # by position the string lands in the int key column: the reference's union, misassigned
         apply_deltas(mirror, deltas, ["k"], positional=True).collect()
     assert rows(apply_deltas(mirror, deltas, ["k"])) == [(1, "b")]
+
+
+def test_asof_join_windowed_and_plain_agree_and_null_end_never_matches(spark):
+    from ledgerlake.operators.joins import asof_join
+    facts = spark.createDataFrame([(1, D(2018, 1, 3)), (1, D(2018, 1, 20)), (2, D(2018, 1, 5)), (3, D(2018, 1, 5))],
+                                  "k int, d date")
+    dims = spark.createDataFrame([(1, D(2018, 1, 1), D(2018, 1, 10), "a"), (1, D(2018, 1, 11), D(2018, 1, 31), "b"),
+                                  (2, D(2018, 1, 1), None, "c")], "k int, s date, e date, v string")
+    want = [(1, D(2018, 1, 3), "a"), (1, D(2018, 1, 20), "b"), (2, D(2018, 1, 5), None), (3, D(2018, 1, 5), None)]
+    plain = asof_join(facts, dims, "k", "d", "s", "e", "left").select("k", "d", "v")
+    windowed = asof_join(facts, dims, "k", "d", "s", "e", "left", window=(D(2018, 1, 1), D(2018, 1, 31)))
+    assert rows(plain) == sorted(want, key=repr)
+    assert rows(windowed.select("k", "d", "v")) == sorted(want, key=repr)
