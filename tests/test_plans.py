@@ -190,3 +190,23 @@ def test_versioned_table_skips_a_half_written_version(spark, workdir):
     assert t.versions() == [1] and t.read().count() == 2
     assert t.write(spark.range(5)) == 3
     assert t.versions() == [1, 3] and t.read().count() == 5
+
+
+def test_mirror_stream_late_older_delta_does_not_override_newer(spark, workdir):
+    from ledgerlake.streaming import delta_stream
+    base = _local(f"{workdir}/stream-deltas")
+    schema = spark.createDataFrame([], "k int, v string").schema
+
+    def put(delta_id, lines):
+        os.makedirs(f"{base}/delta_id={delta_id}")
+        with open(f"{base}/delta_id={delta_id}/part-0.csv", "w") as fh:
+            fh.write("k;v\n" + "".join(f"{k};{v}\n" for k, v in lines))
+
+    mpath, ck = f"{workdir}/stream-mirror", f"{workdir}/stream-ckpt"
+    delta_stream.seed_mirror(spark, spark.createDataFrame([(1, "s1"), (2, "s2")], "k int, v string"), mpath)
+    put(1001, [(1, "new")])
+    delta_stream.start_mirror_stream(spark, base, schema, ["k"], mpath, ck).awaitTermination()
+    put(1000, [(1, "old"), (2, "old2")])                   # an older session arrives later
+    delta_stream.start_mirror_stream(spark, base, schema, ["k"], mpath, ck).awaitTermination()
+    got = sorted(tuple(r) for r in delta_stream.read_mirror(spark, mpath).collect())
+    assert got == [(1, "new"), (2, "old2")]
