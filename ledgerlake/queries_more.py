@@ -279,14 +279,14 @@ def count_for_dim_left(spark, sf_dir):
     ev = bank(spark, sf_dir).raw("events")
     work = fresh_dir(spark, "counts")
     dim = spark.createDataFrame(EVENT_DIM, "row_id bigint, discipline string, season string")
-    exchange.export_csv(dim, f"{work}/olympic_sports.csv", sep="\t")
+    exchange.export_csv(dim, f"{work}/dimension.csv", sep="\t")
     named = ev.select(F.concat(F.upper(F.substring("event_type", 1, 1)),
                                F.expr("substring(event_type, 2)")).alias("Discipline"), "user_id")
-    exchange.export_csv(named, f"{work}/athletes.csv", single_file=False)
-    c = counts.count_by(read_plain_csv(spark, f"{work}/athletes.csv"), "Discipline")
-    out = counts.count_for_dim(read_plain_csv(spark, f"{work}/olympic_sports.csv", sep="\t"), "discipline", c,
+    exchange.export_csv(named, f"{work}/names.csv", single_file=False)
+    c = counts.count_by(read_plain_csv(spark, f"{work}/names.csv"), "Discipline")
+    out = counts.count_for_dim(read_plain_csv(spark, f"{work}/dimension.csv", sep="\t"), "discipline", c,
                                "Discipline")
-    path = exchange.write_parquet(out, f"{work}/athletes_count_joined.parquet", single_file=True)
+    path = exchange.write_parquet(out, f"{work}/counts_joined.parquet", single_file=True)
     return spark.read.parquet(path)
 
 
