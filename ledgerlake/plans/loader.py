@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.upsert import upsert
@@ -36,7 +36,3 @@ def load_table(spark: SparkSession, spec: TableSpec, path: str, store_base: str,
     version = store.write(merged.select(*spec.column_names))
     return LoadOutcome(spec.name, int(obs.get["rows"]), version)
 
-
-def upsert_frames(target: DataFrame, batch: DataFrame, pk: list[str], order) -> DataFrame:
-    """The upsert step alone, for callers that keep their own storage."""
-    return upsert(target, batch, pk, order)

@@ -30,8 +30,8 @@ def next_run_id(log: DataFrame) -> int:
 
 
 def log_rows(spark: SparkSession, message: str | None, run_id: int, event_type: str,
-             rows_affected: int | None = None, info: str | None = None, message_type: int = NOTICE,
-             clock=dt.datetime.now) -> DataFrame:
+             rows_affected: int | None = None, info: str | None = None, clock=dt.datetime.now) -> DataFrame:
+    """The log rows of one message: one row per 4000-character piece, type forced to notice."""
     now = clock()
     one = spark.createDataFrame([(message,)], "message_ string")
     pieces = split_chunks(one, "message_", LOG_PIECE, "_piece", "message_")
@@ -41,7 +41,7 @@ def log_rows(spark: SparkSession, message: str | None, run_id: int, event_type:
         F.lit(run_id).cast("bigint").alias("pipeline_run_id"), F.lit(now).cast("timestamp").alias("date_time"),
         F.lit(event_type).alias("event_type"), "message_",
         F.lit(rows_affected).cast("bigint").alias("rows_affected"),
-        F.lit(NOTICE if message_type is not None else None).cast("int").alias("message_type"),
+        F.lit(NOTICE).cast("int").alias("message_type"),
         F.lit(sc.applicationId).alias("app_id"), F.lit(sc.sparkUser()).alias("user_name"),
         F.lit(info).cast("string").alias("info_"))
 

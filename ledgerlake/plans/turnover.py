@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.calendar import py_month_bounds
-from ledgerlake.functions.scalars import dec, mart_dec, typed_null
+from ledgerlake.functions.scalars import dec, mart_dec
 from ledgerlake.operators.joins import daily_rows, sized_broadcast
 
 AMOUNT = (16, 2)
@@ -41,20 +41,18 @@ def _amount(df: DataFrame, name: str):
 def posting_legs(postings: DataFrame, d_from: dt.date, d_to: dt.date) -> DataFrame:
     """U1 in one scan: (oper_date, account_rk, credit_amount, debet_amount), the other side NULL (P10)."""
     p = postings.filter(F.col("oper_date").between(F.lit(d_from), F.lit(d_to)))
-    c_amt, d_amt = _amount(p, "credit_amount"), _amount(p, "debet_amount")
+    p = p.select("oper_date", "credit_account_rk", "debet_account_rk",
+                 _amount(p, "credit_amount").alias("c"), _amount(p, "debet_amount").alias("d"))
+    c_null = F.lit(None).cast(p.schema["c"].dataType)
+    d_null = F.lit(None).cast(p.schema["d"].dataType)
     legs = F.array(
-        F.struct(F.col("credit_account_rk").alias("account_rk"), c_amt.alias("credit_amount"),
-                 typed_null(c_amt_type(p, "debet_amount")).alias("debet_amount")),
-        F.struct(F.col("debet_account_rk").alias("account_rk"),
-                 typed_null(c_amt_type(p, "credit_amount")).alias("credit_amount"), d_amt.alias("debet_amount")))
+        F.struct(F.col("credit_account_rk").alias("account_rk"), F.col("c").alias("credit_amount"),
+                 d_null.alias("debet_amount")),
+        F.struct(F.col("debet_account_rk").alias("account_rk"), c_null.alias("credit_amount"),
+                 F.col("d").alias("debet_amount")))
     return p.select("oper_date", F.inline(legs))
 
 
-def c_amt_type(df: DataFrame, name: str) -> str:
-    t = df.schema[name].dataType
-    return t.simpleString() if t.typeName() == "decimal" else f"decimal({AMOUNT[0]},{AMOUNT[1]})"
-
-
 def accounts_for_window(accounts: DataFrame, d_from: dt.date, d_to: dt.date) -> DataFrame:
     """Versions that overlap the window and start inside a month the window touches (pre-filter for P3)."""
     lo, _ = py_month_bounds(d_from)

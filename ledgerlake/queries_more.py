@@ -501,5 +501,3 @@ def run_all(spark, sf_dir):
     out = pipeline.run_all(spark, ds, fresh_dir(spark, "run"), REPORT_DATE, dt.date(1998, 1, 20))
     return out.f101_copy
 
-
-__all__ = ["MONTH_START"]

@@ -35,14 +35,6 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fsys.listStatus(p) if st.isDirectory())
 
 
-def single_part_file(spark: SparkSession, folder: str, suffix: str) -> str:
-    """Path of the one data file Spark wrote into ``folder`` (export edge only)."""
-    names = [n for n in list_names(spark, folder) if n.startswith("part-") and n.endswith(suffix)]
-    if len(names) != 1:
-        raise RuntimeError(f"expected one {suffix} part file in {folder}, found {names}")
-    return f"{folder.rstrip('/')}/{names[0]}"
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove one partition folder of a table the library owns (used for stale partitions only)."""
     fsys, p = _fs_path(spark, path)

@@ -24,7 +24,6 @@ BALANCE_DATE = dt.date(1997, 12, 31)
 ACCOUNT_OPEN_EARLY = (dt.date(1997, 6, 1), dt.date(1998, 12, 31))
 SPLIT_DAY = dt.date(1998, 1, 15)
 OPEN_DIM = (dt.date(1990, 1, 1), dt.date(2050, 12, 31))
-RUB_CODES = ("643", "810")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
