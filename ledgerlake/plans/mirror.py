@@ -2,7 +2,10 @@
 
 ``apply_deltas`` is the set form of the reference's per-delta loop: the mirror
 rows are tagged -1 (or keep their stored tag), every delta row its session
-id, and per key the rows of the newest tag survive.  Applying N pending
+id, and per key the rows of the newest tag survive.  Mirror rows whose key no
+delta mentions are final already; they pass through a map-side anti-join
+against the delta key set and never reach a shuffle, so a run costs in
+proportion to the deltas, not to the mirror (plus one scan and one write).  Applying N pending
 deltas is one pass instead of N full rewrites, and gives the same rows as
 the sequential loop (each pass keeps the newest session's rows of a key,
 duplicates inside that session included; NULL keys are one group).
@@ -21,10 +24,12 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.joins import sized_broadcast
 from ledgerlake.operators.latest import keep_newest_batch, latest_per_key
 from ledgerlake.schemas import DELTA_LOG
 from ledgerlake.sinks.store import AppendLog, VersionedTable
@@ -33,6 +38,8 @@ from ledgerlake.sources.csv_files import read_delta_csv
 
 DELTA_COL = "delta_id"
 SEED_TAG = -1
+# Delta key sets up to this many keys are broadcast for the pass-through of untouched mirror rows.
+DELTA_KEY_BROADCAST_ROWS = 5_000_000
 
 
 def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode: str = "faithful",
@@ -52,11 +59,17 @@ def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode
         delta_rows = delta_rows.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(data, target)], delta_col)
     if delta_col not in mirror.columns:
         mirror = mirror.withColumn(delta_col, F.lit(SEED_TAG))
-    tagged = mirror.unionByName(delta_rows.withColumn(delta_col, F.col(delta_col).cast("int")),
-                                allowMissingColumns=True)
+    delta_rows = delta_rows.withColumn(delta_col, F.col(delta_col).cast("int"))
     if mode == "faithful":
-        out = keep_newest_batch(tagged, keys, delta_col)
+        # keys no delta touches keep their rows as they are: a map-side anti-join against the
+        # (size-checked, broadcast) delta key set lets those rows bypass the shuffle entirely
+        dkeys = sized_broadcast(delta_rows.select(*keys).distinct(), max_rows=DELTA_KEY_BROADCAST_ROWS)
+        hit = reduce(lambda a, b: a & b, [mirror[k].eqNullSafe(dkeys[k]) for k in keys])
+        untouched = mirror.join(dkeys, hit, "left_anti")
+        touched = mirror.join(dkeys, hit, "left_semi").unionByName(delta_rows, allowMissingColumns=True)
+        out = untouched.unionByName(keep_newest_batch(touched, keys, delta_col), allowMissingColumns=True)
     elif mode == "latest":
+        tagged = mirror.unionByName(delta_rows, allowMissingColumns=True)
         out = latest_per_key(tagged, keys, [delta_col, *(order or [])])
     else:
         raise ValueError(f"mode must be 'faithful' or 'latest', not {mode!r}")
