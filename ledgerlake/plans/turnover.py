@@ -16,7 +16,9 @@ hot account that holds a third of all postings sends one row per map task,
 not a third of the data.  Multiplying by the rate after the sum is exact in
 decimal arithmetic (``sum(a_i) * r = sum(a_i * r)``), and a version/rate
 fan-out multiplies both forms alike.  The per-day rate lookup is a pure
-equi-join on (currency, day) against a size-checked broadcast.
+equi-join on (currency, day) against a size-checked broadcast; the account
+versions of the window (only those opened inside the month count) share the
+same size-check job and are broadcast too when small.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.calendar import py_month_bounds
 from ledgerlake.functions.scalars import dec, mart_dec
-from ledgerlake.operators.joins import daily_rows, sized_broadcast
+from ledgerlake.operators.joins import daily_rows, sized_broadcasts
 
 AMOUNT = (16, 2)
 RATE = (10, 4)
@@ -82,9 +84,11 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     legs = posting_legs(postings, d_from, d_to)
     pre = legs.groupBy("oper_date", "account_rk").agg(F.sum("credit_amount").alias("_c"),
                                                       F.sum("debet_amount").alias("_d"))
-    acc = accounts_for_window(accounts, d_from, d_to)
+    # only versions opened inside the month count (P3), usually a small slice of the accounts: when the
+    # size check passes, the pre-aggregated legs join map-side and keep their (day, account) partitioning
+    acc, day_rates = sized_broadcasts(accounts_for_window(accounts, d_from, d_to), daily_rates(rates, d_from, d_to))
     j = pre.join(acc, "account_rk").filter(_asof_in_month())
-    j = j.join(sized_broadcast(daily_rates(rates, d_from, d_to)), ["currency_rk", "oper_date"], "left")
+    j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))
     agg = j.groupBy("oper_date", "account_rk").agg(
         F.sum("_c").alias("c"), F.sum(F.col("_c") * r).alias("cr"),
@@ -102,8 +106,9 @@ def turnover_legs(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     """The reference's ``wt_turn`` rows before grouping: one row per matched leg."""
     d_to = d_to or d_from
     legs = posting_legs(postings, d_from, d_to)
-    j = legs.join(accounts_for_window(accounts, d_from, d_to), "account_rk").filter(_asof_in_month())
-    j = j.join(sized_broadcast(daily_rates(rates, d_from, d_to)), ["currency_rk", "oper_date"], "left")
+    acc, day_rates = sized_broadcasts(accounts_for_window(accounts, d_from, d_to), daily_rates(rates, d_from, d_to))
+    j = legs.join(acc, "account_rk").filter(_asof_in_month())
+    j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))
     return j.select(F.col("oper_date").alias("on_date"), "account_rk",
                     mart_dec(F.col("credit_amount")).alias("credit_amount"),
