@@ -210,3 +210,10 @@ def test_mirror_stream_late_older_delta_does_not_override_newer(spark, workdir):
     delta_stream.start_mirror_stream(spark, base, schema, ["k"], mpath, ck).awaitTermination()
     got = sorted(tuple(r) for r in delta_stream.read_mirror(spark, mpath).collect())
     assert got == [(1, "new"), (2, "old2")]
+
+
+def test_versioned_table_new_version_may_change_types(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t3")
+    t.write(spark.createDataFrame([(1, "a")], "k int, v string"))
+    t.write(spark.createDataFrame([(1, "a", 2.5)], "k long, v string, amount double"))   # W15: new types
+    assert t.read().schema.simpleString() == "struct<k:bigint,v:string,amount:double>"
