@@ -217,3 +217,43 @@ def test_versioned_table_new_version_may_change_types(spark, workdir):
     t.write(spark.createDataFrame([(1, "a")], "k int, v string"))
     t.write(spark.createDataFrame([(1, "a", 2.5)], "k long, v string, amount double"))   # W15: new types
     assert t.read().schema.simpleString() == "struct<k:bigint,v:string,amount:double>"
+
+
+def test_turnover_with_one_account_holding_a_third_of_the_postings_matches_brute_force(spark):
+    import random
+    from decimal import Decimal
+    rnd = random.Random(11)
+    days = [D8(2018, 1, d) for d in (3, 4, 5)]
+    accounts = [(D8(2018, 1, 1), D8(2018, 1, 31), rk, f"{40000 + rk:05d}{rk:015d}", "P", rk % 3, "840")
+                for rk in range(1, 41)]
+    rates = [(d, d, 1, Decimal("2.5000")) for d in days]            # currency 1 has a rate, 0 and 2 do not
+    postings = []
+    for i in range(3000):
+        hot = i % 3 == 0                                            # account 7 takes a third of all postings
+        cr = 7 if hot else rnd.randint(1, 40)
+        db = rnd.randint(1, 45)                                     # 41-45: no account -> leg dropped
+        amt = Decimal(rnd.randint(1, 100000)) / 100
+        postings.append((rnd.choice(days), cr, db, amt, amt + 1))
+    a_df = spark.createDataFrame(accounts, "data_actual_date date, data_actual_end_date date, account_rk long, "
+                                 "account_number string, char_type string, currency_rk long, currency_code string")
+    r_df = spark.createDataFrame(rates, "data_actual_date date, data_actual_end_date date, currency_rk long, "
+                                 "reduced_cource decimal(10,4)")
+    p_df = spark.createDataFrame(postings, "oper_date date, credit_account_rk long, debet_account_rk long, "
+                                 "credit_amount decimal(12,2), debet_amount decimal(13,2)")
+    got = {(r.on_date, r.account_rk): (r.credit_amount, r.credit_amount_rub, r.debet_amount, r.debet_amount_rub)
+           for r in turnover.month_turnover(p_df, a_df, r_df, D8(2018, 1, 31)).collect()}
+    cur = {rk: c for _, _, rk, _, _, c, _ in accounts}
+    want = {}
+    for d, cr, db, ca, da in postings:
+        for rk, c, dd in ((cr, ca, None), (db, None, da)):
+            if rk not in cur:
+                continue
+            rate = Decimal("2.5") if cur[rk] == 1 else Decimal(1)
+            w = want.setdefault((d, rk), [Decimal(0)] * 4)
+            if c is not None:
+                w[0] += c
+                w[1] += c * rate
+            if dd is not None:
+                w[2] += dd
+                w[3] += dd * rate
+    assert got == {k: tuple(v) for k, v in want.items()}
