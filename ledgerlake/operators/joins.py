@@ -22,15 +22,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: DataFrame | None = None,
+                    per_bound_row: int = 1) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
     The check is a ``limit(max_rows + 1).count()`` job, which stops early on a
     large input.  Beyond the limit the frame is returned as is and the join
     falls back to a shuffle join (AQE may still convert it at run time).
+
+    ``bound`` is a cheaper frame whose row count times ``per_bound_row`` bounds
+    the rows of ``df`` (a batch bounds its distinct keys): the check then scans
+    ``bound`` instead of computing ``df``.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if bound is None:
+        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    limit = max_rows // per_bound_row
+    return F.broadcast(df) if bound.limit(limit + 1).count() <= limit else df
 
 
 def sized_broadcasts(*dfs: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:

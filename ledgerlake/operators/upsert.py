@@ -48,7 +48,7 @@ def upsert(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str]
     limit the same joins run as shuffle joins.
     """
     new = last_per_key(batch, pk, order)
-    keys = sized_broadcast(new.select(*pk), BATCH_KEY_BROADCAST_ROWS)
+    keys = sized_broadcast(new.select(*pk), BATCH_KEY_BROADCAST_ROWS, bound=batch)   # keys <= batch rows
     missing = [c for c in target.columns if c not in new.columns]
     if missing:
         old = target.join(keys, pk, "left_semi").select(*pk, *[F.col(c).alias(f"_old_{c}") for c in missing])

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake.sources.csv_files import enable_charset, read_csv_with_schema
+from ledgerlake.sources.local import rows_frame
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -33,7 +34,7 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str =
 
 def like(spark: SparkSession, df: DataFrame) -> DataFrame:
     """An empty table with the structure of ``df``."""
-    return spark.createDataFrame([], df.schema)
+    return rows_frame(spark, [], df.schema)
 
 
 def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> str:

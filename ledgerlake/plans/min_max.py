@@ -39,7 +39,7 @@ def postings_with_currency(postings: DataFrame, accounts: DataFrame, on_date: dt
     # semi-join reduction: only the accounts the day's postings name, so the account history is not
     # shuffled (twice) for one day; the key set is broadcast only after its size check
     keys = p.select(F.explode(F.array("credit_account_rk", "debet_account_rk")).alias("account_rk")).distinct()
-    acc = acc.join(sized_broadcast(keys), "account_rk", "left_semi")
+    acc = acc.join(sized_broadcast(keys, bound=p, per_bound_row=2), "account_rk", "left_semi")
     deb = acc.select(F.col("account_rk").alias("_d_rk"), F.col("currency_rk").alias("_d_cur"),
                      F.col("currency_code").alias("_d_code"))
     cre = acc.select(F.col("account_rk").alias("_c_rk"), F.col("currency_rk").alias("_c_cur"),

@@ -35,6 +35,7 @@ from ledgerlake.schemas import DELTA_LOG
 from ledgerlake.sinks.store import AppendLog, VersionedTable
 from ledgerlake.sources import deltas as D
 from ledgerlake.sources.csv_files import read_delta_csv
+from ledgerlake.sources.local import rows_frame
 
 DELTA_COL = "delta_id"
 SEED_TAG = -1
@@ -63,7 +64,7 @@ def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode
     if mode == "faithful":
         # keys no delta touches keep their rows as they are: a map-side anti-join against the
         # (size-checked, broadcast) delta key set lets those rows bypass the shuffle entirely
-        dkeys = sized_broadcast(delta_rows.select(*keys).distinct(), max_rows=DELTA_KEY_BROADCAST_ROWS)
+        dkeys = sized_broadcast(delta_rows.select(*keys).distinct(), DELTA_KEY_BROADCAST_ROWS, bound=delta_rows)
         hit = reduce(lambda a, b: a & b, [mirror[k].eqNullSafe(dkeys[k]) for k in keys])
         untouched = mirror.join(dkeys, hit, "left_anti")
         touched = mirror.join(dkeys, hit, "left_semi").unionByName(delta_rows, allowMissingColumns=True)
@@ -120,7 +121,7 @@ def delta_loading(spark: SparkSession, table: str, keys: list[str], deltas_base:
     new = apply_deltas(store.read(), rows, keys, mode, order)
     version = store.write(new)
     finished = clock()
-    entries = spark.createDataFrame([(started, finished, i, table) for i, _ in with_file], DELTA_LOG)
+    entries = rows_frame(spark, [(started, finished, i, table) for i, _ in with_file], DELTA_LOG)
     log.append(entries)
     if log_view:
         log.read().createOrReplaceTempView(log_view)

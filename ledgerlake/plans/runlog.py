@@ -1,7 +1,9 @@
 """Run log (L9) and load report.
 
 The log is append-only parquet.  A message longer than 4000 characters is
-stored as several rows (F17); an empty or NULL message stores nothing.  The
+stored as several rows (F17; a message is one driver-side string, so it is
+split in Python -- ``operators.chunks.split_chunks`` splits whole texts held
+in a table); an empty or NULL message stores nothing.  The
 database session columns of the reference (pid, user, client address) are
 replaced by the Spark application id and user.  The run id is passed in by
 the caller (F16) rather than read back from a shared sequence (Q10), and the
@@ -15,9 +17,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.chunks import LOG_PIECE, split_chunks
+from ledgerlake.operators.chunks import LOG_PIECE
 from ledgerlake.schemas import LOG_INFO
 from ledgerlake.sinks.store import AppendLog
+from ledgerlake.sources.local import rows_frame
 
 # Fixed value: the reference forces every message to type 1 (notice).
 NOTICE = 1
@@ -29,27 +32,27 @@ def next_run_id(log: DataFrame) -> int:
     return (r.m or 0) + 1
 
 
+def pieces(message: str | None, size: int = LOG_PIECE) -> list[str]:
+    """F17 for one driver-side message: 4000-character pieces; empty or NULL gives none."""
+    return [message[i:i + size] for i in range(0, len(message), size)] if message else []
+
+
 def log_rows(spark: SparkSession, message: str | None, run_id: int, event_type: str,
              rows_affected: int | None = None, info: str | None = None, clock=dt.datetime.now) -> DataFrame:
     """The log rows of one message: one row per 4000-character piece, type forced to notice."""
     now = clock()
-    one = spark.createDataFrame([(message,)], "message_ string")
-    pieces = split_chunks(one, "message_", LOG_PIECE, "_piece", "message_")
     sc = spark.sparkContext
-    return pieces.select(
-        (F.lit(int(now.timestamp() * 1e6)) * 1000 + F.col("_piece")).cast("bigint").alias("record_id"),
-        F.lit(run_id).cast("bigint").alias("pipeline_run_id"), F.lit(now).cast("timestamp").alias("date_time"),
-        F.lit(event_type).alias("event_type"), "message_",
-        F.lit(rows_affected).cast("bigint").alias("rows_affected"),
-        F.lit(NOTICE).cast("int").alias("message_type"),
-        F.lit(sc.applicationId).alias("app_id"), F.lit(sc.sparkUser()).alias("user_name"),
-        F.lit(info).cast("string").alias("info_"))
+    base = int(now.timestamp() * 1e6) * 1000
+    rows = [(base + i, run_id, now, event_type, piece, rows_affected, NOTICE, sc.applicationId, sc.sparkUser(), info)
+            for i, piece in enumerate(pieces(message))]
+    return rows_frame(spark, rows, LOG_INFO)
 
 
 def write_log(spark: SparkSession, log_path: str, message: str | None, run_id: int, event_type: str,
               rows_affected: int | None = None, info: str | None = None, clock=dt.datetime.now) -> None:
-    AppendLog(spark, log_path, LOG_INFO).append(
-        log_rows(spark, message, run_id, event_type, rows_affected, info, clock=clock))
+    rows = log_rows(spark, message, run_id, event_type, rows_affected, info, clock=clock)
+    if message:                                       # a handful of rows: one small file per message
+        AppendLog(spark, log_path, LOG_INFO).append(rows.coalesce(1))
 
 
 LOAD_EVENTS_DDL = "load_id bigint, event string, event_time timestamp"
@@ -57,7 +60,7 @@ LOAD_EVENTS_DDL = "load_id bigint, event string, event_time timestamp"
 
 def load_event(spark: SparkSession, path: str, load_id: int, event: str, clock=dt.datetime.now) -> None:
     """W6 without UPDATE: a load's start and finish are two appended events."""
-    row = spark.createDataFrame([(load_id, event, clock())], LOAD_EVENTS_DDL)
+    row = rows_frame(spark, [(load_id, event, clock())], LOAD_EVENTS_DDL)
     row.write.mode("append").parquet(path)
 
 

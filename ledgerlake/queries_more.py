@@ -25,6 +25,7 @@ from ledgerlake.session import fresh_dir
 from ledgerlake.sinks.store import AppendLog, PartitionedTable, VersionedTable
 from ledgerlake.sources import deltas as D
 from ledgerlake.sources.csv_files import read_delta_csv, read_plain_csv
+from ledgerlake.sources.local import rows_frame
 from ledgerlake.streaming import delta_stream
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -134,7 +135,7 @@ def row_count_observed(spark, sf_dir):
     obs = Observation("turnover_rows")
     df = _turnover_month(bank(spark, sf_dir)).observe(obs, F.count(F.lit(1)).alias("rows"))
     VersionedTable(spark, fresh_dir(spark, "turnover")).write(df)
-    return spark.createDataFrame([("dm_account_turnover_f", int(obs.get["rows"]))],
+    return rows_frame(spark, [("dm_account_turnover_f", int(obs.get["rows"]))],
                                  "table_name string, rows_affected bigint")
 
 
@@ -278,7 +279,7 @@ def count_for_dim_left(spark, sf_dir):
     the result saved as one parquet file (W8) and read back.  Unmatched names keep a NULL count."""
     ev = bank(spark, sf_dir).raw("events")
     work = fresh_dir(spark, "counts")
-    dim = spark.createDataFrame(EVENT_DIM, "row_id bigint, discipline string, season string")
+    dim = rows_frame(spark, EVENT_DIM, "row_id bigint, discipline string, season string")
     exchange.export_csv(dim, f"{work}/dimension.csv", sep="\t")
     named = ev.select(F.concat(F.upper(F.substring("event_type", 1, 1)),
                                F.expr("substring(event_type, 2)")).alias("Discipline"), "user_id")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake.sinks import fs
+from ledgerlake.sources.local import rows_frame
 
 MARK = "_SUCCESS"
 
@@ -47,7 +48,7 @@ class VersionedTable:
         if v is None:
             if self.schema is None:
                 raise FileNotFoundError(f"no committed version under {self.base}")
-            return self.spark.createDataFrame([], self.schema)
+            return rows_frame(self.spark, [], self.schema)
         r = self.spark.read
         if self.schema is not None:
             r = r.schema(self.schema)
@@ -76,7 +77,7 @@ class AppendLog:
 
     def read(self) -> DataFrame:
         if not fs.exists(self.spark, self.base):
-            return self.spark.createDataFrame([], self.schema)
+            return rows_frame(self.spark, [], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.base)
 
     def append(self, df: DataFrame) -> None:
@@ -101,7 +102,7 @@ class PartitionedTable:
         if not fs.exists(self.spark, self.base):
             if self.schema is None:
                 raise FileNotFoundError(self.base)
-            return self.spark.createDataFrame([], self.schema)
+            return rows_frame(self.spark, [], self.schema)
         r = self.spark.read
         if self.schema is not None:
             r = r.schema(self.schema)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.sinks import fs
+from ledgerlake.sources.local import rows_frame
 
 # Fixed value: the id of the first delta session; its file carries no suffix.
 FIRST_DELTA_ID = 1000
@@ -65,7 +66,7 @@ def delta_id_of_path(path: Column, layout: str = "numbered") -> Column:
 
 def sessions_frame(spark: SparkSession, sessions: list[DeltaSession]) -> DataFrame:
     """The discovered sessions as a small DataFrame (one row per folder)."""
-    return spark.createDataFrame([(s.delta_id, s.file) for s in sessions], "delta_id int, file string")
+    return rows_frame(spark, [(s.delta_id, s.file) for s in sessions], "delta_id int, file string")
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
