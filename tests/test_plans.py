@@ -257,3 +257,18 @@ def test_turnover_with_one_account_holding_a_third_of_the_postings_matches_brute
                 w[2] += dd
                 w[3] += dd * rate
     assert got == {k: tuple(v) for k, v in want.items()}
+
+
+def test_run_all_twice_in_the_same_folder_is_idempotent(spark, workdir):
+    from ledgerlake.plans import pipeline
+    b = BankTables(spark, SF)
+    ds = pipeline.DetailLayer(b.md_ledger_account_s(), b.md_account_d(), b.md_currency_d(), b.ft_balance_f(),
+                              b.md_exchange_rate_d(), b.ft_posting_f())
+    first = pipeline.run_all(spark, ds, f"{workdir}/run", D8(1998, 1, 31), D8(1998, 1, 20))
+    t1, f1 = sorted(first.turnover.collect()), sorted(first.f101.collect())
+    second = pipeline.run_all(spark, ds, f"{workdir}/run", D8(1998, 1, 31), D8(1998, 1, 20))
+    assert (first.run_id, second.run_id) == (1, 2)
+    assert sorted(second.turnover.collect()) == t1
+    assert sorted(second.f101.collect()) == f1 and sorted(second.f101_copy.collect()) == f1
+    log = AppendLog(spark, f"{workdir}/run/logs/log_info", LOG_INFO).read()
+    assert {r.pipeline_run_id for r in log.collect()} == {1, 2}
