@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.upsert import upsert
 from ledgerlake.schemas import TableSpec
 from ledgerlake.sinks.store import VersionedTable
-from ledgerlake.sources.csv_files import FILE_ORDER, read_bank_file
+from ledgerlake.sources.csv_files import BAD, FILE_ORDER, RAW, read_bank_file
 
 
 @dataclass
@@ -24,15 +24,27 @@ class LoadOutcome:
     table: str
     rows_in_file: int
     version: int
+    rows_rejected: int = 0
 
 
 def load_table(spark: SparkSession, spec: TableSpec, path: str, store_base: str, encoding: str = "cp866",
                bad_values: str = "fail") -> LoadOutcome:
+    """``bad_values``: "fail" (a bad value fails the load), "null" (it becomes NULL) or "reject" (the row
+    goes to ``<store_base>_rejects`` with its text and the failing columns; the other rows load)."""
     store = VersionedTable(spark, store_base, spec.schema)
     batch = read_bank_file(spark, path, spec, encoding=encoding, bad_values=bad_values)
     obs = Observation(f"load_{spec.name}")
     batch = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
+    rejected = 0
+    if bad_values == "reject":
+        bad = F.size(F.col(BAD)) > 0
+        rejects = batch.filter(bad).select(F.lit(spec.name).alias("table_name"), F.col(f"{FILE_ORDER}.p").alias("file"),
+                                           F.col(BAD).alias("bad_columns"), F.to_json(RAW).alias("row_text"))
+        robs = Observation(f"rejects_{spec.name}")
+        rejects.observe(robs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(f"{store_base}_rejects")
+        rejected = int(robs.get["n"])
+        batch = batch.filter(~bad).drop(BAD, RAW)
     merged = upsert(store.read(), batch, list(spec.pk), F.col(FILE_ORDER))
     version = store.write(merged.select(*spec.column_names))
-    return LoadOutcome(spec.name, int(obs.get["rows"]), version)
+    return LoadOutcome(spec.name, int(obs.get["rows"]), version, rejected)
 

@@ -13,7 +13,10 @@
 * the first data column can be parsed with a date pattern (S4);
 * every other value is cast to the declared type (S5).  With ANSI on a bad
   value fails the job like the database did; ``bad_values="null"`` uses
-  ``try_cast`` and keeps the row with NULLs instead.
+  ``try_cast`` and keeps the row with NULLs instead; ``bad_values="reject"``
+  also uses ``try_cast`` and adds ``_bad`` (names of the columns whose text
+  did not convert) and ``_raw`` (the row's text) so the loader can route
+  such rows to a rejects table.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from ledgerlake.schemas import TableSpec
 
 STANDARD_CHARSETS = {"utf-8", "utf8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32"}
 FILE_ORDER = "_file_order"
+BAD, RAW = "_bad", "_raw"
 
 
 def enable_charset(spark: SparkSession, encoding: str) -> None:
@@ -40,7 +44,7 @@ def file_order() -> Column:
 
 
 def _cast(c: Column, t: T.DataType, strict: bool) -> Column:
-    return c.cast(t) if strict else F.try_cast(c, t) if hasattr(F, "try_cast") else c.cast(t)
+    return c.cast(t) if strict else c.try_cast(t)
 
 
 def read_bank_file(spark: SparkSession, path: str, spec: TableSpec, encoding: str = "cp866", sep: str = ";",
@@ -54,17 +58,24 @@ def read_bank_file(spark: SparkSession, path: str, spec: TableSpec, encoding: st
     unknown = [c for c in file_cols if c.strip().lower() not in declared]
     if unknown:
         raise ValueError(f"{spec.name}: columns not in the table: {unknown}")
+    if bad_values not in ("fail", "null", "reject"):
+        raise ValueError(f"bad_values must be 'fail', 'null' or 'reject', not {bad_values!r}")
     strict = bad_values == "fail"
-    out = []
+    out, failed, texts = [], [], []
     for i, c in enumerate(file_cols):
         f = declared[c.strip().lower()]
-        v = F.nullif(F.col(f"`{c}`"), F.lit(""))
+        text = F.nullif(F.col(f"`{c}`"), F.lit(""))
         if i == 0 and spec.need_date_format:
-            v = F.to_date(v, spec.date_format) if strict else F.try_to_date(v, F.lit(spec.date_format))
+            v = F.to_date(text, spec.date_format) if strict else F.try_to_date(text, F.lit(spec.date_format))
         else:
-            v = _cast(v, f.dataType, strict)
+            v = _cast(text, f.dataType, strict)
         out.append(v.alias(f.name))
-    return raw.select(*out, file_order().alias(FILE_ORDER))
+        failed.append(F.when(text.isNotNull() & v.isNull(), F.lit(f.name)))
+        texts.append(text.alias(f.name))
+    extra = []
+    if bad_values == "reject":
+        extra = [F.filter(F.array(*failed), lambda x: x.isNotNull()).alias(BAD), F.struct(*texts).alias(RAW)]
+    return raw.select(*out, file_order().alias(FILE_ORDER), *extra)
 
 
 def read_delta_csv(spark: SparkSession, paths: list[str] | str, date_format: str = "dd.MM.yyyy",

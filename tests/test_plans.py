@@ -272,3 +272,21 @@ def test_run_all_twice_in_the_same_folder_is_idempotent(spark, workdir):
     assert sorted(second.f101.collect()) == f1 and sorted(second.f101_copy.collect()) == f1
     log = AppendLog(spark, f"{workdir}/run/logs/log_info", LOG_INFO).read()
     assert {r.pipeline_run_id for r in log.collect()} == {1, 2}
+
+
+def test_loader_rejects_rows_with_bad_values_and_loads_the_rest(spark, workdir):
+    os.makedirs(_local(workdir), exist_ok=True)
+    f = f"{_local(workdir)}/md_exchange_rate_d.csv"
+    with open(f, "w", encoding="cp866") as fh:
+        fh.write("\t;DATA_ACTUAL_DATE;DATA_ACTUAL_END_DATE;CURRENCY_RK;REDUCED_COURCE;CODE_ISO_NUM\n")
+        fh.write("1;2018-01-01;2018-01-31;30;12.5;643\n")
+        fh.write("2;2018-01-01;2018-01-31;31;12,5x;840\n")       # bad rate
+        fh.write("3;2018-13-01;2018-01-31;32;1.0;978\n")          # bad date
+        fh.write("4;2018-01-01;;33;;\n")                           # empty fields are NULL, not bad
+    store = f"{workdir}/ds/md_exchange_rate_d"
+    out = load_table(spark, TABLES["md_exchange_rate_d"], f, store, bad_values="reject")
+    assert (out.rows_in_file, out.rows_rejected) == (4, 2)
+    assert sorted(r.currency_rk for r in VersionedTable(spark, store).read().collect()) == [30, 33]
+    rej = sorted((r.bad_columns, r.row_text) for r in spark.read.parquet(f"{store}_rejects").collect())
+    assert [b for b, _ in rej] == [["data_actual_date"], ["reduced_cource"]]
+    assert '"reduced_cource":"12,5x"' in rej[1][1]
