@@ -37,7 +37,7 @@ def pieces(message: str | None, size: int = LOG_PIECE) -> list[str]:
     return [message[i:i + size] for i in range(0, len(message), size)] if message else []
 
 
-def log_rows(spark: SparkSession, message: str | None, run_id: int, event_type: str,
+def log_rows(spark: SparkSession, message: str | None, run_id: int | None, event_type: str | None,
              rows_affected: int | None = None, info: str | None = None, clock=dt.datetime.now) -> DataFrame:
     """The log rows of one message: one row per 4000-character piece, type forced to notice."""
     now = clock()
@@ -48,8 +48,10 @@ def log_rows(spark: SparkSession, message: str | None, run_id: int, event_type:
     return rows_frame(spark, rows, LOG_INFO)
 
 
-def write_log(spark: SparkSession, log_path: str, message: str | None, run_id: int, event_type: str,
-              rows_affected: int | None = None, info: str | None = None, clock=dt.datetime.now) -> None:
+def write_log(spark: SparkSession, log_path: str, message: str | None, run_id: int | None = None,
+              event_type: str | None = None, rows_affected: int | None = None, info: str | None = None,
+              clock=dt.datetime.now) -> None:
+    """``write_log_info``; without run id and event it is the plain message log (``writelog``)."""
     rows = log_rows(spark, message, run_id, event_type, rows_affected, info, clock=clock)
     if message:                                       # a handful of rows: one small file per message
         AppendLog(spark, log_path, LOG_INFO).append(rows.coalesce(1))
