@@ -1,8 +1,11 @@
 """CSV / parquet exchange (L6 export and import of form 101; W7-W10, W12, S11, S15).
 
 A stored table is never written as a single file; only an export to a
-person or another system is coalesced to one part file (``single_file``),
-and that is the only place a single task writes.
+person or another system goes to one part file (``single_file``), and that
+is the only place a single task writes.  It is ``repartition(1)``, not
+``coalesce(1)``: a coalesce would fold into the last stage and run the
+scans and joins feeding the export in one task too; the repartition keeps
+them parallel and moves only the result to the writer.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True, si
                encoding: str = "utf-8") -> str:
     """``COPY ... TO ... CSV DELIMITER ';' HEADER``; NULL as an empty unquoted field."""
     enable_charset(df.sparkSession, encoding)
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     (out.write.mode("errorifexists").option("sep", sep).option("header", header).option("nullValue", "")
      .option("emptyValue", '""').option("encoding", encoding).option("dateFormat", "yyyy-MM-dd")
      .option("timestampFormat", TS_FMT).option("timestampNTZFormat", TS_FMT).csv(path))
@@ -39,5 +42,5 @@ def like(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> str:
     """W8 (single file only for an export)."""
-    (df.coalesce(1) if single_file else df).write.mode("errorifexists").parquet(path)
+    (df.repartition(1) if single_file else df).write.mode("errorifexists").parquet(path)
     return path

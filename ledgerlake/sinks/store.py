@@ -122,8 +122,10 @@ class PartitionedTable:
         rows = new_rows.filter(c.between(F.lit(lo), F.lit(hi))).observe(
             obs, F.collect_set(c.cast("string")).alias("parts"))   # at most one value per day of the range
         cols = [x for x in rows.columns if x != self.part_col] + [self.part_col]
-        (rows.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.part_col).parquet(self.base))
+        # rebalance on the partition column: AQE gives each day a few right-sized files (splitting a large
+        # day, merging small ones) instead of one file per task and day
+        (rows.select(*cols).hint("rebalance", self.part_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.base))
         # days of the range without new rows: drop their old partition
         kept = set(obs.get["parts"] or [])
         for value, path in self._partition_dirs().items():
