@@ -199,6 +199,15 @@ def f101_null_r_cols(spark, sf_dir):
         "ledger_account", "characteristic", *[f"r_{m}" for m in O.F101_MEASURES])
 
 
+@register("f101_mid_month", O.with_prelude(*F101_CTES, O.f101_t1("1998-01-15"), O.F101_ROLL, body=O.f101_out()))
+def f101_mid_month(spark, sf_dir):
+    """L4 with a report date inside the month: dimensions and rates as of the 15th (the second
+    version of a split account is not yet valid), turnover still over the whole month."""
+    b = bank(spark, sf_dir)
+    return f101_plan.f101(b.md_ledger_account_s(), b.md_account_d(), b.md_currency_d(), b.ft_balance_f(),
+                          b.md_exchange_rate_d(), _turnover_month(b), dt.date(1998, 1, 15), "faithful")
+
+
 # ---------------------------------------------------------------- 4. min / max postings
 MM_T1 = """t1 AS (
   SELECT oper_date, credit_account_rk, debet_account_rk, credit_amount, debet_amount,
@@ -235,6 +244,27 @@ def min_max_posting(spark, sf_dir):
     return min_max.min_max_posting(b.ft_posting_f(), b.md_account_d(), b.md_exchange_rate_d(), MINMAX_DATE)
 
 
+MM_T1_ASOF = MM_T1.replace(
+    "LEFT JOIN md_account_d ac ON p.debet_account_rk = ac.account_rk",
+    "LEFT JOIN md_account_d ac ON p.debet_account_rk = ac.account_rk\n"
+    "       AND DATE '1998-01-20' BETWEEN ac.data_actual_date AND ac.data_actual_end_date").replace(
+    "LEFT JOIN md_account_d ac_ ON p.credit_account_rk = ac_.account_rk",
+    "LEFT JOIN md_account_d ac_ ON p.credit_account_rk = ac_.account_rk\n"
+    "       AND DATE '1998-01-20' BETWEEN ac_.data_actual_date AND ac_.data_actual_end_date")
+
+
+@register("min_max_asof", O.with_prelude(MM_T1_ASOF, MM_T2, body="\nUNION ALL\n".join([
+    _mm_branch("Min_credit_amount_rub", "credit_amount_rub", "min"),
+    _mm_branch("Max_credit_amount_rub", "credit_amount_rub", "max"),
+    _mm_branch("Min_debet_amount_rub", "debet_amount_rub", "min"),
+    _mm_branch("Max_debet_amount_rub", "debet_amount_rub", "max")])))
+def min_max_asof(spark, sf_dir):
+    """L5 with ``as_of=True``: accounts looked up as of the day, so split accounts do not double rows (Q4 fixed)."""
+    b = bank(spark, sf_dir)
+    return min_max.min_max_posting(b.ft_posting_f(), b.md_account_d(), b.md_exchange_rate_d(), MINMAX_DATE,
+                                   as_of=True)
+
+
 @register("min_max_ties", O.with_prelude("""m AS (
   SELECT * FROM ft_posting_f WHERE oper_date BETWEEN DATE '1998-01-01' AND DATE '1998-01-31')""", body="""
 SELECT 'Min_credit' AS tag, CAST(oper_date AS VARCHAR) AS oper_date, credit_account_rk, debet_account_rk,
