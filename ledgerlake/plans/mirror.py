@@ -58,13 +58,15 @@ def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode
         if len(data) != len(target):
             raise ValueError(f"positional union needs {len(target)} delta columns, got {len(data)}")
         delta_rows = delta_rows.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(data, target)], delta_col)
-    if delta_col not in mirror.columns:
-        mirror = mirror.withColumn(delta_col, F.lit(SEED_TAG))
     delta_rows = delta_rows.withColumn(delta_col, F.col(delta_col).cast("int"))
-    # a session's rows replace whatever the mirror holds under the same session id: replaying a batch
-    # (a stream restarted after its mirror write but before its checkpoint commit) cannot duplicate rows
-    ids = sized_broadcast(delta_rows.select(delta_col).distinct())            # one row per session
-    mirror = mirror.join(ids, delta_col, "left_anti").select(*mirror.columns)
+    if delta_col in mirror.columns:
+        # stored tags: a session's rows replace whatever the mirror holds under the same session id, so
+        # replaying a batch (a stream restarted after its mirror write, before its checkpoint) cannot
+        # duplicate rows.  (An untagged mirror is tagged -1 below, which no session id equals.)
+        ids = sized_broadcast(delta_rows.select(delta_col).distinct())        # one row per session
+        mirror = mirror.join(ids, delta_col, "left_anti").select(*mirror.columns)
+    else:
+        mirror = mirror.withColumn(delta_col, F.lit(SEED_TAG))
     if mode == "faithful":
         # keys no delta touches keep their rows as they are: a map-side anti-join against the
         # (size-checked, broadcast) delta key set lets those rows bypass the shuffle entirely
