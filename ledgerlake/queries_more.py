@@ -189,6 +189,15 @@ def add_columns(spark, sf_dir):
     return mirror.apply_deltas(seed.drop("value", "props"), deltas, ["user_id"], "faithful").select(*EV_COLS)
 
 
+@register("mirror_positional", MIRROR_FAITHFUL_SQL)
+def mirror_positional(spark, sf_dir):
+    """Delta files whose header spells the columns differently (upper case); the reference's
+    positional union maps them onto the mirror's columns by position."""
+    seed, deltas = _events_split(spark, sf_dir)
+    renamed = deltas.select(*[F.col(c).alias(c.upper()) for c in EV_COLS], "delta_id")
+    return mirror.apply_deltas(seed, renamed, ["user_id"], "faithful", positional=True)
+
+
 def _write_deltas(spark, deltas, base):
     (deltas.write.mode("errorifexists").partitionBy("delta_id").option("header", True).option("sep", ";")
      .option("timestampFormat", TS_FMT).option("timestampNTZFormat", TS_FMT).csv(base))
