@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--seed-parquet", help="seed the mirror from this parquet path on the first run")
     m.add_argument("--layout", default="numbered", choices=["numbered", "partitioned"])
     m.add_argument("--mode", default="faithful", choices=["faithful", "latest"])
+    m.add_argument("--keep-versions", type=int, default=None, help="prune older mirror versions, keeping this many")
     ld = sub.add_parser("load", help="upsert a delimited detail file into its table")
     ld.add_argument("table")
     ld.add_argument("file")
@@ -56,7 +57,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from ledgerlake.plans.mirror import delta_loading
         seed = spark.read.parquet(args.seed_parquet) if args.seed_parquet else None
         res = delta_loading(spark, args.table, args.keys, args.deltas, args.logs, args.mirror, seed=seed,
-                            layout=args.layout, mode=args.mode)
+                            layout=args.layout, mode=args.mode, keep_versions=args.keep_versions)
         return {"applied": res.applied, "pending_without_file": res.pending_without_file, "version": res.version}
     if args.cmd == "load":
         from ledgerlake.plans.loader import load_table

@@ -100,7 +100,9 @@ def pending_ids(log: DataFrame, sessions: DataFrame, table: str) -> DataFrame:
 def delta_loading(spark: SparkSession, table: str, keys: list[str], deltas_base: str, log_path: str,
                   mirror_path: str, seed: DataFrame | None = None, layout: str = "numbered",
                   mode: str = "faithful", order: list[str] | None = None, read_options: dict | None = None,
-                  clock=dt.datetime.now, log_view: str | None = "delta_logs") -> LoadResult:
+                  clock=dt.datetime.now, log_view: str | None = "delta_logs",
+                  keep_versions: int | None = None) -> LoadResult:
+    """The once-only load job (see module doc); ``keep_versions`` prunes older mirror versions after it."""
     store = VersionedTable(spark, mirror_path)
     if not store.exists():
         if seed is None:
@@ -131,4 +133,6 @@ def delta_loading(spark: SparkSession, table: str, keys: list[str], deltas_base:
     log.append(entries)
     if log_view:
         log.read().createOrReplaceTempView(log_view)
+    if keep_versions:
+        store.prune(keep_versions)
     return LoadResult(store.read(), [i for i, _ in with_file], missing, version)

@@ -7,8 +7,8 @@ committed version.  So a job may read version n while writing n+1 -- the
 reference's "overwrite the file I am reading" (Q7) cannot happen -- and a
 failed or killed write leaves no committed marker and is ignored.
 
-Old versions are kept; pruning them is an operational choice left to the
-caller.
+Old versions stay until ``prune(keep)`` removes all but the newest ``keep``
+committed ones (and dead folders below them).
 """
 
 from __future__ import annotations
@@ -34,8 +34,28 @@ class VersionedTable:
         return [v for v in self._folders() if fs.exists(self.spark, f"{self.path(v)}/{MARK}")]
 
     def current(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+        """Newest committed version: folders are scanned from the newest down (usually one lookup)."""
+        for v in reversed(self._folders()):
+            if fs.exists(self.spark, f"{self.path(v)}/{MARK}"):
+                return v
+        return None
+
+    def prune(self, keep: int = 2) -> list[int]:
+        """Remove committed versions older than the newest ``keep`` (and dead folders below them).
+
+        Readers still on a removed version would fail, so ``keep`` must cover
+        the longest-running reader; 2 keeps the previous version for them.
+        """
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        committed = self.versions()
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        gone = [v for v in self._folders() if v < oldest_kept]
+        for v in gone:
+            fs.delete(self.spark, self.path(v))
+        return gone
 
     def path(self, version: int) -> str:
         return f"{self.base}/v={version:06d}"

@@ -304,3 +304,13 @@ def test_csv_infer_against_brute_force(spark):
     want = sorted((r.account_rk, r.data_actual_date.isoformat(), r.data_actual_end_date.isoformat(), r.char_type)
                   for r in BankTables(spark, SF).md_account_d().collect())
     assert got == want
+
+
+def test_versioned_table_prune_keeps_the_newest_versions(spark, workdir):
+    t = VersionedTable(spark, f"{workdir}/t4")
+    for n in range(4):
+        t.write(spark.range(n + 1))
+    os.makedirs(_local(t.path(5)))                       # a dead, uncommitted folder above them
+    assert t.current() == 4
+    assert t.prune(keep=2) == [1, 2]
+    assert t.versions() == [3, 4] and t.read().count() == 4
