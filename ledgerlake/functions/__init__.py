@@ -1,0 +1 @@
+"""Column-level helpers: calendar (month bounds, ISO dates) and scalar formatting/casting."""

@@ -1,0 +1 @@
+"""The jobs: turnover, form 101, min/max, mirror, loader, run log, exchange, counts, run_all."""

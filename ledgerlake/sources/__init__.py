@@ -1,0 +1 @@
+"""Readers: delimited bank files, delta sessions, JDBC seed options, derived test tables, literal frames."""
