@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                          encoding=args.encoding, bad_values=args.bad_values)
         return {"table": out.table, "rows_in_file": out.rows_in_file, "rows_rejected": out.rows_rejected,
                 "version": out.version}
-    from ledgerlake.plans.pipeline import DetailLayer, run_all
+    from ledgerlake.plans.daily_run import DetailLayer, run_all
     from ledgerlake.schemas import TABLES
     from ledgerlake.sinks.store import VersionedTable
 

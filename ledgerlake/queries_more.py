@@ -17,7 +17,7 @@ from ledgerlake.functions import calendar as cal
 from ledgerlake.functions.scalars import fm_digits
 from ledgerlake.operators.chunks import split_chunks
 from ledgerlake.operators.upsert import duplicate_keys, replace_where, upsert
-from ledgerlake.plans import counts, exchange, f101 as f101_plan, mirror, pipeline, runlog, turnover
+from ledgerlake.plans import counts, daily_run, exchange, f101 as f101_plan, mirror, runlog, turnover
 from ledgerlake.plans.loader import load_table
 from ledgerlake.queries import MONTH_START, REPORT_DATE, _f101, _turnover_month, bank, register
 from ledgerlake.schemas import DELTA_LOG, DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, TABLES
@@ -506,8 +506,8 @@ def run_all(spark, sf_dir):
     """Turnover -> form 101 -> CSV export -> import into the copy table (+ min/max report);
     returns the imported copy."""
     b = bank(spark, sf_dir)
-    ds = pipeline.DetailLayer(b.md_ledger_account_s(), b.md_account_d(), b.md_currency_d(), b.ft_balance_f(),
+    ds = daily_run.DetailLayer(b.md_ledger_account_s(), b.md_account_d(), b.md_currency_d(), b.ft_balance_f(),
                               b.md_exchange_rate_d(), b.ft_posting_f())
-    out = pipeline.run_all(spark, ds, fresh_dir(spark, "run"), REPORT_DATE, dt.date(1998, 1, 20))
+    out = daily_run.run_all(spark, ds, fresh_dir(spark, "run"), REPORT_DATE, dt.date(1998, 1, 20))
     return out.f101_copy
 

@@ -260,13 +260,13 @@ def test_turnover_with_one_account_holding_a_third_of_the_postings_matches_brute
 
 
 def test_run_all_twice_in_the_same_folder_is_idempotent(spark, workdir):
-    from ledgerlake.plans import pipeline
+    from ledgerlake.plans import daily_run
     b = BankTables(spark, SF)
-    ds = pipeline.DetailLayer(b.md_ledger_account_s(), b.md_account_d(), b.md_currency_d(), b.ft_balance_f(),
+    ds = daily_run.DetailLayer(b.md_ledger_account_s(), b.md_account_d(), b.md_currency_d(), b.ft_balance_f(),
                               b.md_exchange_rate_d(), b.ft_posting_f())
-    first = pipeline.run_all(spark, ds, f"{workdir}/run", D8(1998, 1, 31), D8(1998, 1, 20))
+    first = daily_run.run_all(spark, ds, f"{workdir}/run", D8(1998, 1, 31), D8(1998, 1, 20))
     t1, f1 = sorted(first.turnover.collect()), sorted(first.f101.collect())
-    second = pipeline.run_all(spark, ds, f"{workdir}/run", D8(1998, 1, 31), D8(1998, 1, 20))
+    second = daily_run.run_all(spark, ds, f"{workdir}/run", D8(1998, 1, 31), D8(1998, 1, 20))
     assert (first.run_id, second.run_id) == (1, 2)
     assert sorted(second.turnover.collect()) == t1
     assert sorted(second.f101.collect()) == f1 and sorted(second.f101_copy.collect()) == f1
