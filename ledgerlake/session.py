@@ -9,12 +9,22 @@ local (tests) do we pick a folder ourselves.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+def _driver_gb(cap: int = 8) -> int:
+    """Local driver heap: 60% of physical memory, at most ``cap`` GB (a 7 GB machine gets 4 GB)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return 2
+    return max(1, min(cap, int(total * 0.6 / 2 ** 30)))
+
+
 def local_session(cores: int | str = "*", app: str = "ledgerlake", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """Local session with the settings the tests and the bench use."""
@@ -28,7 +38,7 @@ def local_session(cores: int | str = "*", app: str = "ledgerlake", shuffle_parti
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", f"{_driver_gb()}g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
