@@ -10,7 +10,7 @@ Reference semantics kept exactly:
   has no rows.
 
 Plan shape (scale): the postings of the window are read once (filter pushed
-into the scan), turned into legs with one ``explode``, and pre-aggregated per
+into the scan), turned into legs with one ``inline`` generator, and pre-aggregated per
 (day, account) *before* any join -- partial aggregation runs map-side, so a
 hot account that holds a third of all postings sends one row per map task,
 not a third of the data.  Multiplying by the rate after the sum is exact in
