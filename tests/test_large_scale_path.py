@@ -13,7 +13,8 @@ from ledgerlake import queries
 from test_oracle import SF, TABLES, _bag, plan_text
 
 KEYS = ["turnover_month", "turnover_legs", "asof_rate_left", "f101_faithful", "f101_corrected", "min_max_posting",
-        "mirror_faithful", "upsert_last_wins", "ledger_expr_join"]
+        "mirror_faithful", "upsert_last_wins", "ledger_expr_join", "replace_day_range", "mirror_idempotent",
+        "run_all", "min_max_asof", "f101_mid_month"]
 
 
 def _never(df, *a, **k):
