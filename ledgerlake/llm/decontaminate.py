@@ -179,7 +179,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     names = docs.columns
     for p in _parts(items, item_col, item_text_col, max_chars):
         shared = docs.sparkSession.sparkContext.broadcast(_collected(p))
-        hit = F.arrow_udf(_has_hit(shared, window), "boolean", F.ArrowUDFType.SCALAR_ITER)
+        hit = F.arrow_udf(_has_hit(shared, window), "boolean")
         flat = out.toDF(*[f"_c{i}" for i in range(len(names))])
         out = flat.withColumn(flag, hit(F.col(f"_c{at}"))).where(~F.col(flag)).drop(flag).toDF(*names)
     return out

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import table
 from ledgerlake.llm.decontaminate import find_hits
+from ledgerlake.llm.lines import drop_repeated_lines
+from ledgerlake.llm.packing import pack
+from ledgerlake.llm.pii import KINDS, find_personal_data
+from ledgerlake.llm.shards import assign_shards
 from ledgerlake.llm.url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +28,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# ---------------------------------------------------------------- 2. repeated lines
+@register("op2_repeated_lines")
+def op2_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier document, or an earlier line of its own, has."""
+    return drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- 3. packing
+@register("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in length buckets and token-budget batches."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
 # ---------------------------------------------------------------- 4. URL rules
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -45,6 +63,28 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+# ---------------------------------------------------------------- 6. personal data
+@register("op6_personal_data")
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers and risky terms of every document; counts and a digest of the identifiers."""
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of_kind = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select("doc_id", *[of_kind(k).alias(f"n_{k}") for k in KINDS],
+                        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(*KINDS))), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
+# ---------------------------------------------------------------- 9. shards
+@register("op9_shards")
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of near-equal bytes."""
+    placed = assign_shards(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 # ---------------------------------------------------------------- 10. benchmark decontamination
 @register("op10_decontaminate", """
 WITH d AS (SELECT doc_id, row_number() OVER () AS rn, regexp_extract_all(translate(coalesce(text, ''),
