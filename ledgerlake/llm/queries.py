@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm import toxicity
+from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.decontaminate import find_hits
 from ledgerlake.llm.lines import drop_repeated_lines
 from ledgerlake.llm.packing import pack
@@ -28,6 +29,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# ---------------------------------------------------------------- 1. toxicity
+def may_learn_toxicity(doc_id):
+    return fold(doc_id, 3) != 1
+
+
+@register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), allowed=may_learn_toxicity)
+    scored = toxicity.score_texts(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"), "threshold", "rejected")
+
+
 # ---------------------------------------------------------------- 2. repeated lines
 @register("op2_repeated_lines")
 def op2_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
