@@ -213,6 +213,10 @@ def _finder(shared):
     return F.arrow_udf(find, _SPANS_DDL)
 
 
+def _is_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def _with_spans(rows: DataFrame, text: str, out: str, risky: DataFrame, max_terms: int) -> DataFrame:
     """Column ``out``: the spans of every part of the risky terms, united."""
     finders = [_finder(shared)(F.col(text)) for shared in _shared_parts(risky, ["term", "kind"], max_terms)]
@@ -221,7 +225,7 @@ def _with_spans(rows: DataFrame, text: str, out: str, risky: DataFrame, max_term
         rows = rows.withColumn(out, F.array_union(out, more))
     if len(finders) > 1:                      # bring the parts' terms into one order
         base = F.filter(out, lambda s: s["kind"].isin(*KINDS))
-        terms = [F.array_sort(F.filter(out, lambda s, k=k: s["kind"] == k)) for k in TERM_KINDS]
+        terms = [F.array_sort(F.filter(out, _is_kind(k))) for k in TERM_KINDS]
         rows = rows.withColumn(out, F.concat(base, *terms))
     return rows
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import toxicity
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.decontaminate import find_hits
+from ledgerlake.llm.imatch import fingerprints
 from ledgerlake.llm.lines import drop_repeated_lines
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.pii import KINDS, find_personal_data
@@ -92,6 +93,58 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+# ---------------------------------------------------------------- 7. fingerprints
+_LEXICONS = [f"(v[{f + 1}] < {65536 // 4 ** s})" for f in range(8) for s in range(1, 5)] + ["true"]
+
+
+def _entry_sql(k: int) -> str:
+    own = f"list_filter(kept, lambda x: x.m[{k + 1}])"
+    return (f"CAST(len({own}) AS VARCHAR) || ':' || CASE WHEN len({own}) > 0 THEN "
+            f"substr(md5(array_to_string(list_transform({own}, lambda x: x.t), ' ')), 1, 16) ELSE '-' END")
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    count = lambda e: f"CAST(split_part({e}, ':', 1) AS INTEGER)"
+    most = f"greatest({count('p[1]')}, {count('p[2]')})"
+    pairs = f"list_zip(string_split({a}, ','), string_split({b}, ','))"
+    weights = lambda cond: f"list_sum(list_transform({pairs}, lambda p: CASE WHEN {most} > 0{cond} THEN 1000000 // {most} ELSE 0 END))"
+    return f"CASE WHEN {weights('')} > 0 THEN CAST({weights(' AND p[1] = p[2]')} AS DOUBLE) / CAST({weights('')} AS DOUBLE) ELSE 1.0 END"
+
+
+_PRINT = ("CASE WHEN len(kept) = 0 THEN array_to_string(list_transform(range(33), lambda i: fallback), ',') ELSE concat_ws(',', "
+          + ", ".join(_entry_sql(k) for k in range(33)) + ") END")
+
+
+@register("op7_imatch", """
+WITH d0 AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
+d1 AS (SELECT *, coalesce(lead(text) OVER (ORDER BY rn), first_value(text) OVER (ORDER BY rn)) AS nxt FROM d0),
+d2 AS (SELECT rn, doc_id, length(text) AS n, text,
+  substr(text, 1, length(text) - length(text) // 4) || substr(nxt, 1, length(text) // 4) AS edited FROM d1),
+tx AS (SELECT rn, 1 AS kind, text AS t FROM d2 UNION ALL SELECT rn, 2, edited FROM d2),
+tw AS (SELECT rn, kind, list_sort(list_distinct(list_filter(regexp_split_to_array(
+  translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> ''))) AS w FROM tx),
+lex AS (SELECT term, v, [LEX] AS m FROM (SELECT term, list_transform(range(8),
+    lambda i: ('0x' || substr(md5(term), 4 * i + 1, 4))::INTEGER) AS v
+  FROM (SELECT unnest(w) AS term FROM tw WHERE kind = 1) GROUP BY term
+  HAVING count(*) BETWEEN 0.002 * (SELECT count(*) FROM documents) AND 0.05 * (SELECT count(*) FROM documents))),
+kept AS (SELECT rn, kind, list({'t': term, 'm': m} ORDER BY term) AS kept
+  FROM (SELECT rn, kind, unnest(w) AS term FROM tw) JOIN lex USING (term) GROUP BY rn, kind),
+kp AS (SELECT tw.rn, tw.kind, coalesce(kept.kept, []) AS kept,
+  CASE WHEN len(w) > 0 THEN '1:' || substr(md5(array_to_string(w, ' ')), 1, 16) ELSE '0:-' END AS fallback
+  FROM tw LEFT JOIN kept USING (rn, kind)),
+fp AS (SELECT rn, kind, PRINT AS fp FROM kp),
+o AS (SELECT rn, fp, lead(fp) OVER (ORDER BY rn) AS nf FROM fp WHERE kind = 1),
+al AS (SELECT d2.doc_id, n, edited, o.fp, e.fp AS efp, coalesce(o.nf, first_value(o.fp) OVER (ORDER BY d2.rn)) AS nfp
+  FROM d2 JOIN o USING (rn) JOIN fp e ON e.rn = d2.rn AND e.kind = 2)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, fp AS fingerprint, efp AS edited_fingerprint,
+  NEAR1 AS near_edited, NEAR2 AS near_next FROM al"""
+          .replace("[LEX]", "[" + ", ".join(_LEXICONS) + "]")
+          .replace("PRINT", _PRINT).replace("NEAR1", _likeness_sql("fp", "efp")).replace("NEAR2", _likeness_sql("fp", "nfp")))
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every document and its edited text, with their likeness."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 # ---------------------------------------------------------------- 9. shards
 @register("op9_shards")
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
