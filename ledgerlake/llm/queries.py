@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import toxicity
+from ledgerlake.llm import suffix_tree, toxicity
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.decontaminate import find_hits
 from ledgerlake.llm.imatch import fingerprints
@@ -80,6 +80,17 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+# ---------------------------------------------------------------- 5. language-model scores
+@register("op5_suffix_tree")
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability under a suffix tree learned from the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    tree, counts = suffix_tree.learn(docs.where(fold("doc_id", 5) != 1).select("text"))
+    scored = suffix_tree.score_texts(docs, tree, counts)
+    return scored.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 # ---------------------------------------------------------------- 6. personal data
 @register("op6_personal_data")
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
