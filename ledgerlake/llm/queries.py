@@ -12,6 +12,7 @@ from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.decontaminate import find_hits
 from ledgerlake.llm.imatch import fingerprints
 from ledgerlake.llm.lines import drop_repeated_lines
+from ledgerlake.llm.minhash import near_duplicates
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.pii import KINDS, find_personal_data
 from ledgerlake.llm.shards import assign_shards
@@ -156,6 +157,25 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+# ---------------------------------------------------------------- 8. near-duplicates
+@register("op8_minhash", """
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rn, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT rn, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM w),
+n AS (SELECT rn, count(*) AS n FROM s GROUP BY rn),
+links AS (SELECT a.rn AS a, b.rn AS b FROM s a JOIN s b ON a.g = b.g AND a.rn <> b.rn JOIN n na ON na.rn = a.rn JOIN n nb ON nb.rn = b.rn
+  WHERE 100 * least(na.n, nb.n) >= 80 * greatest(na.n, nb.n) GROUP BY a.rn, b.rn, na.n, nb.n
+  HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT w.rn, w.doc_id, least(w.doc_id, min(o.doc_id)) AS c FROM w LEFT JOIN reach ON reach.a = w.rn
+  LEFT JOIN w o ON o.rn = reach.b GROUP BY w.rn, w.doc_id)
+SELECT comp.doc_id, coalesce(n.n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept FROM comp LEFT JOIN n USING (rn)""")
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents on 2-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("t1", "t2")
+
+
 # ---------------------------------------------------------------- 9. shards
 @register("op9_shards")
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
