@@ -184,7 +184,8 @@ def _links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame | None
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """One row per document: doc_id, t1, t2 (key of its text), n_shingles, component_id (least doc_id), kept."""
+    """One row per document: doc_id, t1, t2 (key of its text), n_shingles, root (of its component; null for an empty set),
+    component_id (least doc_id), kept."""
     rows = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_text_key(F.col("text")))
     signed = staged(rows.select("doc_id", "t1", "t2", "text").mapInArrow(
         _signer(words), "doc_id long, t1 long, t2 long, n long, halves array<long>"), "near-signed")
@@ -204,8 +205,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links)
     least = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = least.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_text = staged(least.select("t1", "t2", "root").join(ids, "root").select("t1", "t2", "component_id"), "near-classes")
+    of_text = staged(least.select("t1", "t2", "root").join(ids, "root").select("t1", "t2", "root", "component_id"), "near-classes")
     out = signed.select("doc_id", "t1", "t2", "n").join(of_text, ["t1", "t2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "t1", "t2", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select("doc_id", "t1", "t2", F.col("n").alias("n_shingles"), "root", component.alias("component_id"),
                       component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
+    """One row of each group of near-duplicates (of its least id) and every row without words, all columns as they were."""
+    found = staged(near_duplicates(docs, id_col, text_col, words), "near-found")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2")
+    grouped = found.where("root is not null")
+    first = grouped.groupBy("root").agg(F.min(rank).alias("r")).select("r.doc_id", "r.t1", "r.t2")
+    keep = first.unionByName(found.where("root is null").select("doc_id", "t1", "t2").distinct()).toDF("_id", "_k1", "_k2")
+    names = docs.columns
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    key, text = F.col(f"_c{names.index(id_col)}").cast("long"), F.col(f"_c{names.index(text_col)}")
+    rows = flat.withColumn("_a", key).select("*", *_text_key(text))
+    kept = rows.join(keep, F.col("_a").eqNullSafe(F.col("_id")) & (F.col("t1") == F.col("_k1")) & (F.col("t2") == F.col("_k2")), "left_semi")
+    words_none = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]")) == 0
+    once = F.when(words_none, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return kept.withColumn("_once", once).dropDuplicates(["_a", "t1", "t2", "_once"]).drop("_a", "t1", "t2", "_once").toDF(*names)

@@ -173,7 +173,7 @@ comp AS (SELECT w.rn, w.doc_id, least(w.doc_id, min(o.doc_id)) AS c FROM w LEFT
 SELECT comp.doc_id, coalesce(n.n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept FROM comp LEFT JOIN n USING (rn)""")
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents on 2-word shingles."""
-    return near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("t1", "t2")
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("t1", "t2", "root")
 
 
 # ---------------------------------------------------------------- 9. shards
