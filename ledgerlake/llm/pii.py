@@ -249,7 +249,6 @@ def _clean(text: str | None, spans: list[dict]) -> str | None:
     return "".join([*out, text[last:]])
 
 
-@F.arrow_udf("string")
 def _sanitised(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array([_clean(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
@@ -259,4 +258,4 @@ def sanitise(docs: DataFrame, text_col: str = "text", max_terms: int = MAX_TERMS
     risky = risky_terms(docs, text_col, max_terms=max_terms, **thresholds)
     names, at = docs.columns, docs.columns.index(text_col)
     flat = _with_spans(docs.toDF(*[f"_c{i}" for i in range(len(names))]), f"_c{at}", "_spans", risky, max_terms)
-    return flat.withColumn(f"_c{at}", _sanitised(f"_c{at}", "_spans")).drop("_spans").toDF(*names)
+    return flat.withColumn(f"_c{at}", F.arrow_udf(_sanitised, "string")(f"_c{at}", "_spans")).drop("_spans").toDF(*names)
