@@ -13,13 +13,8 @@ def fm_digits(n: Column, width: int = 8) -> Column:
     return F.when(F.abs(n) < F.lit(limit), n.cast("bigint").cast("string")).otherwise(F.lit("#" * width))
 
 
-def to_date_pattern(s: Column, pattern: str) -> Column:
-    """F5 ``to_date(text, fmt)``.  Patterns are Java ones: ``yyyy`` (never ``YYYY``, a week year)."""
-    return F.to_date(s, pattern.replace("YYYY", "yyyy"))
-
-
 def dec(c: Column, dtype: T.DataType, precision: int, scale: int) -> Column:
-    """Cast to DECIMAL(p, s) unless the column already is a decimal."""
+    """Cast to DECIMAL(p, s) unless the column already is a decimal; with ANSI on, a value that does not fit fails."""
     return c if isinstance(dtype, T.DecimalType) else c.cast(T.DecimalType(precision, scale))
 
 

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and as-of (validity interval) lookups.
+"""Join helpers: broadcast of bounded dimensions and as-of (validity interval) lookups.
 
 As-of joins (J1, J2, J4) use validity intervals ``[start, end]`` inclusive on
 both ends; a NULL end never matches.  Two shapes:
@@ -18,38 +18,16 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast limit for dimensions whose size is checked at run time.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a dimension whose key domain bounds it, whatever the data's size.
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, bound: DataFrame | None = None,
-                    per_bound_row: int = 1) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` job, which stops early on a
-    large input.  Beyond the limit the frame is returned as is and the join
-    falls back to a shuffle join (AQE may still convert it at run time).
-
-    ``bound`` is a cheaper frame whose row count times ``per_bound_row`` bounds
-    the rows of ``df`` (a batch bounds its distinct keys): the check then scans
-    ``bound`` instead of computing ``df``.
+    Used for currencies (three-digit codes), their rates on the days of one
+    month, and ledger accounts (five-digit numbers): at most 1,000, 31,000 and
+    100,000 rows as of a date.  Every other side is left to Catalyst and AQE,
+    which choose by bytes at run time; nothing is counted beforehand.
     """
-    if bound is None:
-        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-    limit = max_rows // per_bound_row
-    return F.broadcast(df) if bound.limit(limit + 1).count() <= limit else df
-
-
-def sized_broadcasts(*dfs: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
-    """``sized_broadcast`` for several frames with a single check job (one tagged, limited union)."""
-    if not dfs:
-        return []
-    probe = None
-    for i, df in enumerate(dfs):
-        part = df.limit(max_rows + 1).select(F.lit(i).alias("_i"))
-        probe = part if probe is None else probe.unionAll(part)
-    n = {r["_i"]: r["n"] for r in probe.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(df) if n.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+    return F.broadcast(df)
 
 
 def _c(x) -> Column:
@@ -74,7 +52,7 @@ def daily_rows(df: DataFrame, start: str, end: str, lo: dt.date, hi: dt.date, da
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, day: str, start: str, end: str, how: str = "left",
-              window: tuple[dt.date, dt.date] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """``left`` joined to the ``right`` version valid on ``left[day]`` (J2): ``start <= day <= end``.
 
     With a known ``window`` of left days the right intervals become one row
@@ -88,7 +66,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, day: str, start: str,
     if window is not None:
         lo, hi = window
         r = daily_rows(right, start, end, lo, hi, day).select(key, day, *rcols)
-        return left.join(sized_broadcast(r, max_rows), [key, day], how)
+        return left.join(r, [key, day], how)
     r = right.select(F.col(key).alias("_asof_key"), F.col(start).alias("_asof_s"), F.col(end).alias("_asof_e"),
                      *rcols)
     cond = (left[key] == r["_asof_key"]) & left[day].between(r["_asof_s"], r["_asof_e"])

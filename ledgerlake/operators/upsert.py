@@ -22,8 +22,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import sized_broadcast
-
 
 def last_per_key(batch: DataFrame, pk: list[str], order: list[str] | Column) -> DataFrame:
     """One row per key: the row with the greatest ``order`` (a file-order column or columns)."""
@@ -35,20 +33,15 @@ def last_per_key(batch: DataFrame, pk: list[str], order: list[str] | Column) ->
     return red.select(*pk, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-# Batch key sets up to this many keys are broadcast so that target rows skip the shuffle.
-BATCH_KEY_BROADCAST_ROWS = 5_000_000
-
-
 def upsert(target: DataFrame, batch: DataFrame, pk: list[str], order: list[str] | Column) -> DataFrame:
     """Result of applying ``batch`` to ``target`` row by row in file order (see module doc).
 
-    The batch's key set is broadcast after a size check: target rows whose
-    key the batch does not touch stream through a map-side anti-join, and
-    only the touched rows are read for carried-over columns.  Beyond the
-    limit the same joins run as shuffle joins.
+    Target rows whose key the batch does not touch pass an anti-join on the
+    key, and only the touched rows are read for carried-over columns.  Spark
+    broadcasts the batch's key set where it turns out small.
     """
     new = last_per_key(batch, pk, order)
-    keys = sized_broadcast(new.select(*pk), BATCH_KEY_BROADCAST_ROWS, bound=batch)   # keys <= batch rows
+    keys = new.select(*pk)
     missing = [c for c in target.columns if c not in new.columns]
     if missing:
         old = target.join(keys, pk, "left_semi").select(*pk, *[F.col(c).alias(f"_old_{c}") for c in missing])

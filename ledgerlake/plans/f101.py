@@ -16,7 +16,7 @@ We never materialise that fan-out: turnover is pre-aggregated per account
 
 Plan shape: accounts (as of the date), balances and the month's turnover all
 join on ``account_rk`` -- one hash partitioning shared by the joins; ledger,
-currency and rates are dimensions with a checked size and are broadcast.
+currency and rates are dimensions their key domain bounds and are broadcast.
 The final group has few keys and aggregates partially map-side.
 """
 
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.calendar import py_month_bounds, py_prev_month_end
 from ledgerlake.functions.scalars import dec, fm_digits, mart_dec, typed_null
-from ledgerlake.operators.joins import asof_filter, sized_broadcasts
+from ledgerlake.operators.joins import asof_filter, bounded_broadcast
+from ledgerlake.plans.turnover import AMOUNT, RATE
 from ledgerlake.schemas import F101_COLUMNS
 
 # Currency codes that count as roubles.
@@ -47,15 +48,15 @@ def _t1(ledger: DataFrame, accounts: DataFrame, currency: DataFrame, balances: D
     cur = asof_filter(currency, on_date, "data_actual_date", "data_actual_end_date").select(
         "currency_rk", "currency_code")
     bal = balances.filter(F.col("on_date") == F.lit(py_prev_month_end(on_date))).select(
-        "account_rk", dec(F.col("balance_out"), balances.schema["balance_out"].dataType, 16, 2).alias("_bal"))
+        "account_rk", dec(F.col("balance_out"), balances.schema["balance_out"].dataType, *AMOUNT).alias("_bal"))
     rate = asof_filter(rates, on_date, "data_actual_date", "data_actual_end_date").select(
-        "currency_rk", dec(F.col("reduced_cource"), rates.schema["reduced_cource"].dataType, 10, 4).alias("_rate"))
+        "currency_rk", dec(F.col("reduced_cource"), rates.schema["reduced_cource"].dataType, *RATE).alias("_rate"))
     turn = (turnover.filter(F.col("on_date").between(F.lit(ms), F.lit(me)))
             .groupBy("account_rk")
             .agg(F.count(F.lit(1)).alias("_n"), F.sum("debet_amount_rub").alias("_deb"),
                  F.sum("credit_amount_rub").alias("_cre")))
 
-    led, cur, rate = sized_broadcasts(led, cur, rate)
+    led, cur, rate = (bounded_broadcast(x) for x in (led, cur, rate))
     base = (acc.join(led, F.col("ledger_account") == F.col("_ledger"))
             .join(cur, "currency_rk")
             .join(bal, "account_rk", "left")
@@ -63,9 +64,9 @@ def _t1(ledger: DataFrame, accounts: DataFrame, currency: DataFrame, balances: D
             .join(turn, "account_rk", "left"))
 
     if fanout == "faithful":
-        k = F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1)).cast("decimal(10,0)")
+        k = F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1)).cast("decimal(4,0)")
     elif fanout == "corrected":
-        k = F.lit(1).cast("decimal(10,0)")
+        k = F.lit(1).cast("decimal(4,0)")
     else:
         raise ValueError(f"fanout must be 'faithful' or 'corrected', not {fanout!r}")
 
@@ -84,7 +85,9 @@ def _t1(ledger: DataFrame, accounts: DataFrame, currency: DataFrame, balances: D
         F.coalesce(F.sum(F.when(rub, F.col("_cre")).otherwise(z)), z).alias("turn_cre_rub"),
         F.coalesce(F.sum(F.when(val, F.col("_cre")).otherwise(z)), z).alias("turn_cre_val"),
         F.coalesce(F.sum("_cre"), z).alias("turn_cre_total"))
-    return agg.select(F.lit(ms).alias("from_date"), F.lit(me).alias("to_date"), "*")
+    # widths that leave the roll-forward's sums and differences room, so Spark does not shorten their scale
+    wide = {c: F.col(c).cast("decimal(34,13)" if c.startswith("balance") else "decimal(28,8)").alias(c) for c in agg.columns[3:]}
+    return agg.select(F.lit(ms).alias("from_date"), F.lit(me).alias("to_date"), *agg.columns[:3], *wide.values())
 
 
 def roll_forward(t1: DataFrame) -> DataFrame:

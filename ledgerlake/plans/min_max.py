@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.extremes import extreme_rows
-from ledgerlake.operators.joins import asof_filter, sized_broadcast
+from ledgerlake.operators.joins import asof_filter, bounded_broadcast
 from ledgerlake.functions.scalars import dec
+from ledgerlake.plans.turnover import AMOUNT, RATE
 
 # The four result categories, in the reference's order.
 CATEGORIES = {
@@ -36,10 +37,10 @@ def postings_with_currency(postings: DataFrame, accounts: DataFrame, on_date: dt
     """``t1``: the day's postings with the debit account's currency, else the credit account's."""
     p = postings.filter(F.col("oper_date") == F.lit(on_date))
     acc = asof_filter(accounts, on_date, "data_actual_date", "data_actual_end_date") if as_of else accounts
-    # semi-join reduction: only the accounts the day's postings name, so the account history is not
-    # shuffled (twice) for one day; the key set is broadcast only after its size check
+    # semi-join reduction: only the accounts the day's postings name, so the account history is
+    # shuffled at most once for one day (not at all where Spark finds the key set small)
     keys = p.select(F.explode(F.array("credit_account_rk", "debet_account_rk")).alias("account_rk")).distinct()
-    acc = acc.join(sized_broadcast(keys, bound=p, per_bound_row=2), "account_rk", "left_semi")
+    acc = acc.join(keys, "account_rk", "left_semi")
     deb = acc.select(F.col("account_rk").alias("_d_rk"), F.col("currency_rk").alias("_d_cur"),
                      F.col("currency_code").alias("_d_code"))
     cre = acc.select(F.col("account_rk").alias("_c_rk"), F.col("currency_rk").alias("_c_cur"),
@@ -57,11 +58,11 @@ def postings_in_rub(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     t1 = postings_with_currency(postings, accounts, on_date, as_of)
     r = asof_filter(rates, on_date, "data_actual_date", "data_actual_end_date").select(
         F.col("currency_rk").alias("_r_cur"),
-        dec(F.col("reduced_cource"), rates.schema["reduced_cource"].dataType, 10, 4).alias("_rate"))
-    j = t1.join(sized_broadcast(r), t1.currency_rk == F.col("_r_cur"), "left")
+        dec(F.col("reduced_cource"), rates.schema["reduced_cource"].dataType, *RATE).alias("_rate"))
+    j = t1.join(bounded_broadcast(r), t1.currency_rk == F.col("_r_cur"), "left")
     k = F.coalesce(F.col("_rate"), F.lit(1))
-    c_amt = dec(F.col("credit_amount"), t1.schema["credit_amount"].dataType, 16, 2)
-    d_amt = dec(F.col("debet_amount"), t1.schema["debet_amount"].dataType, 16, 2)
+    c_amt = dec(F.col("credit_amount"), t1.schema["credit_amount"].dataType, *AMOUNT)
+    d_amt = dec(F.col("debet_amount"), t1.schema["debet_amount"].dataType, *AMOUNT)
     return j.select(F.col("oper_date").alias("Entered_date"), F.col("credit_account_rk").alias("credit_accnt_rk"),
                     F.col("debet_account_rk").alias("debet_accnt_rk"), (c_amt * k).alias("credit_amnt_rub"),
                     (d_amt * k).alias("debet_amnt_rub"), F.col("currency_code").alias("currency"))

@@ -29,7 +29,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.joins import sized_broadcast
 from ledgerlake.operators.latest import keep_newest_batch, latest_per_key
 from ledgerlake.schemas import DELTA_LOG
 from ledgerlake.sinks.store import AppendLog, VersionedTable
@@ -39,8 +38,6 @@ from ledgerlake.sources.local import rows_frame
 
 DELTA_COL = "delta_id"
 SEED_TAG = -1
-# Delta key sets up to this many keys are broadcast for the pass-through of untouched mirror rows.
-DELTA_KEY_BROADCAST_ROWS = 5_000_000
 
 
 def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode: str = "faithful",
@@ -63,14 +60,14 @@ def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode
         # stored tags: a session's rows replace whatever the mirror holds under the same session id, so
         # replaying a batch (a stream restarted after its mirror write, before its checkpoint) cannot
         # duplicate rows.  (An untagged mirror is tagged -1 below, which no session id equals.)
-        ids = sized_broadcast(delta_rows.select(delta_col).distinct())        # one row per session
+        ids = delta_rows.select(delta_col).distinct()                         # one row per session
         mirror = mirror.join(ids, delta_col, "left_anti").select(*mirror.columns)
     else:
         mirror = mirror.withColumn(delta_col, F.lit(SEED_TAG))
     if mode == "faithful":
-        # keys no delta touches keep their rows as they are: a map-side anti-join against the
-        # (size-checked, broadcast) delta key set lets those rows bypass the shuffle entirely
-        dkeys = sized_broadcast(delta_rows.select(*keys).distinct(), DELTA_KEY_BROADCAST_ROWS, bound=delta_rows)
+        # keys no delta touches keep their rows as they are; where the delta key set turns out small, Spark
+        # makes this a map-side anti-join and those rows never reach a shuffle
+        dkeys = delta_rows.select(*keys).distinct()
         hit = reduce(lambda a, b: a & b, [mirror[k].eqNullSafe(dkeys[k]) for k in keys])
         untouched = mirror.join(dkeys, hit, "left_anti")
         touched = mirror.join(dkeys, hit, "left_semi").unionByName(delta_rows, allowMissingColumns=True)

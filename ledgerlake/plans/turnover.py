@@ -16,9 +16,9 @@ hot account that holds a third of all postings sends one row per map task,
 not a third of the data.  Multiplying by the rate after the sum is exact in
 decimal arithmetic (``sum(a_i) * r = sum(a_i * r)``), and a version/rate
 fan-out multiplies both forms alike.  The per-day rate lookup is a pure
-equi-join on (currency, day) against a size-checked broadcast; the account
-versions of the window (only those opened inside the month count) share the
-same size-check job and are broadcast too when small.
+equi-join on (currency, day) against a broadcast that currencies x days bound,
+so a currency holding most rows never meets in one task.  The account versions
+of the window join as Spark sees fit (by bytes, at run time).
 """
 
 from __future__ import annotations
@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.calendar import py_month_bounds
 from ledgerlake.functions.scalars import dec, mart_dec
-from ledgerlake.operators.joins import daily_rows, sized_broadcasts
+from ledgerlake.operators.joins import bounded_broadcast, daily_rows
 
-AMOUNT = (16, 2)
-RATE = (10, 4)
+# Doubles of the detail layer become decimals that keep 8 decimals of an amount and 10 of a rate; a product keeps at
+# least 13 decimals and is rounded once, to the mart's 8.
+AMOUNT = (21, 8)
+RATE = (16, 10)
 
 
 def _amount(df: DataFrame, name: str):
@@ -84,9 +86,9 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     legs = posting_legs(postings, d_from, d_to)
     pre = legs.groupBy("oper_date", "account_rk").agg(F.sum("credit_amount").alias("_c"),
                                                       F.sum("debet_amount").alias("_d"))
-    # only versions opened inside the month count (P3), usually a small slice of the accounts: when the
-    # size check passes, the pre-aggregated legs join map-side and keep their (day, account) partitioning
-    acc, day_rates = sized_broadcasts(accounts_for_window(accounts, d_from, d_to), daily_rates(rates, d_from, d_to))
+    pre = pre.select("oper_date", "account_rk", mart_dec(F.col("_c")).alias("_c"), mart_dec(F.col("_d")).alias("_d"))
+    acc = accounts_for_window(accounts, d_from, d_to)
+    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to))          # currencies x days of the window
     j = pre.join(acc, "account_rk").filter(_asof_in_month())
     j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))
@@ -106,7 +108,8 @@ def turnover_legs(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     """The reference's ``wt_turn`` rows before grouping: one row per matched leg."""
     d_to = d_to or d_from
     legs = posting_legs(postings, d_from, d_to)
-    acc, day_rates = sized_broadcasts(accounts_for_window(accounts, d_from, d_to), daily_rates(rates, d_from, d_to))
+    acc = accounts_for_window(accounts, d_from, d_to)
+    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to))
     j = legs.join(acc, "account_rk").filter(_asof_in_month())
     j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))

@@ -19,10 +19,10 @@ from ledgerlake.compare import for_compare
 from ledgerlake.functions import calendar as cal
 from ledgerlake.functions.scalars import fm_digits
 from ledgerlake.operators.extremes import extreme_rows
-from ledgerlake.operators.joins import asof_join, sized_broadcast
+from ledgerlake.operators.joins import asof_join, bounded_broadcast
 from ledgerlake.plans import f101 as f101_plan
 from ledgerlake.plans import min_max, turnover
-from ledgerlake.sources.bank_views import MONTH_START, REPORT_DATE, BankTables
+from ledgerlake.sources.bank_views import MONTH_START, REPORT_DATE, BankTables, FineBank
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -116,22 +116,20 @@ def account_asof_inner(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 2. turnover
-@register("turnover_day", O.with_prelude(O.wt_turn("1998-01-20", "1998-01-20"), O.turnover_cte("", ""),
-                                         body=O.TURN_OUT + " FROM turnover"))
+@register("turnover_day", O.with_prelude(O.turnover_of("1998-01-20", "1998-01-20"), body=O.TURN_OUT + " FROM turnover"))
 def turnover_day(spark, sf_dir):
     """L2: the turnover mart rows of one day."""
     b = bank(spark, sf_dir)
     return turnover.account_turnover(b.ft_posting_f(), b.md_account_d(), b.md_exchange_rate_d(), TURNOVER_DAY)
 
 
-@register("turnover_month", O.with_prelude(O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""),
-                                           body=O.TURN_OUT + " FROM turnover"))
+@register("turnover_month", O.with_prelude(O.turnover_of("1998-01-01", "1998-01-31"), body=O.TURN_OUT + " FROM turnover"))
 def turnover_month(spark, sf_dir):
     """L3: the turnover mart for every day of the month, as one job."""
     return _turnover_month(bank(spark, sf_dir))
 
 
-@register("turnover_legs", O.with_prelude(O.wt_turn("1998-01-01", "1998-01-31"), body=O.TURN_OUT + " FROM wt_turn"))
+@register("turnover_legs", O.with_prelude(O.priced_legs("1998-01-01", "1998-01-31"), body=O.LEGS_OUT))
 def turnover_legs(spark, sf_dir):
     """U1 + P10: the credit and debit legs before grouping, NULL on the other side."""
     b = bank(spark, sf_dir)
@@ -140,33 +138,32 @@ def turnover_legs(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 3. form 101
-F101_CTES = (O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""))
+JANUARY = O.turnover_of("1998-01-01", "1998-01-31")
 
 
-@register("f101_faithful", O.with_prelude(*F101_CTES, O.f101_t1("1998-01-31"), O.F101_ROLL, body=O.f101_out()))
+@register("f101_faithful", O.with_prelude(JANUARY, O.form101("1998-01-31"), body=O.f101_out()))
 def f101_faithful(spark, sf_dir):
     """L4 as the reference computes it: opening balances counted once per turnover day (Q1)."""
     return _f101(bank(spark, sf_dir), "faithful")
 
 
-@register("f101_corrected", O.with_prelude(*F101_CTES, O.f101_t1("1998-01-31", fanout=False), O.F101_ROLL,
-                                           body=O.f101_out()))
+@register("f101_corrected", O.with_prelude(JANUARY, O.form101("1998-01-31", fanout=False), body=O.f101_out()))
 def f101_corrected(spark, sf_dir):
     """L4 with each opening balance counted once."""
     return _f101(bank(spark, sf_dir), "corrected")
 
 
-@register("f101_balance_in", O.with_prelude(*F101_CTES, O.f101_t1("1998-01-31", fanout=False), body="""
+@register("f101_balance_in", O.with_prelude(JANUARY, O.form101("1998-01-31", fanout=False), body="""
 SELECT chapter, ledger_account, characteristic, CAST(balance_in_rub AS DOUBLE) AS balance_in_rub,
        CAST(balance_in_val AS DOUBLE) AS balance_in_val, CAST(balance_in_total AS DOUBLE) AS balance_in_total
-FROM t1"""))
+FROM f101"""))
 def f101_balance_in(spark, sf_dir):
     """A2 + P4/P5/P7: conditional opening-balance sums; NULL codes fall in neither rub nor val."""
     return _f101(bank(spark, sf_dir), "corrected").select(
         "chapter", "ledger_account", "characteristic", "balance_in_rub", "balance_in_val", "balance_in_total")
 
 
-@register("f101_roll_forward", O.with_prelude(*F101_CTES, O.f101_t1("1998-01-31"), O.F101_ROLL, body="""
+@register("f101_roll_forward", O.with_prelude(JANUARY, O.form101("1998-01-31"), body="""
 SELECT chapter, ledger_account, characteristic, CAST(balance_out_rub AS DOUBLE) AS balance_out_rub,
        CAST(balance_out_val AS DOUBLE) AS balance_out_val, CAST(balance_out_total AS DOUBLE) AS balance_out_total
 FROM f101"""))
@@ -187,10 +184,10 @@ def ledger_expr_join(spark, sf_dir):
                                          fm_digits(F.col("ledger_account")).alias("_k"))
     acc = b.md_account_d().select("account_rk", "data_actual_date",
                                   F.substring("account_number", 1, 5).alias("_k"))
-    return acc.join(sized_broadcast(led), "_k").select("ledger_account", "chapter", "account_rk", "data_actual_date")
+    return acc.join(bounded_broadcast(led), "_k").select("ledger_account", "chapter", "account_rk", "data_actual_date")
 
 
-@register("f101_null_r_cols", O.with_prelude(*F101_CTES, O.f101_t1("1998-01-31"), O.F101_ROLL, body="""
+@register("f101_null_r_cols", O.with_prelude(JANUARY, O.form101("1998-01-31"), body="""
 SELECT ledger_account, characteristic, """ + ", ".join(f"CAST(NULL AS DOUBLE) AS r_{m}" for m in O.F101_MEASURES)
                                              + " FROM f101"))
 def f101_null_r_cols(spark, sf_dir):
@@ -199,7 +196,7 @@ def f101_null_r_cols(spark, sf_dir):
         "ledger_account", "characteristic", *[f"r_{m}" for m in O.F101_MEASURES])
 
 
-@register("f101_mid_month", O.with_prelude(*F101_CTES, O.f101_t1("1998-01-15"), O.F101_ROLL, body=O.f101_out()))
+@register("f101_mid_month", O.with_prelude(JANUARY, O.form101("1998-01-15"), body=O.f101_out()))
 def f101_mid_month(spark, sf_dir):
     """L4 with a report date inside the month: dimensions and rates as of the 15th (the second
     version of a split account is not yet valid), turnover still over the whole month."""
@@ -208,56 +205,32 @@ def f101_mid_month(spark, sf_dir):
                           b.md_exchange_rate_d(), _turnover_month(b), dt.date(1998, 1, 15), "faithful")
 
 
+@register("f101_fine_rates", O.with_prelude(
+    O.FINE, O.turnover_of("1998-01-01", "1998-01-31", postings="ft_posting_fine", rates="md_rate_fine"),
+    O.form101("1998-01-31", balances="ft_balance_fine", rates="md_rate_fine"), body=O.f101_out(rounded=True)))
+def f101_fine_rates(spark, sf_dir):
+    """L4 over the loader's doubles with 8-decimal rates and 3-decimal amounts: nothing is cut before the product."""
+    b = FineBank(spark, sf_dir)
+    return _f101(b, "faithful")
+
+
+@register("turnover_fine_rates", O.with_prelude(
+    O.FINE, O.turnover_of("1998-01-01", "1998-01-31", postings="ft_posting_fine", rates="md_rate_fine"),
+    body=O.TURN_OUT + " FROM turnover"))
+def turnover_fine_rates(spark, sf_dir):
+    """L3 over the loader's doubles with 8-decimal rates and 3-decimal amounts."""
+    return _turnover_month(FineBank(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- 4. min / max postings
-MM_T1 = """t1 AS (
-  SELECT oper_date, credit_account_rk, debet_account_rk, credit_amount, debet_amount,
-         COALESCE(ac.currency_rk, ac_.currency_rk) AS currency_rk,
-         COALESCE(ac.currency_code, ac_.currency_code) AS currency_code
-  FROM ft_posting_f p
-  LEFT JOIN md_account_d ac ON p.debet_account_rk = ac.account_rk
-  LEFT JOIN md_account_d ac_ ON p.credit_account_rk = ac_.account_rk
-  WHERE oper_date = DATE '1998-01-20')"""
-MM_T2 = """t2 AS (
-  SELECT oper_date, credit_account_rk, debet_account_rk,
-         credit_amount * COALESCE(er.reduced_cource, 1) AS credit_amount_rub,
-         debet_amount * COALESCE(er.reduced_cource, 1) AS debet_amount_rub,
-         t1.currency_rk, t1.currency_code
-  FROM t1 LEFT JOIN md_exchange_rate_d er ON er.currency_rk = t1.currency_rk
-       AND DATE '1998-01-20' BETWEEN er.data_actual_date AND er.data_actual_end_date)"""
-
-
-def _mm_branch(tag: str, col: str, fn: str) -> str:
-    return (f"SELECT '{tag}' AS \"Category\", CAST(oper_date AS VARCHAR) AS \"Entered_date\", "
-            f"credit_account_rk AS credit_accnt_rk, debet_account_rk AS debet_accnt_rk, "
-            f"CAST(credit_amount_rub AS DOUBLE) AS credit_amnt_rub, CAST(debet_amount_rub AS DOUBLE) AS debet_amnt_rub, "
-            f"currency_code AS currency FROM t2 WHERE {col} = (SELECT {fn}({col}) FROM t2)")
-
-
-@register("min_max_posting", O.with_prelude(MM_T1, MM_T2, body="\nUNION ALL\n".join([
-    _mm_branch("Min_credit_amount_rub", "credit_amount_rub", "min"),
-    _mm_branch("Max_credit_amount_rub", "credit_amount_rub", "max"),
-    _mm_branch("Min_debet_amount_rub", "debet_amount_rub", "min"),
-    _mm_branch("Max_debet_amount_rub", "debet_amount_rub", "max")])))
+@register("min_max_posting", O.with_prelude(O.day_extremes("1998-01-20"), body=O.EXTREMES_OUT))
 def min_max_posting(spark, sf_dir):
     """The day's smallest and largest credit and debit postings in roubles, ties included."""
     b = bank(spark, sf_dir)
     return min_max.min_max_posting(b.ft_posting_f(), b.md_account_d(), b.md_exchange_rate_d(), MINMAX_DATE)
 
 
-MM_T1_ASOF = MM_T1.replace(
-    "LEFT JOIN md_account_d ac ON p.debet_account_rk = ac.account_rk",
-    "LEFT JOIN md_account_d ac ON p.debet_account_rk = ac.account_rk\n"
-    "       AND DATE '1998-01-20' BETWEEN ac.data_actual_date AND ac.data_actual_end_date").replace(
-    "LEFT JOIN md_account_d ac_ ON p.credit_account_rk = ac_.account_rk",
-    "LEFT JOIN md_account_d ac_ ON p.credit_account_rk = ac_.account_rk\n"
-    "       AND DATE '1998-01-20' BETWEEN ac_.data_actual_date AND ac_.data_actual_end_date")
-
-
-@register("min_max_asof", O.with_prelude(MM_T1_ASOF, MM_T2, body="\nUNION ALL\n".join([
-    _mm_branch("Min_credit_amount_rub", "credit_amount_rub", "min"),
-    _mm_branch("Max_credit_amount_rub", "credit_amount_rub", "max"),
-    _mm_branch("Min_debet_amount_rub", "debet_amount_rub", "min"),
-    _mm_branch("Max_debet_amount_rub", "debet_amount_rub", "max")])))
+@register("min_max_asof", O.with_prelude(O.day_extremes("1998-01-20", asof=True), body=O.EXTREMES_OUT))
 def min_max_asof(spark, sf_dir):
     """L5 with ``as_of=True``: accounts looked up as of the day, so split accounts do not double rows (Q4 fixed)."""
     b = bank(spark, sf_dir)
@@ -265,6 +238,14 @@ def min_max_asof(spark, sf_dir):
                                    as_of=True)
 
 
+@register("min_max_fine_rates", O.with_prelude(
+    O.FINE, O.day_extremes("1998-01-20", postings="ft_posting_fine", rates="md_rate_fine"), body=O.EXTREMES_OUT))
+def min_max_fine_rates(spark, sf_dir):
+    """L5 over the loader's doubles with 8-decimal rates and 3-decimal amounts."""
+    b = FineBank(spark, sf_dir)
+    return min_max.min_max_posting(b.ft_posting_f(), b.md_account_d(), b.md_exchange_rate_d(), MINMAX_DATE)
+
+
 @register("min_max_ties", O.with_prelude("""m AS (
   SELECT * FROM ft_posting_f WHERE oper_date BETWEEN DATE '1998-01-01' AND DATE '1998-01-31')""", body="""
 SELECT 'Min_credit' AS tag, CAST(oper_date AS VARCHAR) AS oper_date, credit_account_rk, debet_account_rk,
@@ -284,10 +265,10 @@ def min_max_ties(spark, sf_dir):
     return out.select("tag", "oper_date", "credit_account_rk", "debet_account_rk", "credit_amount")
 
 
-@register("double_lookup_coalesce", O.with_prelude(MM_T1, body="""
+@register("double_lookup_coalesce", O.with_prelude(O.day_extremes("1998-01-20"), body="""
 SELECT CAST(oper_date AS VARCHAR) AS oper_date, credit_account_rk, debet_account_rk,
        CAST(credit_amount AS DOUBLE) AS credit_amount, CAST(debet_amount AS DOUBLE) AS debet_amount,
-       currency_rk, currency_code FROM t1"""))
+       currency_rk, currency_code FROM day_postings"""))
 def double_lookup_coalesce(spark, sf_dir):
     """J7 + P8: two left lookups of the same dimension without as-of; debit currency first."""
     b = bank(spark, sf_dir)

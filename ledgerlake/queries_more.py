@@ -84,9 +84,8 @@ D10, D20 = dt.date(1998, 1, 10), dt.date(1998, 1, 20)
 
 
 @register("replace_day_range", O.with_prelude(
-    FINAL_POSTINGS, O.wt_turn("1998-01-01", "1998-01-31", "wt_first", "ft_posting_final"),
-    O.turnover_cte("", "", "turn_first", "wt_first"), O.wt_turn("1998-01-10", "1998-01-20", "wt_rerun"),
-    O.turnover_cte("", "", "turn_rerun", "wt_rerun"), body=O.TURN_OUT + """ FROM (
+    FINAL_POSTINGS, O.turnover_of("1998-01-01", "1998-01-31", "turn_first", "ft_posting_final"),
+    O.turnover_of("1998-01-10", "1998-01-20", "turn_rerun"), body=O.TURN_OUT + """ FROM (
   SELECT * FROM turn_first WHERE on_date NOT BETWEEN DATE '1998-01-10' AND DATE '1998-01-20'
   UNION ALL SELECT * FROM turn_rerun) t"""))
 def replace_day_range(spark, sf_dir):
@@ -105,9 +104,8 @@ DEC_DATE = dt.date(1997, 12, 31)
 
 
 @register("replace_month", O.with_prelude(
-    O.wt_turn("1997-12-01", "1997-12-31", "wt_dec"), O.turnover_cte("", "", "turn_dec", "wt_dec"),
-    O.f101_t1("1997-12-31", True, "turn_dec", "t1_dec"), O.f101_roll("f_dec", "t1_dec"),
-    O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""), O.f101_t1("1998-01-31"), O.F101_ROLL,
+    O.turnover_of("1997-12-01", "1997-12-31", "turn_dec"), O.form101("1997-12-31", True, "turn_dec", "f_dec"),
+    O.turnover_of("1998-01-01", "1998-01-31"), O.form101("1998-01-31"),
     body=O.f101_out("f_dec") + "\nUNION ALL\n" + O.f101_out("f101")))
 def replace_month(spark, sf_dir):
     """A mart holding December and a first (corrected) January; January is replaced by the
@@ -128,7 +126,7 @@ def replace_month(spark, sf_dir):
     return store.read()
 
 
-@register("row_count_observed", O.with_prelude(O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""), body="""
+@register("row_count_observed", O.with_prelude(O.turnover_of("1998-01-01", "1998-01-31"), body="""
 SELECT 'dm_account_turnover_f' AS table_name, count(*) AS rows_affected FROM turnover"""))
 def row_count_observed(spark, sf_dir):
     """Rows written, observed on the write itself (no second count job)."""
@@ -321,7 +319,7 @@ def global_count(spark, sf_dir):
 
 # ---------------------------------------------------------------- 8. files
 @register("export_import_roundtrip", O.with_prelude(
-    O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""), O.f101_t1("1998-01-31"), O.F101_ROLL,
+    O.turnover_of("1998-01-01", "1998-01-31"), O.form101("1998-01-31"),
     body=O.f101_out()))
 def export_import_roundtrip(spark, sf_dir):
     """W9 + W12 + S15: form 101 exported to one ';' CSV with header, imported into a table LIKE it."""
@@ -474,7 +472,7 @@ def scalar_strings(spark, sf_dir):
                     F.lower("char_type").alias("kind"))
 
 
-@register("scalar_conditional", O.with_prelude(O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""), body="""
+@register("scalar_conditional", O.with_prelude(O.turnover_of("1998-01-01", "1998-01-31"), body="""
 SELECT CAST(on_date AS VARCHAR) AS on_date, account_rk,
        CAST(debet_amount_rub - credit_amount_rub AS DOUBLE) AS net_rub,
        CASE WHEN debet_amount_rub > credit_amount_rub THEN 'D' WHEN debet_amount_rub < credit_amount_rub THEN 'C'
@@ -490,7 +488,7 @@ def scalar_conditional(spark, sf_dir):
                     F.coalesce(F.nullif(F.col("credit_amount"), F.lit(0)), F.col("debet_amount")).alias("first_nonzero"))
 
 
-@register("sorted_limit", O.with_prelude(O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""),
+@register("sorted_limit", O.with_prelude(O.turnover_of("1998-01-01", "1998-01-31"),
                                          body=O.TURN_OUT + """ FROM turnover
 ORDER BY credit_amount_rub DESC, account_rk, on_date LIMIT 10"""))
 def sorted_limit(spark, sf_dir):
@@ -500,8 +498,8 @@ def sorted_limit(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 11. the whole run
-@register("run_all", O.with_prelude(O.wt_turn("1998-01-01", "1998-01-31"), O.turnover_cte("", ""),
-                                    O.f101_t1("1998-01-31"), O.F101_ROLL, body=O.f101_out()))
+@register("run_all", O.with_prelude(O.turnover_of("1998-01-01", "1998-01-31"),
+                                    O.form101("1998-01-31"), body=O.f101_out()))
 def run_all(spark, sf_dir):
     """Turnover -> form 101 -> CSV export -> import into the copy table (+ min/max report);
     returns the imported copy."""

@@ -156,6 +156,30 @@ class BankTables:
             F.lit(OPEN_DIM[0]).alias("start_date"), F.lit(OPEN_DIM[1]).alias("end_date")).distinct()
 
 
+class FineBank(BankTables):
+    """The same bank with 3-decimal amounts and small 8-decimal rates, as the doubles a detail file loads as."""
+
+    def _milli(self, amount: str, extra: Column) -> Column:
+        return (F.col(amount) + extra.cast("decimal(4,0)") * F.lit(0.001).cast("decimal(4,3)")).cast("double").alias(amount)
+
+    def ft_posting_f(self, order_status: str | None = None) -> DataFrame:
+        p = super().ft_posting_f(order_status)
+        return p.select("oper_date", "credit_account_rk", "debet_account_rk",
+                        self._milli("credit_amount", F.col("credit_account_rk") % 10),
+                        self._milli("debet_amount", F.col("debet_account_rk") % 9 + 1))
+
+    def ft_balance_f(self) -> DataFrame:
+        return super().ft_balance_f().select("on_date", "account_rk", "currency_rk",
+                                             self._milli("balance_out", F.col("account_rk") % 10))
+
+    def md_exchange_rate_d(self) -> DataFrame:
+        r = super().md_exchange_rate_d()
+        small = (F.col("reduced_cource") * F.lit(0.001).cast("decimal(4,3)")).cast("decimal(12,8)")
+        tail = ((F.col("currency_rk") * 1237 + F.dayofmonth("data_actual_date") * 7919).cast("decimal(8,0)")
+                * F.lit(0.00000001).cast("decimal(9,8)"))
+        return r.select("data_actual_date", "data_actual_end_date", "currency_rk", (small + tail).cast("double").alias("reduced_cource"))
+
+
 def month_end_py(d: dt.date) -> dt.date:
     nxt = (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
     return nxt - dt.timedelta(days=1)

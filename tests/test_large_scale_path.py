@@ -1,14 +1,13 @@
-"""The plans a 100 TB run takes: every size check fails, nothing is broadcast, joins shuffle.
+"""The plans a 100 TB run takes: nothing is broadcast, joins shuffle.
 
-All checked broadcasts are declined and Spark's own broadcast thresholds are
-off; the core queries must still equal their oracles, and their plans must
-contain no broadcast join.
+Spark's own broadcast thresholds are off and the hints of bounded dimensions
+are taken away; the core queries must still equal their oracles, and their
+plans must contain no broadcast join.
 """
 
 import pytest
 import __spark_entry__ as E
-from ledgerlake.operators import joins, upsert as upsert_mod
-from ledgerlake.plans import f101, min_max, mirror, turnover
+from ledgerlake.plans import f101, min_max, turnover
 from ledgerlake import queries
 from test_oracle import SF, TABLES, _bag, plan_text
 
@@ -17,21 +16,10 @@ KEYS = ["turnover_month", "turnover_legs", "asof_rate_left", "f101_faithful", "f
         "run_all", "min_max_asof", "f101_mid_month"]
 
 
-def _never(df, *a, **k):
-    return df
-
-
-def _never_many(*dfs, **k):
-    return list(dfs)
-
-
 @pytest.fixture()
 def no_broadcast(spark, monkeypatch):
-    for mod in (turnover, f101, min_max, mirror, upsert_mod, queries, joins):
-        if hasattr(mod, "sized_broadcast"):
-            monkeypatch.setattr(mod, "sized_broadcast", _never)
-        if hasattr(mod, "sized_broadcasts"):
-            monkeypatch.setattr(mod, "sized_broadcasts", _never_many)
+    for mod in (turnover, f101, min_max, queries):
+        monkeypatch.setattr(mod, "bounded_broadcast", lambda df: df)
     old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     for k in old:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.scalars import fm_digits
 from ledgerlake.operators.chunks import split_chunks
 from ledgerlake.operators.extremes import extreme_rows
-from ledgerlake.operators.joins import daily_rows, sized_broadcast
+from ledgerlake.operators.joins import daily_rows
 from ledgerlake.operators.latest import keep_newest_batch, latest_per_key
 from ledgerlake.operators.upsert import duplicate_keys, replace_where, upsert
 from ledgerlake.plans.f101 import roll_forward
@@ -140,16 +140,6 @@ def test_daily_rows_clip_to_window_and_ignore_null_end(spark):
     assert out == [(1, D(2018, 1, 1)), (1, D(2018, 1, 2))]
 
 
-def test_sized_broadcast_falls_back_beyond_the_limit(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    j_small = spark.range(1000).join(sized_broadcast(small, 50), "id")
-    j_big = spark.range(1000).join(sized_broadcast(big, 50), "id")
-    assert j_small.count() == 10 and j_big.count() == 100
-    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_positional_union_takes_mirror_names_in_file_order(spark):
     mirror = spark.createDataFrame([(1, "a")], "k int, v string")
     deltas = spark.createDataFrame([("b", 1, 1000)], "v string, k int, delta_id int")
