@@ -1,9 +1,10 @@
 """``run_all`` (L11): the reference's task graph as one plain function.
 
-Order as in the reference: detail layer stored -> turnover for the month ->
-form 101 -> export to CSV -> import into a copy table; min/max postings of a
-day after the detail layer, exported as ``report_min_max_<date>.csv``.  Every
-step logs a BEGIN/END row with the run id taken once at the start.  The
+Order as in the reference: detail files loaded (``run_all_from_files``) ->
+turnover for the month -> form 101 -> export to CSV -> import into a copy
+table; min/max postings of a day after the detail layer, exported as
+``report_min_max_<date>.csv``.  Every step logs a BEGIN and an END row with
+the rows it affected and the run id taken once at the start.  The
 turnover mart is partitioned by day and a rerun replaces exactly the days of
 the range (W2); the small form-101 mart is a versioned table whose month is
 replaced (W3).  Both make a rerun idempotent.  There is no scheduler: Spark already runs each step's stages in
@@ -13,16 +14,18 @@ parallel; the steps themselves depend on each other.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.calendar import py_month_bounds
+from ledgerlake.functions.calendar import py_month_bounds, py_prev_month_end
 from ledgerlake.operators.upsert import replace_where
 from ledgerlake.plans import exchange, f101 as f101_plan, min_max, runlog, turnover
-from ledgerlake.schemas import DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, LOG_INFO
-from ledgerlake.sinks.store import AppendLog, PartitionedTable, VersionedTable
+from ledgerlake.plans.loader import detail_table, load_table
+from ledgerlake.schemas import DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, TABLES
+from ledgerlake.sinks.store import PartitionedTable, VersionedTable
 
 
 @dataclass
@@ -47,40 +50,66 @@ class RunOutput:
 
 
 def run_all(spark: SparkSession, ds: DetailLayer, work: str, on_date: dt.date, min_max_date: dt.date,
-            fanout: str = "faithful", clock=dt.datetime.now) -> RunOutput:
+            fanout: str = "faithful", clock=dt.datetime.now, log: runlog.RunLogger | None = None) -> RunOutput:
     work = work.rstrip("/")
-    log_path = f"{work}/logs/log_info"
-    run_id = runlog.next_run_id(AppendLog(spark, log_path, LOG_INFO).read())
-
-    def log(msg: str, event: str, rows: int | None = None) -> None:
-        runlog.write_log(spark, log_path, msg, run_id, event, rows, clock=clock)
-
+    log = log or runlog.RunLogger(spark, f"{work}/logs/log_info", clock)
     ms, me = py_month_bounds(on_date)
 
-    log(f"[BEGIN] looped_fill_turnover(date_to => {on_date.isoformat()})", "turnover")
-    turn_store = PartitionedTable(spark, f"{work}/dm/dm_account_turnover_f", "on_date", DM_ACCOUNT_TURNOVER_F)
-    turn_store.replace_range(turnover.account_turnover(ds.postings, ds.accounts, ds.rates, ms, on_date), ms, on_date)
+    with log.step(f"looped_fill_turnover(date_to => {on_date.isoformat()})", "turnover") as done:
+        turn_store = PartitionedTable(spark, f"{work}/dm/dm_account_turnover_f", "on_date", DM_ACCOUNT_TURNOVER_F)
+        done["rows"] = turn_store.replace_range(
+            turnover.account_turnover(ds.postings, ds.accounts, ds.rates, ms, on_date), ms, on_date)
     turn = turn_store.read()
-    log("[END] turnover", "turnover")
 
-    log(f"[BEGIN] fill_f101_round_f(i_OnDate => {on_date.isoformat()})", "f101")
-    f_store = VersionedTable(spark, f"{work}/dm/dm_f101_round_f", DM_F101_ROUND_F)
-    new_f = f101_plan.f101(ds.ledger, ds.accounts, ds.currency, ds.balances, ds.rates, turn, on_date, fanout)
-    month = (F.col("from_date") == F.lit(ms)) & (F.col("to_date") == F.lit(me))
-    f_store.write(replace_where(f_store.read(), new_f, month))
+    with log.step(f"fill_f101_round_f(i_OnDate => {on_date.isoformat()})", "f101") as done:
+        f_store = VersionedTable(spark, f"{work}/dm/dm_f101_round_f", DM_F101_ROUND_F)
+        seen = Observation(f"f101_{uuid.uuid4().hex[:8]}")
+        new_f = f101_plan.f101(ds.ledger, ds.accounts, ds.currency, ds.balances, ds.rates, turn_store.read(ms, me), on_date,
+                               fanout).observe(seen, F.count(F.lit(1)).alias("rows"))
+        month = (F.col("from_date") == F.lit(ms)) & (F.col("to_date") == F.lit(me))
+        f_store.write(replace_where(f_store.read(), new_f, month))
+        done["rows"] = int(seen.get["rows"])
     f = f_store.read()
-    log("[END] f101", "f101")
 
-    csv_dir = f"{work}/export/report_f101_f-run{run_id}.csv"
-    exchange.export_csv(f, csv_dir)
-    log(f"Copy table to csv (file_path = {csv_dir})", "save_f101_f")
+    csv_dir = f"{work}/export/report_f101_f-run{log.run_id}.csv"
+    with log.step(f"Copy table to csv (file_path = {csv_dir})", "save_f101_f"):
+        exchange.export_csv(f, csv_dir)
     copy_store = VersionedTable(spark, f"{work}/dm/dm_f101_round_f_v2", DM_F101_ROUND_F)
-    copy_store.write(exchange.import_csv(spark, csv_dir, DM_F101_ROUND_F))
-    log(f"Copy data from csv to table (copy_from_csv = {csv_dir})", "load_f101_f_copy")
+    with log.step(f"Copy data from csv to table (copy_from_csv = {csv_dir})", "load_f101_f_copy"):
+        copy_store.write(exchange.import_csv(spark, csv_dir, DM_F101_ROUND_F))
 
     mm = min_max.min_max_posting(ds.postings, ds.accounts, ds.rates, min_max_date)
-    mm_csv = f"{work}/export/report_min_max_{min_max_date.isoformat()}-run{run_id}.csv"
-    exchange.export_csv(mm, mm_csv)
-    log(f"Call min_max_posting and save result (save_to_file = {mm_csv})", "min_max_posting")
+    mm_csv = f"{work}/export/report_min_max_{min_max_date.isoformat()}-run{log.run_id}.csv"
+    with log.step(f"Call min_max_posting and save result (save_to_file = {mm_csv})", "min_max_posting"):
+        exchange.export_csv(mm, mm_csv)
+
+    return RunOutput(log.run_id, turn, f, copy_store.read(), mm, csv_dir, mm_csv)
 
-    return RunOutput(run_id, turn, f, copy_store.read(), mm, csv_dir, mm_csv)
+
+def run_all_from_files(spark: SparkSession, files: dict[str, str], work: str, on_date: dt.date, min_max_date: dt.date,
+                       fanout: str = "faithful", encoding: str = "cp866", bad_values: str = "fail",
+                       clock=dt.datetime.now) -> RunOutput:
+    """Load the six detail files (table name -> path) into ``<work>/ds``, each with its log rows, then ``run_all``."""
+    work = work.rstrip("/")
+    log = runlog.RunLogger(spark, f"{work}/logs/log_info", clock)
+    unknown = sorted(set(files) ^ set(TABLES))
+    if unknown:
+        raise ValueError(f"one file for each of {sorted(TABLES)} is needed; differs in {unknown}")
+    for name, spec in TABLES.items():
+        with log.step(f"load {name}", "load") as done:
+            done["rows"] = load_table(spark, spec, files[name], f"{work}/ds/{name}", encoding, bad_values).rows_in_file
+    return run_all(spark, stored_layer(spark, f"{work}/ds", on_date, min_max_date), work, on_date, min_max_date, fanout, clock, log)
+
+
+def stored_layer(spark: SparkSession, ds_dir: str, on_date: dt.date, min_max_date: dt.date) -> DetailLayer:
+    """The detail layer that ``load_table`` stored below ``ds_dir``; of the facts only the days the run reads."""
+    first, _ = py_month_bounds(on_date)
+    month = [first + dt.timedelta(days=i) for i in range((on_date - first).days + 1)]
+    days = {"ft_posting_f": [*month, min_max_date], "ft_balance_f": [py_prev_month_end(on_date)]}
+
+    def of(name: str) -> DataFrame:
+        parts = [d.isoformat() for d in days[name]] if name in days else None
+        return detail_table(spark, TABLES[name], f"{ds_dir.rstrip('/')}/{name}").read(parts)
+
+    return DetailLayer(of("md_ledger_account_s"), of("md_account_d"), of("md_currency_d"), of("ft_balance_f"),
+                       of("md_exchange_rate_d"), of("ft_posting_f"))

@@ -2,22 +2,22 @@
 
 ``apply_deltas`` is the set form of the reference's per-delta loop: the mirror
 rows are tagged -1 (or keep their stored tag), every delta row its session
-id, and per key the rows of the newest tag survive.  Mirror rows whose key no
-delta mentions are final already; they pass through a map-side anti-join
-against the delta key set and never reach a shuffle, so a run costs in
-proportion to the deltas, not to the mirror (plus one scan and one write).  Applying N pending
-deltas is one pass instead of N full rewrites, and gives the same rows as
-the sequential loop (each pass keeps the newest session's rows of a key,
-duplicates inside that session included; NULL keys are one group).
-Columns a delta adds (W13) are NULL in older rows.
+id, and per key the rows of the newest tag survive.  Applying N pending
+deltas is one pass instead of N full rewrites, and gives the same rows as the
+sequential loop in ascending order (duplicates inside a session included; NULL
+keys are one group).  The stored mirror keeps the tags, so an older session
+that arrives late never overrides a newer one, in the batch job or the stream.
+Columns are matched by name; columns a delta adds (W13) are NULL in older rows.
 
 ``delta_loading`` is the job around it: discover sessions, skip those the
-log already lists for this table (P14), read all pending files in one scan,
-apply, write the next mirror version (staged -- never overwriting the
-version being read, Q7), then append one log row per applied session with
-shared start/finish times.  Re-running after a crash between the mirror
-write and the log append applies the same sessions again, which yields the
-same mirror: the effect is exactly once.
+log already lists for this table (P14), read the pending files by their
+headers with the mirror's declared types, apply, write, then append one log
+row per applied session with shared start/finish times.  The mirror is a
+table of key-hash buckets (``PartsTable``): only buckets that hold a delta's
+key are read, shuffled and rewritten, so a run costs in proportion to the
+deltas; the switch is atomic (Q7) and its manifest lists the sessions it
+contains.  After a crash between the switch and the log append the sessions
+are only logged: the effect is exactly once.
 """
 
 from __future__ import annotations
@@ -28,27 +28,35 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.operators.latest import keep_newest_batch, latest_per_key
+from ledgerlake.plans.exchange import export_csv
 from ledgerlake.schemas import DELTA_LOG
-from ledgerlake.sinks.store import AppendLog, VersionedTable
+from ledgerlake.sinks.parts import PartsTable, key_bucket, touched_parts
+from ledgerlake.sinks.store import AppendLog
 from ledgerlake.sources import deltas as D
-from ledgerlake.sources.csv_files import read_delta_csv
+from ledgerlake.sources.csv_files import read_deltas
 from ledgerlake.sources.local import rows_frame
 
 DELTA_COL = "delta_id"
 SEED_TAG = -1
+BUCKETS = 64               # of a new mirror; a stored mirror keeps the number it was made with
 
 
 def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode: str = "faithful",
                  order: list[str] | None = None, delta_col: str = DELTA_COL, keep_tag: bool = False,
-                 positional: bool = False) -> DataFrame:
+                 positional: bool = False, reduced: bool = False) -> DataFrame:
     """Mirror after applying every delta in ``delta_rows`` (which carry ``delta_col``).
 
     Columns are matched by name (new delta columns are NULL in older rows).
     ``positional=True`` is the reference's ``union``: delta columns take the
     mirror's names in file order, and the column counts must agree (U3).
+    ``reduced`` says the mirror has one row per key already (``latest`` mode
+    after its first run), so keys no delta touches need no reduction.
     """
+    if mode not in ("faithful", "latest"):
+        raise ValueError(f"mode must be 'faithful' or 'latest', not {mode!r}")
     if positional:
         data = [c for c in delta_rows.columns if c != delta_col]
         target = [c for c in mirror.columns if c != delta_col]
@@ -56,30 +64,62 @@ def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode
             raise ValueError(f"positional union needs {len(target)} delta columns, got {len(data)}")
         delta_rows = delta_rows.select(*[F.col(f"`{a}`").alias(b) for a, b in zip(data, target)], delta_col)
     delta_rows = delta_rows.withColumn(delta_col, F.col(delta_col).cast("int"))
-    if delta_col in mirror.columns:
-        # stored tags: a session's rows replace whatever the mirror holds under the same session id, so
-        # replaying a batch (a stream restarted after its mirror write, before its checkpoint) cannot
-        # duplicate rows.  (An untagged mirror is tagged -1 below, which no session id equals.)
-        ids = delta_rows.select(delta_col).distinct()                         # one row per session
-        mirror = mirror.join(ids, delta_col, "left_anti").select(*mirror.columns)
-    else:
+    if delta_col not in mirror.columns:
         mirror = mirror.withColumn(delta_col, F.lit(SEED_TAG))
-    if mode == "faithful":
-        # keys no delta touches keep their rows as they are; where the delta key set turns out small, Spark
-        # makes this a map-side anti-join and those rows never reach a shuffle
+
+    def newest(rows: DataFrame) -> DataFrame:
+        return keep_newest_batch(rows, keys, delta_col) if mode == "faithful" else latest_per_key(rows, keys, [delta_col, *(order or [])])
+
+    # keys no delta touches keep their rows as they are; where the delta key set turns out small, Spark
+    # makes this a map-side anti-join and those rows never reach a shuffle
+    if mode == "faithful" or reduced:
         dkeys = delta_rows.select(*keys).distinct()
         hit = reduce(lambda a, b: a & b, [mirror[k].eqNullSafe(dkeys[k]) for k in keys])
-        untouched = mirror.join(dkeys, hit, "left_anti")
         touched = mirror.join(dkeys, hit, "left_semi").unionByName(delta_rows, allowMissingColumns=True)
-        out = untouched.unionByName(keep_newest_batch(touched, keys, delta_col), allowMissingColumns=True)
-    elif mode == "latest":
-        tagged = mirror.unionByName(delta_rows, allowMissingColumns=True)
-        out = latest_per_key(tagged, keys, [delta_col, *(order or [])])
+        out = mirror.join(dkeys, hit, "left_anti").unionByName(newest(touched), allowMissingColumns=True)
     else:
-        raise ValueError(f"mode must be 'faithful' or 'latest', not {mode!r}")
+        out = newest(mirror.unionByName(delta_rows, allowMissingColumns=True))
     return out if keep_tag else out.drop(delta_col)
 
 
+class MirrorStore:
+    """The stored mirror: tagged rows in key-hash buckets.  Only buckets that hold a delta's key are rewritten."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = BUCKETS):
+        self.spark, self.keys, self.table, self._buckets = spark, keys, PartsTable(spark, path), buckets
+
+    @property
+    def buckets(self) -> int:
+        return int(self.table.notes().get("buckets", self._buckets))
+
+    def exists(self) -> bool:
+        return self.table.exists()
+
+    def seed(self, rows: DataFrame, mode: str = "faithful", order: list[str] | None = None) -> int:
+        tagged = rows.drop(DELTA_COL).withColumn(DELTA_COL, F.lit(SEED_TAG))
+        if mode == "latest":
+            tagged = latest_per_key(tagged, self.keys, [DELTA_COL, *(order or [])])
+        schema = T.StructType([*rows.drop(DELTA_COL).schema.fields, T.StructField(DELTA_COL, T.IntegerType())])
+        return self.table.replace(tagged, key_bucket(self.keys, self._buckets), None,
+                                  {"buckets": self._buckets, "sessions": [], "epochs": {}, "reduced": mode == "latest"}, schema)
+
+    def schema(self) -> T.StructType:
+        return T.StructType([f for f in self.table.schema().fields if f.name != DELTA_COL])
+
+    def read(self) -> DataFrame:
+        return self.table.read().drop(DELTA_COL)
+
+    def apply(self, rows: DataFrame, schema: T.StructType, mode: str = "faithful", order: list[str] | None = None,
+              notes: dict | None = None) -> int:
+        """Apply delta rows (with the tag column); ``schema`` is the mirror's, with the columns the deltas add."""
+        part = key_bucket(self.keys, self.buckets)
+        touched = touched_parts(rows, part)
+        tagged = T.StructType([*schema.fields, T.StructField(DELTA_COL, T.IntegerType())])
+        new = apply_deltas(self.table.read(touched), rows, self.keys, mode, order, keep_tag=True,
+                           reduced=bool(self.table.notes().get("reduced")))
+        return self.table.replace(new, part, touched, notes, tagged)
+
+
 @dataclass
 class LoadResult:
     mirror: DataFrame
@@ -97,39 +137,42 @@ def pending_ids(log: DataFrame, sessions: DataFrame, table: str) -> DataFrame:
 def delta_loading(spark: SparkSession, table: str, keys: list[str], deltas_base: str, log_path: str,
                   mirror_path: str, seed: DataFrame | None = None, layout: str = "numbered",
                   mode: str = "faithful", order: list[str] | None = None, read_options: dict | None = None,
-                  clock=dt.datetime.now, log_view: str | None = "delta_logs",
-                  keep_versions: int | None = None) -> LoadResult:
-    """The once-only load job (see module doc); ``keep_versions`` prunes older mirror versions after it."""
-    store = VersionedTable(spark, mirror_path)
+                  clock=dt.datetime.now, log_view: str | None = "delta_logs", keep_versions: int | None = None,
+                  positional: bool = False, export_to: str | None = None, buckets: int = BUCKETS) -> LoadResult:
+    """The once-only load job (see module doc).
+
+    ``keep_versions`` prunes older mirror versions after it; ``export_to`` also writes the mirror
+    as the CSV ``<export_to>/mirr_<table>`` (a fresh folder).
+    """
+    store = MirrorStore(spark, mirror_path, keys, buckets)
     if not store.exists():
         if seed is None:
             raise FileNotFoundError(f"mirror {mirror_path} has no version and no seed was given")
-        store.write(seed)                                   # one-time seed (S10 or any DataFrame)
+        store.seed(seed, mode, order)                       # one-time seed (S10 or any DataFrame)
     log = AppendLog(spark, log_path, DELTA_LOG)
-    if log_view:                                            # W14: the log as a session view
-        log.read().createOrReplaceTempView(log_view)
 
+    def show_log() -> None:                                 # W14: the log as a session view
+        if log_view:
+            log.read().createOrReplaceTempView(log_view)
+
+    show_log()
     sessions = D.discover(spark, deltas_base, table, layout)
-    if not sessions:
-        return LoadResult(store.read(), [], [], store.current())
-    todo = pending_ids(log.read(), D.sessions_frame(spark, sessions), table).collect()  # one row per folder
+    todo = pending_ids(log.read(), D.sessions_frame(spark, sessions), table).collect() if sessions else []  # one row per folder
     todo = sorted((r.delta_id, r.file) for r in todo)
     with_file = [(i, f) for i, f in todo if f is not None]
     missing = [i for i, f in todo if f is None]
-    if not with_file:
-        return LoadResult(store.read(), [], missing, store.current())
-
-    started = clock()
-    opts = read_options or {}
-    rows = read_delta_csv(spark, [f for _, f in with_file], **opts)
-    rows = rows.withColumn(DELTA_COL, D.delta_id_of_path(F.col("_metadata.file_path"), layout))
-    new = apply_deltas(store.read(), rows, keys, mode, order)
-    version = store.write(new)
-    finished = clock()
-    entries = rows_frame(spark, [(started, finished, i, table) for i, _ in with_file], DELTA_LOG)
-    log.append(entries)
-    if log_view:
-        log.read().createOrReplaceTempView(log_view)
-    if keep_versions:
-        store.prune(keep_versions)
-    return LoadResult(store.read(), [i for i, _ in with_file], missing, version)
+    if with_file:
+        started = clock()
+        inside = set(store.table.notes().get("sessions", []))           # switched in already, a crash kept them from the log
+        files = [f for i, folder in with_file if i not in inside for f in D.data_files(spark, folder)]
+        if files:
+            rows, schema = read_deltas(spark, files, store.schema(), keys, positional, **(read_options or {}))
+            rows = rows.withColumn(DELTA_COL, D.delta_id_of_path(F.col("_file"), layout)).drop("_file")
+            store.apply(rows, schema, mode, order, {"sessions": sorted(inside | {i for i, _ in with_file})})
+        log.append(rows_frame(spark, [(started, clock(), i, table) for i, _ in with_file], DELTA_LOG))
+        show_log()
+        if keep_versions:
+            store.table.prune(keep_versions)
+    if export_to:
+        export_csv(store.read(), f"{export_to.rstrip('/')}/mirr_{table}")
+    return LoadResult(store.read(), [i for i, _ in with_file], missing, store.table.current())

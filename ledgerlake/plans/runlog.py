@@ -13,6 +13,8 @@ clock can be injected for tests (F14).
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from ledgerlake.sources.local import rows_frame
 # Fixed value: the reference forces every message to type 1 (notice).
 NOTICE = 1
 
+_COUNT = itertools.count()
+
 
 def next_run_id(log: DataFrame) -> int:
     """F16: one more than the largest run id logged so far (taken once, at run start)."""
@@ -42,9 +46,9 @@ def log_rows(spark: SparkSession, message: str | None, run_id: int | None, event
     """The log rows of one message: one row per 4000-character piece, type forced to notice."""
     now = clock()
     sc = spark.sparkContext
-    base = int(now.timestamp() * 1e6) * 1000
-    rows = [(base + i, run_id, now, event_type, piece, rows_affected, NOTICE, sc.applicationId, sc.sparkUser(), info)
-            for i, piece in enumerate(pieces(message))]
+    base = int(now.timestamp() * 1e6) * 4096           # the clock, then a count: no two messages share an id
+    rows = [(base + next(_COUNT) % 4096, run_id, now, event_type, piece, rows_affected, NOTICE, sc.applicationId, sc.sparkUser(), info)
+            for piece in pieces(message)]
     return rows_frame(spark, rows, LOG_INFO)
 
 
@@ -57,6 +61,40 @@ def write_log(spark: SparkSession, log_path: str, message: str | None, run_id: i
         AppendLog(spark, log_path, LOG_INFO).append(rows.coalesce(1))
 
 
+class RunLogger:
+    """Messages of one run; a step's messages are appended together when it ends, also when it fails."""
+
+    def __init__(self, spark: SparkSession, log_path: str, clock=dt.datetime.now, run_id: int | None = None):
+        self.spark, self.clock, self.held = spark, clock, []
+        self.log = AppendLog(spark, log_path, LOG_INFO)
+        self.run_id = next_run_id(self.log.read()) if run_id is None else run_id
+
+    def message(self, text: str, event: str, rows: int | None = None) -> None:
+        self.held.append(log_rows(self.spark, text, self.run_id, event, rows, clock=self.clock))
+
+    def flush(self) -> None:
+        out = None
+        for rows in self.held:
+            out = rows if out is None else out.unionByName(rows)
+        self.held = []
+        if out is not None:
+            self.log.append(out.coalesce(1))              # a handful of rows: one small file per step
+
+    @contextmanager
+    def step(self, name: str, event: str):
+        """Logs BEGIN, then END with the rows the step set in ``affected["rows"]`` (or FAILED with the error)."""
+        self.message(f"[BEGIN] {name}", event)
+        affected: dict = {}
+        try:
+            yield affected
+            self.message(f"[END] {name}", event, affected.get("rows"))
+        except Exception as error:
+            self.message(f"[FAILED] {name}: {str(error)[:1000]}", event)
+            raise
+        finally:
+            self.flush()
+
+
 LOAD_EVENTS_DDL = "load_id bigint, event string, event_time timestamp"
 
 

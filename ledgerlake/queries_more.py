@@ -18,9 +18,9 @@ from ledgerlake.functions.scalars import fm_digits
 from ledgerlake.operators.chunks import split_chunks
 from ledgerlake.operators.upsert import duplicate_keys, replace_where, upsert
 from ledgerlake.plans import counts, daily_run, exchange, f101 as f101_plan, mirror, runlog, turnover
-from ledgerlake.plans.loader import load_table
+from ledgerlake.plans.loader import detail_table, load_table
 from ledgerlake.queries import MONTH_START, REPORT_DATE, _f101, _turnover_month, bank, register
-from ledgerlake.schemas import DELTA_LOG, DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, TABLES
+from ledgerlake.schemas import DELTA_LOG, DM_ACCOUNT_TURNOVER_F, DM_F101_ROUND_F, LOG_INFO, TABLES
 from ledgerlake.session import fresh_dir
 from ledgerlake.sinks.store import AppendLog, PartitionedTable, VersionedTable
 from ledgerlake.sources import deltas as D
@@ -196,8 +196,8 @@ def mirror_positional(spark, sf_dir):
     return mirror.apply_deltas(seed, renamed, ["user_id"], "faithful", positional=True)
 
 
-def _write_deltas(spark, deltas, base):
-    (deltas.write.mode("errorifexists").partitionBy("delta_id").option("header", True).option("sep", ";")
+def _write_deltas(spark, deltas, base, mode="errorifexists"):
+    (deltas.write.mode(mode).partitionBy("delta_id").option("header", True).option("sep", ";")
      .option("timestampFormat", TS_FMT).option("timestampNTZFormat", TS_FMT).csv(base))
 
 
@@ -236,7 +236,88 @@ def mirror_idempotent(spark, sf_dir):
                                   read_options=opts)
     if second.applied or second.version != first.version:
         raise AssertionError("second delta_loading applied sessions again")
-    return second.mirror.select(*[F.col(c).cast(seed.schema[c].dataType) for c in EV_COLS])
+    return second.mirror.select(*EV_COLS)
+
+
+def _load(spark, base, mpath, lpath, seed=None, **kw):
+    return mirror.delta_loading(spark, "events", ["user_id"], base, lpath, mpath, seed=seed, layout="partitioned",
+                                read_options={"timestamp_format": TS_FMT}, **kw)
+
+
+@register("mirror_mixed_headers", MIRROR_FAITHFUL_SQL)
+def mirror_mixed_headers(spark, sf_dir):
+    """L8 / S6 through files whose headers list the columns in different orders: matched by name, pending together."""
+    seed, deltas = _events_split(spark, sf_dir)
+    base = fresh_dir(spark, "deltas")
+    _write_deltas(spark, deltas.filter("delta_id < 1012"), base)
+    turned = deltas.filter("delta_id >= 1012").select(*reversed(EV_COLS), "delta_id")
+    _write_deltas(spark, turned, base, "append")
+    return _load(spark, base, fresh_dir(spark, "mirror"), fresh_dir(spark, "delta_log"), seed).mirror.select(*EV_COLS)
+
+
+@register("mirror_string_codes", f"""WITH {MIRROR_TAGGED}
+SELECT event_id, user_id, lpad(CAST(event_id % 1000 AS VARCHAR), 6, '0') AS code
+FROM (SELECT *, max(d) OVER (PARTITION BY user_id) AS newest FROM tagged) WHERE d = newest""")
+def mirror_string_codes(spark, sf_dir):
+    """A text column whose delta values look like numbers keeps the mirror's declared type and its zeros."""
+    code = F.lpad((F.col("event_id") % 1000).cast("string"), 6, "0").alias("code")
+    seed, deltas = _events_split(spark, sf_dir)
+    base = fresh_dir(spark, "deltas")
+    _write_deltas(spark, deltas.select("event_id", "user_id", code, "delta_id"), base)
+    return _load(spark, base, fresh_dir(spark, "mirror"), fresh_dir(spark, "delta_log"), seed.select("event_id", "user_id", code)).mirror
+
+
+@register("mirror_new_column_file", f"""WITH tagged AS (
+  SELECT event_id, ts, user_id, event_type, NULL::VARCHAR AS props, -1 AS d FROM events WHERE ts < TIMESTAMP '2024-01-06'
+  UNION ALL SELECT event_id, ts, user_id, event_type, CASE WHEN day(ts) >= 12 THEN props END, 1000 + day(ts) - 1
+  FROM events WHERE ts >= TIMESTAMP '2024-01-06')
+SELECT event_id, {_ts("ts")} AS ts, user_id, event_type, props
+FROM (SELECT *, max(d) OVER (PARTITION BY user_id) AS newest FROM tagged) WHERE d = newest""")
+def mirror_new_column_file(spark, sf_dir):
+    """W13 through files: sessions from the 12th bring a column that the seed and earlier sessions lack."""
+    old = ["event_id", "ts", "user_id", "event_type"]
+    seed, deltas = _events_split(spark, sf_dir)
+    base = fresh_dir(spark, "deltas")
+    _write_deltas(spark, deltas.filter("delta_id < 1011").select(*old, "delta_id"), base)
+    _write_deltas(spark, deltas.filter("delta_id >= 1011").select(*old, "props", "delta_id"), base, "append")
+    out = _load(spark, base, fresh_dir(spark, "mirror"), fresh_dir(spark, "delta_log"), seed.select(*old))
+    return out.mirror.select(*old, "props")
+
+
+@register("mirror_late_session", MIRROR_FAITHFUL_SQL)
+def mirror_late_session(spark, sf_dir):
+    """Sessions of days 6-11 arrive after later ones were applied; they never override a newer session."""
+    seed, deltas = _events_split(spark, sf_dir)
+    base, mpath, lpath = (fresh_dir(spark, x) for x in ("deltas", "mirror", "delta_log"))
+    _write_deltas(spark, deltas.filter("delta_id >= 1011"), base)
+    _load(spark, base, mpath, lpath, seed)
+    _write_deltas(spark, deltas.filter("delta_id < 1011"), base, "append")
+    return _load(spark, base, mpath, lpath).mirror.select(*EV_COLS)
+
+
+@register("mirror_export", MIRROR_FAITHFUL_SQL)
+def mirror_export(spark, sf_dir):
+    """The mirror as the CSV ``mirr_<table>``, read back."""
+    seed, deltas = _events_split(spark, sf_dir)
+    base, out = fresh_dir(spark, "deltas"), fresh_dir(spark, "export")
+    _write_deltas(spark, deltas, base)
+    _load(spark, base, fresh_dir(spark, "mirror"), fresh_dir(spark, "delta_log"), seed, export_to=out)
+    return exchange.import_csv(spark, f"{out}/mirr_events", seed.schema)
+
+
+@register("delta_log_view", """
+SELECT DISTINCT CAST(1000 + day(ts) - 1 AS INTEGER) AS delta_id, 'events' AS table_name,
+       '2024-02-01 00:00:00.000000' AS started_at, '2024-02-01 00:00:00.000000' AS finished_at
+FROM events WHERE ts >= TIMESTAMP '2024-01-06'""")
+def delta_log_view(spark, sf_dir):
+    """W5 + W14: the log of a load, with an injected clock, through its session view."""
+    seed, deltas = _events_split(spark, sf_dir)
+    base = fresh_dir(spark, "deltas")
+    _write_deltas(spark, deltas, base)
+    _load(spark, base, fresh_dir(spark, "mirror"), fresh_dir(spark, "delta_log"), seed, clock=lambda: dt.datetime(2024, 2, 1),
+          log_view="delta_logs_query")
+    at = lambda c: F.date_format(c, TS_FMT).alias(c)
+    return spark.table("delta_logs_query").select("delta_id", "table_name", at("started_at"), at("finished_at"))
 
 
 @register("mirror_stream", MIRROR_FAITHFUL_SQL)
@@ -247,7 +328,7 @@ def mirror_stream(spark, sf_dir):
     base = fresh_dir(spark, "deltas")
     _write_deltas(spark, deltas, base)
     mpath = fresh_dir(spark, "mirror")
-    delta_stream.seed_mirror(spark, seed, mpath)
+    delta_stream.seed_mirror(spark, seed, mpath, ["user_id"])
     q = delta_stream.start_mirror_stream(spark, base, seed.schema, ["user_id"], mpath, fresh_dir(spark, "ckpt"))
     q.awaitTermination()
     return delta_stream.read_mirror(spark, mpath).select(*EV_COLS)
@@ -352,7 +433,7 @@ def csv_cp866_load(spark, sf_dir):
     spec = TABLES["md_ledger_account_s"]
     store = fresh_dir(spark, "ds")
     load_table(spark, spec, path, store, encoding="cp866")
-    return VersionedTable(spark, store, spec.schema).read().select(
+    return detail_table(spark, spec, store).read().select(
         "chapter", "chapter_name", "ledger_account", "characteristic", "start_date", "end_date")
 
 
@@ -371,12 +452,15 @@ def csv_balance_load(spark, sf_dir):
     store = fresh_dir(spark, "ds")
     load_table(spark, spec, path, store)
     load_table(spark, spec, path, store)
-    return VersionedTable(spark, store, spec.schema).read()
+    return detail_table(spark, spec, store).read()
 
 
-@register("csv_infer")
+@register("csv_infer", O.with_prelude(body="""
+SELECT CAST(data_actual_date AS VARCHAR) AS data_actual_date, CAST(data_actual_end_date AS VARCHAR) AS data_actual_end_date,
+       CAST(account_rk AS INTEGER) AS account_rk, CAST(CAST(account_number AS DECIMAL(20,0)) AS DOUBLE) AS account_number, char_type,
+       CAST(currency_rk AS INTEGER) AS currency_rk, CAST(currency_code AS INTEGER) AS currency_code FROM md_account_d"""))
 def csv_infer(spark, sf_dir):
-    """A delta-style file read with inferred types and a dd.MM.yyyy date pattern (no SQL twin)."""
+    """A delta-style file read with inferred types and a dd.MM.yyyy date pattern: digits become numbers."""
     acc = bank(spark, sf_dir).md_account_d()
     out = acc.select(F.date_format("data_actual_date", "dd.MM.yyyy").alias("data_actual_date"),
                      F.date_format("data_actual_end_date", "dd.MM.yyyy").alias("data_actual_end_date"),
@@ -509,3 +593,105 @@ def run_all(spark, sf_dir):
     out = daily_run.run_all(spark, ds, fresh_dir(spark, "run"), REPORT_DATE, dt.date(1998, 1, 20))
     return out.f101_copy
 
+
+def _detail_files(spark, b, base):
+    """The six detail tables as cp866 files with a blank-headed row number, as the loader expects them."""
+    def day(c):
+        return F.date_format(c, "yyyy-MM-dd").alias(c)
+
+    postings = b.ft_posting_f().groupBy("oper_date", "credit_account_rk", "debet_account_rk").agg(
+        F.sum("credit_amount").alias("credit_amount"), F.sum("debet_amount").alias("debet_amount"))     # one row a key
+    frames = {
+        "md_ledger_account_s": b.md_ledger_account_s().select("chapter", "ledger_account", day("start_date"), day("end_date")),
+        "md_account_d": b.md_account_d().select(day("data_actual_date"), day("data_actual_end_date"), "account_rk", "account_number",
+                                                "char_type", "currency_rk", F.coalesce("currency_code", F.lit("000")).alias("currency_code")),
+        "md_currency_d": b.md_currency_d().select("currency_rk", day("data_actual_date"), day("data_actual_end_date"), "currency_code"),
+        "md_exchange_rate_d": b.md_exchange_rate_d().select(day("data_actual_date"), day("data_actual_end_date"), "currency_rk",
+                                                            "reduced_cource"),
+        "ft_balance_f": b.ft_balance_f().select(F.date_format("on_date", "dd.MM.yyyy").alias("on_date"), "account_rk", "currency_rk",
+                                                "balance_out"),
+        "ft_posting_f": postings.select(day("oper_date"), "credit_account_rk", "debet_account_rk", "credit_amount", "debet_amount"),
+    }
+    for name, df in frames.items():
+        numbered = df.select((F.monotonically_increasing_id() + 1).alias("   "), *[F.col(c).alias(c.upper()) for c in df.columns])
+        exchange.export_csv(numbered, f"{base}/{name}.csv", encoding="cp866", single_file=False)
+    return {name: f"{base}/{name}.csv" for name in frames}
+
+
+KEYED_POSTINGS = """ft_posting_keyed AS (
+  SELECT oper_date, credit_account_rk, debet_account_rk, sum(credit_amount) AS credit_amount, sum(debet_amount) AS debet_amount
+  FROM ft_posting_f GROUP BY oper_date, credit_account_rk, debet_account_rk)"""
+
+
+@register("run_all_from_files", O.with_prelude(
+    KEYED_POSTINGS, O.turnover_of("1998-01-01", "1998-01-31", postings="ft_posting_keyed"), O.form101("1998-01-31"), body=O.f101_out()))
+def run_all_from_files(spark, sf_dir):
+    """L1 + L11: six detail files loaded, then the whole run; returns the imported copy of form 101."""
+    work = fresh_dir(spark, "run")
+    files = _detail_files(spark, bank(spark, sf_dir), f"{work}/files")
+    return daily_run.run_all_from_files(spark, files, work, REPORT_DATE, dt.date(1998, 1, 20)).f101_copy
+
+
+@register("run_log", O.with_prelude(
+    KEYED_POSTINGS, O.turnover_of("1998-01-01", "1998-01-31", postings="ft_posting_keyed"), O.form101("1998-01-31"), body="""
+, steps(event_type, subject, rows_affected) AS (
+  SELECT 'load', 'md_ledger_account_s', count(*) FROM md_ledger_account_s
+  UNION ALL SELECT 'load', 'md_account_d', count(*) FROM md_account_d
+  UNION ALL SELECT 'load', 'md_currency_d', count(*) FROM md_currency_d
+  UNION ALL SELECT 'load', 'md_exchange_rate_d', count(*) FROM md_exchange_rate_d
+  UNION ALL SELECT 'load', 'ft_balance_f', count(*) FROM ft_balance_f
+  UNION ALL SELECT 'load', 'ft_posting_f', count(*) FROM ft_posting_keyed
+  UNION ALL SELECT 'turnover', '', count(*) FROM turnover UNION ALL SELECT 'f101', '', count(*) FROM f101
+  UNION ALL SELECT 'save_f101_f', '', NULL UNION ALL SELECT 'load_f101_f_copy', '', NULL UNION ALL SELECT 'min_max_posting', '', NULL)
+SELECT CAST(1 AS BIGINT) AS pipeline_run_id, '2024-03-01 12:00:00.000000' AS date_time, event_type, phase, subject,
+       CASE WHEN phase = 'END' THEN rows_affected END AS rows_affected, CAST(1 AS INTEGER) AS message_type
+FROM steps, (VALUES ('BEGIN'), ('END')) AS phases(phase)""".lstrip()))
+def run_log(spark, sf_dir):
+    """L9 + F14 + F16 + A7: the log of a run from files, written with an injected clock, read back with its row counts."""
+    work = fresh_dir(spark, "run")
+    files = _detail_files(spark, bank(spark, sf_dir), f"{work}/files")
+    daily_run.run_all_from_files(spark, files, work, REPORT_DATE, dt.date(1998, 1, 20), clock=lambda: dt.datetime(2024, 3, 1, 12))
+    log = AppendLog(spark, f"{work}/logs/log_info", LOG_INFO).read()
+    return log.select("pipeline_run_id", F.date_format("date_time", TS_FMT).alias("date_time"), "event_type",
+                      F.regexp_extract("message_", r"^\[(\w+)\]", 1).alias("phase"),
+                      F.when(F.col("event_type") == "load", F.regexp_extract("message_", r"load (\w+)", 1)).otherwise("").alias("subject"),
+                      "rows_affected", "message_type")
+
+
+@register("min_max_report", O.with_prelude(O.day_extremes("1998-01-20"), body=O.EXTREMES_OUT))
+def min_max_report(spark, sf_dir):
+    """The min/max report that the whole run leaves as a CSV, read back."""
+    b = bank(spark, sf_dir)
+    ds = daily_run.DetailLayer(b.md_ledger_account_s(), b.md_account_d(), b.md_currency_d(), b.ft_balance_f(),
+                              b.md_exchange_rate_d(), b.ft_posting_f())
+    out = daily_run.run_all(spark, ds, fresh_dir(spark, "run"), REPORT_DATE, dt.date(1998, 1, 20))
+    return exchange.import_csv(spark, out.min_max_csv, out.min_max.schema)
+
+
+@register("load_constraints", O.with_prelude(body="""
+SELECT CAST(account_rk AS VARCHAR) AS account_rk, CAST(data_actual_date AS VARCHAR) AS data_actual_date,
+       concat_ws(',', CASE WHEN account_rk % 11 = 0 THEN 'account_number' END, CASE WHEN currency_code IS NULL THEN 'currency_code' END)
+         AS bad_columns
+FROM md_account_d WHERE account_rk % 11 = 0 OR currency_code IS NULL"""))
+def load_constraints(spark, sf_dir):
+    """S5 + W11: rows that break NOT NULL or a length go to the rejects of the load, with the columns at fault."""
+    acc = bank(spark, sf_dir).md_account_d()
+    number = F.when(F.col("account_rk") % 11 == 0, F.concat("account_number", F.lit("X"))).otherwise(F.col("account_number"))
+    out = acc.withColumn("account_number", number).select((F.monotonically_increasing_id() + 1).alias("   "), *acc.columns)
+    path, store = fresh_dir(spark, "ds-files") + "/md_account_d.csv", fresh_dir(spark, "ds")
+    exchange.export_csv(out, path, encoding="cp866", single_file=False)
+    load_table(spark, TABLES["md_account_d"], path, store, bad_values="reject")
+    of = lambda c: F.get_json_object("row_text", f"$.{c}").alias(c)
+    return spark.read.parquet(f"{store}_rejects").select(of("account_rk"), of("data_actual_date"),
+                                                         F.array_join("bad_columns", ",").alias("bad_columns"))
+
+
+@register("versioned_types", """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_nationkey AS DOUBLE) / 2 AS half FROM nation""")
+def versioned_types(spark, sf_dir):
+    """A table written with integer keys, then with long ones and one more column; readers see the new types."""
+    n = bank(spark, sf_dir).raw("nation")
+    t = VersionedTable(spark, fresh_dir(spark, "types"))
+    t.write(n.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name"))
+    t.write(t.read().select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name", (F.col("n_nationkey") / 2).alias("half")))
+    return t.read()

@@ -75,18 +75,27 @@ class TableSpec:
     pk: tuple[str, ...]
     need_date_format: bool = False
     date_format: str | None = None
+    by_day: bool = False                    # stored in parts of a day of the first key column, else of a key hash
 
     @property
     def column_names(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
 
+# Greatest lengths of text columns, the same in every table that has the column.
+TEXT_LENGTHS = {
+    "account_number": 20, "char_type": 1, "currency_code": 3, "code_iso_char": 3, "code_iso_num": 3, "chapter": 1,
+    "chapter_name": 16, "section_name": 22, "subsection_name": 21, "ledger1_account_name": 47, "ledger_account_name": 153,
+    "characteristic": 1, "pair_account": 5, "min_term": 1, "min_term_measure": 1, "max_term": 1, "max_term_measure": 1,
+    "ledger_acc_full_name_translit": 1, "is_revaluation": 1, "is_correct": 1,
+}
+
 # The six detail tables, their keys and date handling, as configured by the reference's loader.
 TABLES: dict[str, TableSpec] = {
     "md_ledger_account_s": TableSpec("md_ledger_account_s", MD_LEDGER_ACCOUNT_S, ("ledger_account", "start_date")),
     "md_exchange_rate_d": TableSpec("md_exchange_rate_d", MD_EXCHANGE_RATE_D, ("data_actual_date", "currency_rk")),
-    "ft_balance_f": TableSpec("ft_balance_f", FT_BALANCE_F, ("on_date", "account_rk"), True, "dd.MM.yyyy"),
-    "ft_posting_f": TableSpec("ft_posting_f", FT_POSTING_F, ("oper_date", "credit_account_rk", "debet_account_rk")),
+    "ft_balance_f": TableSpec("ft_balance_f", FT_BALANCE_F, ("on_date", "account_rk"), True, "dd.MM.yyyy", by_day=True),
+    "ft_posting_f": TableSpec("ft_posting_f", FT_POSTING_F, ("oper_date", "credit_account_rk", "debet_account_rk"), by_day=True),
     "md_account_d": TableSpec("md_account_d", MD_ACCOUNT_D, ("data_actual_date", "account_rk")),
     "md_currency_d": TableSpec("md_currency_d", MD_CURRENCY_D, ("currency_rk", "data_actual_date")),
 }

@@ -1,12 +1,14 @@
 """Tiny file-system helpers over the Hadoop FileSystem of the session.
 
 Works for any URI the cluster can read (``file:``, ``hdfs:``, object stores);
-only names and existence are looked up here -- data always moves through
-Spark readers and writers.
+only names, existence, headers and manifests are looked up here -- data always
+moves through Spark readers and writers.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -35,7 +37,43 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fsys.listStatus(p) if st.isDirectory())
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small metadata file (a manifest) as text."""
+    fsys, p = _fs_path(spark, path)
+    stream = fsys.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file (a CSV header), without reading the rest."""
+    fsys, p = _fs_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fsys.open(p), "UTF-8"))
+    try:
+        return (reader.readLine() or "").lstrip("\ufeff")
+    finally:
+        reader.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file, written aside and renamed, so that readers see it whole or not at all."""
+    fsys, p = _fs_path(spark, path)
+    if fsys.exists(p):
+        raise FileExistsError(path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fsys.create(aside, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fsys.rename(aside, p):
+        raise OSError(f"cannot rename {aside} to {path}")
+
+
 def delete(spark: SparkSession, path: str) -> bool:
-    """Remove one partition folder of a table the library owns (used for stale partitions only)."""
+    """Remove a folder or file of a table the library owns."""
     fsys, p = _fs_path(spark, path)
     return bool(fsys.delete(p, True))

@@ -13,10 +13,14 @@ committed ones (and dead folders below them).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.sinks import fs
+from ledgerlake.sinks.parts import PartsTable
 from ledgerlake.sources.local import rows_frame
 
 MARK = "_SUCCESS"
@@ -105,49 +109,27 @@ class AppendLog:
 
 
 class PartitionedTable:
-    """A parquet table partitioned by a date column, replaced one range of partitions at a time.
+    """A parquet table in parts of one day each, replaced one range of days at a time.
 
     For marts that grow with time (turnover: accounts x days) a full rewrite
-    per reload does not scale.  ``replace_range`` rewrites only the partitions
-    in ``[lo, hi]``: dynamic partition overwrite replaces the days that have
-    new rows, and days in the range that got *no* new rows are removed --
-    plain dynamic overwrite would leave them stale (W2).  Readers filter on
-    the partition column and Spark prunes to the partitions they need.
+    per reload does not scale.  ``replace_range`` writes the days of ``[lo, hi]``
+    anew and switches to them in one step (``PartsTable``): days of the range
+    without new rows end empty (W2), rows outside it are an error, other days
+    keep their files.
     """
 
     def __init__(self, spark: SparkSession, base: str, part_col: str, schema: T.StructType | None = None):
-        self.spark, self.base, self.part_col, self.schema = spark, base.rstrip("/"), part_col, schema
-
-    def read(self) -> DataFrame:
-        if not fs.exists(self.spark, self.base):
-            if self.schema is None:
-                raise FileNotFoundError(self.base)
-            return rows_frame(self.spark, [], self.schema)
-        r = self.spark.read
-        if self.schema is not None:
-            r = r.schema(self.schema)
-        df = r.parquet(self.base)
-        return df.select(*[f.name for f in self.schema.fields]) if self.schema is not None else df
-
-    def _partition_dirs(self) -> dict[str, str]:
-        prefix = f"{self.part_col}="
-        return {n[len(prefix):]: f"{self.base}/{n}" for n in fs.list_names(self.spark, self.base)
-                if n.startswith(prefix)}
-
-    def replace_range(self, new_rows: DataFrame, lo, hi) -> None:
-        from pyspark.sql import Observation
-        from pyspark.sql import functions as F
-        c = F.col(self.part_col)
-        obs = Observation(f"parts_{self.part_col}")
-        rows = new_rows.filter(c.between(F.lit(lo), F.lit(hi))).observe(
-            obs, F.collect_set(c.cast("string")).alias("parts"))   # at most one value per day of the range
-        cols = [x for x in rows.columns if x != self.part_col] + [self.part_col]
-        # rebalance on the partition column: AQE gives each day a few right-sized files (splitting a large
-        # day, merging small ones) instead of one file per task and day
-        (rows.select(*cols).hint("rebalance", self.part_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.base))
-        # days of the range without new rows: drop their old partition
-        kept = set(obs.get["parts"] or [])
-        for value, path in self._partition_dirs().items():
-            if lo.isoformat() <= value <= hi.isoformat() and value not in kept:
-                fs.delete(self.spark, path)
+        self.part_col, self.table = part_col, PartsTable(spark, base, schema)
+
+    def read(self, lo=None, hi=None) -> DataFrame:
+        """The table, or only the days from ``lo`` to ``hi``."""
+        if lo is None and hi is None:
+            return self.table.read()
+        days = [p for p in self.table.parts() if (lo is None or p >= lo.isoformat()) and (hi is None or p <= hi.isoformat())]
+        return self.table.read(days)
+
+    def replace_range(self, new_rows: DataFrame, lo, hi) -> int:
+        """Returns the number of rows written (seen on the write itself, A7)."""
+        days = [(lo + dt.timedelta(days=i)).isoformat() for i in range((hi - lo).days + 1)]
+        self.table.replace(new_rows, F.col(self.part_col), days)
+        return self.table.rows_written

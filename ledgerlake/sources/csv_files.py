@@ -14,18 +14,22 @@
 * every other value is cast to the declared type (S5).  With ANSI on a bad
   value fails the job like the database did; ``bad_values="null"`` uses
   ``try_cast`` and keeps the row with NULLs instead; ``bad_values="reject"``
-  also uses ``try_cast`` and adds ``_bad`` (names of the columns whose text
-  did not convert) and ``_raw`` (the row's text) so the loader can route
-  such rows to a rejects table.
+  also uses ``try_cast`` and adds ``_raw`` (the row's text) so the loader can
+  route such rows to a rejects table.  Every mode adds ``_bad``: names of the
+  columns whose text did not convert or that break the table's NOT NULL and
+  length constraints.
 """
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.schemas import TableSpec
+from ledgerlake.schemas import TEXT_LENGTHS, TableSpec
+from ledgerlake.sinks import fs
 
 STANDARD_CHARSETS = {"utf-8", "utf8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32"}
 FILE_ORDER = "_file_order"
@@ -49,7 +53,7 @@ def _cast(c: Column, t: T.DataType, strict: bool) -> Column:
 
 def read_bank_file(spark: SparkSession, path: str, spec: TableSpec, encoding: str = "cp866", sep: str = ";",
                    bad_values: str = "fail") -> DataFrame:
-    """A detail file as typed columns of ``spec`` (only those present in the file) + ``_file_order``."""
+    """A detail file as typed columns of ``spec`` (only those present in the file) + ``_file_order``, ``_bad`` (, ``_raw``)."""
     enable_charset(spark, encoding)
     raw = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
            .option("quote", '"').option("escape", '"').option("inferSchema", False).csv(path))
@@ -70,24 +74,69 @@ def read_bank_file(spark: SparkSession, path: str, spec: TableSpec, encoding: st
         else:
             v = _cast(text, f.dataType, strict)
         out.append(v.alias(f.name))
-        failed.append(F.when(text.isNotNull() & v.isNull(), F.lit(f.name)))
+        broken = (text.isNotNull() & v.isNull()) if bad_values == "reject" else F.lit(False)
+        if not f.nullable:
+            broken = broken | v.isNull()
+        if f.name in TEXT_LENGTHS:
+            broken = broken | F.coalesce(F.length(v) > TEXT_LENGTHS[f.name], F.lit(False))
+        failed.append(F.when(broken, F.lit(f.name)))
         texts.append(text.alias(f.name))
-    extra = []
+    extra = [F.filter(F.array(*failed), lambda x: x.isNotNull()).alias(BAD)]
     if bad_values == "reject":
-        extra = [F.filter(F.array(*failed), lambda x: x.isNotNull()).alias(BAD), F.struct(*texts).alias(RAW)]
+        extra.append(F.struct(*texts).alias(RAW))
     return raw.select(*out, file_order().alias(FILE_ORDER), *extra)
 
 
+def csv_header(spark: SparkSession, path: str, sep: str = ";") -> tuple[str, ...]:
+    """Column names in a file's first line."""
+    names = next(csv.reader([fs.first_line(spark, path)], delimiter=sep), [])
+    return tuple(n.strip() for n in names)
+
+
 def read_delta_csv(spark: SparkSession, paths: list[str] | str, date_format: str = "dd.MM.yyyy",
-                   timestamp_format: str | None = None) -> DataFrame:
-    """``;`` CSV with header, types inferred, dates in ``date_format``."""
-    r = (spark.read.option("header", True).option("sep", ";").option("inferSchema", True)
-         .option("dateFormat", date_format))
+                   timestamp_format: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """``;`` CSV with header, dates in ``date_format``; types by ``schema`` (in the files' column order) or inferred."""
+    r = spark.read.option("header", True).option("sep", ";").option("dateFormat", date_format).option("mode", "FAILFAST")
+    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     if timestamp_format:
         r = r.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
     return r.csv(paths)
 
 
+def read_deltas(spark: SparkSession, files: list[str], declared: T.StructType, keys: list[str], positional: bool = False,
+                **options) -> tuple[DataFrame, T.StructType]:
+    """Delta files with different headers as one frame of the declared types, and the schema with the columns they add.
+
+    Files are grouped by header (read as metadata); each group is read with the declared types in its own column
+    order and united by name (case-insensitively).  A column nobody declared is added as text; a header without a
+    key column, or with a name twice, is an error.  ``positional``: the columns are the declared ones in order,
+    whatever the header calls them, and their number must agree.  ``_file`` is the path of a row's file.
+    """
+    known = {f.name.lower(): f for f in declared.fields}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        groups.setdefault(csv_header(spark, f), []).append(f)
+    added: dict[str, T.StructField] = {}
+    frames = []
+    for header, paths in groups.items():
+        names = [n.lower() for n in header]
+        if positional:
+            if len(names) != len(declared.fields):
+                raise ValueError(f"positional union needs {len(declared.fields)} delta columns, got {len(names)} ({paths[0]})")
+            fields = list(declared.fields)
+        else:
+            missing = [k for k in keys if k.lower() not in names]
+            if missing or len(set(names)) != len(names):
+                raise ValueError(f"header {header} of {paths[0]}: " + (f"no key column {missing}" if missing else "a name occurs twice"))
+            fields = [known.get(n) or added.setdefault(n, T.StructField(h, T.StringType())) for n, h in zip(names, header, strict=True)]
+        read = read_delta_csv(spark, paths, schema=T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]), **options)
+        frames.append(read.withColumn("_file", F.col("_metadata.file_path")))
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out, T.StructType([*declared.fields, *added.values()])
+
+
 def read_csv_with_schema(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";",
                          header: bool = True) -> DataFrame:
     """Declared schema, columns by position (the header line is skipped, not matched)."""

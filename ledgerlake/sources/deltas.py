@@ -56,6 +56,13 @@ def discover(spark: SparkSession, base: str, table: str, layout: str = "numbered
     return sorted(out, key=lambda s: s.delta_id)
 
 
+def data_files(spark: SparkSession, session_file: str) -> list[str]:
+    """The session's data files: the file itself, or the files of its folder."""
+    names = [n for n in fs.list_names(spark, session_file) if not n.startswith(("_", "."))]
+    single = session_file.rstrip("/").split("/")[-1]
+    return [session_file] if names == [single] else [f"{session_file}/{n}" for n in names]
+
+
 def delta_id_of_path(path: Column, layout: str = "numbered") -> Column:
     """The delta id from a data file's path: its parent folder's name."""
     parent = F.element_at(F.split(path, "/"), -2)

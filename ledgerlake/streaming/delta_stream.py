@@ -1,47 +1,64 @@
 """Delta sessions as a file stream (optional re-aim of L8, not a reference capability).
 
 New delta files under ``<base>/delta_id=<id>/`` are picked up by a file
-source; each micro-batch is applied to the versioned mirror with
-``foreachBatch``.  The streaming checkpoint is the "already loaded" log:
-a file is processed exactly once even if the driver or an executor dies
-mid-batch (the batch is replayed and the mirror write of that batch is a new
-version, so a replay does not double-apply).  The stored mirror keeps each
-row's session id, so a session that arrives late can never override a newer
-one -- the result equals the batch ``delta_loading`` over all sessions.
+source; each micro-batch is applied to the stored mirror with
+``foreachBatch``.  The streaming checkpoint is the "already loaded" log.  The
+mirror's manifest records the last epoch of each checkpoint in the same
+switch that brings in its rows, so a replayed micro-batch is skipped.  Rows
+keep their session id: a session may arrive in several micro-batches (its
+rows add up) and a session that arrives late never overrides a newer one, as
+in the batch job.  Each micro-batch rewrites only the buckets its keys fall
+into and prunes older versions.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.plans.mirror import DELTA_COL, apply_deltas
-from ledgerlake.sinks.store import VersionedTable
+from ledgerlake.plans.mirror import BUCKETS, DELTA_COL, MirrorStore
+
+KEEP_VERSIONS = 3
 
 
 def start_mirror_stream(spark: SparkSession, deltas_base: str, schema: T.StructType, keys: list[str],
                         mirror_path: str, checkpoint: str, mode: str = "faithful", order: list[str] | None = None,
-                        timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", available_now: bool = True):
+                        timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", available_now: bool = True,
+                        keep_versions: int = KEEP_VERSIONS, max_files: int | None = None):
     """Start the stream; with ``available_now`` it processes what is there and stops."""
-    store = VersionedTable(spark, mirror_path)
     src_schema = T.StructType(schema.fields + [T.StructField(DELTA_COL, T.IntegerType())])
-    stream = (spark.readStream.schema(src_schema).option("header", True).option("sep", ";")
-              .option("timestampFormat", timestamp_format)
-              .option("timestampNTZFormat", timestamp_format).csv(deltas_base))
+    reader = (spark.readStream.schema(src_schema).option("header", True).option("sep", ";")
+              .option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    apply_batch = batch_writer(spark, mirror_path, keys, checkpoint, mode, order, keep_versions)
+    w = reader.csv(deltas_base).writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
+def batch_writer(spark: SparkSession, mirror_path: str, keys: list[str], checkpoint: str, mode: str = "faithful",
+                 order: list[str] | None = None, keep_versions: int = KEEP_VERSIONS):
+    """The ``foreachBatch`` function: applies an epoch once, whatever a restart replays."""
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
-        current = store.read()
-        store.write(apply_deltas(current, batch, keys, mode, order, keep_tag=True))
+        store = MirrorStore(spark, mirror_path, keys)
+        epochs = store.table.notes().get("epochs", {})
+        if epochs.get(stream, -1) >= epoch_id:
+            return
+        store.apply(batch, store.schema(), mode, order, {"epochs": epochs | {stream: epoch_id}})
+        store.table.prune(keep_versions)
 
-    w = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    return apply_batch
 
 
 def read_mirror(spark: SparkSession, mirror_path: str) -> DataFrame:
-    return VersionedTable(spark, mirror_path).read().drop(DELTA_COL)
+    return MirrorStore(spark, mirror_path, []).read()
 
 
-def seed_mirror(spark: SparkSession, seed: DataFrame, mirror_path: str) -> None:
-    VersionedTable(spark, mirror_path).write(seed.withColumn(DELTA_COL, F.lit(-1)))
+def seed_mirror(spark: SparkSession, seed: DataFrame, mirror_path: str, keys: list[str], buckets: int = BUCKETS,
+                mode: str = "faithful", order: list[str] | None = None) -> None:
+    MirrorStore(spark, mirror_path, keys, buckets).seed(seed, mode, order)

@@ -6,8 +6,9 @@ import os
 from pyspark.sql import functions as F
 
 from ledgerlake import cli
+from ledgerlake.plans.loader import part_of
 from ledgerlake.schemas import TABLES
-from ledgerlake.sinks.store import VersionedTable
+from ledgerlake.sinks.parts import PartsTable
 from ledgerlake.sources.bank_views import BankTables
 
 SF = "/root/testdata/sf0.001"
@@ -45,7 +46,7 @@ def test_cli_run_all_from_stored_detail_tables(spark, workdir):
         schema = TABLES[name].schema
         cols = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in schema.fields]
-        VersionedTable(spark, f"{workdir}/ds/{name}", schema).write(df.select(*cols))
+        PartsTable(spark, f"{workdir}/ds/{name}", schema).replace(df.select(*cols), part_of(TABLES[name]))
     out = cli.main(["run-all", f"{workdir}/ds", f"{workdir}/work", "--date", "1998-01-31",
                     "--min-max-date", "1998-01-20"], spark)
     assert out["run_id"] == 1

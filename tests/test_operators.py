@@ -161,12 +161,3 @@ def test_asof_join_windowed_and_plain_agree_and_null_end_never_matches(spark):
     windowed = asof_join(facts, dims, "k", "d", "s", "e", "left", window=(D(2018, 1, 1), D(2018, 1, 31)))
     assert rows(plain) == sorted(want, key=repr)
     assert rows(windowed.select("k", "d", "v")) == sorted(want, key=repr)
-
-
-def test_replaying_a_batch_on_a_tagged_mirror_is_idempotent(spark):
-    mirror = spark.createDataFrame([(1, "m1"), (2, "m2")], "k int, v string")
-    batch = spark.createDataFrame([(1, "a", 1000), (1, "b", 1000), (3, "c", 1000)], "k int, v string, delta_id int")
-    once = apply_deltas(mirror, batch, ["k"], keep_tag=True)
-    twice = apply_deltas(once, batch, ["k"], keep_tag=True)          # the same micro-batch replayed
-    assert rows(twice) == rows(once) == sorted([(1, "a", 1000), (1, "b", 1000), (2, "m2", -1), (3, "c", 1000)],
-                                               key=repr)
