@@ -55,12 +55,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["doc_id"] for r in pick(kept, doc_id="doc_id").collect()} == {i for i, r in got.items() if not r["rejected"]}
 
 
-def test_table_scores_equal_direct_convolution():
+def test_table_scores_equal_direct_convolution(monkeypatch):
     rng = np.random.default_rng(0)
     model = toxicity.Model(rng.normal(size=(toxicity.BUCKETS + 1, toxicity.DIM)).astype(np.float32),
                            [rng.normal(size=(k, toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for k in toxicity.WIDTHS],
                            rng.normal(size=len(toxicity.WIDTHS) * toxicity.FILTERS), rng.normal(size=len(toxicity.WIDTHS) * toxicity.FILTERS), 0.3)
-    texts = [b"one two three", b"", None, b"one", b"B\xc3\xa9 b c d e f g " * 5]
+    texts = [b"one two three", b"", b"one", b"B\xc3\xa9 b c d e f g " * 5, b"a b c d e f g"]
+    monkeypatch.setattr(toxicity, "CHUNK", 7)             # longer texts are scored in chunks
     got = toxicity.logits_of(model, toxicity._Words(model), texts)
     for t, g in zip(texts, got, strict=True):
         ids = [toxicity.word_buckets(w) for w in (t or b"").translate(toxicity._LETTERS).split()]
@@ -256,11 +257,15 @@ def test_outliers_in_a_bucket_are_all_compared(spark):
                 w[rng.randrange(len(w))] = f"x{rng.randrange(10_000)}"
             texts.append(" ".join(w))
     _, roots = brute_components(texts, 2)
-    members = [(k, i, 99) for k in range(3) for i in range(len(texts))]
-    links = minhash._links(spark.createDataFrame(members, "key long, node long, n long"),
-                           spark.createDataFrame(list(enumerate(texts)), "node long, text string"), 2)
-    found = {r["node"]: r["root"] for r in components(links).collect()}
-    assert [found.get(i, i) for i in range(len(texts))] == roots
+    hashes = minhash._Hashes()
+    sets = [minhash.shingle_set(t.encode(), 2, hashes) for t in texts]
+    _, sketch = minhash.half_keys(sets, *minhash._parameters(2 * minhash.HALVES * minhash.ROWS))
+    members = spark.createDataFrame([(k, i, len(s), len(texts)) for k in range(3) for i, s in enumerate(sets)], "key long, node long, n long, size long")
+    sketches = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sketch)], "node long, sketch binary")
+    frame = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    for block in (minhash.BLOCK, 4):                      # one piece of work, and many blocks
+        found = {r["node"]: r["root"] for r in minhash._linked_roots(members, sketches, frame, 2, block, 100 * block).collect()}
+        assert [found.get(i, i) for i in range(len(texts))] == roots
 
 
 def test_near_duplicates_odd_rows(spark):
