@@ -41,7 +41,8 @@ WEIGHT = 1_000_000            # of a lexicon that keeps one term; whole numbers,
 
 def terms(text: Column) -> Column:
     """Distinct words, A-Z lower-cased."""
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(          # the same, but cheap, for ASCII
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     return F.array_distinct(F.array_remove(F.split(low, r"[\x20\x09-\x0D]+"), ""))
 
 
@@ -69,18 +70,29 @@ def _digest(sorted_terms: Column) -> Column:
     return F.substring(F.md5(F.array_join(sorted_terms, " ").cast("binary")), 1, 16)
 
 
-def _in_lexicon(k: int):
-    return lambda x: x["mask"].bitwiseAND(F.lit(1 << k)) != 0
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _entry(kept: Column) -> Column:
+    some = F.size(kept)
+    return F.concat(some.cast("string"), F.lit(":"), F.when(some > 0, _digest(F.transform(kept, lambda x: x["term"]))).otherwise("-"))
+
+
+def _nested(kept: Column, family: int, scale: int) -> Column:
+    """Entries of a family's scales from ``scale`` on; each scale keeps some of what the one before kept."""
+    bit = F.lit(1 << (family * SCALES + scale - 1))
+    own = F.filter(kept, lambda x: x["mask"].bitwiseAND(bit) != 0)
+    if scale == SCALES:
+        return F.array(_entry(own))
+    return _let(own, lambda v: F.concat(F.array(_entry(v)), _nested(v, family, scale + 1)))
 
 
 def _fingerprint(kept: Column, fallback: Column) -> Column:
     """``kept``: structs (term, mask) sorted by term; ``fallback``: entry for texts without terms of the band."""
-    entries = []
-    for k in range(LEXICONS):
-        own = kept if k == LEXICONS - 1 else F.filter(kept, _in_lexicon(k))
-        entries.append(F.concat(F.size(own).cast("string"), F.lit(":"), F.when(F.size(own) > 0, _digest(F.transform(own, lambda x: x["term"])))
-                                .otherwise("-")))
-    return F.when(F.size(kept) > 0, F.concat_ws(",", *entries)).otherwise(F.array_join(F.array_repeat(fallback, LEXICONS), ","))
+    entries = F.concat(*[_nested(kept, f, 1) for f in range(FAMILIES)], F.array(_entry(kept)))
+    return F.when(F.size(kept) > 0, F.array_join(entries, ",")).otherwise(F.array_join(F.array_repeat(fallback, LEXICONS), ","))
 
 
 def _fallback(distinct: Column) -> Column:
@@ -153,18 +165,22 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own, changed = terms(F.col("text")), terms(F.coalesce("edited", F.lit("")))
     rows = rows.select("range", "rn", own.alias("own"), changed.alias("changed"), F.struct(
         "copy", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256")).alias("facts"))
-    # one row of facts (with a term no text has) and one per term; terms outside the lexicon end at the join
-    entry = lambda t, kind: F.struct(t.alias("term"), F.lit(kind).alias("kind"))
+    # one row of facts (with a term no text has) and one per term, which says whose it is (1 own, 2 edited, 3 both);
+    # terms outside the lexicon end at the join
+    entry = lambda ts, whose: F.transform(ts, lambda t: F.struct(t.alias("term"), F.lit(whose).alias("whose")))
     facts = F.struct("facts", _fallback(F.col("own")).alias("own"), _fallback(F.col("changed")).alias("changed"))
     each = rows.select("range", "rn", facts.alias("facts"), F.explode(F.concat(
-        F.array(entry(F.lit(""), 0)), F.transform("own", lambda t: entry(t, 1)), F.transform("changed", lambda t: entry(t, 2)))).alias("e")) \
-        .select("range", "rn", F.when(F.col("e.kind") == 0, F.col("facts")).alias("facts"), "e.term", "e.kind")
+        entry(F.array(F.lit("")), 0), entry(F.array_intersect("own", "changed"), 3), entry(F.array_except("own", "changed"), 1),
+        entry(F.array_except("changed", "own"), 2))).alias("e")) \
+        .select("range", "rn", F.when(F.col("e.whose") == 0, F.col("facts")).alias("facts"), "e.term", "e.whose")
     none = words.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).cast("long").alias("mask"))
     met = each.join(F.broadcast(words.unionByName(none)), "term")
-    of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("term", "mask"))))
-    docs_met = met.groupBy("range", "rn").agg(F.first("facts", ignorenulls=True).alias("f"), of(1).alias("own"), of(2).alias("changed"))
-    prints = docs_met.select("range", "rn", "f.facts.*", _fingerprint(F.col("own"), F.col("f.own")).alias("fingerprint"),
-                             _fingerprint(F.col("changed"), F.col("f.changed")).alias("edited_fingerprint"))
+    docs_met = met.groupBy("range", "rn").agg(F.first("facts", ignorenulls=True).alias("f"), F.array_sort(F.collect_list(
+        F.when(F.col("whose") > 0, F.struct("term", "mask", "whose")))).alias("met"))
+    of = lambda bit: F.filter("met", lambda x: x["whose"].bitwiseAND(F.lit(bit)) != 0)
+    kept = docs_met.select("range", "rn", "f", of(1).alias("own"), of(2).alias("changed"))
+    prints = kept.select("range", "rn", "f.facts.*", _fingerprint(F.col("own"), F.col("f.own")).alias("fingerprint"),
+                         _fingerprint(F.col("changed"), F.col("f.changed")).alias("edited_fingerprint"))
     w = Window.partitionBy("range").orderBy("rn")
     return prints.withColumn("next_fingerprint", F.lead("fingerprint").over(w)).where("not copy").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
