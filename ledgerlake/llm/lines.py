@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import byte_slices, pick, table_of
+from ledgerlake.llm.common import byte_slices, pick, staged, table_of
 
 MIN_WORDS = 8
 
@@ -64,9 +64,10 @@ def _units(min_words: int):
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, row_key (hash of the text) and the spans to remove, for documents that have any."""
     base = _rows(docs, id_col, text_col)
-    units = base.mapInArrow(_units(min_words), _UNITS_DDL).withColumn("rank", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    firsts = units.where(~F.col("again")).groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.max("rank").alias("last")) \
-        .where("first < last").drop("last")
+    units = staged(base.mapInArrow(_units(min_words), _UNITS_DDL).withColumn(
+        "rank", F.coalesce("doc_id", F.lit((1 << 63) - 1))), "line-units")
+    firsts = staged(units.where(~F.col("again")).groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+                    .where("first < last").drop("last"), "line-firsts")       # written, so the join below can split a hot digest
     later = units.join(firsts, ["d1", "d2"]).where("rank > first and not again")
     span = F.struct("start", "end")
     gone = later.select("doc_id", "row_key", span.alias("span")) \
