@@ -6,7 +6,9 @@ import sys
 import types
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +51,21 @@ def fold(doc_id: str | Column, n: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-def byte_slices(batch: pa.RecordBatch, column: str = "text", rows: int = 256) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of an Arrow batch with the UTF-8 bytes of a text column (null: empty), so a task holds few texts as objects."""
-    for at in range(0, batch.num_rows, rows):
-        part = batch.slice(at, rows)
-        texts = part.column(part.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
-        yield part, [t or b"" for t in texts]
+def byte_slices(batch: pa.RecordBatch, column: str = "text", rows: int = 256,
+                size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of an Arrow batch with the UTF-8 bytes of a text column (null: empty).
+
+    A slice has at most ``rows`` rows and about ``size`` bytes of text (or one longer text),
+    so a task holds few texts as objects, also where many long ones meet.
+    """
+    texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < batch.num_rows:
+        run = np.cumsum(lengths[at:at + rows])
+        n = max(1, int(np.searchsorted(run, size, side="right")))
+        yield batch.slice(at, n), [t or b"" for t in texts.slice(at, n).to_pylist()]
+        at += n
 
 
 def table_of(kinds: dict[str, pa.DataType], columns: dict[str, list]) -> pa.RecordBatch:
