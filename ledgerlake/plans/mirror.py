@@ -41,7 +41,7 @@ from ledgerlake.sources.local import rows_frame
 
 DELTA_COL = "delta_id"
 SEED_TAG = -1
-BUCKETS = 64               # of a new mirror; a stored mirror keeps the number it was made with
+BUCKETS = 32               # of a new mirror (a large one wants more); a stored mirror keeps the number it was made with
 
 
 def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode: str = "faithful",
