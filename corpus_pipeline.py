@@ -19,24 +19,38 @@ from ledgerlake.llm.pii import sanitise
 from ledgerlake.llm.queries import may_learn_toxicity
 
 
+# Rows of whole documents that go to a Python worker at once.  Spark's default of 10,000 fills up to 64 MB a task on
+# either side of the pipe; a few hundred cost nothing and leave that memory to the executor.
+ARROW_ROWS = 500
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """The pipeline's own session option; it holds when the returned plans run."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def toxic_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold of their language."""
+    _small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), allowed=may_learn_toxicity)
     return toxicity.drop_toxic(docs, model)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more)."""
+    _small_batches(spark)
     return keep_one_of_each(docs, words=5)
 
 
 def contaminated_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten-word window of a benchmark item."""
+    _small_batches(spark)
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, identifiers and revealing terms replaced; ``n_chars`` counts the new text."""
+    _small_batches(spark)
     out = sanitise(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 

@@ -134,23 +134,22 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array((x == y).sum(1) >= AGREE)).select(["a", "b"])
 
 
-def _forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Those of the pairs that connect what was not connected yet."""
-    root: dict[int, int] = {}
+class _Forest:
+    """Edges that connect the members of a piece; a member is known by its node, on whichever side it stands."""
 
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    def __init__(self, node: np.ndarray):
+        self.node, self.at = np.unique(node, return_inverse=True)
+        self.label = np.arange(len(self.node))
+        self.edges: list[tuple[int, int]] = []
 
-    out = []
-    for a, b in pairs:
-        x, y = find(a), find(b)
-        if x != y:
-            root[x] = y
-            out.append((a, b))
-    return out
+    def join(self, row: int, others: np.ndarray) -> None:
+        """Connect a row with those of the other rows that are not connected to it yet."""
+        i, ks = self.at[row], self.at[others]
+        labels, first = np.unique(self.label[ks], return_index=True)
+        new = labels != self.label[i]
+        if new.any():
+            self.edges += [(int(self.node[i]), int(self.node[ks[f]])) for f in first[new]]
+            self.label[np.isin(self.label, labels[new])] = self.label[i]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -186,12 +185,11 @@ def _candidate_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         p, q, node, n, root = _sides(t)
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
 
-        def pairs():
-            for i in p:  # noqa: B023
-                ok = q[(root[q] != root[i]) & (100 * np.minimum(n[q], n[i]) >= 80 * np.maximum(n[q], n[i]))]  # noqa: B023
-                for k in ok[(sketch[ok] == sketch[i]).sum(1) >= AGREE]:  # noqa: B023
-                    yield int(node[i]), int(node[k])  # noqa: B023
-        found += _forest(pairs())
+        forest = _Forest(node)
+        for i in p:
+            ok = q[(root[q] != root[i]) & (100 * np.minimum(n[q], n[i]) >= 80 * np.maximum(n[q], n[i]))]
+            forest.join(i, ok[(sketch[ok] == sketch[i]).sum(1) >= AGREE])
+        found += forest.edges
         if len(found) > 50_000:
             yield _edges_of(found)
             found = []
@@ -214,17 +212,15 @@ def _linker(words: int):
             order = np.argsort(every, kind="stable")
             every, owner = every[order], np.repeat(np.arange(len(q)), size)[order]
 
-            def pairs():
-                for i in p if len(q) else ():  # noqa: B023
-                    own = sets[i]  # noqa: B023
-                    lo, hi = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")  # noqa: B023
-                    many = hi - lo
-                    at = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-                    both = np.bincount(owner[at], minlength=len(q))  # noqa: B023
-                    ok = (100 * both >= 80 * (len(own) + size - both)) & (root[q] != root[i])  # noqa: B023
-                    for k in np.flatnonzero(ok):
-                        yield int(node[i]), int(node[q[k]])  # noqa: B023
-            found += _forest(pairs())
+            forest = _Forest(node)
+            for i in p if len(q) else ():
+                own = sets[i]
+                lo, hi = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
+                many = hi - lo
+                at = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+                both = np.bincount(owner[at], minlength=len(q))
+                forest.join(i, q[(100 * both >= 80 * (len(own) + size - both)) & (root[q] != root[i])])
+            found += forest.edges
             if len(found) > 50_000:
                 yield _edges_of(found)
                 found = []
@@ -342,7 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .select("node", "text").dropDuplicates(["node"]), "near-texts")
     roots = _linked_roots(members, nodes.select("node", "sketch"), texts, words)
     least = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ids = least.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = staged(least.groupBy("root").agg(F.min("rep").alias("component_id")), "near-ids")   # written, so the join can split a hot root
     of_text = staged(least.select("t1", "t2", "root").join(ids, "root").select("t1", "t2", "root", "component_id"), "near-classes")
     out = signed.select("doc_id", "t1", "t2", "n").join(of_text, ["t1", "t2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
