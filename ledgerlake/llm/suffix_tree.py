@@ -3,35 +3,36 @@
 A text is the sequence of its words (runs without blank space, A-Z lower-cased) and one
 end token; the context before its first word is the end token.  The tree's root predicts
 a token by its count in the training texts, plus 0.5, over N + 0.5 (V + 1).  A node is a
-context of up to ``depth`` words, read backwards.  It may become a state if its share of
-the training tokens is at least ``context_share``; it stays one if its distribution
+context of up to ``depth`` words, read backwards.  It may become a state if it occurs at
+least ``CONTEXT_MIN`` times, whatever the corpus' size; it stays one if its distribution
 diverges from its parent's (the context without its oldest word): at least
 ``divergence`` nats a token and ``gain`` nats in all, and its parent is a state too.
-A state lists the symbols that follow it with a share of all tokens of at least
-``symbol_share``; their counts are smoothed with ``prior`` pseudo-counts of the parent's
-distribution, and all other symbols share the rest in proportion to the parent, so every
-state's distribution adds up to one.  A token is predicted by the longest suffix of its
-past that is a state.
-
-Counts cover all training texts, level by level: a string can only be frequent if its
-parts are, so each pass counts strings whose parts passed.  The shares bound what is
-broadcast (at most 1 / share entries a level) whatever the corpus' size.  Tokens outside
-the broadcast vocabulary are looked up by a join with the table of all counts; they never
-are listed symbols, so what they add to a score is their root probability.
-
-Words are keyed by a 64-bit hash.  Defined results: a null or empty text is one end
-token; without training texts N and V are 0 and every token has probability 1; repeated
-rows count and are scored each for itself; an empty table gives an empty result.
+A state lists the symbols that follow it at least ``SYMBOL_MIN`` times; their counts are
+smoothed with ``prior`` pseudo-counts of the parent's distribution, and all other symbols
+share the rest in proportion to the parent, so every state's distribution adds up to one.
+A token is predicted by the longest suffix of its past that is a state.
+
+Counts cover all training texts, level by level.  Levels and states are staged tables
+keyed by hash.  A log score is a sum over a document's strings of 1 to depth + 1 words:
+a word adds its root probability, a context that is a state the factor of its unlisted
+symbols, a listed string what its own probability differs from that.  So scoring meets
+the documents' strings with one table of values, dealt into key buckets.  Two things are
+broadcast and change no result: the values of the most frequent strings (a share of the
+tokens of at least ``word_share``), and a bit table that tells most strings without a
+value, of at most ``FILTER_BITS`` bits.
+
+Words and strings are keyed by a 64-bit hash.  Defined results: a null or empty text is
+one end token; without training texts N and V are 0 and every token has probability 1;
+repeated rows count and are scored each for itself; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import uuid
-from array import array
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +43,16 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import byte_slices, pick, staged, table_of, worker_cache
 
 DEPTH = 2
-WORD_SHARE = 2e-6          # words whose counts are broadcast
-SYMBOL_SHARE = 5e-6
-CONTEXT_SHARE = 5e-5
+WORD_SHARE = 5e-6          # strings whose values are broadcast
+SYMBOL_MIN = 2             # occurrences of a listed string
+CONTEXT_MIN = 2            # occurrences of a state
 DIVERGENCE = 0.01
 GAIN = 10.0
 PRIOR = 50.0
 CACHED_WORDS = 200_000
-FLUSH = 1_000_000          # entries a task holds before it passes partial counts on
+FLUSH = 2_000_000          # entries a task holds before it passes partial counts on
+FILTER_BITS = 1 << 28
+BUCKET_ROWS, BUCKET_BYTES = 500_000, 16 << 20      # values and text a key bucket stands for
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -63,92 +66,110 @@ def key_of(word: bytes) -> int:
 END = key_of(b"")
 
 
-@dataclass
-class Tree:
-    """``keys[0]``: sorted word hashes.  ``keys[d]``: sorted (index of the first d words) * words + index of the last word."""
-    total: int
-    distinct: int
-    keys: list[np.ndarray]
-    counts: list[np.ndarray]
-    symbol_min: float
-    context_min: float
-    logp: list[np.ndarray] = field(default_factory=list)       # log10 probability of each string's last word
-    logb: list[np.ndarray] = field(default_factory=list)       # log10 factor for unlisted symbols, by context
-    state: list[np.ndarray] = field(default_factory=list)
-
-    def denominator(self) -> float:
-        return self.total + 0.5 * (self.distinct + 1)
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Key of a string from the keys of the string without its last word and without its first word."""
+    x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
+    for shift, by in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
-class _Ids(dict):
-    """Word -> index in the tree's vocabulary, or a number from ``len(vocabulary)`` on for other words."""
-
-    def __init__(self, vocabulary: np.ndarray):
-        super().__init__()
-        self.vocabulary, self.others = array("q", vocabulary.tobytes()), []
+class _Keys(dict):
+    """Word -> its key."""
 
     def __missing__(self, word: bytes) -> int:
-        key = key_of(word)
-        at = bisect_left(self.vocabulary, key)
-        if at == len(self.vocabulary) or self.vocabulary[at] != key:
-            at = len(self.vocabulary) + len(self.others)
-            self.others.append(key)
-        self[word] = at
-        return at
-
-    def bounded(self) -> _Ids:
+        key = self[word] = key_of(word)
+        return key
+
+    def bounded(self) -> _Keys:
         if len(self) > CACHED_WORDS:
             self.clear()
-            self.others = []
         return self
 
 
-def _lookup(keys: np.ndarray, wanted: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """Index of ``wanted`` in ``keys`` where asked and found, else -1."""
-    out = np.full(len(wanted), -1, np.int64)
-    if len(keys):
-        ask = np.flatnonzero(where)
-        at = np.minimum(np.searchsorted(keys, wanted[ask]), len(keys) - 1)
-        good = keys[at] == wanted[ask]
-        out[ask[good]] = at[good]
-    return out
-
-
-def _laid_out(texts: list[bytes], ids: _Ids) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, each with the end token before and after it; positions of the leading ones."""
-    end = bisect_left(ids.vocabulary, END)
-    if end == len(ids.vocabulary) or ids.vocabulary[end] != END:
-        end = len(ids.vocabulary)                      # no training text: the end token is unknown
-        if not ids.others or ids.others[0] != END:
-            ids.others.insert(0, END)
-            ids.clear()
+def _strings(texts: list[bytes], keys: _Keys, levels: int) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+    """Keys of all words in a row, and for strings of 1 .. levels words: key, key without the last word, key without
+    the first, owner (index of the text) and place of the last word.
+
+    Each text has the end token before and after it; of single words the leading one is left out.
+    """
     flat: list[int] = []
-    starts = []
-    for t in texts:
-        starts.append(len(flat))
-        flat.append(end)
-        flat.extend(map(ids.__getitem__, tokens(t)))
-        flat.append(end)
-    return np.array(flat, np.int64), np.array(starts, np.int64)
-
-
-def _strings(tree: Tree, flat: np.ndarray, starts: np.ndarray, levels: int) -> list[np.ndarray]:
-    """For d = 1 .. levels: index of the d-word string that ends at each position, or -1."""
-    words = len(tree.keys[0])
-    known = np.where(flat < words, flat, -1)
-    out = [known]
-    for d in range(1, levels):
-        before = np.concatenate([[-1], out[-1][:-1]])
-        before[starts] = -1
-        context_ok = before >= 0
-        context_ok[context_ok] = tree.counts[d - 1][before[context_ok]] >= tree.context_min
-        out.append(_lookup(tree.keys[d], before * words + known, context_ok & (known >= 0)))
-    return out
+    starts = np.zeros(len(texts) + 1, np.int64)
+    for i, t in enumerate(texts):
+        flat.append(END)
+        flat.extend(map(keys.__getitem__, tokens(t)))
+        flat.append(END)
+        starts[i + 1] = len(flat)
+    key = np.array(flat, np.int64)
+    owner, at = np.repeat(np.arange(len(texts)), np.diff(starts)), np.arange(len(flat))
+    first = np.ones(len(flat), bool)
+    first[starts[:-1]] = False
+    out = [(key[first], key[first], key[first], owner[first], at[first])]
+    row = key
+    for _ in range(1, levels):
+        same = owner[1:] == owner[:-1]
+        a, b, owner, at = key[:-1][same], key[1:][same], owner[1:][same], at[1:][same]
+        key = joined(a, b)
+        out.append((key, a, b, owner, at))
+    return row, out
+
+
+# ---------------------------------------------------------------- key buckets
+def _bucket(key, buckets: int):
+    """Bucket of a key (numpy): equal ranges of the keys."""
+    return (((key >> 32) + (1 << 31)) * buckets) >> 32
+
+
+def _bucket_column(key: Column, buckets: int) -> Column:
+    return F.shiftright((F.shiftright(key, 32) + F.lit(1 << 31)) * F.lit(buckets), 32)
+
+
+def _buckets(texts: DataFrame) -> int:
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(max(8, size // BUCKET_BYTES))
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Bytes of the values by their place in the value, so that equal leading bytes compress."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unpack(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def _unpack_sorted(data: bytes, kind) -> np.ndarray:
+    return np.cumsum(_unpack(data, kind), dtype=kind)
+
+
+# ---------------------------------------------------------------- bit table
+def _bit_table(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit for the key of every row of ``keys``: its leading bits choose a word, its last six a bit of it."""
+    n = keys.count()
+    lead = max(10, min(FILTER_BITS, 32 * max(1, n)).bit_length() - 7)
+    words = keys.groupBy(F.shiftrightunsigned("key", 64 - lead).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")).toArrow()
+    table = np.zeros(1 << lead, np.int64)
+    table[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return table, lead
+
+
+def _may_have(table: tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
+    words, lead = table
+    return (words[(keys.view(np.uint64) >> np.uint64(64 - lead)).view(np.int64)] >> (keys & 63)) & 1 == 1
 
 
 # ---------------------------------------------------------------- counting
 _COUNTS = {"key": pa.int64(), "n": pa.int64()}
 _COUNTS_DDL = "key long, n long"
+# Partial counts of the strings of a key bucket: the sorted keys of their words, the strings as places in these, by word.
+_FOUND = {"bucket": pa.int64(), "words": pa.binary(), "strings": pa.list_(pa.binary()), "n": pa.binary()}
+_FOUND_DDL = "bucket long, words binary, strings array<binary>, n binary"
+_STRINGS_DDL = "key long, a long, b long, n long"
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,173 +185,270 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in texts:
                 seen.update(tokens(t))
             seen[b""] += len(texts)
-            if len(seen) > FLUSH // 2:
+            if len(seen) > FLUSH // 4:
                 yield flush()
     yield flush()
 
 
-def _count_strings(shared):
-    """Candidates of the next level: a frequent context, a frequent word, and the string without its first word."""
-    key = f"suffix-count:{uuid.uuid4().hex}"
+def _count_strings(words: int, buckets: int, shared):
+    """Partial counts of the strings of ``words`` words whose parts may be listed."""
+    cache = f"suffix-keys:{uuid.uuid4().hex}"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Tree(**shared.value)
-        ids = worker_cache(key, lambda: _Ids(tree.keys[0]))
-        d, words = len(tree.keys), len(tree.keys[0])
-        symbol_ok = tree.counts[0] >= tree.symbol_min
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        may, keys = shared.value, worker_cache(cache, _Keys)
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(back, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+        def merged() -> tuple[np.ndarray, ...]:
+            n, key, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
+            key, at, back = np.unique(key, return_index=True, return_inverse=True)
+            return np.bincount(back, weights=n).astype(np.int32), key, *(p[at] for p in parts)
+
+        def records(n: np.ndarray, key: np.ndarray, *parts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            ends = np.searchsorted(_bucket(key, buckets), np.arange(buckets + 1))
+            for b in np.flatnonzero(np.diff(ends)).tolist():
+                here = slice(ends[b], ends[b + 1])
+                known, at = np.unique(np.concatenate([p[here] for p in parts]), return_inverse=True)
+                at = at.reshape(len(parts), -1).astype(np.uint32)
+                order = np.lexsort(at[1::-1])
+                strings = [_pack_sorted(at[0][order]), *(_pack(x[order]) for x in at[1:])]
+                yield table_of(_FOUND, {"bucket": [b], "words": [_pack_sorted(known)], "strings": [strings], "n": [_pack(n[here][order])]})
 
         for batch in batches:
             for _, texts in byte_slices(batch):
-                flat, starts = _laid_out(texts, ids.bounded())
-                strings = _strings(tree, flat, starts, d)
-                before = np.concatenate([[-1], strings[-1][:-1]])
-                before[starts] = -1
-                ok = (before >= 0) & (strings[-1] >= 0) & (flat < words)
-                ok[ok] = (tree.counts[-1][before[ok]] >= tree.context_min) & symbol_ok[flat[ok]]
-                found, n = np.unique(before[ok] * words + flat[ok], return_counts=True)
-                held.append((found, n))
-                size += len(found)
+                flat, found = _strings(texts, keys.bounded(), words)
+                key, a, b, _, at = found[-1]
+                ok = _may_have(may, a) & _may_have(may, b)
+                held.append((np.ones(int(ok.sum()), np.int32), key[ok], *(flat[at[ok] - i] for i in reversed(range(words)))))
+                size += len(held[-1][0])
                 if size > FLUSH:
                     held = [merged()]
                     size = len(held[0][0])
                     if size > FLUSH // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held[0]], names=["key", "n"])
+                        yield from records(*held[0])
                         held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged()], names=["key", "n"])
+            yield from records(*merged())
     return count
 
 
-def _sorted_arrays(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    t = frame.toArrow()
-    keys, n = t.column("key").to_numpy(), t.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order].astype(np.int64), n[order].astype(np.int64)
+def _total_counts(least: float):
+    def total(found: pa.Table) -> pa.Table:
+        parts, counts = [], []
+        for r in found.select(list(_FOUND)[1:]).to_batches(max_chunksize=16):
+            for words, strings, n in zip(*(c.to_pylist() for c in r.columns), strict=True):
+                words = _unpack_sorted(words, np.int64)
+                parts.append([words[_unpack_sorted(strings[0], np.uint32)], *(words[_unpack(x, np.uint32)] for x in strings[1:])])
+                counts.append(_unpack(n, np.int32))
+        level = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        while len(level) > 2:
+            level = [joined(a, b) for a, b in zip(level, level[1:], strict=False)]
+        a, b = level
+        key, at, back = np.unique(joined(a, b), return_index=True, return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)
+        ok = n >= least
+        return pa.table([pa.array(x[ok]) for x in (key, a[at], b[at], n)], names=["key", "a", "b", "n"])
+    return total
+
+
+# ---------------------------------------------------------------- the tree
+@dataclass
+class Tree:
+    """``levels``: for d = 1 .. depth the strings of d + 1 words (key, a, b, n, c, q, own) and the states of d words (key, n, logb).
+
+    ``a`` and ``b`` are the keys without the last and without the first word, ``c`` the count of the context,
+    ``q`` and ``own`` the last word's probability by the parent and by the context itself.
+    """
+    total: int
+    distinct: int
+    symbol_min: float
+    context_min: float
+    word_share: float
+    words: DataFrame
+    levels: list[tuple[DataFrame, DataFrame]]
 
+    def denominator(self) -> float:
+        return self.total + 0.5 * (self.distinct + 1)
 
-def learn(texts: DataFrame, depth: int = DEPTH, word_share: float = WORD_SHARE, symbol_share: float = SYMBOL_SHARE,
-          context_share: float = CONTEXT_SHARE, divergence: float = DIVERGENCE, gain: float = GAIN,
-          prior: float = PRIOR) -> tuple[Tree, DataFrame]:
-    """The tree and the table (key, n) of all words' counts, from the column ``text`` of the training texts."""
+    @cached_property
+    def _arrays(self) -> dict[str, list[np.ndarray]]:
+        """The whole tree in the driver, to look into small ones; neither learning nor scoring uses it."""
+        rows = sorted(map(tuple, self.words.where(F.col("n") >= min(self.symbol_min, self.context_min)).collect()))
+        size, index = max(1, len(rows)), {key: i for i, (key, _) in enumerate(rows)}
+        last = {key: i for key, i in index.items()}
+        out = {"keys": [np.array([k for k, _ in rows], np.int64)], "counts": [np.array([n for _, n in rows], np.int64)],
+               "logp": [np.log10((np.array([n for _, n in rows], float) + 0.5) / self.denominator())], "logb": [], "state": []}
+        for strings, states in self.levels:
+            found = [(index[r["a"]] * size + last[r["b"]], r) for r in strings.collect()]
+            found.sort(key=lambda x: x[0])
+            logb = {r["key"]: r["logb"] for r in states.collect()}
+            out["state"].append(np.array([k in logb for k in index], bool))
+            out["logb"].append(np.array([logb.get(k, 0.0) for k in index]))
+            out["keys"].append(np.array([x for x, _ in found], np.int64))
+            out["counts"].append(np.array([r["n"] for _, r in found], np.int64))
+            out["logp"].append(np.log10(np.array([r["own"] for _, r in found], float)))
+            last, index = {r["key"]: x % size for x, r in found}, {r["key"]: i for i, (_, r) in enumerate(found)}
+        return out
+
+    keys = property(lambda self: self._arrays["keys"], doc="keys[0]: sorted word keys; keys[d]: sorted (index of the first d words) * words + index of the last")
+    counts = property(lambda self: self._arrays["counts"])
+    logp = property(lambda self: self._arrays["logp"], doc="log10 probability of each string's last word")
+    logb = property(lambda self: self._arrays["logb"], doc="log10 factor for unlisted symbols, by context")
+    state = property(lambda self: self._arrays["state"])
+
+
+def learn(texts: DataFrame, depth: int = DEPTH, word_share: float = WORD_SHARE, symbol_share: float = 0.0,
+          context_share: float = 0.0, divergence: float = DIVERGENCE, gain: float = GAIN, prior: float = PRIOR,
+          symbol_min: int = SYMBOL_MIN, context_min: int = CONTEXT_MIN) -> tuple[Tree, DataFrame]:
+    """The tree and the table (key, n) of all words' counts, from the column ``text`` of the training texts.
+
+    ``symbol_share`` and ``context_share`` (shares of all tokens) may raise the minimum counts; by default they do not.
+    """
+    context, buckets = texts.sparkSession.sparkContext, _buckets(texts)
     counts = staged(texts.mapInArrow(_count_words, _COUNTS_DDL).groupBy("key").agg(F.sum("n").alias("n")), "suffix-words")
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total = total or 0
-    tree = Tree(total, distinct, [], [], symbol_share * total, context_share * total)
-    frequent = _sorted_arrays(counts.where(F.col("n") >= min(word_share, symbol_share) * total))
-    tree.keys.append(frequent[0])
-    tree.counts.append(frequent[1])
-    for _ in range(depth):
-        shared = texts.sparkSession.sparkContext.broadcast(vars(tree))
-        found = texts.mapInArrow(_count_strings(shared), _COUNTS_DDL).groupBy("key").agg(F.sum("n").alias("n"))
-        keys, n = _sorted_arrays(found.where(F.col("n") >= max(1.0, tree.symbol_min)))
-        tree.keys.append(keys)
-        tree.counts.append(n)
-    _retain(tree, divergence, gain, prior)
+    tree = Tree(total, distinct, max(symbol_min, symbol_share * total), max(context_min, context_share * total), word_share, counts, [])
+    below = counts.select("key", "n", ((F.col("n") + 0.5) / F.lit(tree.denominator())).alias("p"), F.lit(True).alias("ok"))
+    for d in range(1, depth + 1):
+        least = min(tree.symbol_min, tree.context_min)
+        shared = context.broadcast(_bit_table(below.where(F.col("n") >= least)))
+        found = texts.mapInArrow(_count_strings(d + 1, buckets, shared), _FOUND_DDL).groupBy("bucket") \
+            .applyInArrow(_total_counts(tree.symbol_min), _STRINGS_DDL)
+        contexts = below.where(F.col("ok") & (F.col("n") >= tree.context_min)).select(F.col("key").alias("a"), F.col("n").alias("c"))
+        own = (F.col("n") + prior * F.col("q")) / (F.col("c") + prior)
+        strings = staged(found.join(contexts, "a").join(below.select(F.col("key").alias("b"), F.col("p").alias("q")), "b")
+                         .select("key", "a", "b", "n", "c", "q", own.alias("own")), f"suffix-strings-{d}")
+        states = staged(_states(strings, divergence, gain, prior), f"suffix-states-{d}")
+        tree.levels.append((strings, states))
+        below = strings.join(states.select(F.col("key").alias("b"), F.lit(True).alias("is_state")), "b", "left").select(
+            "key", "n", F.col("own").alias("p"), F.coalesce("is_state", F.lit(False)).alias("ok"))
+        if d < depth:
+            below = staged(below, f"suffix-below-{d}")
     return tree, counts
 
 
-def _retain(tree: Tree, divergence: float, gain: float, prior: float) -> None:
-    """Probabilities of listed symbols, factors for the others, and which contexts are states."""
-    words = max(1, len(tree.keys[0]))
-    p = (tree.counts[0] + 0.5) / tree.denominator()
-    tree.logp.append(np.log10(p))
-    shorter = [np.zeros(len(tree.keys[0]), np.int64)]            # index of each string without its first word
-    states = [np.ones(1, bool)]
-    for d in range(1, len(tree.keys)):
-        keys, n = tree.keys[d], tree.counts[d].astype(np.float64)
-        context, last = keys // words, keys % words
-        if d == 1:
-            suffix = last
-        else:
-            suffix = _lookup(tree.keys[d - 1], shorter[d - 1][context] * words + last, np.ones(len(keys), bool))
-        of_parent = np.where(suffix >= 0, p[suffix] if len(p) else 0.0, 0.0) if len(keys) else np.zeros(0)
-        c = tree.counts[d - 1].astype(np.float64)
-        size = len(c)
-        listed, mass = np.bincount(context, n, size), np.minimum(np.bincount(context, of_parent, size), 1 - 1e-9)
-        rest = np.maximum(c - listed, 0.0)
-        own = (n + prior * of_parent) / (c[context] + prior)
-        factor = (rest + prior * (1 - mass)) / ((c + prior) * (1 - mass))
-        won = np.bincount(context, n * np.log(own / np.maximum(of_parent, 1e-300)), size) + rest * np.log(np.maximum(factor, 1e-300))
-        keep = (c >= tree.context_min) & (won >= gain) & (won >= divergence * c)
-        if d > 1:
-            keep &= states[d - 1][shorter[d - 1]]
-        tree.logp.append(np.log10(own))
-        tree.logb.append(np.log10(factor))
-        tree.state.append(keep)
-        states.append(keep)
-        shorter.append(suffix)
-        p = own
+def _states(strings: DataFrame, divergence: float, gain: float, prior: float) -> DataFrame:
+    """key, n and the factor of unlisted symbols (logb) of the contexts that stay states."""
+    c, rest = F.col("c"), F.greatest(F.col("c") - F.col("listed"), F.lit(0.0))
+    mass = F.least(F.col("mass"), F.lit(1 - 1e-9))
+    factor = (rest + prior * (1 - mass)) / ((c + prior) * (1 - mass))
+    won = F.col("won") + rest * F.ln("factor")
+    return strings.groupBy("a").agg(F.max("c").alias("c"), F.sum("n").alias("listed"), F.sum("q").alias("mass"),
+                                    F.sum(F.col("n") * F.ln(F.col("own") / F.col("q"))).alias("won")) \
+        .withColumn("factor", factor).where((won >= gain) & (won >= divergence * c)) \
+        .select(F.col("a").alias("key"), c.alias("n"), F.log10("factor").alias("logb"))
+
+
+def _values(tree: Tree, counts: DataFrame) -> DataFrame:
+    """key, n, known (1: a word), base and value: what one occurrence adds to the root's and to the tree's score.
+
+    Words of no training text add log10(0.5 / denominator), which is counted for all words beforehand.
+    """
+    base = F.log10(2 * F.col("n") + 1)
+    zero = F.lit(0.0)
+    parts = [counts.select("key", "n", F.lit(1).alias("known"), base.alias("base"), base.alias("value"))]
+    for strings, states in tree.levels:
+        parts.append(states.select("key", "n", F.lit(0).alias("known"), zero.alias("base"), F.col("logb").alias("value")))
+        listed = strings.join(states.select(F.col("key").alias("a"), "logb"), "a")
+        parts.append(listed.select("key", "n", F.lit(0).alias("known"), zero.alias("base"),
+                                   (F.log10("own") - F.log10("q") - F.col("logb")).alias("value")))
+    return reduce(DataFrame.unionByName, parts).groupBy("key").agg(
+        F.max("n").alias("n"), F.max("known").alias("known"), F.sum("base").alias("base"), F.sum("value").alias("value"))
 
 
 # ---------------------------------------------------------------- scoring
-_SCORES = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "score": pa.float64(),
-           "others": pa.list_(pa.struct([("key", pa.int64()), ("m", pa.int32())]))}
-_SCORES_DDL = "doc_id long, n_tokens long, known long, base double, score double, others array<struct<key:long,m:int>>"
-
-
-def token_scores(tree: Tree, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 probabilities by position from the root and from the tree; 0 for the root's part of words outside the vocabulary."""
-    words = len(tree.keys[0])
-    strings = _strings(tree, flat, starts, len(tree.keys))
-    root = np.zeros(len(flat))
-    inside = flat < words
-    root[inside] = tree.logp[0][flat[inside]]
-    score = root.copy()
-    for d in range(1, len(tree.keys)):
-        before = np.concatenate([[-1], strings[d - 1][:-1]])
-        before[starts] = -1
-        at = np.flatnonzero(before >= 0)
-        at = at[tree.state[d - 1][before[at]]]
-        entry = strings[d][at]
-        score[at] = np.where(entry >= 0, tree.logp[d][entry] if len(tree.logp[d]) else 0.0, score[at] + tree.logb[d - 1][before[at]])
-    root[starts] = score[starts] = 0
-    return root, score
-
-
-def _scorer(shared):
-    key = f"suffix-score:{uuid.uuid4().hex}"
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Tree(**shared.value)
-        words = len(tree.keys[0])
-        ids = worker_cache(key, lambda: _Ids(tree.keys[0]))
+# A record holds, for a slice of documents, either their facts or the strings that fall into one key bucket.
+_RECORD = {"bucket": pa.int64(), "first": pa.int64(), "ids": pa.list_(pa.int64()), "facts": pa.binary(), "keys": pa.binary(),
+           "owners": pa.binary(), "m": pa.binary()}
+_RECORD_DDL = "bucket long, first long, ids array<long>, facts binary, keys binary, owners binary, m binary"
+_SUMS = {"row": pa.int64(), "doc_id": pa.int64(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "value": pa.float64()}
+_SUMS_DDL = "row long, doc_id long, n_tokens long, known long, base double, value double"
+_FACTS = ("n_tokens", "known", "base", "value")
+
+
+def _place(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Index of each value in the sorted keys, or -1."""
+    if not len(keys):
+        return np.full(len(values), -1, np.int64)
+    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+    return np.where(keys[at] == values, at, -1)
+
+
+def _emitter(shared, levels: int, buckets: int, absent: float):
+    cache = f"suffix-keys:{uuid.uuid4().hex}"
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, may = shared.value
+        words = worker_cache(cache, _Keys)
         for batch in batches:
             for part, texts in byte_slices(batch):
-                flat, starts = _laid_out(texts, ids.bounded())
-                root, scores = token_scores(tree, flat, starts)
-                sizes = np.diff(np.append(starts, len(flat)))
-                owner = np.repeat(np.arange(len(texts)), sizes)
-                rare = np.flatnonzero(flat >= words)
-                rare = rare[~np.isin(rare, starts)] if words == 0 or len(starts) and flat[starts[0]] >= words else rare
-                span = len(ids.others) + 1
-                pairs, m = np.unique(owner[rare] * span + (flat[rare] - words), return_counts=True)
-                others = np.array(ids.others, np.int64)[pairs % span] if len(pairs) else np.zeros(0, np.int64)
-                n_other = np.bincount(owner[rare], minlength=len(texts))
-                offsets = np.searchsorted(pairs // span, np.arange(len(texts) + 1))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
-                    [pa.array(others, pa.int64()), pa.array(m, pa.int32())], names=["key", "m"]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes - 1, pa.int64()), pa.array(sizes - 1 - n_other, pa.int64()),
-                     pa.array(np.add.reduceat(root, starts)), pa.array(np.add.reduceat(scores, starts)), lists], names=list(_SCORES))
-    return score
+                _, found = _strings(texts, words.bounded(), levels)
+                sizes = np.bincount(found[0][3], minlength=len(texts))
+                key, owner = (np.concatenate([f[i] for f in found]) for i in (0, 3))
+                ok = _may_have(may, key)
+                key, owner = key[ok], owner[ok]
+                distinct, back = np.unique(key, return_inverse=True)
+                at = _place(hot["key"], distinct)[back]
+                known = at >= 0
+                facts = [sizes.astype(np.float64)]
+                for name in _FACTS[1:]:
+                    of = hot[name][at[known]] if len(hot["key"]) else np.zeros(0)
+                    facts.append(np.bincount(owner[known], of, len(texts)) + (absent * sizes if name != "known" else 0))
+                pairs, m = np.unique(back[~known] * 256 + owner[~known], return_counts=True)
+                out = {k: [] for k in _RECORD}
+
+                def put(bucket: int, **more):
+                    for k, v in ({"bucket": bucket, "first": part.column("row")[0].as_py()} | more).items():  # noqa: B023
+                        out[k].append(v)  # noqa: B023
+
+                put(part.column("row")[0].as_py() % buckets, ids=part.column("doc_id").to_pylist(), facts=np.array(facts).tobytes(), keys=None, owners=None, m=None)
+                keys = distinct[pairs >> 8]
+                ends = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
+                for b in np.flatnonzero(np.diff(ends)).tolist():
+                    a, z = ends[b], ends[b + 1]
+                    put(b, ids=None, facts=None, keys=_pack_sorted(keys[a:z]), owners=(pairs[a:z] & 255).astype(np.uint8).tobytes(),
+                        m=_pack(m[a:z].astype(np.int32)))
+                yield table_of(_RECORD, out)
+    return emit
+
+
+def _sums(records: pa.Table, values: pa.Table) -> pa.Table:
+    """Facts of the documents, and sums over the strings of a key bucket by document."""
+    keys = values.column("key").to_numpy()
+    order = np.argsort(keys)
+    keys, of = keys[order], [values.column(k).to_numpy()[order] for k in _FACTS[1:]]
+    out: list[pa.Table] = []
+    for r in records.select(list(_RECORD)).to_batches(max_chunksize=64):
+        for first, ids, facts, k, owners, m in zip(*(r.column(c).to_pylist() for c in list(_RECORD)[1:]), strict=True):
+            if facts is not None:
+                rows, doc_ids, sums = np.arange(len(ids)), ids, list(np.frombuffer(facts).reshape(len(_FACTS), -1))
+            else:
+                at = _place(keys, _unpack_sorted(k, np.int64))
+                hit = at >= 0
+                owner, times = np.frombuffer(owners, np.uint8)[hit], _unpack(m, np.int32)[hit]
+                rows = np.unique(owner).astype(np.int64)
+                sums = [np.zeros(len(rows))] + [np.bincount(owner, times * v[at[hit]], 256)[rows] for v in of]
+                doc_ids = [None] * len(rows)
+            out.append(pa.table([pa.array(rows + first, pa.int64()), pa.array(doc_ids, pa.int64())] +
+                                [pa.array(v.astype(np.int64) if t == pa.int64() else v, t) for v, t in zip(sums, list(_SUMS.values())[2:], strict=True)],
+                                names=list(_SUMS)))
+    return pa.concat_tables(out) if out else pa.schema(_SUMS.items()).empty_table()
 
 
 def score_texts(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score (root only), score (longest states)."""
-    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    scorer = _scorer(docs.sparkSession.sparkContext.broadcast(vars(tree)))
-    scored = staged(rows.mapInArrow(scorer, _SCORES_DDL).withColumn("row", F.monotonically_increasing_id()), "suffix-scores")
-    n = F.coalesce("n", F.lit(0))
-    others = scored.select("row", F.explode("others").alias("o")).select("row", "o.key", "o.m").join(counts, "key", "left") \
-        .groupBy("row").agg(F.sum(F.col("m") * F.log10((n + 0.5) / F.lit(tree.denominator()))).alias("more"),
-                            F.sum(F.when(n > 0, F.col("m")).otherwise(0)).alias("known_more"))
-    more = F.coalesce("more", F.lit(0.0))
-    return scored.join(others, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")) \
+        .withColumn("row", F.monotonically_increasing_id())
+    values = staged(_values(tree, counts), "suffix-values")
+    buckets = max(_buckets(rows), values.count() // BUCKET_ROWS)
+    often = values.where(F.col("n") >= tree.word_share * tree.total).toArrow().sort_by("key")
+    hot = {k: often.column(k).to_numpy() for k in ("key", *_FACTS[1:])}
+    shared = docs.sparkSession.sparkContext.broadcast((hot, _bit_table(values)))
+    absent = float(np.log10(0.5 / tree.denominator()))
+    records = rows.mapInArrow(_emitter(shared, len(tree.levels) + 1, buckets, absent), _RECORD_DDL)
+    values = values.where(F.col("n") < tree.word_share * tree.total).select("key", *_FACTS[1:], _bucket_column(F.col("key"), buckets).alias("bucket"))
+    sums = records.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(_sums, _SUMS_DDL)
+    return sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(k).alias(k) for k in _FACTS]).select(
+        "doc_id", "n_tokens", F.col("known").alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"), F.col("value").alias("score"))

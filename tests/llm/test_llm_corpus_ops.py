@@ -162,6 +162,18 @@ def test_suffix_tree_odd_rows(spark):
     assert suffix_tree.score_texts(docs.limit(0), tree, counts).count() == 0
 
 
+def test_suffix_tree_keeps_rare_strings_of_a_large_corpus(spark):
+    rng = random.Random(5)
+    for size in (400, 20):                             # what is listed does not depend on how much else there is
+        texts = [words(rng, 500, 5000) for _ in range(size)] + ["zeta omega"] * 4
+        tree, counts = suffix_tree.learn(docs_frame(spark, texts).select("text"))
+        (got,) = suffix_tree.score_texts(docs_frame(spark, ["zeta omega"]), tree, counts).collect()
+        assert got["score"] > got["base_score"] + 2, size
+        once = suffix_tree.learn(docs_frame(spark, texts[:-3]).select("text"))
+        (got,) = suffix_tree.score_texts(docs_frame(spark, ["zeta omega"]), *once).collect()
+        assert math.isclose(got["score"], got["base_score"], abs_tol=1), size
+
+
 # ---------------------------------------------------------------- fingerprints
 def test_next_document_across_ranges(spark):
     rng = random.Random(3)
