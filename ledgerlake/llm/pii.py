@@ -7,14 +7,14 @@ estimates how much a term t reveals e:
     IC(e) = -log2(texts with e / N),   PMI(t, e) = log2(P(e | t) / P(e)),   disclosure = max over e of PMI / IC
 
 P(e | t) is the number of distinct texts with t within ``NEAR`` words of e over the
-number of documents with t, so copies of one text are one piece of evidence and can
-only lower a term's disclosure.  A term that is near e in at least ``SUPPORT`` distinct
+number of distinct texts with t, and N counts distinct texts too, so copies of a text
+change nothing.  A term that is near e in at least ``SUPPORT`` distinct
 texts and reaches ``GENERALISE`` is generalised wherever it stands; from ``REMOVE`` on it
 is removed.
 
-All statistics cover all documents.  Candidate and risky terms are dealt into parts of
-at most about ``MAX_TERMS`` terms; each part is broadcast and counted or marked over all
-documents, so their number has no cap.
+All statistics cover all documents; terms are counted in one pass.  Risky terms are dealt
+into parts of at most about ``MAX_TERMS`` terms; each part is broadcast and marked over
+all documents, so their number has no cap.
 
 Defined results: a null or empty text has no spans (and stays null or empty when
 sanitised); repeated rows are judged each for itself; an empty table gives an empty result.
@@ -39,6 +39,7 @@ SUPPORT = 3               # distinct texts in which a term is near the entity
 GENERALISE = 0.9
 REMOVE = 0.98
 MAX_TERMS = 500_000
+FLUSH = 500_000           # terms a task holds before it passes partial sums on
 
 # Fixed patterns of the direct identifiers.
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
@@ -141,15 +142,27 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield table_of(_PAIRS, out)
 
 
-def _counter(shared):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, n = {t.encode() for (t,) in shared.value}, Counter()
-        for batch in batches:
-            for _, texts in byte_slices(batch):
-                for t in texts:
-                    n.update(terms.intersection(t.translate(_LETTERS).split()))
-        yield table_of({"term": pa.string(), "docs": pa.int64()}, {"term": [t.decode() for t in n], "docs": list(n.values())})
-    return count
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial sums by term of the rows' weights."""
+    n: Counter = Counter()
+
+    def flush() -> pa.RecordBatch:
+        out = table_of({"term": pa.string(), "texts": pa.float64()}, {"term": [t.decode() for t in n], "texts": [float(v) for v in n.values()]})
+        n.clear()
+        return out
+
+    for batch in batches:
+        for part, texts in byte_slices(batch):
+            for copies, t in zip(part.column("copies").to_pylist(), texts, strict=True):
+                found = set(t.translate(_LETTERS).split())
+                if copies == 1:
+                    n.update(found)
+                else:
+                    for term in found:
+                        n[term] += 1 / copies
+            if len(n) > FLUSH:
+                yield flush()
+    yield flush()
 
 
 def _shared_parts(terms: DataFrame, columns: list[str], max_terms: int) -> list:
@@ -163,19 +176,19 @@ def _shared_parts(terms: DataFrame, columns: list[str], max_terms: int) -> list:
 def risky_terms(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE,
                 remove: float = REMOVE, max_terms: int = MAX_TERMS) -> DataFrame:
     """term, disclosure, kind (term_generalised or term_removed) for the terms that exceed a threshold."""
-    rows = pick(docs, text=text_col)
-    n_docs = rows.count()
-    pairs = staged(rows.select("text", F.xxhash64("text").alias("text_key")).mapInArrow(
+    rows = pick(docs, text=text_col).withColumn("text_key", F.xxhash64("text"))
+    copies = rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
+    copies = staged(copies, "pii-texts")
+    n_texts = copies.count()
+    pairs = staged(rows.mapInArrow(
         _pairs, "text_key long, entity long, term string").distinct(), "pii-pairs")
     texts_with = pairs.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     near = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support)
     near = staged(near.join(texts_with, "entity"), "pii-near")
-    df = None
-    for shared in _shared_parts(near.select("term").distinct(), ["term"], max_terms):
-        part = rows.mapInArrow(_counter(shared), "term string, docs long")
-        df = part if df is None else df.unionByName(part)
-    df = df.groupBy("term").agg(F.sum("docs").alias("df"))
-    ic = -F.log2(F.col("n_e") / F.lit(float(max(1, n_docs))))
+    # each row counts one over its text's copies, so a text counts once; sums are whole numbers but for rounding
+    weighed = rows.join(copies.where("copies > 1"), "text_key", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+    df = weighed.mapInArrow(_count_terms, "term string, texts double").groupBy("term").agg(F.round(F.sum("texts")).alias("df"))
+    ic = -F.log2(F.col("n_e") / F.lit(float(max(1, n_texts))))
     pmi = F.log2(F.col("n_te") / F.col("df")) + ic
     scored = near.join(df, "term").where(ic > 0).groupBy("term").agg(F.max(pmi / ic).alias("disclosure"))
     return staged(scored.where(F.col("disclosure") >= generalise).withColumn(

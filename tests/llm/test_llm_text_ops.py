@@ -144,6 +144,13 @@ def test_terms_that_reveal_an_entity(spark):
     assert pii.sanitise(docs).columns == docs.columns
 
 
+def test_copies_hide_no_revealing_term(spark):
+    texts = [f"oak elm Zorrak bob@corp.example.com fir {'ash ' * i}" for i in range(3)] * 10 + [f"oak elm fir ash {i}" for i in range(3000)]
+    risky = {r["term"]: (r["kind"], r["disclosure"]) for r in pii.risky_terms(docs_frame(spark, texts)).collect()}
+    once = {r["term"]: (r["kind"], r["disclosure"]) for r in pii.risky_terms(docs_frame(spark, sorted(set(texts)))).collect()}
+    assert set(risky) == {"zorrak"} and risky == once
+
+
 def test_personal_data_odd_rows(spark):
     docs = docs_frame(spark, ODD_TEXTS, ODD_IDS)
     assert [r["spans"] for r in pii.find_personal_data(docs).collect()] == [[]] * len(ODD_TEXTS)
