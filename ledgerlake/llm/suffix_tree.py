@@ -50,9 +50,9 @@ DIVERGENCE = 0.01
 GAIN = 10.0
 PRIOR = 50.0
 CACHED_WORDS = 200_000
-FLUSH = 2_000_000          # entries a task holds before it passes partial counts on
+FLUSH = 1_000_000          # entries a task holds before it passes partial counts on
 FILTER_BITS = 1 << 28
-BUCKET_ROWS, BUCKET_BYTES = 500_000, 16 << 20      # values and text a key bucket stands for
+BUCKET_ROWS, BUCKET_BYTES = 500_000, 8 << 20      # values and text a key bucket stands for
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -185,7 +185,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t in texts:
                 seen.update(tokens(t))
             seen[b""] += len(texts)
-            if len(seen) > FLUSH // 4:
+            if len(seen) > FLUSH // 2:
                 yield flush()
     yield flush()
 
