@@ -1,16 +1,18 @@
 """PII: patterns for direct identifiers, and information-theoretic sanitisation of terms that reveal them.
 
 Direct identifiers (emails, IPv4 addresses, card numbers, phone numbers) are found by
-fixed patterns.  Each distinct value is a protected entity e.  Corpus co-occurrence then
+fixed patterns.  Each distinct value is a protected entity e, and so are the coarser ones
+that recur: an email's local part and its domain, and an address' network (its first
+three numbers).  The kind is none: the placeholders show it.  Corpus co-occurrence then
 estimates how much a term t reveals e:
 
     IC(e) = -log2(texts with e / N),   PMI(t, e) = log2(P(e | t) / P(e)),   disclosure = max over e of PMI / IC
 
-P(e | t) is the number of distinct texts with t within ``NEAR`` words of e over the
-number of distinct texts with t, and N counts distinct texts too, so copies of a text
-change nothing.  A term that is near e in at least ``SUPPORT`` distinct
-texts and reaches ``GENERALISE`` is generalised wherever it stands; from ``REMOVE`` on it
-is removed.
+P(e | t) is estimated as (n_te + P(e)) / (n_t + 1): n_te distinct texts have t within
+``NEAR`` words of e, n_t have t, and one more text is assumed that has e by chance.  So
+little evidence counts for less and none is cut off.  All counts, N included, are of
+distinct texts, so copies of a text change nothing.  A term that reaches ``GENERALISE``
+is generalised wherever it stands; from ``REMOVE`` on it is removed.
 
 All statistics cover all documents; terms are counted in one pass.  Risky terms are dealt
 into parts of at most about ``MAX_TERMS`` terms; each part is broadcast and marked over
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import byte_slices, pick, staged, table_of
 
 NEAR = 8                  # words on each side of an entity
-SUPPORT = 3               # distinct texts in which a term is near the entity
+SUPPORT = 1               # distinct texts in which a term is near the entity: 1 cuts none off
 GENERALISE = 0.9
 REMOVE = 0.98
 MAX_TERMS = 500_000
@@ -108,6 +110,17 @@ def base_spans(text: bytes) -> list[tuple[str, int, int, str]]:
     return out
 
 
+def entities_of(kind: str, value: str) -> list[str]:
+    """The identifier itself and what it shares with others."""
+    out = [f"{kind}:{value}"]
+    if kind == "email":
+        local, domain = value.split("@")
+        out += [f"local:{local}", f"domain:{domain}"]
+    elif kind == "ip":
+        out.append(f"network:{value.rpartition('.')[0]}")
+    return out
+
+
 def _near_terms(text: str, spans: list[tuple[str, int, int, str]]) -> Iterator[tuple[str, str]]:
     """(entity, term) for the NEAR terms on each side of each span; terms inside identifiers do not count."""
     taken = sorted((a, b) for _, a, b, _ in spans)
@@ -121,9 +134,10 @@ def _near_terms(text: str, spans: list[tuple[str, int, int, str]]) -> Iterator[t
             words.append((a, m.group()))
     starts = [a for a, _ in words]
     for kind, a, b, value in spans:
-        left, right = bisect_left(starts, a), bisect_left(starts, b)
+        left, right, entities = bisect_left(starts, a), bisect_left(starts, b), entities_of(kind, value)
         for _, word in words[max(0, left - NEAR):left] + words[right:right + NEAR]:
-            yield f"{kind}:{value}", word.encode().lower().decode()
+            for entity in entities:
+                yield entity, word.encode().lower().decode()
 
 
 _PAIRS = {"text_key": pa.int64(), "entity": pa.int64(), "term": pa.string()}
@@ -189,7 +203,7 @@ def risky_terms(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     weighed = rows.join(copies.where("copies > 1"), "text_key", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
     df = weighed.mapInArrow(_count_terms, "term string, texts double").groupBy("term").agg(F.round(F.sum("texts")).alias("df"))
     ic = -F.log2(F.col("n_e") / F.lit(float(max(1, n_texts))))
-    pmi = F.log2(F.col("n_te") / F.col("df")) + ic
+    pmi = F.log2((F.col("n_te") + F.col("n_e") / F.lit(float(max(1, n_texts)))) / (F.col("df") + 1)) + ic
     scored = near.join(df, "term").where(ic > 0).groupBy("term").agg(F.max(pmi / ic).alias("disclosure"))
     return staged(scored.where(F.col("disclosure") >= generalise).withColumn(
         "kind", F.when(F.col("disclosure") >= remove, TERM_KINDS[1]).otherwise(TERM_KINDS[0])), "pii-risky")

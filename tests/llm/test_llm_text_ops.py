@@ -151,6 +151,14 @@ def test_copies_hide_no_revealing_term(spark):
     assert set(risky) == {"zorrak"} and risky == once
 
 
+def test_terms_beside_an_only_email_and_beside_a_domain(spark):
+    filler = lambda i: f"oak elm fir ash yew {'oak ' * (i % 7)}"
+    texts = [f"{filler(i)} {i}" for i in range(4000)] + ["oak elm Quimby q1@one.example fir ash"]
+    texts += [f"oak elm Vexcorp person{i}@vex.example fir ash {i}" for i in range(5)]
+    risky = {r["term"]: r["kind"] for r in pii.risky_terms(docs_frame(spark, texts)).collect()}
+    assert set(risky) == {"quimby", "vexcorp"} and set(risky.values()) <= set(pii.TERM_KINDS)
+
+
 def test_personal_data_odd_rows(spark):
     docs = docs_frame(spark, ODD_TEXTS, ODD_IDS)
     assert [r["spans"] for r in pii.find_personal_data(docs).collect()] == [[]] * len(ODD_TEXTS)
