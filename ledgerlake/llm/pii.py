@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import byte_slices, pick, staged, table_of
+from ledgerlake.llm.suffix_tree import _bit_table as bit_table
+from ledgerlake.llm.suffix_tree import _may_have as may_have
 
 NEAR = 8                  # words on each side of an entity
 SUPPORT = 1               # distinct texts in which a term is near the entity: 1 cuts none off
@@ -179,6 +181,14 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _may_be_copy(shared):
+    """Whether a text may stand in several rows; only such texts need the join that says how many."""
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for keys in batches:
+            yield pa.array(may_have(shared.value, keys.to_numpy(zero_copy_only=False)))
+    return F.arrow_udf(find, "boolean")
+
+
 def _shared_parts(terms: DataFrame, columns: list[str], max_terms: int) -> list:
     """The rows of ``terms`` in broadcasts of about ``max_terms`` rows."""
     n = max(1, -(-terms.count() // max_terms))
@@ -200,7 +210,11 @@ def risky_terms(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
     near = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support)
     near = staged(near.join(texts_with, "entity"), "pii-near")
     # each row counts one over its text's copies, so a text counts once; sums are whole numbers but for rounding
-    weighed = rows.join(copies.where("copies > 1"), "text_key", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+    several = copies.where("copies > 1")
+    may = _may_be_copy(rows.sparkSession.sparkContext.broadcast(bit_table(several.select(F.col("text_key").alias("key")))))
+    rows = rows.withColumn("may", may("text_key"))
+    met = rows.where("may").join(several, "text_key", "left").select("text", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
+    weighed = rows.where("not may").select("text", F.lit(1).cast("long").alias("copies")).unionByName(met)
     df = weighed.mapInArrow(_count_terms, "term string, texts double").groupBy("term").agg(F.round(F.sum("texts")).alias("df"))
     ic = -F.log2(F.col("n_e") / F.lit(float(max(1, n_texts))))
     pmi = F.log2((F.col("n_te") + F.col("n_e") / F.lit(float(max(1, n_texts)))) / (F.col("df") + 1)) + ic
