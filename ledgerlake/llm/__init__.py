@@ -1,4 +1,5 @@
-"""Training-data operators: toxicity, deduplication, packing, URL rules, LM scores, PII, fingerprints, shards, decontamination.
+"""Training-data operators: toxicity, deduplication, packing, URL rules, LM scores, PII, fingerprints, shards, decontamination,
+BPE, centroid clustering, spelling variants.
 
 Nothing else in the library imports this subpackage.
 """

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import suffix_tree, toxicity
+from ledgerlake.llm import bpe, centroids, spelling, suffix_tree, toxicity
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.decontaminate import find_hits
 from ledgerlake.llm.imatch import fingerprints
@@ -209,3 +210,55 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+# ---------------------------------------------------------------- 11. BPE
+BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op11_bpe")
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and the text decoded from them."""
+    vocabulary = bpe.Vocabulary.load(BPE_FILE)
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+# ---------------------------------------------------------------- 12. centroid clustering
+def _rounds_sql(rounds: int) -> str:
+    """Assignments and centroids of each round; the last assignment is ``a<rounds>``."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT rn, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT rn, vec_id, v, c,
+  CAST(list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM kept, c{r}) GROUP BY rn, vec_id, v)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(n.m, c{r}.m) AS m FROM c{r} LEFT JOIN (SELECT c, list(m ORDER BY i) AS m FROM (
+  SELECT c, i, CAST((CAST(sum(x) AS HUGEINT) - (((CAST(sum(x) AS HUGEINT) % count(*)) + count(*)) % count(*))) // count(*) AS BIGINT) AS m
+  FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY c, i) GROUP BY c) n ON n.c = c{r}.c)""")
+    return ",\n".join(steps)
+
+
+@register("op12_centroids", f"""
+WITH raw AS (SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE len(embedding) = 64),
+kept AS MATERIALIZED (SELECT rn, vec_id, list_transform(e, lambda x: CAST(floor(64 * x) AS BIGINT)) AS v FROM raw
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m
+  FROM (SELECT v, sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM kept ORDER BY h, v LIMIT 16)),
+{_rounds_sql(3)},
+s AS (SELECT c, CAST(sum(d) AS BIGINT) AS s FROM a3 GROUP BY c)
+SELECT vec_id, CAST(a3.c AS INTEGER) AS cluster, d AS distance, s.s AS cluster_inertia,
+  (SELECT CAST(sum(s) AS BIGINT) FROM s) AS inertia, sha256(array_to_string(c3.m, ',')) AS centroid_sha256
+FROM a3 JOIN s USING (c) JOIN c3 USING (c)""")
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds of 16 centroids, with exact distances."""
+    return centroids.report(centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64))
+
+
+# ---------------------------------------------------------------- 13. spelling variants
+@register("op13_spelling")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of at least 7 letters with its nearest more frequent spelling, after one error dealt into every 31st occurrence."""
+    words = spelling.count_words(table(spark, sf_dir, "documents"), min_letters=7, min_count=2, error_every=31)
+    return spelling.group_variants(words, factor=10)

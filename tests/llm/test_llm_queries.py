@@ -28,7 +28,7 @@ def documents(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     want = con.execute(ORACLE[name])
