@@ -7,7 +7,8 @@ in a table); an empty or NULL message stores nothing.  The
 database session columns of the reference (pid, user, client address) are
 replaced by the Spark application id and user.  The run id is passed in by
 the caller (F16) rather than read back from a shared sequence (Q10), and the
-clock can be injected for tests (F14).
+clock can be injected for tests (F14).  A run claims its id with a marker file
+that only one run can create, so runs that start together get different ids.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.chunks import LOG_PIECE
 from ledgerlake.schemas import LOG_INFO
+from ledgerlake.sinks import fs
 from ledgerlake.sinks.store import AppendLog
 from ledgerlake.sources.local import rows_frame
 
@@ -36,6 +38,19 @@ def next_run_id(log: DataFrame) -> int:
     return (r.m or 0) + 1
 
 
+def claim_run_id(spark: SparkSession, log_path: str) -> int:
+    """F16: a run id that no other run of this log has: the first free one after the largest logged or claimed.
+
+    Claims are empty marker files in ``_runs`` beside the log's data, which readers of the log pass over.
+    """
+    folder = f"{log_path.rstrip('/')}/_runs"
+    claimed = max((int(n) for n in fs.list_names(spark, folder) if n.isdigit()), default=0)
+    run_id = max(next_run_id(AppendLog(spark, log_path, LOG_INFO).read()), claimed + 1)
+    while not fs.create_new(spark, f"{folder}/{run_id}"):
+        run_id += 1
+    return run_id
+
+
 def pieces(message: str | None, size: int = LOG_PIECE) -> list[str]:
     """F17 for one driver-side message: 4000-character pieces; empty or NULL gives none."""
     return [message[i:i + size] for i in range(0, len(message), size)] if message else []
@@ -67,7 +82,7 @@ class RunLogger:
     def __init__(self, spark: SparkSession, log_path: str, clock=dt.datetime.now, run_id: int | None = None):
         self.spark, self.clock, self.held = spark, clock, []
         self.log = AppendLog(spark, log_path, LOG_INFO)
-        self.run_id = next_run_id(self.log.read()) if run_id is None else run_id
+        self.run_id = claim_run_id(spark, log_path) if run_id is None else run_id
 
     def message(self, text: str, event: str, rows: int | None = None) -> None:
         self.held.append(log_rows(self.spark, text, self.run_id, event, rows, clock=self.clock))

@@ -47,6 +47,9 @@ def local_session(cores: int | str = "*", app: str = "ledgerlake", shuffle_parti
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}          # application id -> private folder, on a local master without the setting
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for staged writes: ``spark.checkpoint.dir`` of the session.
 
@@ -58,8 +61,9 @@ def work_root(spark: SparkSession) -> str:
         master = spark.sparkContext.master or ""
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="ledgerlake-work-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The setting cannot be changed in a running session; the folder is kept by application.
+        root = _LOCAL_ROOTS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="ledgerlake-work-")
+        _LOCAL_ROOTS[spark.sparkContext.applicationId] = root
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

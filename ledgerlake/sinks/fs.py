@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,6 +38,35 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fsys.listStatus(p) if st.isDirectory())
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file at ``path``, or the data files of the folder there."""
+    fsys, p = _fs_path(spark, path)
+    if fsys.getFileStatus(p).isFile():
+        return [path]
+    return [f"{path.rstrip('/')}/{n}" for n in list_names(spark, path) if not n.startswith(("_", "."))]
+
+
+def greatest_file(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the largest of some files."""
+    return max((_fs_path(spark, f)[0].getFileStatus(_fs_path(spark, f)[1]).getLen() for f in paths), default=0)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder (metadata only)."""
+    fsys, p = _fs_path(spark, path)
+    return int(fsys.getContentSummary(p).getLength())
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder to a name that is free."""
+    fsys, p = _fs_path(spark, target)
+    if fsys.exists(p):
+        raise FileExistsError(target)
+    fsys.mkdirs(p.getParent())
+    if not fsys.rename(_fs_path(spark, source)[1], p):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small metadata file (a manifest) as text."""
     fsys, p = _fs_path(spark, path)
@@ -58,6 +88,26 @@ def first_line(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if somebody has created it before.  Of several creators one wins.
+
+    The file system decides: HDFS by its name node, a local one by the operating system (Hadoop's local
+    ``create`` looks first and writes then).
+    """
+    fsys, p = _fs_path(spark, path)
+    fsys.mkdirs(p.getParent())
+    uri = fsys.makeQualified(p).toUri()
+    if uri.getScheme() == "file":
+        return bool(spark.sparkContext._jvm.java.io.File(uri.getPath()).createNewFile())
+    try:
+        fsys.create(p, False).close()
+        return True
+    except Py4JJavaError as error:
+        if fsys.exists(p):
+            return False
+        raise error
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A new small file, written aside and renamed, so that readers see it whole or not at all."""
     fsys, p = _fs_path(spark, path)
