@@ -12,11 +12,12 @@ Columns are matched by name; columns a delta adds (W13) are NULL in older rows.
 ``delta_loading`` is the job around it: discover sessions, skip those the
 log already lists for this table (P14), read the pending files by their
 headers with the mirror's declared types, apply, write, then append one log
-row per applied session with shared start/finish times.  The mirror is a
-table of key-hash buckets (``PartsTable``): only buckets that hold a delta's
-key are read, shuffled and rewritten, so a run costs in proportion to the
-deltas; the switch is atomic (Q7) and its manifest lists the sessions it
-contains.  After a crash between the switch and the log append the sessions
+row per applied session with shared start/finish times.  The files are parsed
+once: their typed rows are staged and removed after the switch.  The mirror is
+a table of key-hash buckets that split as they grow (``PartsTable``): only
+segments that hold a delta's key are read and rewritten, rows of new keys are
+appended, so a run costs in proportion to the deltas; the switch is atomic (Q7)
+and its manifest lists the sessions it contains.  After a crash between the switch and the log append the sessions
 are only logged: the effect is exactly once.
 """
 
@@ -33,7 +34,8 @@ from pyspark.sql import types as T
 from ledgerlake.operators.latest import keep_newest_batch, latest_per_key
 from ledgerlake.plans.exchange import export_csv
 from ledgerlake.schemas import DELTA_LOG
-from ledgerlake.sinks.parts import PartsTable, key_bucket, touched_parts
+from ledgerlake.sinks.parts import Merged, PartsTable, bucket_in, directory_of
+from ledgerlake.sinks.staging import staged
 from ledgerlake.sinks.store import AppendLog
 from ledgerlake.sources import deltas as D
 from ledgerlake.sources.csv_files import read_deltas
@@ -41,7 +43,7 @@ from ledgerlake.sources.local import rows_frame
 
 DELTA_COL = "delta_id"
 SEED_TAG = -1
-BUCKETS = 32               # of a new mirror (a large one wants more); a stored mirror keeps the number it was made with
+BUCKETS = 32               # of a new mirror; they split as it grows
 
 
 def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode: str = "faithful",
@@ -83,15 +85,11 @@ def apply_deltas(mirror: DataFrame, delta_rows: DataFrame, keys: list[str], mode
 
 
 class MirrorStore:
-    """The stored mirror: tagged rows in key-hash buckets.  Only buckets that hold a delta's key are rewritten."""
+    """The stored mirror: tagged rows in key-hash buckets.  Only what holds a delta's key is rewritten."""
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = BUCKETS):
         self.spark, self.keys, self.table, self._buckets = spark, keys, PartsTable(spark, path), buckets
 
-    @property
-    def buckets(self) -> int:
-        return int(self.table.notes().get("buckets", self._buckets))
-
     def exists(self) -> bool:
         return self.table.exists()
 
@@ -100,8 +98,9 @@ class MirrorStore:
         if mode == "latest":
             tagged = latest_per_key(tagged, self.keys, [DELTA_COL, *(order or [])])
         schema = T.StructType([*rows.drop(DELTA_COL).schema.fields, T.StructField(DELTA_COL, T.IntegerType())])
-        return self.table.replace(tagged, key_bucket(self.keys, self._buckets), None,
-                                  {"buckets": self._buckets, "sessions": [], "epochs": {}, "reduced": mode == "latest"}, schema)
+        directory = directory_of(self._buckets)
+        return self.table.replace(tagged, bucket_in(F.xxhash64(*self.keys), directory), None,
+                                  {"sessions": [], "epochs": {}, "reduced": mode == "latest"}, schema, directory)
 
     def schema(self) -> T.StructType:
         return T.StructType([f for f in self.table.schema().fields if f.name != DELTA_COL])
@@ -110,14 +109,13 @@ class MirrorStore:
         return self.table.read().drop(DELTA_COL)
 
     def apply(self, rows: DataFrame, schema: T.StructType, mode: str = "faithful", order: list[str] | None = None,
-              notes: dict | None = None) -> int:
+              notes: dict | None = None) -> Merged:
         """Apply delta rows (with the tag column); ``schema`` is the mirror's, with the columns the deltas add."""
-        part = key_bucket(self.keys, self.buckets)
-        touched = touched_parts(rows, part)
         tagged = T.StructType([*schema.fields, T.StructField(DELTA_COL, T.IntegerType())])
-        new = apply_deltas(self.table.read(touched), rows, self.keys, mode, order, keep_tag=True,
-                           reduced=bool(self.table.notes().get("reduced")))
-        return self.table.replace(new, part, touched, notes, tagged)
+        reduced = bool(self.table.notes().get("reduced"))
+        with staged(rows, "deltas") as batch:
+            return self.table.merge(batch, self.keys, lambda old, new: apply_deltas(old, new, self.keys, mode, order, keep_tag=True, reduced=reduced),
+                                    notes=notes, schema=tagged, buckets=self._buckets)
 
 
 @dataclass

@@ -276,4 +276,4 @@ def double_lookup_coalesce(spark, sf_dir):
 
 
 # Part 2 registers itself into the same dictionaries.
-from ledgerlake import queries_more  # noqa: E402,F401
+from ledgerlake import queries_more, queries_storage  # noqa: E402,F401

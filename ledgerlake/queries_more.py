@@ -197,7 +197,7 @@ def mirror_positional(spark, sf_dir):
 
 
 def _write_deltas(spark, deltas, base, mode="errorifexists"):
-    (deltas.write.mode(mode).partitionBy("delta_id").option("header", True).option("sep", ";")
+    (deltas.write.mode(mode).partitionBy("delta_id").option("header", True).option("sep", ";").option("escape", '"')
      .option("timestampFormat", TS_FMT).option("timestampNTZFormat", TS_FMT).csv(base))
 
 
