@@ -26,6 +26,7 @@ encoded each for itself; an empty table gives an empty result; extra columns are
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -43,8 +44,10 @@ CACHED_WORDS = 500_000     # encodings a worker keeps
 CACHED_PAIRS = 1_000_000   # token pairs a worker knows to be neighbours or not
 SLICE_ROWS, SLICE_BYTES = 2_000, 4 << 20      # texts whose distinct words make one trie
 
-# Fixed value: the public pattern that cuts text into words before byte-level merges.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the public pattern that cuts text into words before byte-level merges, the alternative that letters take first
+# (no other one can start where it does), and what it comes to in ASCII.
+PATTERN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+ASCII_PATTERN = r" ?[A-Za-z]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 
 
 def _byte_of_letter() -> dict[str, int]:
@@ -103,20 +106,23 @@ class _Trie:
         return len(self.label) - 1
 
     def _insert(self, word: bytes, index: int) -> None:
-        node, at = 0, 0
-        while at < len(word):
-            child = self.below[node].get(word[at])
+        node, at, size, labels, belows = 0, 0, len(word), self.label, self.below
+        while at < size:
+            below = belows[node]
+            child = below.get(word[at])
             if child is None:
-                self.below[node][word[at]] = self._node(word[at:], {}, index)
+                below[word[at]] = self._node(word[at:], {}, index)
                 return
-            label = self.label[child]
-            if word.startswith(label, at):
+            label = labels[child]
+            if not word.startswith(label, at):            # the edge branches, or the word ends on it
+                same = 1
+                while at + same < size and label[same] == word[at + same]:
+                    same += 1
+                upper = below[word[at]] = self._node(label[:same], {label[same]: child}, -1)
+                labels[child] = label[same:]
+                node, at = upper, at + same
+            else:
                 node, at = child, at + len(label)
-                continue
-            same = next(i for i, x in enumerate(label) if at + i == len(word) or word[at + i] != x)
-            self.below[node][word[at]] = upper = self._node(label[:same], {label[same]: child}, -1)
-            self.label[child] = label[same:]
-            node, at = upper, at + same
         self.word[node] = index
 
 
@@ -134,7 +140,7 @@ class _Tables:
         self.special = {k: np.int32(i).tobytes() for k, i in special.items()}
         longest = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if special else None
-        self.words = regex.compile(PATTERN)
+        self.words, self.ascii_words = regex.compile(PATTERN), re.compile(ASCII_PATTERN, re.ASCII)
         self.letters: set[str] = set()                    # characters known to be assigned
         self.library = None
         self.pairs: dict[int, bool] = {}
@@ -200,18 +206,27 @@ class _Tables:
 
     def encodings(self, words: list[bytes]) -> list[bytes]:
         """Token ids (int32 bytes) of each of the distinct words."""
-        trie, out, size = _Trie(words), [b""] * len(words), self.size
+        trie, out = _Trie(words), [b""] * len(words)
+        step, fail, longest, shorter, size, pairs = self.step.get, self.fail, self.longest, self.shorter, self.size, self.pairs
         last, at = [-1], [0]          # by length: last token of the path's prefix, node of the automaton
         todo = [(0, 0)]
         while todo:
             node, n = todo.pop()
             del last[n + 1:], at[n + 1:]
+            state = at[n]
             for byte in trie.label[node]:
                 n += 1
-                at.append(self._after(at[-1], byte))
-                token = self.longest[at[n]]
-                while not self.neighbours(last[n - size[token]], token):
-                    token = self.shorter[token]
+                while (nxt := step(state << 8 | byte)) is None and state:
+                    state = fail[state]
+                state = nxt or 0
+                at.append(state)
+                token = longest[state]
+                while True:                               # the longest ending token that its left neighbour lets be
+                    left = last[n - size[token]]
+                    fits = pairs.get(left << 32 | token)
+                    if fits or fits is None and self.neighbours(left, token):
+                        break
+                    token = shorter[token]
                 last.append(token)
             if trie.word[node] >= 0:
                 ids, left = array("i"), n
@@ -231,7 +246,9 @@ class _Tables:
         return not odd
 
     def _pieces(self, text: str) -> list[str]:
-        if text.isascii() or self._assigned(text):
+        if text.isascii():
+            return self.ascii_words.findall(text)
+        if self._assigned(text):
             return self.words.findall(text)
         if self.library is None:
             from tokenizers import pre_tokenizers
@@ -241,7 +258,11 @@ class _Tables:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut.split(t) if self.cut else [t] for t in texts]
         pieces = [[p if p in self.special else self._pieces(p) for p in parts] for parts in cut]
-        seen = {w for parts in pieces for p in parts if not isinstance(p, str) for w in p}
+        seen: set[str] = set()
+        for parts in pieces:
+            for p in parts:
+                if not isinstance(p, str):
+                    seen.update(p)
         if len(self.known) > CACHED_WORDS // 2:
             self.known, self.older = {}, self.known
         new = []
