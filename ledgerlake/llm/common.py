@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import fresh_dir
+from ledgerlake.sinks import fs
+
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +49,24 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove tables that ``staged`` returned and nothing reads any more."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            fs.delete(df.sparkSession, folder)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within the block a query's shuffle files are removed when it ends; what is used again must be staged."""
+    old = spark.conf.get(_FREE)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE, old)
+
+
 def fold(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (a null id counts as the empty text)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -89,6 +89,7 @@ def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tree, counts = suffix_tree.learn(docs.where(fold("doc_id", 5) != 1).select("text"))
     scored = suffix_tree.score_texts(docs, tree, counts)
+    tree.discard()
     return scored.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import byte_slices, pick, staged, table_of, worker_cache
+from ledgerlake.llm.common import byte_slices, discard, pick, shuffles_freed, staged, table_of, worker_cache
 
 DEPTH = 2
 WORD_SHARE = 5e-6          # strings whose values are broadcast
@@ -166,9 +166,12 @@ def _may_have(table: tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- counting
 _COUNTS = {"key": pa.int64(), "n": pa.int64()}
 _COUNTS_DDL = "key long, n long"
-# Partial counts of the strings of a key bucket: the sorted keys of their words, the strings as places in these, by word.
-_FOUND = {"bucket": pa.int64(), "words": pa.binary(), "strings": pa.list_(pa.binary()), "n": pa.binary()}
-_FOUND_DDL = "bucket long, words binary, strings array<binary>, n binary"
+# Partial counts of the strings of a key bucket: their sorted keys.
+_KEYS = {"bucket": pa.int64(), "keys": pa.binary(), "n": pa.binary()}
+_KEYS_DDL = "bucket long, keys binary, n binary"
+# Strings of a key bucket: the sorted keys of their parts, the strings as places in these, by the first part.
+_FOUND = {"bucket": pa.int64(), "parts": pa.binary(), "a": pa.binary(), "b": pa.binary()}
+_FOUND_DDL = "bucket long, parts binary, a binary, b binary"
 _STRINGS_DDL = "key long, a long, b long, n long"
 
 
@@ -190,12 +193,13 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _count_strings(words: int, buckets: int, shared):
-    """Partial counts of the strings of ``words`` words whose parts may be listed."""
+def _in_slices(words: int, shared, take, put):
+    """What ``take`` finds in the strings of ``words`` words (arrays with the key first), merged by key over slices of texts
+    and handed to ``put`` when a task holds ``FLUSH`` entries."""
     cache = f"suffix-keys:{uuid.uuid4().hex}"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may, keys = shared.value, worker_cache(cache, _Keys)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, keys = shared.value, worker_cache(cache, _Keys)
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
@@ -204,53 +208,84 @@ def _count_strings(words: int, buckets: int, shared):
             key, at, back = np.unique(key, return_index=True, return_inverse=True)
             return np.bincount(back, weights=n).astype(np.int32), key, *(p[at] for p in parts)
 
-        def records(n: np.ndarray, key: np.ndarray, *parts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            ends = np.searchsorted(_bucket(key, buckets), np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(ends)).tolist():
-                here = slice(ends[b], ends[b + 1])
-                known, at = np.unique(np.concatenate([p[here] for p in parts]), return_inverse=True)
-                at = at.reshape(len(parts), -1).astype(np.uint32)
-                order = np.lexsort(at[1::-1])
-                strings = [_pack_sorted(at[0][order]), *(_pack(x[order]) for x in at[1:])]
-                yield table_of(_FOUND, {"bucket": [b], "words": [_pack_sorted(known)], "strings": [strings], "n": [_pack(n[here][order])]})
-
         for batch in batches:
             for _, texts in byte_slices(batch):
-                flat, found = _strings(texts, keys.bounded(), words)
-                key, a, b, _, at = found[-1]
-                ok = _may_have(may, a) & _may_have(may, b)
-                held.append((np.ones(int(ok.sum()), np.int32), key[ok], *(flat[at[ok] - i] for i in reversed(range(words)))))
+                key, a, b, _, _ = _strings(texts, keys.bounded(), words)[1][-1]
+                held.append(take(tables, key, a, b))
                 size += len(held[-1][0])
                 if size > FLUSH:
                     held = [merged()]
                     size = len(held[0][0])
                     if size > FLUSH // 2:
-                        yield from records(*held[0])
+                        yield from put(*held[0])
                         held, size = [], 0
         if held:
-            yield from records(*merged())
-    return count
+            yield from put(*merged())
+    return run
+
+
+def _spans(key: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets of sorted keys, each with its place."""
+    ends = np.searchsorted(_bucket(key, buckets), np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(ends)).tolist():
+        yield b, slice(ends[b], ends[b + 1])
+
+
+def _count_strings(words: int, buckets: int, shared):
+    """Partial counts (key, n) of the strings whose parts may be listed."""
+    def take(tables, key, a, b):
+        key = key[_may_have(tables[0], a) & _may_have(tables[0], b)]
+        return np.ones(len(key), np.int32), key
+
+    def put(n, key):
+        for b, here in _spans(key, buckets):
+            yield table_of(_KEYS, {"bucket": [b], "keys": [_pack_sorted(key[here])], "n": [_pack(n[here])]})
+    return _in_slices(words, shared, take, put)
 
 
 def _total_counts(least: float):
     def total(found: pa.Table) -> pa.Table:
-        parts, counts = [], []
-        for r in found.select(list(_FOUND)[1:]).to_batches(max_chunksize=16):
-            for words, strings, n in zip(*(c.to_pylist() for c in r.columns), strict=True):
-                words = _unpack_sorted(words, np.int64)
-                parts.append([words[_unpack_sorted(strings[0], np.uint32)], *(words[_unpack(x, np.uint32)] for x in strings[1:])])
-                counts.append(_unpack(n, np.int32))
-        level = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        while len(level) > 2:
-            level = [joined(a, b) for a, b in zip(level, level[1:], strict=False)]
-        a, b = level
-        key, at, back = np.unique(joined(a, b), return_index=True, return_inverse=True)
-        n = np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)
-        ok = n >= least
-        return pa.table([pa.array(x[ok]) for x in (key, a[at], b[at], n)], names=["key", "a", "b", "n"])
+        key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for r in found.select(["keys", "n"]).to_batches(max_chunksize=16):
+            parts = [(_unpack_sorted(k, np.int64), _unpack(m, np.int32)) for k, m in zip(*(c.to_pylist() for c in r.columns), strict=True)]
+            key, back = np.unique(np.concatenate([key, *(k for k, _ in parts)]), return_inverse=True)
+            n = np.bincount(back, weights=np.concatenate([n, *(m for _, m in parts)])).astype(np.int64)
+        return pa.table([pa.array(key[n >= least]), pa.array(n[n >= least])], names=["key", "n"])
     return total
 
 
+def _find_strings(words: int, buckets: int, shared):
+    """The parts of the strings that may be kept: their keys pass the second bit table."""
+    def take(tables, key, a, b):
+        ok = _may_have(tables[0], a) & _may_have(tables[0], b) & _may_have(tables[1], key)
+        key, at = np.unique(key[ok], return_index=True)
+        return np.ones(len(key), np.int32), key, a[ok][at], b[ok][at]
+
+    def put(_, key, a, b):
+        for bucket, here in _spans(key, buckets):
+            known, at = np.unique(np.concatenate([a[here], b[here]]), return_inverse=True)
+            at = at.reshape(2, -1).astype(np.uint32)
+            order = np.lexsort(at[::-1])
+            yield table_of(_FOUND, {"bucket": [bucket], "parts": [_pack_sorted(known)], "a": [_pack_sorted(at[0][order])], "b": [_pack(at[1][order])]})
+    return _in_slices(words, shared, take, put)
+
+
+def _parts_of(found: pa.Table, counted: pa.Table) -> pa.Table:
+    """The counted strings of a key bucket with the keys of their parts."""
+    keys, n = counted.column("key").to_numpy(), counted.column("n").to_numpy()
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    a_of, b_of, seen = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    for r in found.select(["parts", "a", "b"]).to_batches(max_chunksize=16):
+        for parts, a, b in zip(*(c.to_pylist() for c in r.columns), strict=True):
+            parts = _unpack_sorted(parts, np.int64)
+            a, b = parts[_unpack_sorted(a, np.uint32)], parts[_unpack(b, np.uint32)]
+            at = _place(keys, joined(a, b))
+            ok = at >= 0
+            a_of[at[ok]], b_of[at[ok]], seen[at[ok]] = a[ok], b[ok], True
+    return pa.table([pa.array(x[seen]) for x in (keys, a_of, b_of, n)], names=["key", "a", "b", "n"])
+
+
 # ---------------------------------------------------------------- the tree
 @dataclass
 class Tree:
@@ -270,6 +305,10 @@ class Tree:
     def denominator(self) -> float:
         return self.total + 0.5 * (self.distinct + 1)
 
+    def discard(self) -> None:
+        """Remove the staged levels; scores of texts that ``score_texts`` returned do not need them."""
+        discard(*(table for level in self.levels for table in level))
+
     @cached_property
     def _arrays(self) -> dict[str, list[np.ndarray]]:
         """The whole tree in the driver, to look into small ones; neither learning nor scoring uses it."""
@@ -304,6 +343,12 @@ def learn(texts: DataFrame, depth: int = DEPTH, word_share: float = WORD_SHARE,
 
     ``symbol_share`` and ``context_share`` (shares of all tokens) may raise the minimum counts; by default they do not.
     """
+    with shuffles_freed(texts.sparkSession):
+        return _learn(texts, depth, word_share, symbol_share, context_share, divergence, gain, prior, symbol_min, context_min)
+
+
+def _learn(texts: DataFrame, depth: int, word_share: float, symbol_share: float, context_share: float, divergence: float, gain: float,
+           prior: float, symbol_min: int, context_min: int) -> tuple[Tree, DataFrame]:
     context, buckets = texts.sparkSession.sparkContext, _buckets(texts)
     counts = staged(texts.mapInArrow(_count_words, _COUNTS_DDL).groupBy("key").agg(F.sum("n").alias("n")), "suffix-words")
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -312,15 +357,21 @@ def learn(texts: DataFrame, depth: int = DEPTH, word_share: float = WORD_SHARE,
     below = counts.select("key", "n", ((F.col("n") + 0.5) / F.lit(tree.denominator())).alias("p"), F.lit(True).alias("ok"))
     for d in range(1, depth + 1):
         least = min(tree.symbol_min, tree.context_min)
-        shared = context.broadcast(_bit_table(below.where(F.col("n") >= least)))
-        found = texts.mapInArrow(_count_strings(d + 1, buckets, shared), _FOUND_DDL).groupBy("bucket") \
-            .applyInArrow(_total_counts(tree.symbol_min), _STRINGS_DDL)
+        listed = _bit_table(below.where(F.col("n") >= least))
+        counted = staged(texts.mapInArrow(_count_strings(d + 1, buckets, context.broadcast((listed,))), _KEYS_DDL).groupBy("bucket")
+                         .applyInArrow(_total_counts(tree.symbol_min), "key long, n long"), f"suffix-counts-{d}")
+        shared = context.broadcast((listed, _bit_table(counted)))
+        found = texts.mapInArrow(_find_strings(d + 1, buckets, shared), _FOUND_DDL).groupBy("bucket").cogroup(
+            counted.withColumn("bucket", _bucket_column(F.col("key"), buckets)).groupBy("bucket")).applyInArrow(_parts_of, _STRINGS_DDL)
+        found = staged(found, f"suffix-found-{d}")
+        discard(counted)
         contexts = below.where(F.col("ok") & (F.col("n") >= tree.context_min)).select(F.col("key").alias("a"), F.col("n").alias("c"))
         own = (F.col("n") + prior * F.col("q")) / (F.col("c") + prior)
         strings = staged(found.join(contexts, "a").join(below.select(F.col("key").alias("b"), F.col("p").alias("q")), "b")
                          .select("key", "a", "b", "n", "c", "q", own.alias("own")), f"suffix-strings-{d}")
         states = staged(_states(strings, divergence, gain, prior), f"suffix-states-{d}")
         tree.levels.append((strings, states))
+        discard(found, *([below] if d > 1 else []))
         below = strings.join(states.select(F.col("key").alias("b"), F.lit(True).alias("is_state")), "b", "left").select(
             "key", "n", F.col("own").alias("p"), F.coalesce("is_state", F.lit(False)).alias("ok"))
         if d < depth:
@@ -440,7 +491,8 @@ def score_texts(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "d
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score (root only), score (longest states)."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")) \
         .withColumn("row", F.monotonically_increasing_id())
-    values = staged(_values(tree, counts), "suffix-values")
+    with shuffles_freed(docs.sparkSession):
+        values = staged(_values(tree, counts), "suffix-values")
     buckets = max(_buckets(rows), values.count() // BUCKET_ROWS)
     often = values.where(F.col("n") >= tree.word_share * tree.total).toArrow().sort_by("key")
     hot = {k: often.column(k).to_numpy() for k in ("key", *_FACTS[1:])}
