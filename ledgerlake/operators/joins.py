@@ -1,7 +1,7 @@
-"""Join helpers: broadcast of bounded dimensions and as-of (validity interval) lookups.
+"""Join helpers: checked broadcasts, as-of (validity interval) lookups, and the check of such intervals.
 
 As-of joins (J1, J2, J4) use validity intervals ``[start, end]`` inclusive on
-both ends; a NULL end never matches.  Two shapes:
+both ends; a NULL end never matches.  Three shapes:
 
 * ``asof_filter`` -- a single "as of date D" filter; Catalyst pushes it into
   the scan, the dimension shrinks before any join.
@@ -9,6 +9,10 @@ both ends; a NULL end never matches.  Two shapes:
   interval to the window and explode it into one row per day.  The lookup is
   then a pure equi-join on ``(key, day)``: no range residual, no fan-in scan,
   and the exploded size is bounded by ``versions x days in window``.
+* ``blocks`` -- without a window, cut each interval into aligned blocks of
+  1, 16, 256, 4096 and 65536 days, at most 30 of each size.  A day lies in one
+  block of each size and in at most one of an interval's blocks, so "which
+  intervals hold this day" is an equi-join on ``(key, size, block)``.
 """
 
 from __future__ import annotations
@@ -18,16 +22,19 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_BYTES = 64 << 20
+GRAINS = (1, 16, 256, 4096, 65536)
 
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a dimension whose key domain bounds it, whatever the data's size.
 
-    Used for currencies (three-digit codes), their rates on the days of one
-    month, and ledger accounts (five-digit numbers): at most 1,000, 31,000 and
-    100,000 rows as of a date.  Every other side is left to Catalyst and AQE,
-    which choose by bytes at run time; nothing is counted beforehand.
+def bounded_broadcast(df: DataFrame, grows: int = 1) -> DataFrame:
+    """Broadcast a dimension if Spark's own size estimate of it allows that; else leave the join to Spark.
+
+    The estimate comes from the sizes of the files a plan reads, so nothing is counted and no job runs.
+    ``grows`` is the factor by which a generator in the plan (one row a day) may multiply the rows, which
+    the estimate does not know.
     """
-    return F.broadcast(df)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size * grows <= BROADCAST_BYTES else df
 
 
 def _c(x) -> Column:
@@ -51,23 +58,80 @@ def daily_rows(df: DataFrame, start: str, end: str, lo: dt.date, hi: dt.date, da
     return clipped.withColumn(day, F.explode(days))
 
 
+def blocks(df: DataFrame, start: str, end: str, grain: str = "_grain", block: str = "_block") -> DataFrame:
+    """Cut every interval into aligned blocks (see module doc): one row a block, without the interval's two columns."""
+    a, z = F.unix_date(F.col(start)).cast("long"), F.unix_date(F.col(end)).cast("long") + 1      # half-open, in days
+    empty = F.array().cast("array<long>")
+    run = lambda lo, hi: F.when(hi > lo, F.sequence(lo, hi - 1)).otherwise(empty)
+    found = []
+    rows = df.where(F.col(start) <= F.col(end)).withColumns({"_a": a, "_z": z})
+    for i, days in enumerate(GRAINS):
+        lo, hi = F.col("_a"), F.col("_z")
+        if i == len(GRAINS) - 1:
+            here, nxt = run(lo, hi), None
+        else:                                             # the ragged edges stay at this size, the whole blocks between go on
+            up, down = F.ceil(lo / 16) * 16, F.floor(hi / 16) * 16
+            through = up >= down
+            here = F.when(through, run(lo, hi)).otherwise(F.concat(run(lo, up), run(down, hi)))
+            nxt = {"_a": F.when(through, F.lit(0)).otherwise(up / 16).cast("long"), "_z": F.when(through, F.lit(0)).otherwise(down / 16).cast("long")}
+        rows = rows.withColumn(f"_b{i}", F.transform(here, lambda b: F.struct(F.lit(days).alias(grain), b.alias(block))))  # noqa: B023
+        found.append(f"_b{i}")
+        rows = rows.withColumns(nxt) if nxt else rows
+    keep = [c for c in df.columns if c not in (start, end)]
+    return rows.select(*keep, F.inline(F.concat(*found)))
+
+
+def _day_blocks(df: DataFrame, day: str, grain: str = "_grain", block: str = "_block") -> DataFrame:
+    """Every row once for each block size, with the block that its day lies in."""
+    at = F.unix_date(F.col(day)).cast("long")
+    return df.select("*", F.inline(F.array(*[F.struct(F.lit(g).alias(grain), F.floor(at / g).cast("long").alias(block)) for g in GRAINS])))
+
+
 def asof_join(left: DataFrame, right: DataFrame, key: str, day: str, start: str, end: str, how: str = "left",
-              window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+              window: tuple[dt.date, dt.date] | None = None, salts: int = 1) -> DataFrame:
     """``left`` joined to the ``right`` version valid on ``left[day]`` (J2): ``start <= day <= end``.
 
     With a known ``window`` of left days the right intervals become one row
-    per (key, day) inside the window and the join is a pure equi-join -- the
-    exploded side is broadcast after a size check.  Without a window the
-    join is an equi-join on ``key`` with the interval as join condition (a
-    sort-merge join at scale; inner and left joins both keep their meaning).
+    per (key, day) inside the window and the join is a pure equi-join.
+    Without a window the distinct (key, day) pairs of the left side (partial
+    sums map-side, so a hot key costs its days) meet the intervals' blocks in
+    an equi-join, and the left side joins the answers on (key, day): neither
+    join has a range residual, and a key's rows are dealt by day.  ``salts``
+    deals the rows of one (key, day) over that many tasks.
     ``start``/``end`` of ``right`` are dropped from the result.
     """
     rcols = [c for c in right.columns if c not in (key, start, end)]
     if window is not None:
         lo, hi = window
-        r = daily_rows(right, start, end, lo, hi, day).select(key, day, *rcols)
-        return left.join(r, [key, day], how)
-    r = right.select(F.col(key).alias("_asof_key"), F.col(start).alias("_asof_s"), F.col(end).alias("_asof_e"),
-                     *rcols)
-    cond = (left[key] == r["_asof_key"]) & left[day].between(r["_asof_s"], r["_asof_e"])
-    return left.join(r, cond, how).drop("_asof_key", "_asof_s", "_asof_e")
+        found = daily_rows(right, start, end, lo, hi, day).select(key, day, *rcols)
+    else:
+        pairs = left.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(key, day).distinct()
+        found = _day_blocks(pairs, day).join(blocks(right.select(key, start, end, *rcols), start, end), [key, "_grain", "_block"]).select(key, day, *rcols)
+    if salts == 1:
+        return left.join(found, [key, day], how)
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)))
+    spread = found.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted.join(spread, [key, day, "_salt"], how).drop("_salt")
+
+
+def interval_conflicts(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Where a key's validity intervals are no clean sequence: key, kind, day, n.
+
+    ``reversed``: an interval that ends before it starts (day: its start); ``open``: one without start or end (day: the
+    other one); ``overlap``: a start day that n > 1 intervals hold; ``gap``: the day after an interval that no interval holds although
+    a later one follows.  The days asked about meet the intervals' blocks in an equi-join, so no key is sorted or swept in
+    one task; intervals that are reversed or open hold no day.
+    """
+    s, e = F.col(start), F.col(end)
+    rows = df.select(F.col(key).alias("k"), s.alias("s"), e.alias("e"))
+    odd = rows.where("s IS NULL OR e IS NULL OR e < s").select(
+        "k", F.when(F.col("e") < F.col("s"), "reversed").otherwise("open").alias("kind"), F.coalesce("s", "e").alias("day"), F.lit(1).cast("long").alias("n"))
+    good = rows.where("s <= e")
+    last = good.groupBy("k").agg(F.max("e").alias("last"))
+    ends = good.join(last, "k").where("e < last").select("k", F.date_add("e", 1).alias("day"), F.lit("gap").alias("kind"))
+    asked = good.select("k", F.col("s").alias("day"), F.lit("overlap").alias("kind")).unionByName(ends).distinct()
+    held = _day_blocks(asked, "day").join(blocks(good, "s", "e"), ["k", "_grain", "_block"]).groupBy("k", "day", "kind").agg(F.count(F.lit(1)).alias("n"))
+    overlap = held.where("kind = 'overlap' AND n > 1")
+    gaps = asked.where("kind = 'gap'").join(held.where("kind = 'gap'").select("k", "day"), ["k", "day"], "left_anti").withColumn("n", F.lit(0).cast("long"))
+    cols = [F.col("k").alias(key), "kind", "day", "n"]
+    return odd.select(*cols).unionByName(overlap.select(*cols)).unionByName(gaps.select(*cols))

@@ -16,7 +16,7 @@ We never materialise that fan-out: turnover is pre-aggregated per account
 
 Plan shape: accounts (as of the date), balances and the month's turnover all
 join on ``account_rk`` -- one hash partitioning shared by the joins; ledger,
-currency and rates are dimensions their key domain bounds and are broadcast.
+currency and rates are small dimensions, broadcast if their estimated size allows.
 The final group has few keys and aggregates partially map-side.
 """
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,29 +81,40 @@ class RunLogger:
     """Messages of one run; a step's messages are appended together when it ends, also when it fails."""
 
     def __init__(self, spark: SparkSession, log_path: str, clock=dt.datetime.now, run_id: int | None = None):
-        self.spark, self.clock, self.held = spark, clock, []
+        self.spark, self.clock, self.held, self.lock = spark, clock, [], threading.Lock()
         self.log = AppendLog(spark, log_path, LOG_INFO)
         self.run_id = claim_run_id(spark, log_path) if run_id is None else run_id
 
-    def message(self, text: str, event: str, rows: int | None = None) -> None:
-        self.held.append(log_rows(self.spark, text, self.run_id, event, rows, clock=self.clock))
+    def message(self, text: str, event: str, rows: int | None = None, info: str | None = None) -> DataFrame:
+        """The rows of a message, held until the next ``flush``."""
+        out = log_rows(self.spark, text, self.run_id, event, rows, info, clock=self.clock)
+        with self.lock:
+            self.held.append(out)
+        return out
 
     def flush(self) -> None:
-        out = None
-        for rows in self.held:
-            out = rows if out is None else out.unionByName(rows)
-        self.held = []
-        if out is not None:
-            self.log.append(out.coalesce(1))              # a handful of rows: one small file per step
+        with self.lock:                                   # steps may run side by side; one append to the log at a time
+            out = None
+            for rows in self.held:
+                out = rows if out is None else out.unionByName(rows)
+            self.held = []
+            if out is not None:
+                self.log.append(out.coalesce(1))          # a handful of rows: one small file per step
+
+    def finished(self, name: str, event: str, inputs: str) -> bool:
+        """Whether the last logged END of this step, of whichever run, had the same inputs."""
+        ended = self.log.read().where((F.col("event_type") == event) & (F.col("message_") == f"[END] {name}"))
+        last = ended.agg(F.max_by("info_", F.struct("date_time", "record_id")).alias("info")).first()
+        return last is not None and last["info"] is not None and last["info"] == inputs
 
     @contextmanager
-    def step(self, name: str, event: str):
-        """Logs BEGIN, then END with the rows the step set in ``affected["rows"]`` (or FAILED with the error)."""
+    def step(self, name: str, event: str, inputs: str | None = None):
+        """Logs BEGIN, then END with the rows the step set in ``affected["rows"]`` and its inputs (or FAILED with the error)."""
         self.message(f"[BEGIN] {name}", event)
         affected: dict = {}
         try:
             yield affected
-            self.message(f"[END] {name}", event, affected.get("rows"))
+            self.message(f"[END] {name}", event, affected.get("rows"), inputs)
         except Exception as error:
             self.message(f"[FAILED] {name}: {str(error)[:1000]}", event)
             raise

@@ -16,7 +16,7 @@ hot account that holds a third of all postings sends one row per map task,
 not a third of the data.  Multiplying by the rate after the sum is exact in
 decimal arithmetic (``sum(a_i) * r = sum(a_i * r)``), and a version/rate
 fan-out multiplies both forms alike.  The per-day rate lookup is a pure
-equi-join on (currency, day) against a broadcast that currencies x days bound,
+equi-join on (currency, day), a broadcast if its estimated size allows,
 so a currency holding most rows never meets in one task.  The account versions
 of the window join as Spark sees fit (by bytes, at run time).
 """
@@ -88,7 +88,7 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
                                                       F.sum("debet_amount").alias("_d"))
     pre = pre.select("oper_date", "account_rk", mart_dec(F.col("_c")).alias("_c"), mart_dec(F.col("_d")).alias("_d"))
     acc = accounts_for_window(accounts, d_from, d_to)
-    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to))          # currencies x days of the window
+    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to), (d_to - d_from).days + 1)      # currencies x days of the window
     j = pre.join(acc, "account_rk").filter(_asof_in_month())
     j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))
@@ -109,7 +109,7 @@ def turnover_legs(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     d_to = d_to or d_from
     legs = posting_legs(postings, d_from, d_to)
     acc = accounts_for_window(accounts, d_from, d_to)
-    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to))
+    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to), (d_to - d_from).days + 1)
     j = legs.join(acc, "account_rk").filter(_asof_in_month())
     j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import oracle as O
+from ledgerlake.operators.joins import asof_join, interval_conflicts
 from ledgerlake.operators.upsert import upsert
 from ledgerlake.plans import exchange
 from ledgerlake.plans.loader import detail_table, load_table
@@ -137,7 +138,47 @@ def load_skips(spark, sf_dir):
     return spark.createDataFrame(steps, "step string, rows_written long, segments_rewritten long")
 
 
-# ---------------------------------------------------------------- 3. the stream by header
+# ---------------------------------------------------------------- 3. intervals
+@register("asof_history", O.with_prelude(body="""
+, e AS (SELECT event_id, CAST(user_id % 40 AS BIGINT) AS k, CAST(DATE '1997-06-01' + CAST(event_id % 700 AS INTEGER) AS DATE) AS day FROM events),
+v AS (SELECT CAST(s_suppkey % 50 AS BIGINT) AS k, s_suppkey, CAST(DATE '1997-01-01' + CAST((s_suppkey * 37) % 900 AS INTEGER) AS DATE) AS s,
+  CAST(DATE '1997-01-01' + CAST((s_suppkey * 37) % 900 + (s_suppkey * s_suppkey) % 400 AS INTEGER) AS DATE) AS e FROM supplier)
+SELECT event_id, e.k, CAST(day AS VARCHAR) AS day, s_suppkey FROM e LEFT JOIN v ON e.k = v.k AND day BETWEEN v.s AND v.e""".lstrip()))
+def asof_history(spark, sf_dir):
+    """J1 + J2 over a whole history, without a window: events joined to all versions valid on their day, by blocks of days."""
+    b = bank(spark, sf_dir)
+    day0 = lambda d, n: F.date_add(F.lit(d).cast("date"), n.cast("int"))
+    ev = b.raw("events").select("event_id", (F.col("user_id") % 40).cast("long").alias("k"), day0("1997-06-01", F.col("event_id") % 700).alias("day"))
+    at = (F.col("s_suppkey") * 37) % 900
+    versions = b.raw("supplier").select((F.col("s_suppkey") % 50).cast("long").alias("k"), "s_suppkey", day0("1997-01-01", at).alias("s"),
+                                        day0("1997-01-01", at + (F.col("s_suppkey") * F.col("s_suppkey")) % 400).alias("e"))
+    return asof_join(ev, versions, "k", "day", "s", "e", salts=4)
+
+
+@register("interval_conflicts", O.with_prelude(body="""
+, bad AS (SELECT account_rk, CASE WHEN account_rk % 19 = 0 THEN data_actual_end_date + 5 ELSE data_actual_date END AS s,
+  CASE WHEN account_rk % 5 = 0 THEN data_actual_end_date - 1 WHEN account_rk % 23 = 0 THEN NULL WHEN account_rk % 7 = 0 THEN data_actual_end_date + 40
+    ELSE data_actual_end_date END AS e FROM md_account_d),
+good AS (SELECT account_rk, CAST(s AS DATE) AS s, CAST(e AS DATE) AS e FROM bad WHERE s <= e),
+last AS (SELECT account_rk, max(e) AS last FROM good GROUP BY account_rk),
+starts AS (SELECT DISTINCT account_rk, s AS day FROM good),
+ends AS (SELECT DISTINCT g.account_rk, CAST(g.e + 1 AS DATE) AS day FROM good g JOIN last USING (account_rk) WHERE g.e < last)
+SELECT account_rk, CASE WHEN e < s THEN 'reversed' ELSE 'open' END AS kind, CAST(CAST(coalesce(s, e) AS DATE) AS VARCHAR) AS day, CAST(1 AS BIGINT) AS n
+  FROM bad WHERE s IS NULL OR e IS NULL OR e < s
+UNION ALL SELECT starts.account_rk, 'overlap', CAST(day AS VARCHAR), count(*) FROM starts JOIN good g ON g.account_rk = starts.account_rk AND day BETWEEN g.s AND g.e
+  GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT account_rk, 'gap', CAST(day AS VARCHAR), 0 FROM ends
+  WHERE NOT EXISTS (SELECT 1 FROM good g WHERE g.account_rk = ends.account_rk AND ends.day BETWEEN g.s AND g.e)""".lstrip()))
+def interval_conflicts_query(spark, sf_dir):
+    """P2 + J4 + W11: account versions, some of them made to overlap, to leave gaps, to be reversed or open: all are reported."""
+    acc, rk = bank(spark, sf_dir).md_account_d(), F.col("account_rk")
+    s = F.when(rk % 19 == 0, F.date_add("data_actual_end_date", 5)).otherwise(F.col("data_actual_date"))
+    e = F.when(rk % 5 == 0, F.date_sub("data_actual_end_date", 1)).when(rk % 23 == 0, None).when(rk % 7 == 0, F.date_add("data_actual_end_date", 40)) \
+        .otherwise(F.col("data_actual_end_date"))
+    return interval_conflicts(acc.select("account_rk", s.alias("s"), e.alias("e")), "account_rk", "s", "e")
+
+
+# ---------------------------------------------------------------- 4. the stream by header
 @register("mirror_stream_headers", MIRROR_FAITHFUL_SQL)
 def mirror_stream_headers(spark, sf_dir):
     """L8 as a stream over files whose headers list the columns in different orders: matched by name, as in the batch job."""

@@ -7,6 +7,7 @@ moves through Spark readers and writers.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -57,6 +58,15 @@ def size(spark: SparkSession, path: str) -> int:
     return int(fsys.getContentSummary(p).getLength())
 
 
+def state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and modification times of the file or data files at ``path``, as text: equal if nothing was written."""
+    out = []
+    for f in data_files(spark, path):
+        status = _fs_path(spark, f)[0].getFileStatus(_fs_path(spark, f)[1])
+        out.append(f"{status.getPath().getName()}:{status.getLen()}:{status.getModificationTime()}")
+    return f"{path} " + hashlib.sha256("|".join(out).encode()).hexdigest()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Move a file or folder to a name that is free."""
     fsys, p = _fs_path(spark, target)

@@ -47,7 +47,7 @@ MAX_SEGMENTS = 8
 MAX_DEPTH = 40                       # bits of the hash that buckets may use
 BITMAP_BITS = 32768                  # of one bitmap (Spark's bitmap aggregates)
 KEYS_A_BITMAP = 2048                 # 16 bits a key
-FILTER_FROM = 200_000                # stored rows from which the bitmaps are asked before the key columns
+FILTER_FROM = 200_000                # rows from which bitmaps are made, and asked before the key columns
 
 
 def key_bucket(keys: list[str], buckets: int) -> Column:
@@ -65,11 +65,14 @@ def directory_of(buckets: int) -> list[str]:
 def bucket_in(h: Column, directory: list[str]) -> Column:
     """The bucket of a key hash: the one whose bits are the hash's last ones, the lowest bit first."""
     bits = F.reverse(F.lpad(F.conv(F.hex(h.bitwiseAND(F.lit((1 << MAX_DEPTH) - 1))), 16, 2), MAX_DEPTH, "0"))
+    depths = sorted({len(b) for b in directory})
     found = None
-    for depth in sorted({len(b) for b in directory}):
+    for depth in reversed(depths):
         name = F.concat(F.lit("b"), F.substring(bits, 1, depth - 1))
-        here = F.when(name.isin([b for b in directory if len(b) == depth]), name)
-        found = here if found is None else F.coalesce(found, here)
+        if found is not None:                             # a bucket of this depth, or one that was split: the shorter list tells
+            own, gone = {b for b in directory if len(b) == depth}, {b[:depth] for b in directory if len(b) > depth}
+            name = F.when(name.isin(sorted(own)), name).otherwise(found) if len(own) <= len(gone) else F.when(name.isin(sorted(gone)), found).otherwise(name)
+        found = name
     return found
 
 
@@ -141,6 +144,11 @@ class PartsTable:
         """Part value -> its segments' folders, as of the newest (or a given) manifest."""
         return {p: [s["folder"] for s in segs] for p, segs in self._manifest(number).parts.items()}
 
+    def changed_parts(self, since: int) -> list[str]:
+        """The change feed between manifest ``since`` and the newest: parts whose segments differ (added, rewritten or gone)."""
+        old, new = self.parts(since), self.parts()
+        return sorted(p for p in set(old) | set(new) if old.get(p) != new.get(p))
+
     def sizes(self) -> dict[str, tuple[int, int]]:
         """Part value -> rows and bytes."""
         return {p: (sum(s["rows"] or 0 for s in segs), sum(s["bytes"] for s in segs)) for p, segs in self._manifest().parts.items()}
@@ -247,11 +255,12 @@ class PartsTable:
 
     def _splits(self, m: _Manifest, counts: dict[str, int], stored: dict[str, int]) -> dict[str, list[str]]:
         """Buckets that the batch would bring over the limits -> the buckets that take their place."""
-        rows, size = sum(stored.values()), sum(s["bytes"] for segs in m.parts.values() for s in segs)
-        limit = min(self.split_rows, self.split_bytes * rows // size if size else self.split_rows)
+        known = [s for segs in m.parts.values() for s in segs if s["rows"]]
+        width = sum(s["bytes"] for s in known) / max(1, sum(s["rows"] for s in known))         # bytes a row, as far as rows are counted
         out = {}
         for p, n in counts.items():
-            over = (n + stored.get(p, 0)) / max(1, limit)
+            size = sum(s["bytes"] for s in m.parts.get(p, [])) + n * width
+            over = max((n + stored.get(p, 0)) / self.split_rows, size / self.split_bytes)
             levels = min(math.ceil(math.log2(over)) if over > 1 else 0, MAX_DEPTH + 1 - len(p))
             if levels > 0:
                 out[p] = [p + format(i, f"0{levels}b") for i in range(1 << levels)]
@@ -273,26 +282,33 @@ class PartsTable:
             raise ValueError(f"{facts['stray']} rows lie outside the parts to be replaced ({', '.join((allowed or ['none'])[:3])}..)")
         self.rows_written = int(facts["rows"])
         new = {n[len(PART) + 1:]: f"{folder}/{n}" for n in found if n.startswith(f"{PART}=")}
-        keyed = self._bitmaps(schema, name, new, *hashed) if hashed and new else {}
-        return {p: {"folder": f, "rows": None, "bytes": fs.size(self.spark, f"{self.base}/{f}"), "groups": None} | keyed.get(p, {})
-                for p, f in new.items()}
+        if not new:
+            return {}
+        groups = self._bitmaps(schema, name, new, *hashed) if hashed and sum(hashed[1].values()) >= FILTER_FROM else {}
+        sizes = self._sizes(schema, folder)
+        return {p: {"folder": f, "rows": sizes[f][0], "bytes": sizes[f][1], "groups": groups.get(p)} for p, f in new.items()}
+
+    def _sizes(self, schema: T.StructType, folder: str) -> dict[str, tuple[int, int]]:
+        """Rows and bytes of every segment in a folder, from the files' footers."""
+        files = self._files(schema, [folder]).groupBy("_metadata.file_path", "_metadata.file_size").count()
+        return {r["folder"]: (r["n"], r["bytes"]) for r in files.groupBy(self._folder(F.col("file_path")).alias("folder")).agg(
+            F.sum("count").alias("n"), F.sum("file_size").alias("bytes")).collect()}
 
     # -- skipping
-    def _bitmaps(self, schema: T.StructType, name: str, found: dict[str, str], h: Column, expected: dict[str, int]) -> dict[str, dict]:
-        """Bitmaps of the key hashes of every part just written, as a table beside the data; rows and bitmaps by part."""
+    def _bitmaps(self, schema: T.StructType, name: str, found: dict[str, str], h: Column, expected: dict[str, int]) -> dict[str, int]:
+        """Bitmaps of the key hashes of every part just written, as a table beside the data; their number by part."""
         groups = {p: 1 << max(0, math.ceil(math.log2(expected.get(p, 1) / KEYS_A_BITMAP))) if expected.get(p, 1) > KEYS_A_BITMAP else 1 for p in found}
         wanted = rows_frame(self.spark, [(p, f, groups[p]) for p, f in found.items()], "part string, folder string, groups long")
         rows = self._files(schema, list(found.values())).select(self._folder().alias("folder"), h.alias("h"))
         at = F.pmod("h", F.col("groups") * BITMAP_BITS)
         bitmaps = rows.join(F.broadcast(wanted), "folder").withColumn("at", at).groupBy("part", "folder", F.expr(f"at div {BITMAP_BITS}").alias("grp")).agg(
-            F.bitmap_construct_agg(F.col("at") % BITMAP_BITS).alias("bitmap"), F.count(F.lit(1)).alias("n"))
+            F.bitmap_construct_agg(F.col("at") % BITMAP_BITS).alias("bitmap"))
         bitmaps.write.parquet(f"{self.base}/filters/{name}")
-        kept = self.spark.read.schema(bitmaps.schema).parquet(f"{self.base}/filters/{name}")
-        return {r["part"]: {"rows": r["n"], "groups": groups[r["part"]]} for r in kept.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+        return groups
 
-    def _folder(self) -> Column:
+    def _folder(self, path: Column | None = None) -> Column:
         """The segment (``data/<write>/_part=<value>``) of a row's file."""
-        return F.concat(F.lit("data/"), F.regexp_extract(F.col("_metadata.file_path"), rf"/data/([0-9a-f]{{32}}/{PART}=[^/]*)/", 1))
+        return F.concat(F.lit("data/"), F.regexp_extract(F.col("_metadata.file_path") if path is None else path, rf"/data/([0-9a-f]{{32}}/{PART}=[^/]*)/", 1))
 
     def _holding(self, m: _Manifest, parts: dict[str, list[dict]], hashes: DataFrame, h: Column, keys: list[str]) -> set[str]:
         """Folders of the segments in ``parts`` that hold a key of ``hashes`` (part, h)."""

@@ -130,6 +130,9 @@ class PartitionedTable:
 
     def replace_range(self, new_rows: DataFrame, lo, hi) -> int:
         """Returns the number of rows written (seen on the write itself, A7)."""
-        days = [(lo + dt.timedelta(days=i)).isoformat() for i in range((hi - lo).days + 1)]
-        self.table.replace(new_rows, F.col(self.part_col), days)
+        return self.replace_days(new_rows, [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)])
+
+    def replace_days(self, new_rows: DataFrame, days: list[dt.date]) -> int:
+        """The same for single days."""
+        self.table.replace(new_rows, F.col(self.part_col), [d.isoformat() for d in days])
         return self.table.rows_written
