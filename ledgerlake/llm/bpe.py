@@ -297,19 +297,30 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
+def _texts(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """The tokens' bytes of each row one after the other, as text."""
+    flat, ends = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    raw = tokens.take(pa.array(np.where((flat < 0) | (flat >= len(tokens) - 1), len(tokens) - 1, flat)))
+    _, offsets, data = raw.buffers()
+    at = np.frombuffer(offsets, np.int32, len(raw) + 1)[ends - ends[0]]
+    texts = pa.Array.from_buffers(pa.string(), len(ids), [None, pa.py_buffer(at.copy()), data or pa.py_buffer(b"")])
+    try:
+        texts.validate(full=True)
+        return texts
+    except pa.ArrowInvalid:                               # some bytes are no UTF-8
+        return pa.array([t.decode("utf-8", "replace") for t in texts.cast(pa.binary()).to_pylist()], pa.string())
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The rows of ``encoded`` (doc_id, ids) with the decoded ``text``; special tokens are kept."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = [t or b"" for t in shared.value.tokens]
+        tokens = pa.array([t or b"" for t in shared.value.tokens] + [b""], pa.binary())      # the last one stands for ids that the vocabulary lacks
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = part.column("ids")
-                texts = [b"".join([tokens[i] for i in row.values.to_pylist() if i is not None and 0 <= i < len(tokens)]).decode("utf-8", "replace")
-                         if row.is_valid else "" for row in ids]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), _texts(part.column("ids"), tokens)], names=["doc_id", "ids", "text"])
 
     rows = pick(encoded, doc_id="doc_id", ids="ids").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     kind = rows.schema["doc_id"].dataType.simpleString()

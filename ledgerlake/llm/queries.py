@@ -87,9 +87,8 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log probability under a suffix tree learned from the documents outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
-    tree, counts = suffix_tree.learn(docs.where(fold("doc_id", 5) != 1).select("text"))
+    tree, counts = suffix_tree.learn(docs.where(fold("doc_id", 5) != 1).select("text"), keep_levels=False)
     scored = suffix_tree.score_texts(docs, tree, counts)
-    tree.discard()
     return scored.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
 

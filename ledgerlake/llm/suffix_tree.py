@@ -301,14 +301,11 @@ class Tree:
     word_share: float
     words: DataFrame
     levels: list[tuple[DataFrame, DataFrame]]
+    values: list[DataFrame]
 
     def denominator(self) -> float:
         return self.total + 0.5 * (self.distinct + 1)
 
-    def discard(self) -> None:
-        """Remove the staged levels; scores of texts that ``score_texts`` returned do not need them."""
-        discard(*(table for level in self.levels for table in level))
-
     @cached_property
     def _arrays(self) -> dict[str, list[np.ndarray]]:
         """The whole tree in the driver, to look into small ones; neither learning nor scoring uses it."""
@@ -338,22 +335,23 @@ class Tree:
 
 def learn(texts: DataFrame, depth: int = DEPTH, word_share: float = WORD_SHARE, symbol_share: float = 0.0,
           context_share: float = 0.0, divergence: float = DIVERGENCE, gain: float = GAIN, prior: float = PRIOR,
-          symbol_min: int = SYMBOL_MIN, context_min: int = CONTEXT_MIN) -> tuple[Tree, DataFrame]:
+          symbol_min: int = SYMBOL_MIN, context_min: int = CONTEXT_MIN, keep_levels: bool = True) -> tuple[Tree, DataFrame]:
     """The tree and the table (key, n) of all words' counts, from the column ``text`` of the training texts.
 
     ``symbol_share`` and ``context_share`` (shares of all tokens) may raise the minimum counts; by default they do not.
+    Scoring needs the tree's ``values`` only: ``keep_levels=False`` removes each level's other tables once it is done.
     """
     with shuffles_freed(texts.sparkSession):
-        return _learn(texts, depth, word_share, symbol_share, context_share, divergence, gain, prior, symbol_min, context_min)
+        return _learn(texts, depth, word_share, symbol_share, context_share, divergence, gain, prior, symbol_min, context_min, keep_levels)
 
 
 def _learn(texts: DataFrame, depth: int, word_share: float, symbol_share: float, context_share: float, divergence: float, gain: float,
-           prior: float, symbol_min: int, context_min: int) -> tuple[Tree, DataFrame]:
+           prior: float, symbol_min: int, context_min: int, keep_levels: bool) -> tuple[Tree, DataFrame]:
     context, buckets = texts.sparkSession.sparkContext, _buckets(texts)
     counts = staged(texts.mapInArrow(_count_words, _COUNTS_DDL).groupBy("key").agg(F.sum("n").alias("n")), "suffix-words")
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total = total or 0
-    tree = Tree(total, distinct, max(symbol_min, symbol_share * total), max(context_min, context_share * total), word_share, counts, [])
+    tree = Tree(total, distinct, max(symbol_min, symbol_share * total), max(context_min, context_share * total), word_share, counts, [], [])
     below = counts.select("key", "n", ((F.col("n") + 0.5) / F.lit(tree.denominator())).alias("p"), F.lit(True).alias("ok"))
     for d in range(1, depth + 1):
         least = min(tree.symbol_min, tree.context_min)
@@ -370,12 +368,16 @@ def _learn(texts: DataFrame, depth: int, word_share: float, symbol_share: float,
         strings = staged(found.join(contexts, "a").join(below.select(F.col("key").alias("b"), F.col("p").alias("q")), "b")
                          .select("key", "a", "b", "n", "c", "q", own.alias("own")), f"suffix-strings-{d}")
         states = staged(_states(strings, divergence, gain, prior), f"suffix-states-{d}")
-        tree.levels.append((strings, states))
+        tree.values.append(staged(_level_values(strings, states), f"suffix-values-{d}"))
         discard(found, *([below] if d > 1 else []))
         below = strings.join(states.select(F.col("key").alias("b"), F.lit(True).alias("is_state")), "b", "left").select(
             "key", "n", F.col("own").alias("p"), F.coalesce("is_state", F.lit(False)).alias("ok"))
         if d < depth:
             below = staged(below, f"suffix-below-{d}")
+        if keep_levels:
+            tree.levels.append((strings, states))
+        else:
+            discard(strings, states)
     return tree, counts
 
 
@@ -391,21 +393,23 @@ def _states(strings: DataFrame, divergence: float, gain: float, prior: float) ->
         .select(F.col("a").alias("key"), c.alias("n"), F.log10("factor").alias("logb"))
 
 
+def _level_values(strings: DataFrame, states: DataFrame) -> DataFrame:
+    """key, n, known, base and value of a level's states and listed strings (see ``_values``)."""
+    zero = F.lit(0.0)
+    listed = strings.join(states.select(F.col("key").alias("a"), "logb"), "a")
+    return states.select("key", "n", F.lit(0).alias("known"), zero.alias("base"), F.col("logb").alias("value")).unionByName(
+        listed.select("key", "n", F.lit(0).alias("known"), zero.alias("base"), (F.log10("own") - F.log10("q") - F.col("logb")).alias("value")))
+
+
 def _values(tree: Tree, counts: DataFrame) -> DataFrame:
     """key, n, known (1: a word), base and value: what one occurrence adds to the root's and to the tree's score.
 
-    Words of no training text add log10(0.5 / denominator), which is counted for all words beforehand.
+    A key has a row for each thing that it is: a word or a listed string, and a state.  Words of no training text add
+    log10(0.5 / denominator), which is counted for all words beforehand.
     """
     base = F.log10(2 * F.col("n") + 1)
-    zero = F.lit(0.0)
-    parts = [counts.select("key", "n", F.lit(1).alias("known"), base.alias("base"), base.alias("value"))]
-    for strings, states in tree.levels:
-        parts.append(states.select("key", "n", F.lit(0).alias("known"), zero.alias("base"), F.col("logb").alias("value")))
-        listed = strings.join(states.select(F.col("key").alias("a"), "logb"), "a")
-        parts.append(listed.select("key", "n", F.lit(0).alias("known"), zero.alias("base"),
-                                   (F.log10("own") - F.log10("q") - F.col("logb")).alias("value")))
-    return reduce(DataFrame.unionByName, parts).groupBy("key").agg(
-        F.max("n").alias("n"), F.max("known").alias("known"), F.sum("base").alias("base"), F.sum("value").alias("value"))
+    words = counts.select("key", "n", F.lit(1).alias("known"), base.alias("base"), base.alias("value"))
+    return reduce(DataFrame.unionByName, tree.values, words)
 
 
 # ---------------------------------------------------------------- scoring
@@ -426,6 +430,12 @@ def _place(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == values, at, -1)
 
 
+def _by_key(values: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted distinct keys, and the sums of their rows' known, base and value."""
+    keys, at = np.unique(values.column("key").to_numpy(), return_inverse=True)
+    return keys, [np.bincount(at, values.column(k).to_numpy(), len(keys)) for k in _FACTS[1:]]
+
+
 def _emitter(shared, levels: int, buckets: int, absent: float):
     cache = f"suffix-keys:{uuid.uuid4().hex}"
 
@@ -466,9 +476,7 @@ def _emitter(shared, levels: int, buckets: int, absent: float):
 
 def _sums(records: pa.Table, values: pa.Table) -> pa.Table:
     """Facts of the documents, and sums over the strings of a key bucket by document."""
-    keys = values.column("key").to_numpy()
-    order = np.argsort(keys)
-    keys, of = keys[order], [values.column(k).to_numpy()[order] for k in _FACTS[1:]]
+    keys, of = _by_key(values)
     out: list[pa.Table] = []
     for r in records.select(list(_RECORD)).to_batches(max_chunksize=64):
         for first, ids, facts, k, owners, m in zip(*(r.column(c).to_pylist() for c in list(_RECORD)[1:]), strict=True):
@@ -491,14 +499,13 @@ def score_texts(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "d
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score (root only), score (longest states)."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")) \
         .withColumn("row", F.monotonically_increasing_id())
-    with shuffles_freed(docs.sparkSession):
-        values = staged(_values(tree, counts), "suffix-values")
+    values = _values(tree, counts)
     buckets = max(_buckets(rows), values.count() // BUCKET_ROWS)
-    often = values.where(F.col("n") >= tree.word_share * tree.total).toArrow().sort_by("key")
-    hot = {k: often.column(k).to_numpy() for k in ("key", *_FACTS[1:])}
+    keys, sums = _by_key(values.where(F.col("n") >= tree.word_share * tree.total).toArrow())
+    hot = {"key": keys} | dict(zip(_FACTS[1:], sums, strict=True))
     shared = docs.sparkSession.sparkContext.broadcast((hot, _bit_table(values)))
     absent = float(np.log10(0.5 / tree.denominator()))
-    records = rows.mapInArrow(_emitter(shared, len(tree.levels) + 1, buckets, absent), _RECORD_DDL)
+    records = rows.mapInArrow(_emitter(shared, len(tree.values) + 1, buckets, absent), _RECORD_DDL)
     values = values.where(F.col("n") < tree.word_share * tree.total).select("key", *_FACTS[1:], _bucket_column(F.col("key"), buckets).alias("bucket"))
     sums = records.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(_sums, _SUMS_DDL)
     return sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(k).alias(k) for k in _FACTS]).select(
