@@ -81,7 +81,10 @@ def side_by_side(spark: SparkSession, tasks: dict[str, Callable]) -> dict:
         wait(running.values(), return_when=FIRST_EXCEPTION)
         failed = next((f.exception() for f in running.values() if f.done() and f.exception()), None)
         if failed:
-            sc.cancelJobsWithTag(tag)
+            left = set(running.values())
+            while left:                                   # also jobs that the others are only about to start
+                sc.cancelJobsWithTag(tag)
+                left = wait(left, timeout=1).not_done
             raise failed
         return {name: f.result() for name, f in running.items()}
 
