@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and
 returns a DataFrame that ``run`` writes as Parquet and reads again for the next stage.
 All but the last return the columns of documents.
+
+Defined results, the same in every stage: a null text counts as an empty one; the empty
+text is neither toxic, a near-duplicate, contaminated nor personal, so such documents are
+kept (and packed as documents without tokens); rows with a null or repeated id are judged
+each for itself; an empty table gives an empty table; extra columns, whatever their names,
+stay as they are until packing drops them.
 """
 
 from __future__ import annotations
@@ -52,7 +58,13 @@ def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """All documents, identifiers and revealing terms replaced; ``n_chars`` counts the new text."""
     _small_batches(spark)
     out = sanitise(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    names = out.columns
+    if "n_chars" not in names:
+        return out
+    flat = out.toDF(*[f"_c{i}" for i in range(len(names))])          # by position: extra columns may differ by case only
+    kind = out.schema.fields[names.index("n_chars")].dataType
+    counted = {names.index("n_chars"): F.length(f"_c{names.index('text')}").cast(kind)}
+    return flat.select(*[counted.get(i, F.col(f"_c{i}")).alias(name) for i, name in enumerate(names)])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
