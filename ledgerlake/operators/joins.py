@@ -26,14 +26,17 @@ BROADCAST_BYTES = 64 << 20
 GRAINS = (1, 16, 256, 4096, 65536)
 
 
-def bounded_broadcast(df: DataFrame, grows: int = 1) -> DataFrame:
+def bounded_broadcast(df: DataFrame, grows: int | None = None) -> DataFrame:
     """Broadcast a dimension if Spark's own size estimate of it allows that; else leave the join to Spark.
 
     The estimate comes from the sizes of the files a plan reads, so nothing is counted and no job runs.
     ``grows`` is the factor by which a generator in the plan (one row a day) may multiply the rows, which
-    the estimate does not know.
+    the estimate does not know: by default a year's days where there is one.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if grows is None:
+        grows = 366 if "Generate " in plan.toString() else 1
+    size = int(str(plan.stats().sizeInBytes()))
     return F.broadcast(df) if size * grows <= BROADCAST_BYTES else df
 
 

@@ -88,7 +88,7 @@ def account_turnover(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
                                                       F.sum("debet_amount").alias("_d"))
     pre = pre.select("oper_date", "account_rk", mart_dec(F.col("_c")).alias("_c"), mart_dec(F.col("_d")).alias("_d"))
     acc = accounts_for_window(accounts, d_from, d_to)
-    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to), (d_to - d_from).days + 1)      # currencies x days of the window
+    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to))      # currencies x days of the window
     j = pre.join(acc, "account_rk").filter(_asof_in_month())
     j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))
@@ -109,7 +109,7 @@ def turnover_legs(postings: DataFrame, accounts: DataFrame, rates: DataFrame,
     d_to = d_to or d_from
     legs = posting_legs(postings, d_from, d_to)
     acc = accounts_for_window(accounts, d_from, d_to)
-    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to), (d_to - d_from).days + 1)
+    day_rates = bounded_broadcast(daily_rates(rates, d_from, d_to))
     j = legs.join(acc, "account_rk").filter(_asof_in_month())
     j = j.join(day_rates, ["currency_rk", "oper_date"], "left")
     r = F.coalesce(F.col("_rate"), F.lit(1))
