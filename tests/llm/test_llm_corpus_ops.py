@@ -18,6 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ledgerlake.llm import imatch, minhash, suffix_tree, toxicity  # noqa: E402
 from ledgerlake.llm.common import fold, pick  # noqa: E402
 from ledgerlake.llm.components import components  # noqa: E402
+from ledgerlake.llm.queries import QUERIES  # noqa: E402
 
 
 # ---------------------------------------------------------------- toxicity
@@ -55,6 +56,30 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["doc_id"] for r in pick(kept, doc_id="doc_id").collect()} == {i for i, r in got.items() if not r["rejected"]}
 
 
+@pytest.mark.parametrize(("scale", "least"), [("sf0.01", 0.85), ("sf0.1", 0.95)])
+def test_toxicity_generalises(spark, scale, least):
+    """Area under the curve of the labelled documents that were not learned from."""
+    sf = f"/root/testdata/{scale}"
+    marks = spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    held = QUERIES["op1_toxicity"](spark, sf).where("held_out").join(marks, "doc_id").select("score", "toxic", "predicted").collect()
+    bad, good = ([r["score"] for r in held if r["toxic"] == c] for c in (1, 0))
+    assert sum((b > g) + (b == g) / 2 for b in bad for g in good) >= least * len(bad) * len(good)
+    assert sum(r["predicted"] for r in held if r["toxic"] == 0) <= 0.02 * len(good)
+    assert sum(r["predicted"] for r in held if r["toxic"] == 1) >= 0.6 * len(bad)
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark):
+    texts, toxic, langs = toxic_corpus(200)
+    docs = docs_frame(spark, texts, langs=langs)
+    many = docs.unionByName(spark.range(20_000).selectExpr("7 AS doc_id", "concat('copy ', id) AS text", "'en' AS lang", "'s' AS source", "1L AS n_chars"))
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    args = ("doc_id", "text", "lang", "toxic", None, 30, toxicity.MAX_BYTES)
+    rows = toxicity.sample_rows(many, labels, *args).collect()
+    assert len(rows) == 60 and len({r["doc_id"] for r in rows}) == 60 and sum(r["toxic"] for r in rows) == 30
+    assert len(toxicity.sample_rows(many, labels.where("doc_id = 7"), *args).collect()) == 1
+    assert toxicity.fit_rows([r for r in rows if r["toxic"]][:1] + [r for r in rows if not r["toxic"]][:1]).constant is None
+
+
 def test_table_scores_equal_direct_convolution(monkeypatch):
     rng = np.random.default_rng(0)
     model = toxicity.Model(rng.normal(size=(toxicity.BUCKETS + 1, toxicity.DIM)).astype(np.float32),
