@@ -4,9 +4,12 @@ Records are ordered by a 60-bit key: 44 bits of the text's md5, then 16 bits of
 id's md5, so copies of a text are neighbours and a huge group of copies can still be
 cut.  Splitters are quantiles of a key sample in which a record's chance grows with
 its size.  Records are range-partitioned on them; a range with more than twice its
-share of bytes is subdivided with a denser sample of its own.  Exact byte and row
-sums of the ranges (a bounded number) give each range its place, a running sum inside
-the range gives each record its own, and a record's middle byte names its shard.
+share of bytes, or far more rows than a task should order, is subdivided with a denser
+sample of its own.  There are ``ranges_per_shard`` ranges a shard or one for each
+``rows_per_range`` records, whichever is more, so a task's rows stay bounded as the
+table grows.  Exact byte and row sums of the ranges (one short row each, 25,000 of them
+for 5e10 records) give each range its place, a running sum inside the range gives each
+record its own, and a record's middle byte names its shard.
 Splitters only decide where the work is done; the result is the exact cut.
 
 Defined results: a null text has size 16 and counts as the empty text; records that
@@ -25,6 +28,7 @@ from ledgerlake.llm.common import pick, staged
 
 OVERHEAD = 16            # bytes a record takes besides its text
 RANGES_PER_SHARD = 16
+ROWS_PER_RANGE = 2_000_000
 SAMPLES_PER_RANGE = 16
 ROUNDS = 6               # of subdividing; a range of one key cannot be cut further
 
@@ -61,31 +65,33 @@ def _quantiles(keys: list[int], parts: int) -> set[int]:
     return {keys[len(keys) * i // parts] for i in range(1, parts)} if keys else set()
 
 
-def split_ranges(rows: DataFrame, total: int, ranges: int) -> tuple[list[int], list[tuple]]:
-    """Splitters and (range, bytes, rows) in order, overfull ranges subdivided."""
+def split_ranges(rows: DataFrame, total: int, ranges: int, rows_per_range: int = ROWS_PER_RANGE) -> tuple[list[int], list[tuple]]:
+    """Splitters and (range, bytes, rows) in order, ranges of too many bytes or rows subdivided."""
     cuts = _quantiles(_sample(rows, ranges * SAMPLES_PER_RANGE, total, 0), ranges)
     share = total / ranges
     for attempt in range(ROUNDS + 1):
         placed = rows.withColumn("range", _range_of(list(cuts))("key"))
         sums = sorted(tuple(r) for r in placed.groupBy("range").agg(
             F.sum("size"), F.count(F.lit(1)), F.min("key"), F.max("key")).collect())
-        over = [r for r in sums if r[1] > 2 * share and r[3] < r[4]]
+        over = [r for r in sums if (r[1] > 2 * share or r[2] > 2 * rows_per_range) and r[3] < r[4]]
         if not over or attempt == ROUNDS:
             return sorted(cuts), [r[:3] for r in sums]
         inside = placed.where(F.col("range").isin([r[0] for r in over]))
         bytes_over = sum(r[1] for r in over)
-        parts = int(np.ceil(bytes_over / share))
+        parts = sum(int(np.ceil(max(r[1] / share, r[2] / rows_per_range))) for r in over)
         drawn = _sample(inside, parts * SAMPLES_PER_RANGE, bytes_over, attempt + 1)
         cuts |= set(drawn[SAMPLES_PER_RANGE // 2::SAMPLES_PER_RANGE // 2]) | {r[4] for r in over}
 
 
 def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",
-                  ranges_per_shard: int = RANGES_PER_SHARD) -> DataFrame:
+                  ranges_per_shard: int = RANGES_PER_SHARD, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One row per record: doc_id, size, text_crc32, shard (0 to shards-1), slot (0, 1, .. inside the shard)."""
     spark = docs.sparkSession
     rows = staged(records(docs, id_col, text_col), "shard-records")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    cuts, sums = split_ranges(rows, total, shards * ranges_per_shard) if total else ([], [])
+    total, count = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
+    total = total or 0
+    ranges = max(shards * ranges_per_shard, -(-count // rows_per_range))
+    cuts, sums = split_ranges(rows, total, ranges, rows_per_range) if total else ([], [])
     offsets, b, n = [], 0, 0
     for r, size, count in sums:
         offsets.append((r, b, n))
