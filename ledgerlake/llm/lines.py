@@ -10,8 +10,9 @@ Hot lines: digests are counted with partial sums, and the join that finds the la
 occurrences is an equi-join that adaptive execution can split.
 
 Defined results: a null or empty text has no units and stays as it is; rows that agree
-in id and text are one document and get the same result; rows that share only the id
-rank alike, so a line they share stays in both; an empty table gives an empty result.
+in id and text are one document and get the same result; rows without an id rank by a
+hash of their text; rows that share only an id that is not null rank alike, so a line
+they share stays in both; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,11 +65,14 @@ def _units(min_words: int):
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, row_key (hash of the text) and the spans to remove, for documents that have any."""
     base = _rows(docs, id_col, text_col)
-    units = staged(base.mapInArrow(_units(min_words), _UNITS_DDL).withColumn(
-        "rank", F.coalesce("doc_id", F.lit((1 << 63) - 1))), "line-units")
-    firsts = staged(units.where(~F.col("again")).groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-                    .where("first < last").drop("last"), "line-firsts")       # written, so the join below can split a hot digest
-    later = units.join(firsts, ["d1", "d2"]).where("rank > first and not again")
+    units = staged(base.mapInArrow(_units(min_words), _UNITS_DDL), "line-units")
+    nameless = F.when(F.col("doc_id").isNull(), F.col("row_key"))
+    firsts = staged(units.where(~F.col("again")).groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min(nameless).alias("first_key"), F.max(nameless).alias("last_key"))
+        .where("first < last or first_key < last_key or (first is not null and first_key is not null)")
+        .drop("last", "last_key"), "line-firsts")                              # written, so the join below can split a hot digest
+    later = units.join(firsts, ["d1", "d2"]).where("not again").where(
+        "case when first is null then row_key > first_key when doc_id is null then true else doc_id > first end")
     span = F.struct("start", "end")
     gone = later.select("doc_id", "row_key", span.alias("span")) \
         .unionByName(units.where("again").select("doc_id", "row_key", span.alias("span")))

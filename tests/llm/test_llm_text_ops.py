@@ -203,6 +203,15 @@ def test_repeated_lines_odd_rows(spark):
     assert lines.drop_repeated_lines(docs_frame(spark, texts, ids).limit(0)).count() == 0
 
 
+def test_repeated_lines_of_rows_without_ids(spark):
+    line = "a line of more than eight words that they all share"
+    texts, ids = [f"first {i}\n{line}" for i in range(30)] + [f"none\n{line[2:]} once"], [None] * 31
+    got = lines.drop_repeated_lines(docs_frame(spark, texts, ids)).collect()
+    assert sorted(r["n_removed"] for r in got) == [0, 0] + [1] * 29
+    named = lines.drop_repeated_lines(docs_frame(spark, texts, [9, *ids[1:]])).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in named if line in r["text"]} == {(9, 0)}
+
+
 # ---------------------------------------------------------------- packing
 def test_best_lengths_agree_with_all_choices():
     rng = random.Random(4)
@@ -254,12 +263,13 @@ def _key(i, t):
     return int(md5(t or "")[:11], 16) * 65536 + int(md5("" if i is None else str(i))[:4], 16)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_shards_agree_with_the_exact_cut(spark, hot):
+@pytest.mark.parametrize(("hot", "per_range"), [(False, 1000), (True, 1000), (True, 20)])
+def test_shards_agree_with_the_exact_cut(spark, hot, per_range):
     rng = random.Random(9)
     texts = [words(rng, rng.randrange(0, 60)) for _ in range(600)] + [None, ""] + (["copy " * 40] * 400 if hot else [])
     ids = rng.sample(range(10_000), len(texts))
-    got = {r["doc_id"]: r for r in shards.assign_shards(clashing(docs_frame(spark, texts, ids)), 7, ranges_per_shard=4).collect()}
+    docs = clashing(docs_frame(spark, texts, ids))
+    got = {r["doc_id"]: r for r in shards.assign_shards(docs, 7, ranges_per_shard=4, rows_per_range=per_range).collect()}
     size = lambda t: len((t or "").encode()) + 16
     total, before, slots, loads = sum(map(size, texts)), 0, {}, [0] * 7
     for _, i, t in sorted((_key(i, t), i, t) for i, t in zip(ids, texts, strict=True)):
@@ -272,6 +282,13 @@ def test_shards_agree_with_the_exact_cut(spark, hot):
     assert max(loads) - min(loads) <= 2 * max(map(size, texts))
 
 
+def test_ranges_have_bounded_rows(spark):
+    rows = shards.records(docs_frame(spark, ["same text"] * 3000 + [words(random.Random(i), 9) for i in range(1000)]))
+    total = rows.agg({"size": "sum"}).first()[0]
+    _, sums = shards.split_ranges(rows, total, 4, rows_per_range=100)
+    assert sum(r[2] for r in sums) == 4000 and max(r[2] for r in sums) <= 200
+
+
 def test_shards_odd_rows(spark):
     docs = docs_frame(spark, ODD_TEXTS, ODD_IDS)
     got = shards.assign_shards(docs, 40).collect()
