@@ -13,7 +13,8 @@ from ledgerlake.operators.joins import asof_join, interval_conflicts
 from ledgerlake.operators.upsert import upsert
 from ledgerlake.plans import exchange
 from ledgerlake.plans.loader import detail_table, load_table
-from ledgerlake.queries import bank, register
+from ledgerlake.plans.sql_functions import create_min_max_posting
+from ledgerlake.queries import MINMAX_DATE, bank, register
 from ledgerlake.queries_more import EV_COLS, MIRROR_FAITHFUL_SQL, _events_split, _write_deltas
 from ledgerlake.schemas import TABLES
 from ledgerlake.session import fresh_dir
@@ -189,3 +190,15 @@ def mirror_stream_headers(spark, sf_dir):
     delta_stream.seed_mirror(spark, seed, mpath, ["user_id"])
     delta_stream.start_mirror_stream(spark, base, seed.schema, ["user_id"], mpath, fresh_dir(spark, "ckpt")).awaitTermination()
     return delta_stream.read_mirror(spark, mpath).select(*EV_COLS)
+
+
+# ---------------------------------------------------------------- 5. SQL functions
+@register("min_max_sql", O.with_prelude(O.day_extremes("1998-01-20"), body=O.EXTREMES_OUT))
+def min_max_sql(spark, sf_dir):
+    """The report of a day through the SQL table function, over views of the detail layer."""
+    b = bank(spark, sf_dir)
+    views = {"sql_postings": b.ft_posting_f(), "sql_accounts": b.md_account_d(), "sql_rates": b.md_exchange_rate_d()}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    create_min_max_posting(spark, *views)
+    return spark.sql(f"SELECT * FROM min_max_posting(DATE '{MINMAX_DATE.isoformat()}')")
