@@ -12,7 +12,7 @@ from ledgerlake.llm import bpe, centroids, spelling, suffix_tree, toxicity
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.decontaminate import find_hits
 from ledgerlake.llm.imatch import fingerprints
-from ledgerlake.llm.lines import drop_repeated_lines
+from ledgerlake.llm.lines import drop_repeats
 from ledgerlake.llm.minhash import near_duplicates
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.pii import KINDS, find_personal_data
@@ -50,8 +50,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- 2. repeated lines
 @register("op2_repeated_lines")
 def op2_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier document, or an earlier line of its own, has."""
-    return drop_repeated_lines(table(spark, sf_dir, "documents"))
+    """Every document without the passages of over 50 words that an earlier document has, and (line_...) without the lines that an
+    earlier document, or an earlier line of its own, has."""
+    return drop_repeats(table(spark, sf_dir, "documents"))
 
 
 # ---------------------------------------------------------------- 3. packing

@@ -212,6 +212,53 @@ def test_repeated_lines_of_rows_without_ids(spark):
     assert {(r["doc_id"], r["n_removed"]) for r in named if line in r["text"]} == {(9, 0)}
 
 
+def test_repeated_passages_agree_with_all_windows(spark):
+    rng, size = random.Random(9), 12
+    pool = [words(rng, rng.randrange(8, 30)).split() for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        w = []
+        for _ in range(rng.randrange(4)):
+            p = rng.choice(pool)
+            w += words(rng, rng.randrange(6)).split() + p[rng.randrange(4):len(p) - rng.randrange(4)]
+        texts.append("".join(rng.choice([x, x.upper()]) + rng.choice([" ", "\n", " \t"]) for x in w))
+    texts += [texts[3], "", None, "\u00a0w " * 60, "W " * 70]
+    ids = rng.sample(range(1000), len(texts) - 2) + [None, None]
+    seen, want = set(), {}
+    for i, t in sorted(zip(ids, texts, strict=True), key=lambda x: (x[0] is None, x[0] or 0)):
+        w = "".join(c.lower() if c.isascii() else c for c in t or "").replace("\t", " ").replace("\n", " ").split(" ")
+        w = [x for x in w if x]
+        own = [tuple(w[k:k + size]) for k in range(len(w) - size + 1)]
+        gone = {k + j for k, x in enumerate(own) if x in seen for j in range(size)}
+        seen |= set(own)
+        want[i, t] = [x for k, x in enumerate(w) if k not in gone], bool(gone)
+    assert sum(hit for _, hit in want.values()) > 10
+    frame = clashing(docs_frame(spark, texts, ids))
+    starts = lines.repeated_windows(frame, passage=size, gram=5)
+    assert starts.count() == sum(hit for _, hit in want.values())
+    got = lines.drop_repeats(frame, passage=size, gram=5, min_words=4)
+    old = lines.drop_repeated_lines(frame, min_words=4)
+    assert rows_of(got.select("doc_id", "line_text", "line_removed", "line_kept", "n_lines_removed", "line_chars_removed")) == rows_of(old)
+    by_id = {i: t for i, t in zip(ids, texts, strict=True) if i is not None}
+    for r in got.where("doc_id is not null").collect():
+        kept, hit = want[r["doc_id"], by_id[r["doc_id"]]]
+        assert "".join(c.lower() if c.isascii() else c for c in r["text"] or "").replace("\t", " ").split() == " ".join(kept).split()
+        assert bool(r["removed"]) == hit
+        if hit:
+            assert "".join(by_id[r["doc_id"]][s["start"]:s["end"]] for s in r["kept"]) == r["text"]
+
+
+def test_passages_across_broken_lines_are_caught_and_short_lines_are_no_passages(spark):
+    rng = random.Random(4)
+    line = "a line of more than eight words that they all share"
+    passage = words(rng, 60)
+    texts = [f"one {passage} end\n{line}", f"{line}\ntwo " + passage.upper().replace(" ", "\n"), line, f"{line} x"]
+    got = {r["doc_id"]: r for r in lines.drop_repeats(docs_frame(spark, texts, [1, 2, 3, 4])).collect()}
+    assert [got[i]["n_removed"] for i in (1, 2, 3, 4)] == [0, 1, 0, 0] and got[2]["text"] == f"{line}\ntwo "
+    assert [got[i]["n_lines_removed"] for i in (1, 2, 3, 4)] == [0, 1, 1, 0]
+    assert lines.drop_repeats(docs_frame(spark, texts, [1, 2, 3, 4]).limit(0)).count() == 0
+
+
 # ---------------------------------------------------------------- packing
 def test_best_lengths_agree_with_all_choices():
     rng = random.Random(4)
