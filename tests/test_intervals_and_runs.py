@@ -61,6 +61,18 @@ def test_asof_join_without_a_window_equals_the_range_join(spark, how, salts):
     assert "BroadcastNestedLoopJoin" not in plan and residuals and all(line.endswith(": None") for line in residuals)
 
 
+def test_asof_join_deals_a_multiplied_result_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 200)
+    right = spark.createDataFrame([(0, i, _day(0), _day(9)) for i in range(30)], "k int, i int, s date, e date")
+    left = spark.createDataFrame([(0, n, _day(0 if n < 100 else n % 10)) for n in range(200)] + [(None, 200, None)], "k int, n int, d date")
+    out = asof_join(left, right, "k", "d", "s", "e", salts=2).persist()
+    rows = [tuple(r) for r in out.select("n", "i").collect()]
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    out.unpersist()
+    assert sorted(rows, key=repr) == sorted([(n, i) for n in range(200) for i in range(30)] + [(200, None)], key=repr)
+    assert len(sizes) > 10 and max(sizes) < 6000 / 4
+
+
 def test_interval_conflicts_are_found(spark):
     d = dt.date
     rows = [(1, d(2020, 1, 1), d(2020, 1, 31)), (1, d(2020, 2, 1), d(2020, 2, 29)),                       # clean
