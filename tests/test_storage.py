@@ -255,3 +255,19 @@ def test_a_local_session_without_a_preset_folder():
     env = os.environ | {"SPARK_CONF_DIR": tempfile.mkdtemp(prefix="empty-conf-")}
     out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, env=env, capture_output=True, text=True, timeout=200, check=True)
     assert out.stdout.split() == ["3", "True"]
+
+
+def test_many_parts_are_listed_in_few_tasks(spark, workdir):
+    most = parts_module.LISTERS_A_CORE * spark.sparkContext.defaultParallelism
+    table, n = PartsTable(spark, f"{workdir}/listed"), most + 40
+    table.replace(spark.range(n), F.col("id"))
+    before, sc = spark.conf.get(parts_module._LISTERS), spark.sparkContext
+    sc.setJobGroup("listing", "listing")
+    try:
+        rows = table.read()
+        tracker = sc.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(s.numTasks for s in stages) <= most
+    assert rows.count() == n and spark.conf.get(parts_module._LISTERS) == before
