@@ -15,9 +15,14 @@ from a model trained without its fold, Platt scaling on these logits makes a log
 score, and on the same scores each language gets the threshold that separates its
 classes best.
 
-Fitting takes a bounded sample: at most ``per_class`` labelled ids of each class and one
-row of each, none longer than ``max_bytes``, drawn by a hash of the id.  Scoring covers
-every whole text.  A filter applied to a word is a row of a table, so scoring is
+Fitting learns from every labelled id (one row of each) with its whole text.  Up to
+``SHARD_ROWS`` ids and ``SHARD_BYTES`` of text are one model's, cross-fitted over
+``FOLDS`` folds.  More are dealt by a hash of the id into shards of about that size, and
+Spark tasks train a model a shard, all from the same start; the model is their average,
+where an embedding row counts by the texts that use it.  Each shard belongs to a fold, so
+the average of the other folds' shards gives a row's cross-fitted logit; these meet the
+driver as counts by language and logit rounded to 1 / ``LOGIT_STEPS``.  Scoring
+covers every whole text.  A filter applied to a word is a row of a table, so scoring is
 lookups, shifted sums and maxima.
 
 Defined results: null, empty and wordless texts get the score of padding alone; labels
@@ -36,14 +41,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import byte_slices, pick, unused, worker_cache
+from ledgerlake.llm.common import byte_slices, discard, pick, shuffles_freed, staged, unused, worker_cache
 
-PER_CLASS = 3000
-MAX_BYTES = 24_000
+SHARD_ROWS = 6000          # labelled ids one process learns from
+SHARD_BYTES = 16 << 20     # and their text
+MAX_BYTES = 24_000         # of a text in ``sample_rows``, if a bound is asked for
 BUCKETS = 1 << 15
 DIM = 16
 WIDTHS = (1, 2, 3)
@@ -56,6 +63,9 @@ SHRINK = 0.05              # of embeddings, an epoch
 LANGUAGE_ROWS = 15         # of each class, for a threshold of its own
 CACHED_WORDS = 100_000
 CHUNK = 20_000             # words scored at a time
+SLICE = 2000               # positions of training texts at a time: they fit a core's cache
+LOGIT_STEPS = 1000         # of a cross-fitted logit, for each unit
+PARTS = 64                 # pieces of the embeddings that are averaged apart
 
 # A-Z to a-z; ASCII letters and all bytes from 0x80 stay; the rest separates words.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -189,25 +199,56 @@ def _scorer(docs: DataFrame, model: Model):
 
 
 # ---------------------------------------------------------------- fitting
-def _log_odds(texts: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smoothed log odds of each embedding row's texts being toxic, and whether enough texts use the row."""
+def _uses(texts: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many texts, and how many toxic ones, use each embedding row."""
     uses, toxic = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     for t, label in zip(texts, y, strict=True):
         own = np.unique(t)
         uses[own] += 1
         toxic[own] += label
+    return uses, toxic
+
+
+def _odds(uses: np.ndarray, toxic: np.ndarray, n: float, pos: float) -> np.ndarray:
+    """Smoothed log odds of each embedding row's texts being toxic, of ``pos`` toxic ones among ``n``."""
+    share = (pos + 1) / (n + 2)
+    odds = np.log((toxic + 2 * share) / (pos + 2)) - np.log((uses - toxic + 2 * (1 - share)) / (n - pos + 2))
+    return odds.astype(np.float32)
+
+
+def _known(uses: np.ndarray, part: int = PARTS - 1) -> np.ndarray:
+    """Whether enough texts use a row of the embeddings (or of a part of them); the last row is padding's."""
     known = uses >= MIN_TEXTS
-    known[BUCKETS] = False
-    n, share = y.sum(), (y.sum() + 1) / (len(y) + 2)
-    odds = np.log((toxic + 2 * share) / (n + 2)) - np.log((uses - toxic + 2 * (1 - share)) / (len(y) - n + 2))
-    return odds.astype(np.float32), known
+    if part == PARTS - 1:
+        known[-1] = False
+    return known
+
+
+def _best_positions(embed: np.ndarray, filters: list[np.ndarray], words: np.ndarray, flat: np.ndarray, starts: np.ndarray,
+                    sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each filter is largest in each text, and how large; a bounded number of positions at a time."""
+    best, top = np.zeros((len(starts), len(WIDTHS) * FILTERS), np.int64), np.full((len(starts), len(WIDTHS) * FILTERS), -np.inf, np.float32)
+    ends = starts + np.array(sizes) + 1
+    for at in range(0, int(ends[-1]), SLICE):
+        n = min(at + SLICE, int(ends[-1])) - at
+        x = embed[words[flat[at:at + n + max(WIDTHS) - 1]]].sum(1)
+        z = np.concatenate([sum(x[j:n + j] @ f[j] for j in range(len(f))) for f in filters], axis=1)
+        for i in range(int(np.searchsorted(ends, at, "right")), int(np.searchsorted(starts, at + n))):
+            lo = max(int(starts[i]), at)
+            part = z[lo - at:min(int(ends[i]), at + n) - at]
+            place = part.argmax(0)
+            value = np.take_along_axis(part, place[None], 0)[0]
+            better = value > top[i]
+            best[i][better], top[i][better] = place[better] + lo, value[better]
+    return best, top
 
 
 def _train(texts: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Model:
     """``texts``: for each text an array [words, 3] of bucket numbers.  Adagrad on the logistic loss."""
     rng = np.random.default_rng(seed)
     n_out = len(WIDTHS) * FILTERS
-    odds, known = _log_odds(texts, y)
+    uses, toxic = _uses(texts, y)
+    odds, known = _odds(uses, toxic, len(y), y.sum()), _known(uses)
     embed = rng.normal(0, 0.05, (BUCKETS + 1, DIM)).astype(np.float32)
     embed[:, 0] = 0.5 * odds
     embed[~known] = 0
@@ -226,31 +267,29 @@ def _train(texts: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Model:
             words = np.where(known[words], words, BUCKETS)
             sizes = [len(t) for t in seen_words]
             ends = 1 + np.cumsum(sizes)
-            flat, starts, counts = _flat([np.arange(e - n, e) for e, n in zip(ends, sizes, strict=True)], 0)
-            x = embed[words].sum(1)[flat]
-            n = len(flat) - max(WIDTHS) + 1
-            z = np.concatenate([sum(x[j:n + j] @ f[j] for j in range(len(f))) for f in filters], axis=1)
-            z[~counts[:n]] = -np.inf
-            best = np.stack([z[s:s + m + 1].argmax(0) + s for s, m in zip(starts, sizes, strict=True)])
-            raw = np.take_along_axis(z, best, 0) + bias
+            flat, starts, _ = _flat([np.arange(e - n, e) for e, n in zip(ends, sizes, strict=True)], 0)
+            best, top = _best_positions(embed, filters, words, flat, starts, sizes)
+            raw = top + bias
             pooled = np.maximum(raw, 0)
             p = 1 / (1 + np.exp(-np.clip(pooled @ out + out_bias[0], -30, 30)))
             g = ((p - y[batch]) * weight[batch] / len(batch)).astype(np.float32)
             g_pool = np.outer(g, out) * (raw > 0)
             grads = [np.zeros_like(f) for f in filters] + [g_pool.sum(0), pooled.T @ g + 1e-4 * out, g.sum(keepdims=True)]
-            g_x = np.zeros_like(x)
+            places = np.unique(np.concatenate([(best + j).ravel() for j in range(max(WIDTHS))]))
+            x, g_x = embed[words[flat[places]]].sum(1), np.zeros((len(places), DIM), np.float32)
             for w, f in enumerate(filters):
                 cols = slice(w * FILTERS, (w + 1) * FILTERS)
                 at, gw = best[:, cols], g_pool[:, cols]
                 for j in range(len(f)):
-                    grads[w][j] = np.einsum("bf,bfd->df", gw, x[at + j])
-                    np.add.at(g_x, (at + j).ravel(), (gw[:, :, None] * f[j].T[None]).reshape(-1, DIM))
+                    here = np.searchsorted(places, at + j)
+                    grads[w][j] = np.einsum("bf,bfd->df", gw, x[here])
+                    np.add.at(g_x, here.ravel(), (gw[:, :, None] * f[j].T[None]).reshape(-1, DIM))
             for q, gr, s in zip(params, grads, seen, strict=True):
                 s += gr * gr
                 q -= rate * gr / np.sqrt(s)
             live = np.flatnonzero(np.abs(g_x).sum(1) > 0)
-            live = live[flat[live] > 0]
-            rows, g_e = words[flat[live]].ravel(), np.repeat(g_x[live], 3, axis=0)
+            live = live[flat[places[live]] > 0]
+            rows, g_e = words[flat[places[live]]].ravel(), np.repeat(g_x[live], 3, axis=0)
             keys, back = np.unique(rows, return_inverse=True)
             total = np.zeros((len(keys), DIM), np.float32)
             np.add.at(total, back, g_e)
@@ -261,24 +300,26 @@ def _train(texts: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Model:
     return Model(embed, filters, bias, out, float(out_bias[0]))
 
 
-def _platt(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    pos, neg = y.sum(), (1 - y).sum()
+def _platt(logits: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> tuple[float, float]:
+    """``times``: how many rows each entry stands for (one, if not given)."""
+    times = np.ones(len(y)) if times is None else times
+    pos, neg = (y * times).sum(), ((1 - y) * times).sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x = np.stack([logits, np.ones_like(logits)], 1)
     w = np.array([1.0, 0.0])
     for _ in range(50):                                  # Newton steps, slightly regularised towards (1, 0)
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        w -= np.clip(np.linalg.solve(h, x.T @ (p - target) + 1e-3 * (w - [1.0, 0.0])), -2, 2)
+        h = (x * (p * (1 - p) * times)[:, None]).T @ x + 1e-3 * np.eye(2)
+        w -= np.clip(np.linalg.solve(h, x.T @ ((p - target) * times) + 1e-3 * (w - [1.0, 0.0])), -2, 2)
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
+def best_threshold(scores: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> float:
     """Middle of the best gap between the classes (share of toxic found less share of others rejected), within 0.35 to 0.9."""
     order = np.argsort(scores)
-    s, t = scores[order], y[order]
-    gain = np.concatenate([[t.sum() / t.sum()], (t.sum() - np.cumsum(t)) / t.sum()]) \
-        - np.concatenate([[1.0], ((1 - t).sum() - np.cumsum(1 - t)) / (1 - t).sum()])
+    n = (np.ones(len(y)) if times is None else times)[order]
+    s, t, u = scores[order], y[order] * n, (1 - y[order]) * n
+    gain = np.concatenate([[1.0], (t.sum() - np.cumsum(t)) / t.sum()]) - np.concatenate([[1.0], (u.sum() - np.cumsum(u)) / u.sum()])
     cut = int(np.argmax(gain))
     low, high = (s[cut - 1] if cut else 0.0), (s[cut] if cut < len(s) else 1.0)
     return float(np.clip((low + high) / 2, 0.35, 0.9))
@@ -296,56 +337,193 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        label_col: str = "toxic", allowed=None, per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model:
-    """Train on labelled documents; ``allowed`` (id column -> condition) says which rows may be learned from."""
-    rows = sample_rows(docs, labels, id_col, text_col, lang_col, label_col, allowed, per_class, max_bytes).collect()
-    return fit_rows(rows)
-
-
-def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, allowed,
-                per_class: int, max_bytes: int) -> DataFrame:
-    """doc_id, toxic, lang and the words' bucket numbers of at most 2 ``per_class`` rows, one a labelled id."""
+        label_col: str = "toxic", allowed=None) -> Model:
+    """Train on all labelled documents; ``allowed`` (id column -> condition) says which rows may be learned from."""
     d = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    d = d.withColumn("h", F.xxhash64("text")) if allowed is None else d.where(allowed("doc_id")).withColumn("h", F.xxhash64("text"))
+    firsts = d.groupBy("doc_id").agg(F.min(F.struct("h", F.octet_length("text").alias("size"))).alias("first"))
+    chosen = staged(_marked(labels, id_col, label_col, allowed).join(firsts, "doc_id").select("doc_id", "toxic", "first.*"), "toxicity-chosen")
+    n, size = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    if n <= SHARD_ROWS and size <= SHARD_BYTES:
+        return fit_rows(sample_rows(docs, labels, id_col, text_col, lang_col, label_col, allowed).collect())
+    with shuffles_freed(docs.sparkSession):
+        return _fit_shards(d, chosen, max(FOLDS, -(-n // SHARD_ROWS), -(-size // SHARD_BYTES)))
+
+
+def _marked(labels: DataFrame, id_col: str, label_col: str, allowed) -> DataFrame:
+    """doc_id and toxic of the labelled ids that may be learned from."""
     marked = pick(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
     if allowed is not None:
         marked = marked.where(allowed("doc_id"))
-    marked = marked.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    short = d.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
-    marked = marked.join(short.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
-    picks = None
-    for c in (0, 1):
-        part = marked.where((F.col("toxic") != 0) == F.lit(bool(c))).orderBy("h", "doc_id").limit(per_class)
-        picks = part if picks is None else picks.unionByName(part)
+    return marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+
+
+def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, label_col: str, allowed=None,
+                per_class: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """doc_id, toxic, lang and the words' bucket numbers of one row a labelled id.
+
+    All of them, unless a bound is asked for: ``per_class`` ids of each class, texts of ``max_bytes``.
+    """
+    d = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    if max_bytes is not None:
+        d = d.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
+    picks = _marked(labels, id_col, label_col, allowed)
+    if per_class is not None:
+        marked = picks.join(d.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
+        parts = [marked.where((F.col("toxic") != 0) == F.lit(bool(c))).orderBy("h", "doc_id").limit(per_class).drop("h") for c in (0, 1)]
+        picks = parts[0].unionByName(parts[1])
     row = F.struct(F.xxhash64("text").alias("h"), "text", "lang")
-    sample = short.join(F.broadcast(picks), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(row).alias("row"))
+    sample = d.join(picks, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(row).alias("row"))
     return sample.select("doc_id", "toxic", "row.lang", "row.text").mapInArrow(_features, _SAMPLE_DDL)
 
 
+def _buckets_of(rows: list) -> list[np.ndarray]:
+    return [np.frombuffer(r["ids"], np.int32).reshape(-1, 3) for r in rows]
+
+
+def _constant(share: float) -> Model:
+    """The model of rows that lack a class."""
+    return Model(np.zeros((BUCKETS + 1, DIM), np.float32), [np.zeros((k, DIM, FILTERS), np.float32) for k in WIDTHS],
+                 np.zeros(len(WIDTHS) * FILTERS, np.float32), np.zeros(len(WIDTHS) * FILTERS, np.float32), 0.0, constant=share)
+
+
+def _calibrate(model: Model, logits: np.ndarray, y: np.ndarray, langs: np.ndarray, times: np.ndarray) -> Model:
+    """Platt scaling and thresholds from cross-fitted logits, each of so many rows."""
+    model.platt = _platt(logits, y, times)
+    scores = model.score(logits)
+    model.threshold = best_threshold(scores, y, times)
+    for lang in sorted(set(langs.tolist())):
+        own = langs == lang
+        if min((y * times)[own].sum(), ((1 - y) * times)[own].sum()) >= LANGUAGE_ROWS:
+            model.thresholds[lang] = best_threshold(scores[own], y[own], times[own])
+    return model
+
+
 def fit_rows(rows: list) -> Model:
-    """The model of a bounded list of sample rows."""
+    """The model of the rows of one process."""
     rows = sorted(rows, key=lambda r: xxhash.xxh64_intdigest(str(r["doc_id"])))
-    texts = [np.frombuffer(r["ids"], np.int32).reshape(-1, 3).astype(np.int64) for r in rows]
+    texts = _buckets_of(rows)
     y = np.array([r["toxic"] != 0 for r in rows], np.float64)
     if not 0 < y.sum() < len(y):
-        share = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros((BUCKETS + 1, DIM), np.float32), [np.zeros((k, DIM, FILTERS), np.float32) for k in WIDTHS],
-                     np.zeros(len(WIDTHS) * FILTERS, np.float32), np.zeros(len(WIDTHS) * FILTERS, np.float32), 0.0, constant=share)
+        return _constant(float(y.mean()) if len(y) else 0.0)
     logits, fold = np.zeros(len(y)), _place(y) % FOLDS
     for k in np.unique(fold):
         out = fold == k
         if out.all():                                    # one row of each class: nothing is left to train on
             break
         logits[out] = _all_logits(_train([texts[i] for i in np.flatnonzero(~out)], y[~out]), [texts[i] for i in np.flatnonzero(out)])
+    return _calibrate(_train(texts, y), logits, y, np.array([r["lang"] or "" for r in rows]), np.ones(len(y)))
+
+
+# ---------------------------------------------------------------- fitting over shards
+# A piece of a shard's model: some embedding rows, weighted by the texts that use them, or (part -1) all else, weighted by rows.
+_PIECE_DDL = "shard int, part int, uses binary, toxic binary, weight binary, v binary"
+_MEAN_DDL = "chain int, part int, v binary"
+
+
+def _rest(model: Model) -> np.ndarray:
+    return np.concatenate([*[f.ravel() for f in model.filters], model.bias, model.out, [model.out_bias]]).astype(np.float32)
+
+
+def _model_of(embed: np.ndarray, rest: np.ndarray) -> Model:
+    n_out = len(WIDTHS) * FILTERS
+    ends = np.cumsum([*[k * DIM * FILTERS for k in WIDTHS], n_out, n_out])
+    *filters, bias, out, out_bias = np.split(rest, ends)
+    return Model(embed, [f.reshape(k, DIM, FILTERS) for f, k in zip(filters, WIDTHS, strict=True)], bias, out, float(out_bias[0]))
+
+
+def _train_shard(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
+    """The pieces of the model of a shard's rows (doc_id, toxic, text)."""
+    rows = [r for batch in _features(iter(found.select(["doc_id", "toxic", "lang", "text"]).to_batches(max_chunksize=256))) for r in batch.to_pylist()]
+    rows.sort(key=lambda r: xxhash.xxh64_intdigest(str(r["doc_id"])))
+    texts, y = _buckets_of(rows), np.array([r["toxic"] != 0 for r in rows], np.float64)
+    uses, toxic = _uses(texts, y)
     model = _train(texts, y)
-    model.platt = _platt(logits, y)
-    scores = model.score(logits)
-    model.threshold = best_threshold(scores, y)
-    langs = np.array([r["lang"] or "" for r in rows])
-    for lang in sorted(set(langs.tolist())):
-        own = langs == lang
-        if min(y[own].sum(), (1 - y[own]).sum()) >= LANGUAGE_ROWS:
-            model.thresholds[lang] = best_threshold(scores[own], y[own])
-    return model
+    weight = np.where(_known(uses), uses, 0)
+    out: dict[str, list] = {"shard": [], "part": [], "uses": [], "toxic": [], "weight": [], "v": []}
+    for part, at in enumerate(np.array_split(np.arange(BUCKETS + 1), PARTS)):
+        for k, v in zip(out, (key[0].as_py(), part, *(x[at].astype(np.float64).tobytes() for x in (uses, toxic, weight)), model.embed[at].tobytes()), strict=True):
+            out[k].append(v)
+    counts = np.array([len(y)], np.float64)
+    for k, v in zip(out, (key[0].as_py(), -1, counts.tobytes(), np.array([y.sum()]).tobytes(), counts.tobytes(), _rest(model).tobytes()), strict=True):
+        out[k].append(v)
+    kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
+    return pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+
+
+def _mean_pieces(by_fold: dict[int, tuple[float, float]]):
+    """Weighted means of a piece over the shards: of all (chain -1), and of those outside each fold."""
+    def mean(found: pa.Table) -> pa.Table:
+        part = found.column("part")[0].as_py()
+        sums: dict[int, list[np.ndarray]] = {}
+        for batch in found.sort_by("shard").to_batches(max_chunksize=64):
+            for r in batch.to_pylist():
+                uses, toxic, weight = (np.frombuffer(r[c]) for c in ("uses", "toxic", "weight"))
+                v = np.frombuffer(r["v"], np.float32).reshape(len(weight), -1) * weight[:, None]
+                own = sums.setdefault(r["shard"] % FOLDS, [np.zeros_like(uses), np.zeros_like(uses), np.zeros_like(uses), np.zeros_like(v)])
+                for total, x in zip(own, (uses, toxic, weight, v), strict=True):
+                    total += x
+        chains = []
+        for chain in range(-1, FOLDS):
+            kept = [f for f in sums if f != chain]
+            if not kept:
+                continue
+            uses, toxic, weight, v = (sum(x) for x in zip(*(sums[f] for f in kept), strict=True))
+            v = v / np.maximum(weight, 1)[:, None]
+            if part >= 0:                                # known only over all shards: such a row stays at its start
+                n, pos = (sum(by_fold[f][i] for f in by_fold if f != chain) for i in (0, 1))
+                start = _known(uses, part=part) & (weight == 0)
+                v[start, 0] = 0.5 * _odds(uses, toxic, n, pos)[start]
+            chains.append((chain, v.astype(np.float32).tobytes()))
+        return pa.table([pa.array([c for c, _ in chains], pa.int32()), pa.array([part] * len(chains), pa.int32()),
+                         pa.array([v for _, v in chains], pa.binary())], names=["chain", "part", "v"])
+    return mean
+
+
+def _shard(shards: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int")
+
+
+def _fit_shards(d: DataFrame, chosen: DataFrame, shards: int) -> Model:
+    """``d``: doc_id, text, lang, h of the rows that may be learned from; ``chosen``: the labelled ids with their row's h."""
+    fold = (_shard(shards) % FOLDS).alias("fold")
+    by_fold = {r["fold"]: (float(r["n"]), float(r["pos"])) for r in chosen.groupBy(fold).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("toxic") != 0).alias("pos")).collect()}
+    n, pos = (sum(x) for x in zip(*by_fold.values(), strict=True))
+    if not 0 < pos < n:
+        return _constant(pos / n)
+    rows = d.join(chosen.select("doc_id", "h", "toxic").hint("merge"), ["doc_id", "h"]).groupBy("doc_id", "h").agg(
+        F.max("toxic").alias("toxic"), F.min(F.struct("lang")).alias("l"), F.first("text").alias("text"))
+    rows = staged(rows.select(_shard(shards).alias("shard"), "doc_id", "toxic", "l.lang", "text"), "toxicity-rows")
+    dealt = lambda: rows.repartition(2 * shards, "shard").groupBy("shard")
+    pieces = staged(dealt().applyInArrow(_train_shard, _PIECE_DDL), "toxicity-pieces")
+    found: dict[int, dict[int, np.ndarray]] = {}
+    for r in pieces.groupBy("part").applyInArrow(_mean_pieces(by_fold), _MEAN_DDL).collect():
+        found.setdefault(r["chain"], {})[r["part"]] = np.frombuffer(r["v"], np.float32)
+    models = {c: _model_of(np.concatenate([v[p] for p in range(PARTS)]).reshape(-1, DIM), v[-1]) for c, v in found.items()}
+    # the cross-fitted logit of every row that is learned from, by the model that has not seen its fold
+    counted = dealt().applyInArrow(_shard_logits(rows, models), "lang string, step long, bad boolean") \
+        .groupBy("lang", "step", "bad").count().orderBy("lang", "step", "bad").collect()
+    discard(rows, pieces)
+    columns = [np.array([r[c] for r in counted]) for c in ("step", "bad", "lang", "count")]
+    return _calibrate(models[-1], columns[0] / LOGIT_STEPS, columns[1].astype(np.float64), columns[2], columns[3].astype(np.float64))
+
+
+def _shard_logits(docs: DataFrame, models: dict[int, Model]):
+    """Language, rounded logit and class of a shard's rows, by the model of its fold; without one logits are 0."""
+    shared, key = docs.sparkSession.sparkContext.broadcast({c: vars(m) for c, m in models.items() if c >= 0}), f"toxicity-fold:{uuid.uuid4().hex}"
+
+    def logits(shard: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
+        fold, z = shard[0].as_py() % FOLDS, [np.zeros(0)]
+        if fold in shared.value:
+            words = worker_cache(f"{key}-{fold}", lambda: _Words(Model(**shared.value[fold])))
+            for batch in found.select(["text"]).to_batches(max_chunksize=256):
+                z += [logits_of(words.model, words, part) for _, part in byte_slices(batch, size=1 << 19)]
+        else:
+            z.append(np.zeros(len(found)))
+        step = np.rint(np.concatenate(z) * LOGIT_STEPS).astype(np.int64)
+        return pa.table([pc.fill_null(found.column("lang"), ""), pa.array(step), pc.not_equal(found.column("toxic"), 0)], names=["lang", "step", "bad"])
+    return logits
 
 
 def _place(y: np.ndarray) -> np.ndarray:
@@ -359,12 +537,10 @@ def _all_logits(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 
 def _logits(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     every = np.concatenate([np.full((1, 3), BUCKETS, np.int64), *texts])
-    ends = 1 + np.cumsum([len(t) for t in texts])
-    flat, starts, counts = _flat([np.arange(e - len(t), e) for e, t in zip(ends, texts, strict=True)], 0)
-    rows = model.embed[every].sum(1) @ np.concatenate([f[j] for f in model.filters for j in range(len(f))], axis=1)
-    z = _sums(rows[flat])
-    z[~counts[:len(z)]] = -np.inf
-    return np.maximum(np.maximum.reduceat(z, starts, axis=0) + model.bias, 0) @ model.out + model.out_bias
+    sizes = [len(t) for t in texts]
+    flat, starts, _ = _flat([np.arange(e - n, e) for e, n in zip(1 + np.cumsum(sizes), sizes, strict=True)], 0)
+    _, top = _best_positions(model.embed, model.filters, every, flat, starts, sizes)
+    return np.maximum(top + model.bias, 0) @ model.out + model.out_bias
 
 
 # ---------------------------------------------------------------- applying

@@ -80,6 +80,55 @@ def test_toxicity_sample_is_bounded_in_rows(spark):
     assert toxicity.fit_rows([r for r in rows if r["toxic"]][:1] + [r for r in rows if not r["toxic"]][:1]).constant is None
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Also over many shards and from texts of any length: a sign that only long texts hold is learned, all rows calibrate."""
+    texts, toxic, langs = toxic_corpus(700)
+    rng = random.Random(4)
+    for i in range(120):
+        w = words(rng, 5000).split()
+        if i % 2:
+            w.insert(rng.randrange(len(w)), "zzgift")
+        texts.append(" ".join(w) + " w1" * 4000)
+        toxic.append(i % 2)
+        langs.append("en")
+    assert all(len(t) > toxicity.MAX_BYTES for t in texts[700:])
+    docs, labels = docs_frame(spark, texts, langs=langs), spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    docs = docs.unionByName(docs.where("doc_id < 50")).repartition(3)
+    seen, calibrate = [], toxicity._calibrate
+    monkeypatch.setattr(toxicity, "_calibrate", lambda m, z, y, g, n: seen.append((n.sum(), (n * y).sum())) or calibrate(m, z, y, g, n))
+    short = docs_frame(spark, ["w1 w2 zzgift w3", "w1 w2 w3"] + texts)
+    for rows in (toxicity.SHARD_ROWS, 150):
+        monkeypatch.setattr(toxicity, "SHARD_ROWS", rows)
+        found = [r["score"] for r in toxicity.score_texts(short, toxicity.fit(docs, labels)).orderBy("doc_id").collect()]
+        assert seen.pop() == (len(texts), sum(toxic))
+        assert found[0] > 0.7 > 0.3 > found[1]
+        assert sum((f >= 0.7) == bool(y) for f, y in zip(found[2:], toxic, strict=True)) >= 0.95 * len(toxic)
+
+
+@pytest.mark.parametrize("toxic", [[0] * 40, [1] * 40, [1] + [0] * 39, []])
+def test_toxicity_shards_without_a_class(spark, monkeypatch, toxic):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 4)
+    docs = docs_frame(spark, [f"w{i} w{i % 7}" for i in range(40)])
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    scores = [r["score"] for r in toxicity.score_texts(docs, toxicity.fit(docs, labels)).collect()]
+    assert len(scores) == 40 and all(0 <= x <= 1 for x in scores)
+    if len(set(toxic)) < 2:
+        assert set(scores) == {float(sum(toxic) / 40)}
+
+
+def test_best_positions_do_not_depend_on_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    embed = rng.normal(size=(toxicity.BUCKETS + 1, toxicity.DIM)).astype(np.float32)
+    filters = [rng.normal(size=(k, toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for k in toxicity.WIDTHS]
+    sizes = [0, 50, 1, 0, 7, 300]
+    texts = np.concatenate([np.full((1, 3), toxicity.BUCKETS), rng.integers(0, toxicity.BUCKETS, (sum(sizes), 3))])
+    flat, starts, _ = toxicity._flat([np.arange(e - n, e) for e, n in zip(1 + np.cumsum(sizes), sizes, strict=True)], 0)
+    whole = toxicity._best_positions(embed, filters, texts, flat, starts, sizes)
+    monkeypatch.setattr(toxicity, "SLICE", 5)
+    part = toxicity._best_positions(embed, filters, texts, flat, starts, sizes)
+    assert (whole[0] == part[0]).all() and np.allclose(whole[1], part[1], atol=1e-4)
+
+
 def test_table_scores_equal_direct_convolution(monkeypatch):
     rng = np.random.default_rng(0)
     model = toxicity.Model(rng.normal(size=(toxicity.BUCKETS + 1, toxicity.DIM)).astype(np.float32),
