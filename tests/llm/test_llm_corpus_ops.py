@@ -15,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from llm_helpers import ODD_IDS, ODD_TEXTS, clashing, docs_frame, rows_of, words  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from ledgerlake.llm import imatch, minhash, suffix_tree, toxicity  # noqa: E402
+from ledgerlake.llm import components as cc, imatch, minhash, suffix_tree, toxicity  # noqa: E402
 from ledgerlake.llm.common import fold, pick  # noqa: E402
 from ledgerlake.llm.components import components  # noqa: E402
 from ledgerlake.llm.queries import QUERIES  # noqa: E402
@@ -370,3 +370,27 @@ def test_components_of_long_paths(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges + [(5, 5)], "a long, b long")).collect()}
     assert all(got[n] == min(nodes[:200]) for n in nodes[:200]) and all(got[n] == min(nodes[200:]) for n in nodes[200:])
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_of_few_edges_take_few_tasks(spark, monkeypatch):
+    """Tables between the steps have a file a task: their number follows the edges, not the session's shuffle partitions."""
+    files = collections.Counter()
+
+    def counted(df, tag):
+        out = real(df, tag)
+        files[tag] = max(files[tag], len(out.inputFiles()))
+        return out
+    real = cc.staged
+    monkeypatch.setattr(cc, "staged", counted)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    edges = [(i, i + 1) for i in range(0, 40)] + [(1000, i) for i in range(1001, 1200)] + [(7, 7), (2000, 2001), (2001, 2000)]
+    try:
+        for k, v in zip(old, ("40", "false"), strict=True):
+            spark.conf.set(k, v)
+        got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(41)} | {i: 1000 for i in range(1000, 1200)} | {2000: 2000, 2001: 2000}
+    cores = spark.sparkContext.defaultParallelism
+    assert all(files[t] <= cores for t in ("cc-least", "cc-large", "cc-small")), files
