@@ -46,6 +46,7 @@ ROWS = 2
 AGREE = 22               # of 2 * HALVES * ROWS minhash values
 BLOCK = 512              # members of a bucket that one side of a task's work holds
 BLOCK_SHINGLES = 200_000 # shingles of a family that one side of a task's work holds
+TASK_ENTRIES = 500_000   # table entries that a task makes and counts
 CACHED_WORDS = 100_000
 CHUNK = 1_000_000
 
@@ -318,6 +319,14 @@ def _linked_roots(members: DataFrame, sketches: DataFrame, texts: DataFrame, wor
     return components(first.unionByName(more))
 
 
+def _entries(nodes: DataFrame) -> DataFrame:
+    """(key, node, n) of the tables' entries.  A task's entries are counted in memory, so tasks follow their number, not the nodes' bytes."""
+    tables = F.expr(f"flatten(transform(slice(halves, 1, {HALVES}), (x, i) -> transform(slice(halves, {HALVES + 1}, {HALVES}), "
+                    "(y, j) -> xxhash64(x, y, i, j))))")
+    tasks = max(1, -(-nodes.count() * HALVES * HALVES // TASK_ENTRIES))
+    return nodes.select("halves", "node", "n").repartition(tasks, "node").select(F.explode(tables).alias("key"), "node", "n")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
     """One row per document: doc_id, t1, t2 (key of its text), n_shingles, root (of its component; null for an empty set),
     component_id (least doc_id), kept."""
@@ -327,9 +336,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = staged(signed.where("n > 0").groupBy("t1", "t2").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("halves").alias("halves"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    tables = F.expr(f"flatten(transform(slice(halves, 1, {HALVES}), (x, i) -> transform(slice(halves, {HALVES + 1}, {HALVES}), "
-                    "(y, j) -> xxhash64(x, y, i, j))))")
-    entries = nodes.select(F.explode(tables).alias("key"), "node", "n")
+    entries = _entries(nodes)
     full = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = staged(entries.join(staged(full, "near-keys"), "key"), "near-members")
     wanted = members.select("node").distinct().join(nodes.select("node", "t1", "t2", "rep"), "node")

@@ -16,7 +16,7 @@ from llm_helpers import ODD_IDS, ODD_TEXTS, clashing, docs_frame, rows_of, words
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerlake.llm import components as cc, imatch, minhash, suffix_tree, toxicity  # noqa: E402
-from ledgerlake.llm.common import fold, pick  # noqa: E402
+from ledgerlake.llm.common import fold, pick, worker_cache  # noqa: E402
 from ledgerlake.llm.components import components  # noqa: E402
 from ledgerlake.llm.queries import QUERIES  # noqa: E402
 
@@ -363,6 +363,24 @@ def test_near_duplicates_odd_rows(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0 and minhash.keep_one_of_each(docs.limit(0)).count() == 0
 
 
+def test_bucket_entries_follow_their_number(spark, monkeypatch):
+    """Few bytes of nodes make many entries: a task makes a bounded number of them."""
+    monkeypatch.setattr(minhash, "TASK_ENTRIES", 1000)
+    tables = minhash.HALVES ** 2
+    nodes = spark.createDataFrame([([i * 100 + h for h in range(2 * minhash.HALVES)], i, 5) for i in range(200)],
+                                  "halves array<long>, node long, n long").coalesce(1)
+    entries = minhash._entries(nodes)
+    sizes = [r["n"] for r in entries.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 200 * tables and len(sizes) > 10 and max(sizes) <= 3000 and entries.select("key").distinct().count() == 200 * tables
+
+
+def test_worker_keeps_one_operators_value():
+    built = []
+    for key in ("toxicity:1", "toxicity:1", "automaton:1", "toxicity:1"):
+        worker_cache(f"test-{key}", lambda key=key: built.append(key))
+    assert built == ["toxicity:1", "automaton:1", "toxicity:1"]
+
+
 def test_components_of_long_paths(spark):
     rng = random.Random(2)
     nodes = rng.sample(range(10_000), 300)
