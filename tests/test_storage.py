@@ -19,6 +19,7 @@ from ledgerlake.schemas import LOG_INFO, TABLES
 from ledgerlake.sinks import parts as parts_module
 from ledgerlake.sinks.parts import PartsTable, bucket_in, directory_of
 from ledgerlake.sinks.store import AppendLog
+from ledgerlake.sources import csv_files
 from ledgerlake.sources.csv_files import spans_lines
 from ledgerlake.streaming import delta_stream
 
@@ -66,6 +67,16 @@ def test_a_quoted_line_break_is_one_record_as_in_csv_reader(spark, workdir, mode
     assert [r.code_iso_num for r in PartsTable(spark, f"{workdir}/{mode}").read().orderBy("currency_rk").collect()] == want
 
 
+def test_only_lines_with_a_quote_are_taken_apart(spark):
+    """The quote scan of a large file asks for a quote before it runs patterns over a line."""
+    cases = [("1;2", False), ("", False), (None, None), ('"x";"y;z"', False), ('"1""2";""', False), ('"x', True), ('5" ;"x', True), ('"""";"', True)]
+    lines = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, value string")
+    got = lines.select("i", csv_files._goes_on(F.col("value"), ";").alias("on")).orderBy("i").collect()
+    assert [r["on"] for r in got] == [want for _, want in cases]
+    condition = lines.where(csv_files._goes_on(F.col("value"), ";"))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < condition.find("Contains(value") < condition.find("regexp_replace(")
+
+
 def test_files_are_split_by_lines_only_where_no_record_goes_on(spark, workdir):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     cases = [('a;b\n"x";"y;z"\n"1""2";""\n', False), ('a;b\n"x\ny";1\n', True), ('a;b\n5" ;"x\ny"\n', True), ("a;b\n1;2\n", False), ('a;b\n"""";"\n"\n', True)]
