@@ -12,14 +12,17 @@ smoothed with ``prior`` pseudo-counts of the parent's distribution, and all othe
 share the rest in proportion to the parent, so every state's distribution adds up to one.
 A token is predicted by the longest suffix of its past that is a state.
 
-Counts cover all training texts, level by level.  Levels and states are staged tables
-keyed by hash.  A log score is a sum over a document's strings of 1 to depth + 1 words:
-a word adds its root probability, a context that is a state the factor of its unlisted
-symbols, a listed string what its own probability differs from that.  So scoring meets
-the documents' strings with one table of values, dealt into key buckets.  Two things are
-broadcast and change no result: the values of the most frequent strings (a share of the
-tokens of at least ``word_share``), and a bit table that tells most strings without a
-value, of at most ``FILTER_BITS`` bits.
+Counts cover all training texts, level by level.  A level's strings are counted by the
+bucket of their key, meet the parent's probabilities by the key without the first word,
+and make states by the key without the last word.  Between these steps they travel packed:
+a row holds the strings of one task that go to one bucket.  A log score is a sum over a
+document's strings of 1 to depth + 1 words: a word adds its root probability, a context
+that is a state the factor of its unlisted symbols, a listed string what its own
+probability differs from that.  So scoring meets the documents' strings with one table of
+values, dealt into key buckets.  Broadcast, without a change to any result: the values of
+the most frequent strings (a share of the tokens of at least ``word_share``), and bit
+tables that tell most strings without a value and most that no level keeps, of at most
+``FILTER_BITS`` bits.
 
 Words and strings are keyed by a 64-bit hash.  Defined results: a null or empty text is
 one end token; without training texts N and V are 0 and every token has probability 1;
@@ -28,8 +31,6 @@ repeated rows count and are scored each for itself; an empty table gives an empt
 
 from __future__ import annotations
 
-import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, reduce
@@ -37,10 +38,12 @@ from functools import cached_property, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import byte_slices, discard, pick, shuffles_freed, staged, table_of, worker_cache
+from ledgerlake.llm.common import byte_slices, pick, shuffles_freed, staged, table_of
+from ledgerlake.session import fresh_dir
+from ledgerlake.sinks import fs
 
 DEPTH = 2
 WORD_SHARE = 5e-6          # strings whose values are broadcast
@@ -49,69 +52,85 @@ CONTEXT_MIN = 2            # occurrences of a state
 DIVERGENCE = 0.01
 GAIN = 10.0
 PRIOR = 50.0
-CACHED_WORDS = 200_000
-FLUSH = 1_000_000          # entries a task holds before it passes partial counts on
+FLUSH = 1_000_000          # tokens whose strings a task counts together
 FILTER_BITS = 1 << 28
-BUCKET_ROWS, BUCKET_BYTES = 500_000, 8 << 20      # values and text a key bucket stands for
+BUCKET_BYTES = 8 << 20     # text a key bucket stands for
+SLICE_ROWS, SLICE_BYTES = 2048, 4 << 20      # documents scored together
+HASHED = 64                # bytes of a word that are hashed eight at a time
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return text.lower().split()
+# ---------------------------------------------------------------- keys
+_FOLD = bytes(32 if c in b"\t\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+_FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
-def key_of(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
-
-
-END = key_of(b"")
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift, by in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return x ^ (x >> np.uint64(32))
 
 
 def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Key of a string from the keys of the string without its last word and without its first word."""
-    x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
-    for shift, by in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
-    return (x ^ (x >> np.uint64(32))).view(np.int64)
+    return _mixed(a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)).view(np.int64)
+
+
+def _word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the words of all texts in a row, and how many words each text has."""
+    folded = (b" " + b" ".join(texts) + b" ").translate(_FOLD) + bytes(8)
+    blank = np.frombuffer(folded, np.uint8)[:-8] == 32
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, size = edges[0::2], edges[1::2] - edges[0::2]
+    words = np.diff(np.searchsorted(start, np.cumsum([0] + [len(t) + 1 for t in texts]) + 1))
+    eight, by = np.ndarray(len(folded) - 7, "<u8", folded, strides=(1,)), np.uint64(0x9E3779B97F4A7C15)
+    key = _mixed((size.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + np.uint64(0xE7037ED1A0B428DB)) * by
+                 + (eight[start] & _FIRST_BYTES[np.minimum(size, 8)]))
+    at, more = 8, np.flatnonzero(size > 8)
+    while len(more) and at < HASHED:
+        key[more] = _mixed(key[more] * by + (eight[start[more] + at] & _FIRST_BYTES[np.minimum(size[more] - at, 8)]))
+        at += 8
+        more = more[size[more] > at]
+    if len(more):
+        ends = [xxhash.xxh3_64_intdigest(folded[s + at:s + n]) for s, n in zip(start[more].tolist(), size[more].tolist(), strict=True)]
+        key[more] = _mixed(key[more] * by + np.array(ends, np.uint64))
+    return key.view(np.int64), words
 
 
-class _Keys(dict):
-    """Word -> its key."""
+def key_of(word: bytes) -> int:
+    return int(_word_keys([word])[0][0]) if word else END
 
-    def __missing__(self, word: bytes) -> int:
-        key = self[word] = key_of(word)
-        return key
 
-    def bounded(self) -> _Keys:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        return self
+END = int(_mixed(np.array([0xE7037ED1A0B428DB], np.uint64)).view(np.int64)[0])
 
 
-def _strings(texts: list[bytes], keys: _Keys, levels: int) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
-    """Keys of all words in a row, and for strings of 1 .. levels words: key, key without the last word, key without
-    the first, owner (index of the text) and place of the last word.
+def _row(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the tokens of all texts in a row, each text with the end token before and after it, and their text's index."""
+    keys, words = _word_keys(texts)
+    owner = np.repeat(np.arange(len(texts)), words + 2)
+    ends = np.cumsum(words + 2)
+    word = np.ones(len(owner), bool)
+    word[ends - 1] = word[ends - words - 2] = False
+    row = np.full(len(owner), END, np.int64)
+    row[word] = keys
+    return row, owner
+
+
+def _string_keys(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of strings (an array for each place's word), of these without the last and without the first word."""
+    while len(words) > 2:
+        words = [joined(a, b) for a, b in zip(words, words[1:], strict=False)]
+    return joined(*words), *words
 
-    Each text has the end token before and after it; of single words the leading one is left out.
-    """
-    flat: list[int] = []
-    starts = np.zeros(len(texts) + 1, np.int64)
-    for i, t in enumerate(texts):
-        flat.append(END)
-        flat.extend(map(keys.__getitem__, tokens(t)))
-        flat.append(END)
-        starts[i + 1] = len(flat)
-    key = np.array(flat, np.int64)
-    owner, at = np.repeat(np.arange(len(texts)), np.diff(starts)), np.arange(len(flat))
-    first = np.ones(len(flat), bool)
-    first[starts[:-1]] = False
-    out = [(key[first], key[first], key[first], owner[first], at[first])]
-    row = key
-    for _ in range(1, levels):
-        same = owner[1:] == owner[:-1]
-        a, b, owner, at = key[:-1][same], key[1:][same], owner[1:][same], at[1:][same]
-        key = joined(a, b)
-        out.append((key, a, b, owner, at))
-    return row, out
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Places where a run of equal values of sorted columns begins."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = reduce(np.logical_or, (c[1:] != c[:-1] for c in columns))
+    return np.flatnonzero(new)
+
+
+def _lengths(starts: np.ndarray, total: int) -> np.ndarray:
+    return np.diff(starts, append=total)
 
 
 # ---------------------------------------------------------------- key buckets
@@ -120,21 +139,19 @@ def _bucket(key, buckets: int):
     return (((key >> 32) + (1 << 31)) * buckets) >> 32
 
 
-def _bucket_column(key: Column, buckets: int) -> Column:
-    return F.shiftright((F.shiftright(key, 32) + F.lit(1 << 31)) * F.lit(buckets), 32)
-
-
 def _buckets(texts: DataFrame) -> int:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return int(max(8, size // BUCKET_BYTES))
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Bytes of the values by their place in the value, so that equal leading bytes compress."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    """Bytes of the values by their place in the value, so that equal leading bytes compress, behind their number."""
+    data = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
 def _unpack(data: bytes, kind) -> np.ndarray:
+    data = pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
@@ -146,6 +163,62 @@ def _unpack_sorted(data: bytes, kind) -> np.ndarray:
     return np.cumsum(_unpack(data, kind), dtype=kind)
 
 
+# Packed rows: the entries of a task that go to one bucket of ``key``, sorted by it.
+_COLUMNS = {"other": np.int64, "n": np.int64, "c": np.int64, "p": np.float64, "q": np.float64, "ok": np.uint8}
+_PACKED = {"kind": pa.string(), "bucket": pa.int64(), "size": pa.int64(), "key": pa.binary()} | dict.fromkeys(_COLUMNS, pa.binary())
+_PACKED_DDL = "kind string, bucket long, size long, key binary, " + ", ".join(f"{c} binary" for c in _COLUMNS)
+
+
+def _dealt(kind: str, buckets: int, key: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(key)
+    key, columns = key[order], {c: v[order].astype(_COLUMNS[c]) for c, v in columns.items()}
+    ends = np.searchsorted(_bucket(key, buckets), np.arange(buckets + 1))
+    found = np.flatnonzero(np.diff(ends)).tolist()
+    spans = [slice(ends[b], ends[b + 1]) for b in found]
+    out = {"kind": [kind] * len(found), "bucket": found, "size": [s.stop - s.start for s in spans], "key": [_pack_sorted(key[s]) for s in spans]}
+    return table_of(_PACKED, out | {c: [_pack(columns[c][s]) for s in spans] if c in columns else [None] * len(spans) for c in _COLUMNS})
+
+
+def _entries(packed: pa.Table | pa.RecordBatch, *columns: str) -> list[np.ndarray]:
+    """The columns of all packed rows, ``key`` first."""
+    if not packed.num_columns:                             # the missing side of a cogroup
+        packed = pa.schema(_PACKED.items()).empty_table()
+    out = [np.concatenate([np.zeros(0, np.int64), *(_unpack_sorted(x, np.int64) for x in packed.column("key").to_pylist())])]
+    return out + [np.concatenate([np.zeros(0, _COLUMNS[c]), *(_unpack(x, _COLUMNS[c]) for x in packed.column(c).to_pylist())]) for c in columns]
+
+
+def _by_key(packed: pa.Table, *columns: str) -> list[np.ndarray]:
+    out = _entries(packed, *columns)
+    order = np.argsort(out[0])
+    return [x[order] for x in out]
+
+
+def _sorted_rows(entries: DataFrame, ddl: str, **columns: str) -> DataFrame:
+    """Packed entries as rows, each column from the named one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arrays = _entries(batch, *(c for c in columns.values() if c != "key"))
+            named = dict(zip(["key", *(c for c in columns.values() if c != "key")], arrays, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(named[c]) for c in columns.values()], names=list(columns))
+    return entries.mapInArrow(run, ddl)
+
+
+class _Kinds:
+    """Packed rows below ``spark.checkpoint.dir``, a folder for each kind."""
+
+    def __init__(self, rows: DataFrame, tag: str):
+        self.spark, self.path = rows.sparkSession, fresh_dir(rows.sparkSession, tag)
+        rows.write.partitionBy("kind").parquet(self.path)
+
+    def of(self, *kinds: str) -> DataFrame:
+        """Read anew: a cogroup mixes up the columns of two frames of one read."""
+        return self.spark.read.schema(_PACKED_DDL).parquet(self.path).select(*_PACKED).where(F.col("kind").isin(*kinds))
+
+    def discard(self, *kinds: str) -> None:
+        for kind in kinds:
+            fs.delete(self.spark, f"{self.path}/kind={kind}")
+
+
 # ---------------------------------------------------------------- bit table
 def _bit_table(keys: DataFrame) -> tuple[np.ndarray, int]:
     """A bit for the key of every row of ``keys``: its leading bits choose a word, its last six a bit of it."""
@@ -158,147 +231,235 @@ def _bit_table(keys: DataFrame) -> tuple[np.ndarray, int]:
     return table, lead
 
 
+def _bits_of_packed(packed: DataFrame) -> tuple[np.ndarray, int]:
+    """The same for the keys of packed rows, each bucket's words made by one task."""
+    n = packed.agg(F.sum("size")).first()[0] or 0
+    lead = max(10, min(FILTER_BITS, 32 * max(1, n)).bit_length() - 7)
+
+    def bits(found: pa.Table) -> pa.Table:
+        key = np.sort(_entries(found)[0])
+        at = key >> (64 - lead)
+        starts = _runs(at)
+        words = np.zeros(at[-1] - at[0] + 1, np.int64)
+        words[at[starts] - at[0]] = np.bitwise_or.reduceat(np.int64(1) << (key & 63), starts)
+        return pa.table({"at": pa.array([at[0]], pa.int64()), "bits": pa.array([words.tobytes()], pa.binary())})
+
+    table = np.zeros(1 << lead, np.int64)
+    for part in packed.select("bucket", "key").groupBy("bucket").applyInArrow(bits, "at long, bits binary").toArrow().to_batches():
+        for at, words in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+            words = np.frombuffer(words.as_buffer(), np.int64)
+            table[np.arange(at, at + len(words)) & ((1 << lead) - 1)] |= words
+    return table, lead
+
+
 def _may_have(table: tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
     words, lead = table
     return (words[(keys.view(np.uint64) >> np.uint64(64 - lead)).view(np.int64)] >> (keys & 63)) & 1 == 1
 
 
 # ---------------------------------------------------------------- counting
-_COUNTS = {"key": pa.int64(), "n": pa.int64()}
-_COUNTS_DDL = "key long, n long"
-# Partial counts of the strings of a key bucket: their sorted keys.
-_KEYS = {"bucket": pa.int64(), "keys": pa.binary(), "n": pa.binary()}
-_KEYS_DDL = "bucket long, keys binary, n binary"
-# Strings of a key bucket: the sorted keys of their parts, the strings as places in these, by the first part.
-_FOUND = {"bucket": pa.int64(), "parts": pa.binary(), "a": pa.binary(), "b": pa.binary()}
-_FOUND_DDL = "bucket long, parts binary, a binary, b binary"
-_STRINGS_DDL = "key long, a long, b long, n long"
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def flush() -> pa.RecordBatch:
-        out = table_of(_COUNTS, {"key": [key_of(w) for w in seen], "n": list(seen.values())})
-        seen.clear()
-        return out
+# Partial counts of the strings of a key bucket: the sorted keys of their words, the strings as places in these by word
+# (one column after the other, the first sorted), and their counts.
+_PARTIAL = {"bucket": pa.int64(), "words": pa.binary(), "first": pa.binary(), "others": pa.binary(), "n": pa.binary()}
+_PARTIAL_DDL = "bucket long, words binary, first binary, others binary, n binary"
 
+
+def _in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``_row`` of about ``FLUSH`` tokens at a time."""
+    rows: list[np.ndarray] = []
+    owners: list[np.ndarray] = []
+    size = texts_seen = 0
     for batch in batches:
         for _, texts in byte_slices(batch):
-            for t in texts:
-                seen.update(tokens(t))
-            seen[b""] += len(texts)
-            if len(seen) > FLUSH // 2:
-                yield flush()
-    yield flush()
+            row, owner = _row(texts)
+            rows.append(row)
+            owners.append((owner + texts_seen).astype(np.int32))
+            size += len(row)
+            texts_seen += len(texts)
+            if size >= FLUSH:
+                yield np.concatenate(rows), np.concatenate(owners)
+                rows, owners, size, texts_seen = [], [], 0, 0
+    if rows:
+        yield np.concatenate(rows), np.concatenate(owners)
+
+
+def _count_words(buckets: int):
+    """Partial counts of the words, and of the end tokens behind the texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, owner in _in_chunks(batches):
+            key = np.sort(np.delete(row, _runs(owner)))
+            starts = _runs(key)
+            yield _dealt("words", buckets, key[starts], n=_lengths(starts, len(key)))
+    return run
 
 
-def _in_slices(words: int, shared, take, put):
-    """What ``take`` finds in the strings of ``words`` words (arrays with the key first), merged by key over slices of texts
-    and handed to ``put`` when a task holds ``FLUSH`` entries."""
-    cache = f"suffix-keys:{uuid.uuid4().hex}"
+def _total_words(buckets: int):
+    def total(found: pa.Table) -> pa.Table:
+        key, n = _by_key(found, "n")
+        starts = _runs(key)
+        return pa.Table.from_batches([_dealt("words", buckets, key[starts], n=np.add.reduceat(n, starts))])
+    return total
+
 
+def _distinct(columns: list[np.ndarray], below: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of columns of numbers under ``below`` in ascending order, and how often each occurs."""
+    bits = max(1, (below - 1).bit_length())
+    if bits * len(columns) <= 63:
+        code = np.sort(reduce(lambda x, y: x << bits | y, columns))
+        starts = _runs(code)
+        code, n = code[starts], _lengths(starts, len(code))
+        return [code >> bits * k & (1 << bits) - 1 for k in reversed(range(len(columns)))], n
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    starts = _runs(*columns)
+    return [c[starts] for c in columns], _lengths(starts, len(order))
+
+
+def _count_strings(words: int, buckets: int, shared):
+    """Partial counts of the strings of ``words`` words whose parts may be a context and a listed symbol's string."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, keys = shared.value, worker_cache(cache, _Keys)
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
+        contexts, symbols = shared.value
+        for row, owner in _in_chunks(batches):
+            part = row
+            for _ in range(words - 2):
+                part = joined(part[:-1], part[1:])
+            at = np.flatnonzero((owner[:1 - words] == owner[words - 1:]) & _may_have(contexts, part[:-1]) & _may_have(symbols, part[1:]))
+            if not len(at):
+                continue
+            del part, owner
+            known, ids = np.unique(row, return_inverse=True)
+            columns, n = _distinct([ids[at + k] for k in range(words)], len(known))
+            del at, ids, row
+            bucket = _bucket(_string_keys([known[c] for c in columns])[0], buckets)
+            order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+            bucket, n, columns = bucket[order], n[order].astype(np.int32), [c[order] for c in columns]
+            # the words of each bucket's strings, and the strings as places in these
+            used, place = np.unique(np.concatenate([bucket << 32 | c for c in columns]), return_inverse=True)
+            first = np.searchsorted(used >> 32, np.arange(buckets + 1))
+            place = (place.reshape(words, -1) - first[bucket]).astype(np.uint32)
+            ends = np.searchsorted(bucket, np.arange(buckets + 1))
+            out = {k: [] for k in _PARTIAL}
+            for b in np.flatnonzero(np.diff(ends)).tolist():
+                here = slice(ends[b], ends[b + 1])
+                for k, v in zip(out, (b, _pack_sorted(known[used[first[b]:first[b + 1]] & 0xFFFFFFFF]), _pack_sorted(place[0, here]),
+                                      _pack(np.ascontiguousarray(place[1:, here]).ravel()), _pack(n[here])), strict=True):
+                    out[k].append(v)
+            yield table_of(_PARTIAL, out)
+    return run
 
-        def merged() -> tuple[np.ndarray, ...]:
-            n, key, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
-            key, at, back = np.unique(key, return_index=True, return_inverse=True)
-            return np.bincount(back, weights=n).astype(np.int32), key, *(p[at] for p in parts)
 
-        for batch in batches:
-            for _, texts in byte_slices(batch):
-                key, a, b, _, _ = _strings(texts, keys.bounded(), words)[1][-1]
-                held.append(take(tables, key, a, b))
-                size += len(held[-1][0])
-                if size > FLUSH:
-                    held = [merged()]
-                    size = len(held[0][0])
-                    if size > FLUSH // 2:
-                        yield from put(*held[0])
-                        held, size = [], 0
-        if held:
-            yield from put(*merged())
+def _total_counts(words: int, buckets: int, least: float):
+    """The strings of a key bucket with at least ``least`` occurrences, dealt by the key without the first word."""
+    def total(found: pa.Table) -> pa.Table:
+        parts: list[list[np.ndarray]] = []
+        for known, first, others, n in zip(*(found.column(c).to_pylist() for c in list(_PARTIAL)[1:]), strict=True):
+            known = _unpack_sorted(known, np.int64)
+            places = [_unpack_sorted(first, np.uint32), *_unpack(others, np.uint32).reshape(words - 1, -1)]
+            parts.append([*_string_keys([known[p] for p in places]), _unpack(n, np.int32)])
+        key, a, b, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(key)
+        starts = _runs(key[order])
+        n = np.add.reduceat(n[order], starts, dtype=np.int64)
+        one = order[starts][n >= least]
+        return pa.Table.from_batches([_dealt("counted", buckets, b[one], other=a[one], n=n[n >= least])])
+    return total
+
+
+def _with_parent(buckets: int):
+    """``q``, the last word's probability by the parent, for the strings dealt by the key without the first word."""
+    def run(strings: pa.Table, below: pa.Table) -> pa.Table:
+        b, a, n = _entries(strings, "other", "n")
+        keys, p = _by_key(below, "p")
+        at = _place(keys, b)
+        ok = at >= 0
+        return pa.Table.from_batches([_dealt("parent", buckets, a[ok], other=b[ok], n=n[ok], q=p[at[ok]])])
     return run
 
 
-def _spans(key: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
-    """The buckets of sorted keys, each with its place."""
-    ends = np.searchsorted(_bucket(key, buckets), np.arange(buckets + 1))
-    for b in np.flatnonzero(np.diff(ends)).tolist():
-        yield b, slice(ends[b], ends[b + 1])
+def _with_context(buckets: int, tree: Tree, divergence: float, gain: float, prior: float, more: bool, keep: bool):
+    """States, their values and those of their listed strings, from the strings dealt by their context.
 
+    With ``more``, the strings and states as the next level needs them; with ``keep``, all their columns.
+    """
+    def run(strings: pa.Table, below: pa.Table) -> pa.Table:
+        a, b, n, q = _entries(strings, "other", "n", "q")
+        keys, counts, ok = _by_key(below, "n", "ok")
+        fit = (ok == 1) & (counts >= tree.context_min)
+        keys, counts = keys[fit], counts[fit]
+        at = _place(keys, a)
+        order = np.lexsort((b, a))
+        order = order[at[order] >= 0]
+        if not len(order):
+            return pa.Table.from_batches([], pa.schema(_PACKED.items()))
+        a, b, n, q, c = a[order], b[order], n[order], q[order], counts[at[order]]
+        own = (n + prior * q) / (c + prior)
+        starts = _runs(a)
+        of = np.repeat(np.arange(len(starts)), _lengths(starts, len(a)))
+        all_c = c[starts]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rest = np.maximum(all_c - np.add.reduceat(n, starts), 0)
+            mass = np.minimum(np.add.reduceat(q, starts), 1 - 1e-9)
+            factor = (rest + prior * (1 - mass)) / ((all_c + prior) * (1 - mass))
+            won = np.add.reduceat(n * np.log(own / q), starts) + rest * np.log(factor)
+            state = (won >= gain) & (won >= divergence * all_c)
+            logb = np.log10(factor)
+        key, listed = joined(a, b), state[of]
+        value = np.log10(own[listed]) - np.log10(q[listed]) - logb[of[listed]]
+        out = _valued("value", buckets, tree, np.concatenate([a[starts][state], key[listed]]),
+                      np.concatenate([all_c[state], n[listed]]), np.concatenate([logb[state], value]))
+        if more or keep:
+            out += [_dealt("string", buckets, b, other=a, n=n, p=own, **({"c": c, "q": q} if keep else {})),
+                    _dealt("state", buckets, a[starts][state], n=all_c[state], p=logb[state])]
+        return pa.Table.from_batches(out)
+    return run
 
-def _count_strings(words: int, buckets: int, shared):
-    """Partial counts (key, n) of the strings whose parts may be listed."""
-    def take(tables, key, a, b):
-        key = key[_may_have(tables[0], a) & _may_have(tables[0], b)]
-        return np.ones(len(key), np.int32), key
 
-    def put(n, key):
-        for b, here in _spans(key, buckets):
-            yield table_of(_KEYS, {"bucket": [b], "keys": [_pack_sorted(key[here])], "n": [_pack(n[here])]})
-    return _in_slices(words, shared, take, put)
+def _valued(kind: str, buckets: int, tree: Tree, key: np.ndarray, n: np.ndarray, value: np.ndarray) -> list[pa.RecordBatch]:
+    """Values of strings; those of the most frequent ones are of a kind of their own."""
+    hot = n >= tree.word_share * tree.total
+    return [_dealt(k, buckets, key[x], n=n[x], p=value[x]) for k, x in ((kind, ~hot), (f"hot_{kind}", hot))]
 
 
-def _total_counts(least: float):
-    def total(found: pa.Table) -> pa.Table:
-        key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for r in found.select(["keys", "n"]).to_batches(max_chunksize=16):
-            parts = [(_unpack_sorted(k, np.int64), _unpack(m, np.int32)) for k, m in zip(*(c.to_pylist() for c in r.columns), strict=True)]
-            key, back = np.unique(np.concatenate([key, *(k for k, _ in parts)]), return_inverse=True)
-            n = np.bincount(back, weights=np.concatenate([n, *(m for _, m in parts)])).astype(np.int64)
-        return pa.table([pa.array(key[n >= least]), pa.array(n[n >= least])], names=["key", "n"])
-    return total
+def _next_level(buckets: int):
+    """A level's strings as the next one's contexts: one may be a state if it is one without its first word."""
+    def run(strings: pa.Table, states: pa.Table) -> pa.Table:
+        b, a, n, own = _entries(strings, "other", "n", "p")
+        return pa.Table.from_batches([_dealt("below", buckets, joined(a, b), n=n, p=own, ok=_place(*_by_key(states), b) >= 0)])
+    return run
+
 
+def _first_level(buckets: int, tree: Tree):
+    """The words as contexts and parents of the first level, and what they add to a score."""
+    least, denominator = min(tree.symbol_min, tree.context_min), tree.denominator()
 
-def _find_strings(words: int, buckets: int, shared):
-    """The parts of the strings that may be kept: their keys pass the second bit table."""
-    def take(tables, key, a, b):
-        ok = _may_have(tables[0], a) & _may_have(tables[0], b) & _may_have(tables[1], key)
-        key, at = np.unique(key[ok], return_index=True)
-        return np.ones(len(key), np.int32), key, a[ok][at], b[ok][at]
-
-    def put(_, key, a, b):
-        for bucket, here in _spans(key, buckets):
-            known, at = np.unique(np.concatenate([a[here], b[here]]), return_inverse=True)
-            at = at.reshape(2, -1).astype(np.uint32)
-            order = np.lexsort(at[::-1])
-            yield table_of(_FOUND, {"bucket": [bucket], "parts": [_pack_sorted(known)], "a": [_pack_sorted(at[0][order])], "b": [_pack(at[1][order])]})
-    return _in_slices(words, shared, take, put)
-
-
-def _parts_of(found: pa.Table, counted: pa.Table) -> pa.Table:
-    """The counted strings of a key bucket with the keys of their parts."""
-    keys, n = counted.column("key").to_numpy(), counted.column("n").to_numpy()
-    order = np.argsort(keys)
-    keys, n = keys[order], n[order]
-    a_of, b_of, seen = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    for r in found.select(["parts", "a", "b"]).to_batches(max_chunksize=16):
-        for parts, a, b in zip(*(c.to_pylist() for c in r.columns), strict=True):
-            parts = _unpack_sorted(parts, np.int64)
-            a, b = parts[_unpack_sorted(a, np.uint32)], parts[_unpack(b, np.uint32)]
-            at = _place(keys, joined(a, b))
-            ok = at >= 0
-            a_of[at[ok]], b_of[at[ok]], seen[at[ok]] = a[ok], b[ok], True
-    return pa.table([pa.array(x[seen]) for x in (keys, a_of, b_of, n)], names=["key", "a", "b", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key, n = _entries(batch.slice(i, 1), "n")
+                fit = n >= least
+                yield _dealt("below", buckets, key[fit], n=n[fit], p=(n[fit] + 0.5) / denominator, ok=np.ones(fit.sum()))
+                yield from _valued("word", buckets, tree, key, n, np.log10(2 * n + 1))
+    return run
 
 
 # ---------------------------------------------------------------- the tree
 @dataclass
 class Tree:
-    """``levels``: for d = 1 .. depth the strings of d + 1 words (key, a, b, n, c, q, own) and the states of d words (key, n, logb).
+    """``levels`` (if kept): for d = 1 .. depth the strings of d + 1 words (key, a, b, n, c, q, own) and the states of d words (key, n, logb).
 
     ``a`` and ``b`` are the keys without the last and without the first word, ``c`` the count of the context,
     ``q`` and ``own`` the last word's probability by the parent and by the context itself.
+
+    ``values``: what one occurrence of a string adds to a score (``p``), packed: of words, then of each level's states and
+    listed strings.  A key has an entry for each thing that it is.  Words of no training text add log10(0.5 / denominator),
+    which is counted for all words beforehand.
     """
     total: int
     distinct: int
     symbol_min: float
     context_min: float
     word_share: float
+    buckets: int
     words: DataFrame
     levels: list[tuple[DataFrame, DataFrame]]
     values: list[DataFrame]
@@ -348,78 +509,66 @@ def learn(texts: DataFrame, depth: int = DEPTH, word_share: float = WORD_SHARE,
 def _learn(texts: DataFrame, depth: int, word_share: float, symbol_share: float, context_share: float, divergence: float, gain: float,
            prior: float, symbol_min: int, context_min: int, keep_levels: bool) -> tuple[Tree, DataFrame]:
     context, buckets = texts.sparkSession.sparkContext, _buckets(texts)
-    counts = staged(texts.mapInArrow(_count_words, _COUNTS_DDL).groupBy("key").agg(F.sum("n").alias("n")), "suffix-words")
+    words = staged(texts.mapInArrow(_count_words(buckets), _PACKED_DDL).groupBy("bucket").applyInArrow(_total_words(buckets), _PACKED_DDL), "suffix-words")
+    counts = _sorted_rows(words, "key long, n long", key="key", n="n")
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total = total or 0
-    tree = Tree(total, distinct, max(symbol_min, symbol_share * total), max(context_min, context_share * total), word_share, counts, [], [])
-    below = counts.select("key", "n", ((F.col("n") + 0.5) / F.lit(tree.denominator())).alias("p"), F.lit(True).alias("ok"))
+    tree = Tree(total, distinct, max(symbol_min, symbol_share * total), max(context_min, context_share * total), word_share, buckets, counts, [], [])
+    # plain numbers travel to the tasks, not the tree's tables
+    facts = Tree(total, distinct, tree.symbol_min, tree.context_min, word_share, buckets, None, [], [])
+    parted = _Kinds(words.mapInArrow(_first_level(buckets, facts), _PACKED_DDL), "suffix-level-0")
+    tree.values.append(parted.of("word", "hot_word"))
     for d in range(1, depth + 1):
-        least = min(tree.symbol_min, tree.context_min)
-        listed = _bit_table(below.where(F.col("n") >= least))
-        counted = staged(texts.mapInArrow(_count_strings(d + 1, buckets, context.broadcast((listed,))), _KEYS_DDL).groupBy("bucket")
-                         .applyInArrow(_total_counts(tree.symbol_min), "key long, n long"), f"suffix-counts-{d}")
-        shared = context.broadcast((listed, _bit_table(counted)))
-        found = texts.mapInArrow(_find_strings(d + 1, buckets, shared), _FOUND_DDL).groupBy("bucket").cogroup(
-            counted.withColumn("bucket", _bucket_column(F.col("key"), buckets)).groupBy("bucket")).applyInArrow(_parts_of, _STRINGS_DDL)
-        found = staged(found, f"suffix-found-{d}")
-        discard(counted)
-        contexts = below.where(F.col("ok") & (F.col("n") >= tree.context_min)).select(F.col("key").alias("a"), F.col("n").alias("c"))
-        own = (F.col("n") + prior * F.col("q")) / (F.col("c") + prior)
-        strings = staged(found.join(contexts, "a").join(below.select(F.col("key").alias("b"), F.col("p").alias("q")), "b")
-                         .select("key", "a", "b", "n", "c", "q", own.alias("own")), f"suffix-strings-{d}")
-        states = staged(_states(strings, divergence, gain, prior), f"suffix-states-{d}")
-        tree.values.append(staged(_level_values(strings, states), f"suffix-values-{d}"))
-        discard(found, *([below] if d > 1 else []))
-        below = strings.join(states.select(F.col("key").alias("b"), F.lit(True).alias("is_state")), "b", "left").select(
-            "key", "n", F.col("own").alias("p"), F.coalesce("is_state", F.lit(False)).alias("ok"))
+        below = parted.of("below")
+        shared = context.broadcast((_bits_of_packed(_fit(below, facts, contexts=True)), _bits_of_packed(_fit(below, facts, contexts=False))))
+        counted = texts.mapInArrow(_count_strings(d + 1, buckets, shared), _PARTIAL_DDL).groupBy("bucket") \
+            .applyInArrow(_total_counts(d + 1, buckets, tree.symbol_min), _PACKED_DDL)
+        parent = counted.groupBy("bucket").cogroup(below.groupBy("bucket")).applyInArrow(_with_parent(buckets), _PACKED_DDL)
+        level = _Kinds(parent.groupBy("bucket").cogroup(below.groupBy("bucket")).applyInArrow(
+            _with_context(buckets, facts, divergence, gain, prior, d < depth, keep_levels), _PACKED_DDL), f"suffix-level-{d}")
+        shared.destroy()
+        parted.discard("below")
+        tree.values.append(level.of("value", "hot_value"))
+        strings, states = level.of("string"), level.of("state")
         if d < depth:
-            below = staged(below, f"suffix-below-{d}")
+            parted = _Kinds(strings.groupBy("bucket").cogroup(states.groupBy("bucket")).applyInArrow(_next_level(buckets), _PACKED_DDL), f"suffix-below-{d}")
         if keep_levels:
-            tree.levels.append((strings, states))
+            rows = _sorted_rows(strings, "b long, a long, n long, c long, q double, own double", b="key", a="other", n="n", c="c", q="q", own="p")
+            tree.levels.append((_keyed(rows), _sorted_rows(states, "key long, n long, logb double", key="key", n="n", logb="p")))
         else:
-            discard(strings, states)
+            level.discard("string", "state")
     return tree, counts
 
 
-def _states(strings: DataFrame, divergence: float, gain: float, prior: float) -> DataFrame:
-    """key, n and the factor of unlisted symbols (logb) of the contexts that stay states."""
-    c, rest = F.col("c"), F.greatest(F.col("c") - F.col("listed"), F.lit(0.0))
-    mass = F.least(F.col("mass"), F.lit(1 - 1e-9))
-    factor = (rest + prior * (1 - mass)) / ((c + prior) * (1 - mass))
-    won = F.col("won") + rest * F.ln("factor")
-    return strings.groupBy("a").agg(F.max("c").alias("c"), F.sum("n").alias("listed"), F.sum("q").alias("mass"),
-                                    F.sum(F.col("n") * F.ln(F.col("own") / F.col("q"))).alias("won")) \
-        .withColumn("factor", factor).where((won >= gain) & (won >= divergence * c)) \
-        .select(F.col("a").alias("key"), c.alias("n"), F.log10("factor").alias("logb"))
-
-
-def _level_values(strings: DataFrame, states: DataFrame) -> DataFrame:
-    """key, n, known, base and value of a level's states and listed strings (see ``_values``)."""
-    zero = F.lit(0.0)
-    listed = strings.join(states.select(F.col("key").alias("a"), "logb"), "a")
-    return states.select("key", "n", F.lit(0).alias("known"), zero.alias("base"), F.col("logb").alias("value")).unionByName(
-        listed.select("key", "n", F.lit(0).alias("known"), zero.alias("base"), (F.log10("own") - F.log10("q") - F.col("logb")).alias("value")))
-
+def _fit(below: DataFrame, tree: Tree, contexts: bool) -> DataFrame:
+    """The packed rows of those that may be a context, or the string of a listed symbol."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, n, ok = _entries(batch, "n", "ok")
+            fit = (ok == 1) & (n >= tree.context_min) if contexts else n >= tree.symbol_min
+            yield _dealt("fit", tree.buckets, key[fit])
+    return below.mapInArrow(run, _PACKED_DDL)
 
-def _values(tree: Tree, counts: DataFrame) -> DataFrame:
-    """key, n, known (1: a word), base and value: what one occurrence adds to the root's and to the tree's score.
 
-    A key has a row for each thing that it is: a word or a listed string, and a state.  Words of no training text add
-    log10(0.5 / denominator), which is counted for all words beforehand.
-    """
-    base = F.log10(2 * F.col("n") + 1)
-    words = counts.select("key", "n", F.lit(1).alias("known"), base.alias("base"), base.alias("value"))
-    return reduce(DataFrame.unionByName, tree.values, words)
+def _keyed(strings: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = joined(batch.column("a").to_numpy(), batch.column("b").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(c) for c in ("a", "b", "n", "c", "q", "own"))],
+                                             names=["key", "a", "b", "n", "c", "q", "own"])
+    return strings.mapInArrow(run, "key long, a long, b long, n long, c long, q double, own double")
 
 
 # ---------------------------------------------------------------- scoring
-# A record holds, for a slice of documents, either their facts or the strings that fall into one key bucket.
+# A record holds, for a slice of documents, either their facts or the strings that fall into two neighbouring key buckets
+# (fewer sums than by one); then either the facts or the sums over these strings.
 _RECORD = {"bucket": pa.int64(), "first": pa.int64(), "ids": pa.list_(pa.int64()), "facts": pa.binary(), "keys": pa.binary(),
            "owners": pa.binary(), "m": pa.binary()}
 _RECORD_DDL = "bucket long, first long, ids array<long>, facts binary, keys binary, owners binary, m binary"
-_SUMS = {"row": pa.int64(), "doc_id": pa.int64(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "value": pa.float64()}
-_SUMS_DDL = "row long, doc_id long, n_tokens long, known long, base double, value double"
+_SUMS = {"first": pa.int64(), "ids": pa.list_(pa.int64()), "owners": pa.binary(), "facts": pa.binary()}
+_SUMS_DDL = "first long, ids array<long>, owners binary, facts binary"
 _FACTS = ("n_tokens", "known", "base", "value")
+_SCORES_DDL = "doc_id long, n_tokens long, known long, base double, value double"
 
 
 def _place(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -430,84 +579,114 @@ def _place(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == values, at, -1)
 
 
-def _by_key(values: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Sorted distinct keys, and the sums of their rows' known, base and value."""
-    keys, at = np.unique(values.column("key").to_numpy(), return_inverse=True)
-    return keys, [np.bincount(at, values.column(k).to_numpy(), len(keys)) for k in _FACTS[1:]]
+def _worth(values: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted distinct keys, and the sums of their entries' known, base and value."""
+    key, p = _entries(values, "p")
+    word = np.zeros(0, bool)
+    if len(key):
+        word = np.repeat([k.endswith("word") for k in values.column("kind").to_pylist()], values.column("size").to_numpy())
+    keys, at = np.unique(key, return_inverse=True)
+    return keys, [np.bincount(at, v, len(keys)) for v in (word.astype(float), np.where(word, p, 0.0), p)]
 
 
 def _emitter(shared, levels: int, buckets: int, absent: float):
-    cache = f"suffix-keys:{uuid.uuid4().hex}"
+    pairs = (buckets + 1) // 2
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, may = shared.value
-        words = worker_cache(cache, _Keys)
+        hot, hot_worth, may = shared.value
         for batch in batches:
-            for part, texts in byte_slices(batch):
-                _, found = _strings(texts, words.bounded(), levels)
-                sizes = np.bincount(found[0][3], minlength=len(texts))
-                key, owner = (np.concatenate([f[i] for f in found]) for i in (0, 3))
-                ok = _may_have(may, key)
-                key, owner = key[ok], owner[ok]
-                distinct, back = np.unique(key, return_inverse=True)
-                at = _place(hot["key"], distinct)[back]
+            for part, texts in byte_slices(batch, rows=SLICE_ROWS, size=SLICE_BYTES):
+                row, owner = _row(texts)
+                sizes = np.bincount(owner, minlength=len(texts)) - 1
+                key, of = np.delete(row, _runs(owner)), np.repeat(np.arange(len(texts), dtype=np.uint16), sizes)
+                found = [(x := _may_have(may, key), key[x], of[x])[1:]]
+                part_key = row
+                for words in range(2, levels + 1):
+                    part_key = joined(part_key[:-1], part_key[1:])
+                    at = np.flatnonzero((owner[:1 - words] == owner[words - 1:]) & _may_have(may, part_key))
+                    found.append((part_key[at], owner[at].astype(np.uint16)))
+                key, of = (np.concatenate(x) for x in zip(*found, strict=True))
+                order = np.argsort(key, kind="stable")           # a key's texts stay in order
+                key, of = key[order], of[order]
+                starts = _runs(key, of)
+                key, of, m = key[starts], of[starts], _lengths(starts, len(key))
+                runs = _runs(key)
+                at = np.repeat(_place(hot, key[runs]), _lengths(runs, len(key)))
                 known = at >= 0
                 facts = [sizes.astype(np.float64)]
-                for name in _FACTS[1:]:
-                    of = hot[name][at[known]] if len(hot["key"]) else np.zeros(0)
-                    facts.append(np.bincount(owner[known], of, len(texts)) + (absent * sizes if name != "known" else 0))
-                pairs, m = np.unique(back[~known] * 256 + owner[~known], return_counts=True)
-                out = {k: [] for k in _RECORD}
-
-                def put(bucket: int, **more):
-                    for k, v in ({"bucket": bucket, "first": part.column("row")[0].as_py()} | more).items():  # noqa: B023
-                        out[k].append(v)  # noqa: B023
-
-                put(part.column("row")[0].as_py() % buckets, ids=part.column("doc_id").to_pylist(), facts=np.array(facts).tobytes(), keys=None, owners=None, m=None)
-                keys = distinct[pairs >> 8]
-                ends = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
-                for b in np.flatnonzero(np.diff(ends)).tolist():
-                    a, z = ends[b], ends[b + 1]
-                    put(b, ids=None, facts=None, keys=_pack_sorted(keys[a:z]), owners=(pairs[a:z] & 255).astype(np.uint8).tobytes(),
-                        m=_pack(m[a:z].astype(np.int32)))
-                yield table_of(_RECORD, out)
+                for name, worth in zip(_FACTS[1:], hot_worth, strict=True):
+                    facts.append(np.bincount(of[known], m[known] * worth[at[known]] if len(hot) else np.zeros(0), len(texts))
+                                 + (absent * sizes if name != "known" else 0))
+                key, of, m = key[~known], of[~known], m[~known].astype(np.int32)
+                first = part.column("row")[0].as_py()
+                ends = np.searchsorted(_bucket(key, buckets) >> 1, np.arange(pairs + 1))
+                found = np.flatnonzero(np.diff(ends)).tolist()
+                spans = [slice(ends[b], ends[b + 1]) for b in found]
+                none = [None] * len(spans)
+                yield table_of(_RECORD, {
+                    "bucket": [first % pairs, *found], "first": [first] * (1 + len(spans)), "ids": [part.column("doc_id").to_pylist(), *none],
+                    "facts": [np.array(facts).tobytes(), *none], "keys": [None, *(_pack_sorted(key[s]) for s in spans)],
+                    "owners": [None, *(_pack(of[s]) for s in spans)], "m": [None, *(_pack(m[s]) for s in spans)]})
     return emit
 
 
 def _sums(records: pa.Table, values: pa.Table) -> pa.Table:
     """Facts of the documents, and sums over the strings of a key bucket by document."""
-    keys, of = _by_key(values)
-    out: list[pa.Table] = []
-    for r in records.select(list(_RECORD)).to_batches(max_chunksize=64):
-        for first, ids, facts, k, owners, m in zip(*(r.column(c).to_pylist() for c in list(_RECORD)[1:]), strict=True):
-            if facts is not None:
-                rows, doc_ids, sums = np.arange(len(ids)), ids, list(np.frombuffer(facts).reshape(len(_FACTS), -1))
-            else:
-                at = _place(keys, _unpack_sorted(k, np.int64))
-                hit = at >= 0
-                owner, times = np.frombuffer(owners, np.uint8)[hit], _unpack(m, np.int32)[hit]
-                rows = np.unique(owner).astype(np.int64)
-                sums = [np.zeros(len(rows))] + [np.bincount(owner, times * v[at[hit]], 256)[rows] for v in of]
-                doc_ids = [None] * len(rows)
-            out.append(pa.table([pa.array(rows + first, pa.int64()), pa.array(doc_ids, pa.int64())] +
-                                [pa.array(v.astype(np.int64) if t == pa.int64() else v, t) for v, t in zip(sums, list(_SUMS.values())[2:], strict=True)],
-                                names=list(_SUMS)))
-    return pa.concat_tables(out) if out else pa.schema(_SUMS.items()).empty_table()
+    if not records.num_columns:
+        return pa.schema(_SUMS.items()).empty_table()
+    keys, of = _worth(values)
+    out = {k: [] for k in _SUMS}
+    for first, ids, facts, k, owners, m in zip(*(records.column(c).to_pylist() for c in list(_RECORD)[1:]), strict=True):
+        if facts is None:
+            at = _place(keys, _unpack_sorted(k, np.int64))
+            hit = at >= 0
+            owner, times = _unpack(owners, np.uint16)[hit], _unpack(m, np.int32)[hit]
+            rows, back = np.unique(owner, return_inverse=True)
+            facts = _pack(np.concatenate([np.bincount(back, times * v[at[hit]], len(rows)) for v in of]))
+            owners = _pack(rows)
+        for name, v in zip(_SUMS, (first, ids, owners, facts), strict=True):
+            out[name].append(v)
+    return pa.Table.from_batches([table_of(_SUMS, out)])
+
+
+def _by_document(sums: pa.Table) -> pa.Table:
+    """The documents of a slice with all their sums."""
+    rows = [x for x in zip(*(sums.column(c).to_pylist() for c in list(_SUMS)[1:]), strict=True)]
+    (ids, _, facts), = (x for x in rows if x[0] is not None)
+    total = np.frombuffer(facts).reshape(len(_FACTS), -1).copy()
+    for _, owners, facts in (x for x in rows if x[0] is None):
+        total[1:, _unpack(owners, np.uint16)] += _unpack(facts, np.float64).reshape(len(_FACTS) - 1, -1)
+    return pa.table([pa.array(ids, pa.int64()), *(pa.array(v.astype(np.int64)) for v in total[:2]), *map(pa.array, total[2:])], names=["doc_id", *_FACTS])
 
 
 def score_texts(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score (root only), score (longest states)."""
+    """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score (root only), score (longest states).
+
+    ``counts`` is the table that ``learn`` returns beside the tree, whose values already hold the words.
+    """
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")) \
         .withColumn("row", F.monotonically_increasing_id())
-    values = _values(tree, counts)
-    buckets = max(_buckets(rows), values.count() // BUCKET_ROWS)
-    keys, sums = _by_key(values.where(F.col("n") >= tree.word_share * tree.total).toArrow())
-    hot = {"key": keys} | dict(zip(_FACTS[1:], sums, strict=True))
-    shared = docs.sparkSession.sparkContext.broadcast((hot, _bit_table(values)))
+    values = reduce(DataFrame.unionByName, tree.values)
+    with shuffles_freed(docs.sparkSession):
+        hot = _worth(values.where(F.col("kind").startswith("hot_")).toArrow())
+        shared = docs.sparkSession.sparkContext.broadcast((*hot, _bits_of_packed(values)))
     absent = float(np.log10(0.5 / tree.denominator()))
-    records = rows.mapInArrow(_emitter(shared, len(tree.values) + 1, buckets, absent), _RECORD_DDL)
-    values = values.where(F.col("n") < tree.word_share * tree.total).select("key", *_FACTS[1:], _bucket_column(F.col("key"), buckets).alias("bucket"))
+    values = values.where(~F.col("kind").startswith("hot_"))
+    buckets = tree.buckets * -(-_buckets(rows) // (2 * tree.buckets))
+    if buckets > tree.buckets:                             # far more text than was learned from: its buckets are parted
+        values = values.mapInArrow(_dealt_anew(buckets), _PACKED_DDL)
+    records = rows.mapInArrow(_emitter(shared, len(tree.values), buckets, absent), _RECORD_DDL)
+    values = values.withColumn("bucket", F.shiftright("bucket", 1))
     sums = records.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(_sums, _SUMS_DDL)
-    return sums.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *[F.sum(k).alias(k) for k in _FACTS]).select(
+    return sums.groupBy("first").applyInArrow(_by_document, _SCORES_DDL).select(
         "doc_id", "n_tokens", F.col("known").alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"),
         F.col("base").alias("base_score"), F.col("value").alias("score"))
+
+
+def _dealt_anew(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, kind in enumerate(batch.column("kind").to_pylist()):
+                key, n, p = _entries(batch.slice(i, 1), "n", "p")
+                yield _dealt(kind, buckets, key, n=n, p=p)
+    return run

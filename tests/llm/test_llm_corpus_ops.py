@@ -248,6 +248,37 @@ def test_suffix_tree_keeps_rare_strings_of_a_large_corpus(spark):
         assert math.isclose(got["score"], got["base_score"], abs_tol=1), size
 
 
+def test_suffix_tree_tables_travel_packed(spark):
+    rng = random.Random(11)
+    texts = [words(rng, 300, 80) for _ in range(60)]
+    tree, counts = suffix_tree.learn(docs_frame(spark, texts).select("text"), keep_levels=False)
+    rows, entries = zip(*[v.selectExpr("count(*)", "sum(size)").first() for v in tree.values], strict=True)
+    assert tree.buckets == 8 and entries[0] == counts.count() and entries[1] > 1000
+    assert rows[0] <= 2 * 8 and max(rows) <= 2 * 8 * 8 and not tree.levels         # a row a task and bucket, not a string
+    assert {r["n_known"] for r in suffix_tree.score_texts(docs_frame(spark, texts), tree, counts).collect()} == {301}
+    # far more text than was learned from: the values' buckets are parted, with the same scores
+    few = docs_frame(spark, [t for t in texts[:20]])
+    want = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(few, tree, counts).collect()}
+    old = suffix_tree._buckets
+    try:
+        suffix_tree._buckets = lambda texts: 8 * 6
+        got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(few, tree, counts).collect()}
+    finally:
+        suffix_tree._buckets = old
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
+def test_word_keys_of_odd_texts():
+    rng = random.Random(13)
+    made = [bytes(rng.choice(b"aB\x00\x1f\xc3\xa9.") for _ in range(n)) for n in (*range(1, 20), 63, 64, 65, 66, 200, 5000) for _ in range(3)]
+    texts = [b"", b" \t\n\x0b\x0c\r ", b" ".join(made), b"\n".join(made[::-1]) + b"\n", made[-1], b"A", b"a"]
+    keys, per_text = suffix_tree._word_keys(texts)
+    spelled = [w for t in texts for w in t.lower().split()]
+    assert per_text.tolist() == [len(t.split()) for t in texts] and len(keys) == len(spelled)
+    assert len(set(zip(keys.tolist(), spelled, strict=True))) == len(set(keys.tolist())) == len(set(spelled))
+    assert suffix_tree.END not in keys and all(suffix_tree.key_of(w) == k for w, k in zip(spelled, keys.tolist(), strict=True))
+
+
 # ---------------------------------------------------------------- fingerprints
 def test_next_document_across_ranges(spark):
     rng = random.Random(3)
