@@ -14,6 +14,7 @@ from ledgerlake.operators import joins
 from ledgerlake.operators.joins import asof_join, blocks, bounded_broadcast, interval_conflicts
 from ledgerlake.plans import daily_run, exchange
 from ledgerlake.plans.loader import detail_table, load_table
+from ledgerlake.queries import QUERIES
 from ledgerlake.queries_more import _detail_files
 from ledgerlake.schemas import LOG_INFO, TABLES
 from ledgerlake.sinks.store import AppendLog, PartitionedTable, VersionedTable
@@ -73,6 +74,49 @@ def test_asof_join_deals_a_multiplied_result_over_tasks(spark, monkeypatch):
     assert len(sizes) > 10 and max(sizes) < 6000 / 4
 
 
+def test_asof_join_deals_rows_without_an_answer_too(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 200)
+    right = spark.createDataFrame([(0, i, _day(0), _day(9)) for i in range(30)], "k int, i int, s date, e date")
+    left = spark.createDataFrame([(n % 3 or None, n, _day(n % 50)) for n in range(4000)] + [(0, 4000 + n, _day(n)) for n in range(10)] + [(0, 4010, None)], "k int, n int, d date")
+    out = asof_join(left, right, "k", "d", "s", "e", salts=2).persist()
+    rows = [tuple(r) for r in out.select("n", "i").collect()]
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    out.unpersist()
+    assert sorted(rows, key=repr) == sorted([(n, None) for n in range(4000)] + [(4000 + n, i) for n in range(10) for i in range(30)] + [(4010, None)], key=repr)
+    assert len(sizes) > 10 and max(sizes) < 1000
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_asof_join_with_salts_and_a_window_equals_the_one_without(spark, monkeypatch, how):
+    monkeypatch.setattr(joins, "TASK_ROWS", 20)
+    d = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    rng = random.Random(5)
+    right = spark.createDataFrame([(rng.randrange(3), i, d(s := rng.randrange(60)), d(s + rng.randrange(40))) for i in range(40)], "k int, i int, s date, e date")
+    left = spark.createDataFrame([(rng.randrange(4), n, d(rng.randrange(60))) for n in range(100)] + [(None, 100, d(1)), (1, 101, None)], "k int, n int, d date")
+    windowed, whole, plain = (sorted(map(repr, asof_join(left, right, "k", "d", "s", "e", how, **x).select("k", "d", "n", "i").collect()))
+                              for x in ({"window": (d(0), d(99)), "salts": 3}, {"salts": 3}, {}))
+    assert windowed == whole == plain and len(plain) > 100
+
+
+def test_asof_history_formats_days_of_events_and_broadcasts_no_blocks(spark, workdir, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 50)
+    spark.range(300).selectExpr("id * 7 AS event_id", "IF(id % 9 = 0, NULL, id) AS user_id").unionAll(spark.sql("SELECT NULL, 3")).write.parquet(f"{workdir}/events.parquet")
+    spark.range(400).selectExpr("id AS s_suppkey", "'x' AS s_name", "1 AS s_nationkey", "CAST(1 AS DOUBLE) AS s_acctbal").write.parquet(f"{workdir}/supplier.parquet")
+    out = QUERIES["asof_history"](spark, workdir)
+    plan = plan_text(out)
+    assert "BroadcastHashJoin" not in plan
+    steps = plan[:plan.index("\n\n(1)")].splitlines()                # the tree, top first; then each step by its number
+    joined = next(i for i, line in enumerate(steps) if "Join" in line)
+    formats = [int(text[:text.index(")")]) for text in plan.split("\n(")[1:] if "date_format(" in text]
+    assert formats and not any(f"({n})" in line for n in formats for line in steps[:joined])
+    text = "SELECT event_id, user_id % 40 AS k, date_add(DATE'1997-06-01', CAST(event_id % 700 AS INT)) AS day FROM {e}"
+    versions = "SELECT s_suppkey, s_suppkey % 50 AS k, date_add(DATE'1997-01-01', CAST(s_suppkey * 37 % 900 AS INT)) AS s, CAST(s_suppkey * s_suppkey % 400 AS INT) AS days FROM {s}"
+    want = spark.sql(f"SELECT e.k, CAST(day AS STRING) AS day, event_id, s_suppkey FROM ({text}) e LEFT JOIN ({versions}) v ON e.k = v.k AND day BETWEEN s AND date_add(s, days)",
+                     e=spark.read.parquet(f"{workdir}/events.parquet"), s=spark.read.parquet(f"{workdir}/supplier.parquet"))
+    assert out.columns == want.columns
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect())) and out.where("s_suppkey IS NOT NULL").count() > 200
+
+
 def test_interval_conflicts_are_found(spark):
     d = dt.date
     rows = [(1, d(2020, 1, 1), d(2020, 1, 31)), (1, d(2020, 2, 1), d(2020, 2, 29)),                       # clean
